@@ -1,6 +1,8 @@
 """Registered queries: each reads the driver tables at ``sf_dir`` and returns a DataFrame.
 
-Every computed column is aliased to the name its oracle SQL uses.
+Every computed column is aliased to the name its oracle SQL uses
+(``gradeflow.plans.oracle_sql``). Model calls in these queries go to
+deterministic stand-in chat functions (below), so the oracle can repeat them.
 """
 
 from __future__ import annotations
@@ -11,35 +13,459 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import DEFAULT_EXAM_TYPES
-from ..operators.aggregate import aggregate_results
-from ..operators.evaluate import score_exam
+from ..functions import extract as X
+from ..functions.score import exact_match, parse_rubric, rubric_metrics, rubric_score
+from ..functions.text import judge_verdict, message_html, normalize_response
+from ..operators.aggregate import aggregate_results, leaderboard as pivot_board
+from ..operators.distil import run_distillation
+from ..operators.evaluate import score_exam, score_mmlu
+from ..operators.generate import DEFAULT_TEMPLATE_GROUPS, generate
+from ..operators.grade import grade_with_model
+from ..operators.inference import CallPolicy, retry_rate_limit
+from ..operators.prompts import (
+    alpaca_prompt,
+    conversation,
+    filter_types,
+    grader_prompt,
+    judge_prompt,
+    mcq_prompt,
+    pack_messages,
+    simple_prompt,
+    typed_prompt,
+)
+from ..operators.report import example_html, markdown_lines, report_lines
+from ..operators.sample import debug_head, sample_fixed
+from ..session import scratch_path
+from ..sources import io as IO
 from ..sources import standins as S
 
 EXAM = "mg12l"
 MMLU = "mmlu_lite"
 DIGITS = 9  # oracle compare precision for statistics
+SAMPLE_N = 100
+SEED = 0
+SYSTEM_MESSAGE = "You are a helpful assistant."
+NO_RETRY = CallPolicy(max_attempts=3, backoff_base=0.0, retryable=retry_rate_limit)
 
 
-def _stats_out(agg: DataFrame, eval_name: str, group_cols=("model_name",)) -> DataFrame:
-    return agg.select(
-        F.lit(eval_name).alias("eval_name"), *group_cols, "metric", F.round("value", DIGITS).alias("value")
+# --- deterministic stand-in chat functions (repeated in the oracle SQL) ------
+
+def echo_chat(messages: list[dict]) -> str:
+    """Replies with the prompt length; fails on lengths = 3 (mod 7)."""
+    n = len(messages[-1]["content"])
+    if n % 7 == 3:
+        raise ValueError("synthetic failure")
+    return f"  reply {n}\n"
+
+
+def flaky_chat(messages: list[dict]) -> str:
+    """As ``echo_chat``, and also fails on lengths divisible by 5."""
+    n = len(messages[-1]["content"])
+    if n % 5 == 0:
+        raise ValueError("synthetic outage")
+    return echo_chat(messages)
+
+
+def rubric_chat(messages: list[dict]) -> str:
+    """A grader whose three scores follow from the prompt length."""
+    n = len(messages[-1]["content"])
+    return (
+        f"Scores follow.\nContent Relevancy: {n % 4}\nRegister Appropriateness: {n % 3}\n"
+        f"Grammatical and Syntactic Competence: {n % 6}\n"
     )
 
 
+# --- helpers -------------------------------------------------------------------
+
+def _stats_out(agg: DataFrame, eval_name: str, group_cols=("model_name",)) -> DataFrame:
+    return agg.select(F.lit(eval_name).alias("eval_name"), *group_cols, "metric", F.round("value", DIGITS).alias("value"))
+
+
+def _resp_key():
+    return [F.col("l_orderkey"), F.col("l_linenumber")]
+
+
 def exam_scored(spark: SparkSession, sf_dir: str, types=DEFAULT_EXAM_TYPES) -> DataFrame:
     """Recorded responses joined to their items (equi-join on item_id) and scored."""
-    items = S.exam_items(spark, sf_dir).filter(F.col("type").isin(list(types))).select("item_id", "type", "answer")
-    responses = S.model_responses(spark, sf_dir)
-    return score_exam(responses.join(items, "item_id"))
+    items = filter_types(S.exam_items(spark, sf_dir), types).select("item_id", "type", "answer")
+    return score_exam(S.model_responses(spark, sf_dir).join(items, "item_id"))
 
 
+def mmlu_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = S.mmlu_items(spark, sf_dir).select("item_id", "sample_id", "answer")
+    return score_mmlu(S.model_responses(spark, sf_dir).join(items, "item_id"))
+
+
+# --- evaluation ----------------------------------------------------------------
+
 def eval_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: exam evaluation of 4 models, mean/std per (model, question type) and score."""
+    return _stats_out(aggregate_results(exam_scored(spark, sf_dir), ["model_name"]), EXAM)
+
+
+def category_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MMLU evaluation: per-category and overall mean/std per model."""
+    return _stats_out(aggregate_results(mmlu_scored(spark, sf_dir), ["model_name"]), MMLU)
+
+
+def metric_stats_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four stats for the score, min/max only for MCQ, mean/std otherwise."""
+    agg = aggregate_results(
+        exam_scored(spark, sf_dir), ["model_name"], name2stats={"score": ("mean", "std", "min", "max"), "MCQ": ("min", "max")}
+    )
+    return _stats_out(agg, EXAM)
+
+
+def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline score per model (rows) and eval (columns)."""
+    metrics = eval_scorecard(spark, sf_dir).unionByName(category_metrics(spark, sf_dir))
+    return pivot_board(metrics, [EXAM, MMLU])
+
+
+def leaderboard_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markdown_lines(leaderboard(spark, sf_dir))
+
+
+def exact_match_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-response score over all exam types (null answer + nothing extracted = 1.0)."""
+    items = S.exam_items(spark, sf_dir).select("item_id", "type", "answer")
+    scored = score_exam(S.model_responses(spark, sf_dir).join(items, "item_id"))
+    return scored.select("l_orderkey", "l_linenumber", "type", "extracted", "score")
+
+
+# --- prompts -------------------------------------------------------------------
+
+def mcq_prompt_4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = S.mmlu_items(spark, sf_dir)
+    opts = [F.col(c) for c in ("option_a", "option_b", "option_c", "option_d")]
+    return items.select("item_id", mcq_prompt(F.col("question"), opts).alias("prompt"))
+
+
+def typed_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = S.exam_items(spark, sf_dir)
+    p = typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c"))
+    return items.select("item_id", "type", p.alias("prompt"))
+
+
+def type_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_types(S.exam_items(spark, sf_dir), DEFAULT_EXAM_TYPES).select("item_id", "type", "answer")
+
+
+def chat_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a user message after a system message, one row per message."""
+    docs = S.table(spark, sf_dir, "documents")
+    packed = docs.select("doc_id", pack_messages(F.col("text"), system=SYSTEM_MESSAGE).alias("m"))
+    return packed.select("doc_id", F.posexplode("m").alias("pos", "msg")).select(
+        "doc_id", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content")
+    )
+
+
+def convo_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt messages plus the normalised reply, one row per message."""
+    scored = exam_scored(spark, sf_dir, types=None)
+    items = S.exam_items(spark, sf_dir).select("item_id", "question", "option_a", "option_b", "option_c")
+    rows = scored.join(items, "item_id").select(
+        "l_orderkey",
+        "l_linenumber",
+        conversation(
+            pack_messages(typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c"))),
+            F.col("response_text"),
+        ).alias("c"),
+    )
+    return rows.select("l_orderkey", "l_linenumber", F.posexplode("c").alias("pos", "msg")).select(
+        "l_orderkey", "l_linenumber", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content")
+    )
+
+
+def message_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = S.table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", message_html(F.col("role"), F.col("text")).alias("html"))
+
+
+def example_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = exam_scored(spark, sf_dir)
+    items = S.exam_items(spark, sf_dir).select("item_id", "question", "option_a", "option_b", "option_c")
+    rows = scored.join(items, "item_id")
+    msgs = pack_messages(typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c")))
+    return rows.select(
+        "l_orderkey", "l_linenumber", example_html(msgs, F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score")).alias("html")
+    )
+
+
+def grader_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = S.exam_items(spark, sf_dir).filter(F.col("type") == "SHORT_QNA").select("item_id", "question", "answer")
+    resp = S.model_responses(spark, sf_dir).join(items, "item_id")
+    return resp.select(
+        "l_orderkey", "l_linenumber",
+        grader_prompt(F.col("question"), F.col("answer"), normalize_response(F.col("response"))).alias("prompt"),
+    )
+
+
+def judge_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = exam_scored(spark, sf_dir)
+    return scored.select("l_orderkey", "l_linenumber", judge_prompt(F.col("extracted"), F.col("answer")).alias("prompt"))
+
+
+def judge_verdict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge replies derived from lineitem, parsed to yes/no."""
+    li = S.table(spark, sf_dir, "lineitem")
+    reply = (
+        F.when(F.col("l_linenumber") % 4 == 0, F.lit("Yes"))
+        .when(F.col("l_linenumber") % 4 == 1, F.lit(" yes\n"))
+        .when(F.col("l_linenumber") % 4 == 2, F.lit("No"))
+        .otherwise(F.lit("YES."))
+    )
+    return li.select("l_orderkey", "l_linenumber", judge_verdict(reply).alias("equal"))
+
+
+# --- text functions ------------------------------------------------------------
+
+def normalize_response_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = S.table(spark, sf_dir, "documents").select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
+    conv = S.table(spark, sf_dir, "conversations").select(F.lit("conv").alias("src"), F.col("conv_id").alias("id"), "turn", "text")
+    both = docs.unionByName(conv)
+    return both.select("src", "id", "turn", normalize_response(F.col("text")).alias("normalized"))
+
+
+def _normalized_responses(spark, sf_dir):
+    return S.model_responses(spark, sf_dir).select("l_orderkey", "l_linenumber", normalize_response(F.col("response")).alias("t"))
+
+
+def answer_extract_mcq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _normalized_responses(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber", X.extract_mcq(F.col("t")).alias("extracted"))
+
+
+def answer_extract_tof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _normalized_responses(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber", X.extract_tof(F.col("t")).alias("extracted"))
+
+
+def answer_extract_fib(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _normalized_responses(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber", X.extract_fib(F.col("t")).alias("extracted"))
+
+
+def answer_extract_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LONG/METAPHOR items: nothing is extracted, so the score is 1.0 only for a null answer."""
+    scored = exam_scored(spark, sf_dir, types=["LONG_QNA", "METAPHOR_QNA"])
+    return scored.select("l_orderkey", "l_linenumber", "type", "extracted", "score")
+
+
+def english_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = S.table(spark, sf_dir, "lineitem")
+    letter = F.substring(F.lit("ABCD"), (F.col("l_partkey") % 4 + 1).cast("int"), 1)
+    r = (
+        F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("So the Answer: $"), letter, F.lit("$")))
+        .when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("answer :  "), letter, F.lit(" because it fits\nmore")))
+        .otherwise(F.lit("I am not sure"))
+    )
+    return li.select("l_orderkey", "l_linenumber", r.alias("t"))
+
+
+def answer_extract_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = english_responses(spark, sf_dir)
+    return r.select(
+        "l_orderkey", "l_linenumber", X.extract_english_mcq(F.col("t")).alias("mcq"), X.extract_english_free(F.col("t")).alias("free")
+    )
+
+
+# --- rubric ----------------------------------------------------------------------
+
+def rubric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = S.grader_outputs(spark, sf_dir).withColumn("grade", parse_rubric(F.col("grade_output")))
+    m = rubric_metrics(F.col("grade"))
+    return g.select(
+        "doc_id",
+        F.col("grade.content").alias("content"),
+        F.col("grade.register").alias("register"),
+        F.col("grade.grammar").alias("grammar"),
+        F.col("grade.valid").alias("grade_valid"),
+        rubric_score(F.col("grade")).alias("score"),
+        m.alias("metrics"),
+    )
+
+
+def rubric_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = rubric_rows(spark, sf_dir)
+    return r.select(
+        "doc_id", "content", "register", "grammar", "grade_valid",
+        F.round("score", DIGITS).alias("score"),
+        F.round(F.col("metrics")["Content Relevancy"], DIGITS).alias("content_score"),
+        F.round(F.col("metrics")["Register Appropriateness"], DIGITS).alias("register_score"),
+        F.round(F.col("metrics")["Grammatical and Syntactic Competence"], DIGITS).alias("grammar_score"),
+    )
+
+
+def rubric_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean/std of the SHORT_QNA metrics and score per label quality; invalid grades excluded."""
+    r = rubric_rows(spark, sf_dir).join(S.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    agg = aggregate_results(r, ["quality"])
+    return agg.select(F.col("quality").cast("bigint").alias("quality"), "metric", F.round("value", DIGITS).alias("value"))
+
+
+def model_graded_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SHORT_QNA responses graded by a (stand-in) grader model, aggregated per model."""
+    items = S.exam_items(spark, sf_dir).filter(F.col("type") == "SHORT_QNA").select("item_id", "type", "question", "answer")
+    resp = S.model_responses(spark, sf_dir).join(items, "item_id").withColumn("response_text", normalize_response(F.col("response")))
+    keys = ["l_orderkey", "l_linenumber"]
+    grades = IO.materialize(grade_with_model(resp, rubric_chat, keys, policy=NO_RETRY), "grades")
+    scored = score_exam(resp.join(grades, keys), grade_output_col="grade_output")
     return _stats_out(aggregate_results(scored, ["model_name"]), EXAM)
 
 
+# --- sampling --------------------------------------------------------------------
+
+def sample_fixed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return sample_fixed(docs, "doc_id", SAMPLE_N, SEED)
+
+
+def debug_head_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debug_head(S.table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 5)
+
+
+# --- template generation ----------------------------------------------------------
+
+def _explode_messages(df: DataFrame) -> DataFrame:
+    return df.select("row_key", "group_id", "template_id", F.posexplode("messages").alias("pos", "msg")).select(
+        "row_key", "group_id", "template_id", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content")
+    )
+
+
+def template_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accepted, _ = generate(S.dictionary(spark, sf_dir), DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
+    return _explode_messages(accepted)
+
+
+def template_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = generate(S.dictionary(spark, sf_dir), DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
+    return rejected
+
+
+def sft_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accepted, _ = generate(S.dictionary(spark, sf_dir), DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
+    path = scratch_path(spark, "sft_jsonl")
+    accepted.select("row_key", "group_id", "template_id", "messages").write.json(path)
+    back = spark.read.schema("row_key bigint, group_id int, template_id int, messages array<struct<role:string,content:string>>").json(path)
+    return _explode_messages(back)
+
+
+# --- distillation -----------------------------------------------------------------
+
+def distil_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.distil import ensure_output, pending_rows
+
+    df = ensure_output(S.distil_input(spark, sf_dir), "output")
+    return pending_rows(df, "output").select("row_key")
+
+
+def distil_prompt_alpaca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = S.distil_input(spark, sf_dir)
+    return df.select("row_key", alpaca_prompt(df).alias("prompt"))
+
+
+def distil_prompt_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = S.distil_input(spark, sf_dir)
+    return df.select("row_key", simple_prompt(df).alias("prompt"))
+
+
+def _distil(spark, sf_dir, chat=echo_chat, results_path=None):
+    df = S.distil_input(spark, sf_dir)
+    return run_distillation(df, chat, key_col="row_key", formatter=alpaca_prompt, results_path=results_path, policy=NO_RETRY, n_chunks=2)
+
+
+def distil_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _distil(spark, sf_dir).final.select("row_key", "output")
+
+
+def distil_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _distil(spark, sf_dir).stats
+
+
+def distil_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _distil(spark, sf_dir).errors.select(F.col("key").cast("bigint").alias("row_key"), "error", "detail")
+
+
+def distil_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run against a flaky model, then a rerun: only unfinished rows are called."""
+    path = scratch_path(spark, "distil_resume")
+    _distil(spark, sf_dir, flaky_chat, path)
+    return _distil(spark, sf_dir, echo_chat, path).stats
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distillation input through the CSV sink and back (quoted newlines, spaces kept)."""
+    df = S.distil_input(spark, sf_dir)
+    path = scratch_path(spark, "csv")
+    IO.write_csv(df.select(F.col("row_key").cast("string").alias("row_key"), "instruction", "input", "output"), path)
+    back = IO.read_csv(spark, path, ["row_key", "instruction", "input", "output"])
+    return back.select(F.col("row_key").cast("bigint").alias("row_key"), "instruction", "input", "output")
+
+
+# --- metrics files and reports ------------------------------------------------------
+
+def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = eval_scorecard(spark, sf_dir).unionByName(category_metrics(spark, sf_dir))
+    root = scratch_path(spark, "metrics")
+    IO.write_metrics(metrics, root)
+    back = IO.read_metrics(spark, root)
+    return back.select("eval_name", "model_name", "metric", "value")
+
+
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report lines of the exam evaluation: metrics table and one line per example."""
+    metrics = eval_scorecard(spark, sf_dir)
+    ex = example_html_q(spark, sf_dir).join(
+        exam_scored(spark, sf_dir).select("l_orderkey", "l_linenumber", "model_name"), ["l_orderkey", "l_linenumber"]
+    )
+    ex = ex.select(
+        F.lit(EXAM).alias("eval_name"), "model_name",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"), "html",
+    )
+    return report_lines(metrics, ex)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "eval_scorecard": eval_scorecard,
+        "category_metrics": category_metrics,
+        "metric_stats_override": metric_stats_override,
+        "leaderboard": leaderboard,
+        "leaderboard_markdown": leaderboard_markdown,
+        "exact_match_nullsafe": exact_match_nullsafe,
+        "mcq_prompt_4": mcq_prompt_4,
+        "typed_prompt": typed_prompt_q,
+        "type_filter": type_filter,
+        "chat_pack": chat_pack,
+        "convo_assemble": convo_assemble,
+        "message_html": message_html_q,
+        "example_html": example_html_q,
+        "grader_prompt": grader_prompt_q,
+        "judge_prompt": judge_prompt_q,
+        "judge_verdict": judge_verdict_q,
+        "normalize_response": normalize_response_q,
+        "answer_extract_mcq": answer_extract_mcq,
+        "answer_extract_tof": answer_extract_tof,
+        "answer_extract_fib": answer_extract_fib,
+        "answer_extract_open": answer_extract_open,
+        "answer_extract_english": answer_extract_english,
+        "rubric_scores": rubric_scores,
+        "rubric_aggregate": rubric_aggregate,
+        "model_graded_exam": model_graded_exam,
+        "sample_fixed": sample_fixed_q,
+        "debug_head": debug_head_q,
+        "template_generate": template_generate,
+        "template_rejects": template_rejects,
+        "sft_jsonl_roundtrip": sft_jsonl_roundtrip,
+        "distil_pending": distil_pending,
+        "distil_prompt_alpaca": distil_prompt_alpaca,
+        "distil_prompt_simple": distil_prompt_simple,
+        "distil_merge": distil_merge,
+        "distil_stats": distil_stats,
+        "distil_errors": distil_errors,
+        "distil_resume": distil_resume,
+        "csv_roundtrip": csv_roundtrip,
+        "metrics_roundtrip": metrics_roundtrip,
+        "report_rows": report_rows,
     }

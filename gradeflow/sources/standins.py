@@ -112,7 +112,7 @@ def distil_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     null = F.lit(None).cast("string")
     return table(spark, sf_dir, "documents").select(
         k.alias("row_key"),
-        F.substring(F.col("text"), 1, 60).alias("instruction"),
+        F.col("text").alias("instruction"),
         F.when(k % 4 == 0, null).when(k % 4 == 1, F.lit("  ")).otherwise(F.col("source")).alias("input"),
         F.when(k % 3 == 0, F.concat(F.lit("done "), F.col("lang")))
         .when(k % 3 == 1, F.lit(""))
