@@ -102,6 +102,9 @@ def batch_chat(
 ) -> DataFrame:
     """``(key..., response, error, attempts)`` for every input row.
 
+    ``key_cols`` are carried through unchanged (they need not be unique: every
+    input row is one call).
+
     ``num_partitions`` spreads the calls evenly (round-robin repartition) when the
     input is skewed or has few partitions; ``concurrency`` > 1 runs that many
     calls at once inside each task.

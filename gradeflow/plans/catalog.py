@@ -182,16 +182,21 @@ def message_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conv.select("conv_id", "turn", message_html(F.col("role"), F.col("text")).alias("html"))
 
 
-def example_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exam_examples_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored responses with the HTML of each example (items joined on their unique id)."""
     scored = exam_scored(spark, sf_dir)
     items = S.exam_items(spark, sf_dir).select("item_id", "question", "option_a", "option_b", "option_c")
     rows = scored.join(items, "item_id")
     msgs = pack_messages(typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c")))
-    return rows.select(
-        "l_orderkey", "l_linenumber", example_html(msgs, F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score")).alias("html")
+    return rows.withColumn(
+        "html", example_html(msgs, F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score"))
     )
 
 
+def example_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exam_examples_html(spark, sf_dir).select("l_orderkey", "l_linenumber", "html")
+
+
 def grader_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = S.exam_items(spark, sf_dir).filter(F.col("type") == "SHORT_QNA").select("item_id", "question", "answer")
     resp = S.model_responses(spark, sf_dir).join(items, "item_id")
@@ -308,9 +313,10 @@ def model_graded_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHORT_QNA responses graded by a (stand-in) grader model, aggregated per model."""
     items = S.exam_items(spark, sf_dir).filter(F.col("type") == "SHORT_QNA").select("item_id", "type", "question", "answer")
     resp = S.model_responses(spark, sf_dir).join(items, "item_id").withColumn("response_text", normalize_response(F.col("response")))
-    keys = ["l_orderkey", "l_linenumber"]
-    grades = IO.materialize(grade_with_model(resp, rubric_chat, keys, policy=NO_RETRY), "grades")
-    scored = score_exam(resp.join(grades, keys), grade_output_col="grade_output")
+    # The response key is not unique, so the grader call carries what scoring needs.
+    carry = ["model_name", "type", "answer", "response_text"]
+    grades = IO.materialize(grade_with_model(resp, rubric_chat, carry, policy=NO_RETRY), "grades")
+    scored = score_exam(grades.withColumn("response", F.col("response_text")), grade_output_col="grade_output")
     return _stats_out(aggregate_results(scored, ["model_name"]), EXAM)
 
 
@@ -416,10 +422,7 @@ def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report lines of the exam evaluation: metrics table and one line per example."""
     metrics = eval_scorecard(spark, sf_dir)
-    ex = example_html_q(spark, sf_dir).join(
-        exam_scored(spark, sf_dir).select("l_orderkey", "l_linenumber", "model_name"), ["l_orderkey", "l_linenumber"]
-    )
-    ex = ex.select(
+    ex = exam_examples_html(spark, sf_dir).select(
         F.lit(EXAM).alias("eval_name"), "model_name",
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"), "html",
     )
