@@ -19,6 +19,7 @@ from ..fixed_values import (
     ENGLISH_MCQ_PATTERN,
     FIB_TAIL,
     MCQ_TAIL,
+    OPTION_LETTERS,
     PY_WHITESPACE_CLASS,
     TOF_TAIL,
 )
@@ -32,14 +33,18 @@ def java_regex(py_pattern: str, flags: str = JAVA_FLAGS) -> str:
     return flags + py_pattern.replace("\\s", PY_WHITESPACE_CLASS)
 
 
-def first_match(text, patterns: Sequence[str], group: int = 1) -> Column:
+def first_match(text, patterns: Sequence[str], group: int = 1, nonempty_group: bool = False) -> Column:
     """Group of the leftmost match of the first pattern that matches, else null.
 
-    ``regexp_extract`` returns '' on no match, so each try is guarded with
-    ``rlike``; an empty group of a real match stays ''.
+    ``regexp_extract`` returns '' on no match. When the group can be empty on a
+    real match, each try is guarded with ``rlike`` (two scans); when it cannot
+    (``nonempty_group``), '' means no match and one scan suffices.
     """
     text = as_col(text)
-    tries = [F.when(text.rlike(p), F.regexp_extract(text, p, group)) for p in patterns]
+    if nonempty_group:
+        tries = [F.nullif(F.regexp_extract(text, p, group), F.lit("")) for p in patterns]
+    else:
+        tries = [F.when(text.rlike(p), F.regexp_extract(text, p, group)) for p in patterns]
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 
@@ -49,7 +54,7 @@ def quote_literal(c) -> Column:
 
 
 def extract_mcq_raw(text, heads: Sequence[str] = (ANSWER_HEAD,)) -> Column:
-    return first_match(text, [java_regex(h + MCQ_TAIL) for h in heads])
+    return first_match(text, [java_regex(h + MCQ_TAIL) for h in heads], nonempty_group=True)
 
 
 def extract_mcq(text, heads: Sequence[str] = (ANSWER_HEAD,)) -> Column:
@@ -57,14 +62,24 @@ def extract_mcq(text, heads: Sequence[str] = (ANSWER_HEAD,)) -> Column:
     return normalize_extracted_answer(extract_mcq_raw(text, heads))
 
 
+def _mcq_prefix(head: str) -> str:
+    tail = MCQ_TAIL[: MCQ_TAIL.index("[ဃ])") + len("[ဃ]")]
+    return java_regex(head + tail) + "|"
+
+
+MCQ_SUFFIX = ")(?:\\))?"
+
+
 def exam_mcq_pattern(answer, head: str = ANSWER_HEAD) -> Column:
     """Per-row pattern: option labels or the row's own answer (quoted literal).
 
     Python's ``str.format`` writes a missing answer as ``None``.
     """
-    tail = MCQ_TAIL[: MCQ_TAIL.index("[ဃ])") + len("[ဃ]")]
-    prefix = java_regex(head + tail) + "|"
-    return F.concat(F.lit(prefix), quote_literal(F.coalesce(as_col(answer), F.lit("None"))), F.lit(")(?:\\))?"))
+    return F.concat(F.lit(_mcq_prefix(head)), quote_literal(F.coalesce(as_col(answer), F.lit("None"))), F.lit(MCQ_SUFFIX))
+
+
+def _quote_text(s: str) -> str:
+    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def extract_with_pattern(text, pattern) -> Column:
@@ -73,6 +88,22 @@ def extract_with_pattern(text, pattern) -> Column:
     return F.when(F.call_function("rlike", text, pattern), F.call_function("regexp_extract", text, pattern, F.lit(1)))
 
 
+def extract_exam_mcq_raw(text, answer, head: str = ANSWER_HEAD, common_answers=OPTION_LETTERS) -> Column:
+    """Raw group of the exam MCQ pattern.
+
+    Rows whose answer is one of ``common_answers`` (or missing) use a constant
+    pattern, compiled once per task; any other answer uses the per-row pattern
+    (Spark recompiles a column pattern whenever it changes between rows).
+    """
+    text, answer = as_col(text), as_col(answer)
+    prefix = _mcq_prefix(head)
+    expr = F.when(answer.isNull(), first_match(text, [prefix + _quote_text("None") + MCQ_SUFFIX], nonempty_group=True))
+    for a in common_answers:
+        if a:
+            expr = expr.when(answer == a, first_match(text, [prefix + _quote_text(a) + MCQ_SUFFIX], nonempty_group=True))
+    return expr.otherwise(extract_with_pattern(text, exam_mcq_pattern(answer, head)))
+
+
 def normalize_if_nonempty(raw) -> Column:
     raw = as_col(raw)
     return F.when(raw != F.lit(""), normalize_extracted_answer(raw)).otherwise(raw)
@@ -80,11 +111,11 @@ def normalize_if_nonempty(raw) -> Column:
 
 def extract_exam_mcq(text, answer, head: str = ANSWER_HEAD) -> Column:
     """Option label, or the row's own answer text, after the marker; then A-D."""
-    return normalize_if_nonempty(extract_with_pattern(text, exam_mcq_pattern(answer, head)))
+    return normalize_if_nonempty(extract_exam_mcq_raw(text, answer, head))
 
 
 def extract_tof(text, head: str = ANSWER_HEAD) -> Column:
-    return first_match(text, [java_regex(head + TOF_TAIL)])
+    return first_match(text, [java_regex(head + TOF_TAIL)], nonempty_group=True)
 
 
 def extract_fib(text, head: str = ANSWER_HEAD) -> Column:
@@ -98,11 +129,11 @@ def extract_open() -> Column:
 
 
 def extract_english_mcq(text) -> Column:
-    return first_match(text, [java_regex(ENGLISH_MCQ_PATTERN)])
+    return first_match(text, [java_regex(ENGLISH_MCQ_PATTERN)], nonempty_group=True)
 
 
 def extract_english_free(text) -> Column:
-    return first_match(text, [java_regex(ENGLISH_FREE_PATTERN)])
+    return first_match(text, [java_regex(ENGLISH_FREE_PATTERN)], nonempty_group=True)
 
 
 def extract_by_type(qtype, text, answer) -> Column:

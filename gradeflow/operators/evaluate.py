@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import SHORT_QNA_METRIC
 from ..functions.extract import (
-    exam_mcq_pattern,
+    extract_exam_mcq_raw,
     extract_fib,
     extract_mcq,
     extract_tof,
-    extract_with_pattern,
     normalize_if_nonempty,
 )
 from ..functions.score import exact_match, metric_map, parse_rubric, rubric_metrics, rubric_score, with_category
@@ -38,7 +37,7 @@ def score_exam(
     # non-cheap column that is referenced twice in its own projection).
     out = out.withColumn(
         "_raw",
-        F.when(t == "MCQ", extract_with_pattern("response_text", exam_mcq_pattern(F.col(answer_col))))
+        F.when(t == "MCQ", extract_exam_mcq_raw("response_text", F.col(answer_col)))
         .when(t == "TOF", extract_tof("response_text"))
         .when(t == "FIB", extract_fib("response_text")),
     )

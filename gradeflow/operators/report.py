@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import materialize
 from ..functions.text import as_col, html_escape, message_html, py_str, score_display
 
 REPORT_HEAD = (
@@ -58,13 +59,17 @@ def report_lines(metrics_long: DataFrame, examples: DataFrame, order_col: str =
     """``(group..., section, ord, sub, line)`` lines of one report per group.
 
     The metrics table appears only for groups that have metrics other than the
-    score. Lines never gather into one row: sorting by (section, ord, sub)
-    within the group gives the file order (see ``write_reports``).
+    score; every (eval, model) with metrics gets a report. Lines never gather
+    into one row: sorting by (section, ord, sub) within the group gives the
+    file order (see ``write_reports``).
     """
     g = list(group_cols)
+    # The metrics table is small but costly to derive and is read five times
+    # below: write it once to the checkpoint folder.
+    metrics_long = materialize(metrics_long, "report_metrics")
     m = metrics_table_rows(metrics_long, g)
     has_table = metrics_long.filter(F.col("metric") != "score").select(*g).distinct()
-    head_groups = metrics_long.select(*g).unionByName(examples.select(*g)).distinct()
+    head_groups = metrics_long.select(*g).distinct()
     head = head_groups.select(*g, F.lit(0).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"), F.lit(REPORT_HEAD).alias("line"))
     table_open = has_table.select(
         *g, F.lit(1).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"),

@@ -640,7 +640,7 @@ def report_rows() -> str:
     return f"""{_scored_with_items(['MCQ', 'FIB', 'TOF'])},
 metrics AS ({eval_scorecard()}),
 ex AS (SELECT 'mg12l' AS eval_name, model_name, l_orderkey * 10 + l_linenumber AS item_id, {ex} AS html FROM full_rows),
-groups AS (SELECT DISTINCT eval_name, model_name FROM (SELECT eval_name, model_name FROM metrics UNION ALL SELECT eval_name, model_name FROM ex)),
+groups AS (SELECT DISTINCT eval_name, model_name FROM metrics),
 tgroups AS (SELECT DISTINCT eval_name, model_name FROM metrics WHERE metric <> 'score')
 SELECT eval_name, model_name, 0 AS section, '' AS ord, '' AS sub, {lit(REPORT_HEAD)} AS line FROM groups
 UNION ALL SELECT eval_name, model_name, 1, '', '', '<h1>Metrics</h1><table><tr><th>Metric</th><th>Value</th></tr>' FROM tgroups
