@@ -146,7 +146,8 @@ def image_part(image, encoding: str = "base64", fmt: str = "png") -> Column:
 
 
 def image_part_from_binary(binary, fmt: str = "png") -> Column:
-    return image_part(F.base64(as_col(binary)), "base64", fmt)
+    """Base64 without the MIME line breaks Spark's ``base64`` may insert."""
+    return image_part(F.regexp_replace(F.base64(as_col(binary)), "[\\r\\n]", ""), "base64", fmt)
 
 
 def grader_prompt(question, target, predicted) -> Column:

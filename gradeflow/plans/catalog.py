@@ -75,6 +75,26 @@ def rubric_chat(messages: list[dict]) -> str:
     )
 
 
+def label_chat(messages: list[dict]) -> str:
+    """Stand-in model 'ma': picks an option label from the prompt length."""
+    n = len(messages[-1]["content"])
+    return "Reasoning.\nအဖြေ: (" + "ကခဂဃ"[n % 4] + ")"
+
+
+def word_chat(messages: list[dict]) -> str:
+    """Stand-in model 'mb': one of four reply shapes by prompt length."""
+    n = len(messages[-1]["content"])
+    return ["**အဖြေ: မှန်**", "အဖြေ: Brand#3", "$အဖြေ: ဂ$", "no answer"][n % 4]
+
+
+def judge_chat(messages: list[dict]) -> str:
+    n = len(messages[-1]["content"])
+    return "Yes" if n % 3 == 0 else " no\n"
+
+
+E2E_MODELS = {"ma": label_chat, "mb": word_chat}
+
+
 # --- helpers -------------------------------------------------------------------
 
 def _stats_out(agg: DataFrame, eval_name: str, group_cols=("model_name",)) -> DataFrame:
@@ -126,6 +146,24 @@ def leaderboard_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markdown_lines(leaderboard(spark, sf_dir))
 
 
+def _e2e_run(spark: SparkSession, sf_dir: str):
+    from .evals import run
+
+    items = {MMLU: S.mmlu_items(spark, sf_dir), EXAM: S.exam_items(spark, sf_dir)}
+    return run(E2E_MODELS, items, policy=NO_RETRY)
+
+
+def eval_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full run: items x 2 models -> prompts -> model calls -> scoring -> statistics."""
+    m = _e2e_run(spark, sf_dir).metrics
+    return m.select("eval_name", "model_name", "metric", F.round("value", DIGITS).alias("value"))
+
+
+def eval_run_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _e2e_run(spark, sf_dir).leaderboard
+    return b.select("model_name", F.round(EXAM, DIGITS).alias(EXAM), F.round(MMLU, DIGITS).alias(MMLU))
+
+
 def exact_match_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-response score over all exam types (null answer + nothing extracted = 1.0)."""
     items = S.exam_items(spark, sf_dir).select("item_id", "type", "answer")
@@ -211,6 +249,26 @@ def judge_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("l_orderkey", "l_linenumber", judge_prompt(F.col("extracted"), F.col("answer")).alias("prompt"))
 
 
+def judge_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracted vs. expected answer judged by a (stand-in) model, reply parsed to yes/no."""
+    from ..operators.grade import equality_judge
+
+    scored = exam_scored(spark, sf_dir)
+    out = equality_judge(scored, judge_chat, ["l_orderkey", "l_linenumber"], "extracted", "answer", policy=NO_RETRY)
+    return out.select("l_orderkey", "l_linenumber", "equal")
+
+
+def multimodal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page as a text part (its url) and an image part (a data URI of its bytes)."""
+    from ..operators.prompts import image_part_from_binary, text_part
+
+    pages = S.table(spark, sf_dir, "pages")
+    parts = F.array(text_part(F.col("url")), image_part_from_binary(F.col("html").cast("binary")))
+    return pages.select("page_id", F.posexplode(parts).alias("pos", "p")).select(
+        "page_id", "pos", F.col("p.type").alias("type"), F.col("p.text").alias("text"), F.col("p.image_url").alias("image_url")
+    )
+
+
 def judge_verdict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge replies derived from lineitem, parsed to yes/no."""
     li = S.table(spark, sf_dir, "lineitem")
@@ -437,6 +495,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "leaderboard": leaderboard,
         "leaderboard_markdown": leaderboard_markdown,
         "exact_match_nullsafe": exact_match_nullsafe,
+        "eval_run_metrics": eval_run_metrics,
+        "eval_run_leaderboard": eval_run_leaderboard,
+        "judge_equality": judge_equality,
+        "multimodal_parts": multimodal_parts,
         "mcq_prompt_4": mcq_prompt_4,
         "typed_prompt": typed_prompt_q,
         "type_filter": type_filter,

@@ -654,8 +654,67 @@ UNION ALL SELECT eval_name, model_name, 5, lpad(CAST(item_id AS VARCHAR), 20, '0
 UNION ALL SELECT eval_name, model_name, 6, '', '', {lit(REPORT_TAIL)} FROM groups"""
 
 
+def _e2e_scored() -> str:
+    mm_prompt = mcq_prompt("question", ["option_a", "option_b", "option_c", "option_d"])
+    ex_prompt = typed_prompt("type", "question", "option_a", "option_b", "option_c")
+    ma = "'Reasoning.' || chr(10) || 'အဖြေ: (' || substr('ကခဂဃ', CAST(1 + n % 4 AS INTEGER), 1) || ')'"
+    mb = "CASE n % 4 WHEN 0 THEN '**အဖြေ: မှန်**' WHEN 1 THEN 'အဖြေ: Brand#3' WHEN 2 THEN '$အဖြေ: ဂ$' ELSE 'no answer' END"
+    return f"""{MMLU_ITEMS},
+{EXAM_ITEMS},
+{subject_values()},
+models(model_name) AS (VALUES ('ma'), ('mb')),
+mp AS (SELECT item_id, sample_id, answer, length({mm_prompt}) AS n FROM mmlu_items),
+ep AS (SELECT item_id, type, answer, length({ex_prompt}) AS n FROM exam_items WHERE type IN ('MCQ', 'FIB', 'TOF')),
+mr AS (
+  SELECT m.model_name, p.sample_id, p.answer,
+    {normalize_response(f"CASE m.model_name WHEN 'ma' THEN {ma} ELSE {mb} END")} AS t
+  FROM mp p CROSS JOIN models m),
+er AS (
+  SELECT m.model_name, p.type, p.answer,
+    {normalize_response(f"CASE m.model_name WHEN 'ma' THEN {ma} ELSE {mb} END")} AS t
+  FROM ep p CROSS JOIN models m),
+ms AS (
+  SELECT model_name, coalesce(s.category, 'other') AS cat, {exact(mcq4('t'), 'answer')} AS score
+  FROM mr LEFT JOIN subjects s ON split_part(mr.sample_id, '/', 1) = s.subject),
+es AS (SELECT model_name, type, {exact(by_type('type', 't', 'answer'), 'answer')} AS score FROM er),
+long AS (
+  SELECT 'mmlu_lite' AS eval_name, model_name, cat AS metric, score AS value FROM ms
+  UNION ALL SELECT 'mmlu_lite', model_name, 'score', score FROM ms
+  UNION ALL SELECT 'mg12l', model_name, type, score FROM es
+  UNION ALL SELECT 'mg12l', model_name, 'score', score FROM es),
+agg AS (SELECT eval_name, model_name, metric, avg(value) AS m, stddev_pop(value) AS s FROM long GROUP BY ALL)"""
+
+
+def eval_run_metrics() -> str:
+    return f"""WITH {_e2e_scored()}
+SELECT eval_name, model_name, metric, round(m, 9) AS value FROM agg
+UNION ALL SELECT eval_name, model_name, metric || ':std', round(s, 9) FROM agg"""
+
+
+def eval_run_leaderboard() -> str:
+    return f"""WITH {_e2e_scored()}
+SELECT model_name,
+  round(max(CASE WHEN eval_name = 'mg12l' AND metric = 'score' THEN m END), 9) AS mg12l,
+  round(max(CASE WHEN eval_name = 'mmlu_lite' AND metric = 'score' THEN m END), 9) AS mmlu_lite
+FROM agg GROUP BY model_name"""
+
+
+def judge_equality() -> str:
+    return f"""WITH {exam_scored(['MCQ', 'FIB', 'TOF'])}
+SELECT l_orderkey, l_linenumber, length({judge_prompt('extracted', 'answer')}) % 3 = 0 AS equal FROM scored"""
+
+
+def multimodal_parts() -> str:
+    return """SELECT page_id, 0 AS pos, 'text' AS type, url AS text, CAST(NULL AS VARCHAR) AS image_url FROM pages
+UNION ALL SELECT page_id, 1, 'image_url', CAST(NULL AS VARCHAR), 'data:image/png;base64,' || to_base64(encode(html)) FROM pages"""
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "eval_run_metrics": eval_run_metrics(),
+        "eval_run_leaderboard": eval_run_leaderboard(),
+        "judge_equality": judge_equality(),
+        "multimodal_parts": multimodal_parts(),
         "eval_scorecard": eval_scorecard(),
         "category_metrics": category_metrics(),
         "metric_stats_override": metric_stats_override(),
