@@ -90,6 +90,7 @@ def run_distillation(
     formatter: Callable[[DataFrame], Column] | Column = simple_prompt,
     results_path: str | None = None,
     output_path: str | None = None,
+    output_mode: str = "errorifexists",
     run_id: str = "default",
     overwrite: bool = False,
     n_chunks: int = 1,
@@ -150,7 +151,7 @@ def run_distillation(
         .drop("_key", "key", "_new")
     )
     if output_path:
-        final.write.mode("errorifexists").parquet(output_path)
+        final.write.mode(output_mode).parquet(output_path)
         final = spark.read.parquet(output_path)
 
     stats = distil_stats(keyed, mine, output_column)

@@ -88,12 +88,18 @@ def report_lines(metrics_long: DataFrame, examples: DataFrame, order_col: str =
     return head.unionByName(table_open).unionByName(table_rows).unionByName(table_close).unionByName(ex_head).unionByName(ex).unionByName(tail)
 
 
-def write_reports(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eval_name", "model_name")) -> None:
-    """One text folder per (eval, model); lines sorted inside each task."""
+def write_reports(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eval_name", "model_name"), num_partitions: int | None = None) -> None:
+    """One text folder per (eval, model), lines in report order.
+
+    Range partitioning on the full sort key splits a large group over many
+    tasks (a group is never forced into one task); part files then follow the
+    ranges, so reading a folder's parts in name order gives the report order.
+    """
     g = list(group_cols)
+    order = [*g, "section", "ord", "sub"]
+    parts = lines.repartitionByRange(num_partitions, *order) if num_partitions else lines.repartitionByRange(*order)
     (
-        lines.repartition(*[F.col(c) for c in g])
-        .sortWithinPartitions(*g, "section", "ord", "sub")
+        parts.sortWithinPartitions(*order)
         .select(*g, F.col("line").alias("value"))
         .write.mode("append")
         .partitionBy(*g)
