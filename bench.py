@@ -32,6 +32,7 @@ HEADLINE = [
     "distil_merge",
     "report_rows",
     "normalize_response",
+    "eval_run_metrics",
 ]
 
 

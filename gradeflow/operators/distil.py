@@ -113,9 +113,14 @@ def run_distillation(
     prompt = formatter(keyed) if callable(formatter) else formatter
     todo = pending_rows(keyed, output_column).join(done_keys(spark, results_path, run_id), F.col("_key") == F.col("key"), "left_anti")
     todo = todo.select(F.col("_key").alias("key"), prompt.alias("_prompt"))
-    # Snapshot the work list once: later appends must not change it mid-run.
+    if not key_col:
+        # Content keys: equal rows (possibly a third of the table) share one call.
+        # The de-duplication aggregates map-side first, so a hot key stays cheap.
+        todo = todo.dropDuplicates(["key"])
+    # Snapshot the work list once (later appends must not change it mid-run),
+    # partitioned by chunk so each chunk's job reads only its own files.
     todo_path = scratch_path(spark, "distil_todo")
-    todo.withColumn("_chunk", F.pmod(F.hash("key"), F.lit(n_chunks))).write.parquet(todo_path)
+    todo.withColumn("_chunk", F.pmod(F.hash("key"), F.lit(n_chunks))).write.partitionBy("_chunk").parquet(todo_path)
     todo = spark.read.parquet(todo_path)
 
     empty = todo.filter(F.col("_prompt") == "").select(
@@ -162,17 +167,25 @@ def run_distillation(
 
 
 def distil_stats(keyed: DataFrame, mine: DataFrame, output_column: str) -> DataFrame:
-    """total_rows, processed, errors, skipped, calls of one invocation.
+    """total_rows, processed, errors, skipped (per input row) and calls (per model call).
 
-    One aggregate over input rows left-joined (on the key) to this call's results.
+    Input rows left-joined on the key to this call's results, unioned with the
+    results' attempt counts, then one aggregate.
     """
-    res = mine.select(F.col("key").alias("_rk"), F.col("error").alias("_err"), F.col("attempts").alias("_att"))
-    joined = keyed.select("_key").join(res, F.col("_key") == F.col("_rk"), "left")
-    return joined.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("_rk").isNotNull() & F.col("_err").isNull()).alias("processed"),
-        F.count_if(F.col("_err").isNotNull()).alias("errors"),
-        F.count_if(F.col("_rk").isNull()).alias("skipped"),
+    res = mine.select(F.col("key").alias("_rk"), F.col("error").alias("_err"))
+    per_row = keyed.select("_key").join(res, F.col("_key") == F.col("_rk"), "left").select(
+        F.lit(True).alias("_row"), "_rk", "_err", F.lit(None).cast("int").alias("_att")
+    )
+    per_call = mine.select(
+        F.lit(False).alias("_row"), F.lit(None).cast("string").alias("_rk"), F.lit(None).cast("string").alias("_err"), F.col("attempts").alias("_att")
+    )
+    both = per_row.unionByName(per_call)
+    row = F.col("_row")
+    return both.agg(
+        F.count_if(row).alias("total_rows"),
+        F.count_if(row & F.col("_rk").isNotNull() & F.col("_err").isNull()).alias("processed"),
+        F.count_if(row & F.col("_err").isNotNull()).alias("errors"),
+        F.count_if(row & F.col("_rk").isNull()).alias("skipped"),
         F.coalesce(F.sum("_att"), F.lit(0)).cast("bigint").alias("calls"),
     )
 

@@ -66,3 +66,13 @@ def test_sft_jsonl_roundtrip_keeps_burmese(spark):
     assert "မြန်မာ" in text and "\\u" not in text
     back = IO.read_sft_jsonl(spark, path).collect()
     assert back[0]["messages"] == acc.collect()[0]["messages"]
+
+
+def test_large_sample_path_equals_top_n(spark):
+    from gradeflow.operators.sample import sample_fixed
+
+    docs = S.table(spark, SF_SMALL, "documents").select("doc_id")
+    for n in (1, 37, 150, 10_000):
+        small = sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3).collect())
+        big = sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3, top_n_limit=0).collect())
+        assert small == big

@@ -106,3 +106,11 @@ def test_csv_sink_keeps_spaces_and_newlines(spark):
     back = {r["k"]: r for r in IO.read_csv(spark, path, ["k", "a", "b", "c"]).collect()}
     assert back["1"]["a"] == "a\nb" and back["1"]["b"] == "  " and back["1"]["c"] == 'q"q'
     assert back["2"]["a"] is None and back["2"]["b"] is None and back["2"]["c"] is None
+
+
+def test_content_keys_share_one_call(spark):
+    rows = [("same text", None)] * 30 + [("other", None)]
+    df = spark.createDataFrame(rows, "input string, output string")
+    r = run_distillation(df, length_chat, key_col=None, policy=CallPolicy(max_attempts=1, backoff_base=0))
+    s = r.stats.collect()[0]
+    assert s["calls"] == 2 and r.final.filter(F.col("output").startswith("reply")).count() == 31
