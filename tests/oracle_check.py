@@ -28,13 +28,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
@@ -66,10 +70,16 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
             results[name] = f"rows-only ({len(sdf)} rows)"
             continue
         try:
-            ddf = con.sql(sql[name]).df()
+            rel = con.sql(sql[name])
+            dtypes = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+            ddf = rel.df()
         except Exception as e:  # noqa: BLE001
             results[name] = f"DUCKDB ERROR {str(e)[:300]}"
             continue
+        stypes = {f.name: f.dataType.simpleString() for f in qs[name](spark, sf_dir).schema.fields} if EXACT else dtypes
+        if stypes != dtypes:
+            results[name] = f"TYPES {sorted(set(stypes.items()) ^ set(dtypes.items()))}"
+            continue
         if sorted(sdf.columns) != sorted(ddf.columns):
             results[name] = f"COLUMNS {sorted(sdf.columns)} vs {sorted(ddf.columns)}"
             continue
