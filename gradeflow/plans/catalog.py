@@ -191,7 +191,7 @@ def type_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as a user message after a system message, one row per message."""
-    docs = S.table(spark, sf_dir, "documents")
+    docs = S.spread(S.table(spark, sf_dir, "documents").select("doc_id", "text"))
     packed = docs.select("doc_id", pack_messages(F.col("text"), system=SYSTEM_MESSAGE).alias("m"))
     return packed.select("doc_id", F.posexplode("m").alias("pos", "msg")).select(
         "doc_id", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content")
@@ -216,7 +216,7 @@ def convo_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = S.table(spark, sf_dir, "conversations")
+    conv = S.spread(S.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     return conv.select("conv_id", "turn", message_html(F.col("role"), F.col("text")).alias("html"))
 
 
@@ -262,7 +262,7 @@ def multimodal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page as a text part (its url) and an image part (a data URI of its bytes)."""
     from ..operators.prompts import image_part_from_binary, text_part
 
-    pages = S.table(spark, sf_dir, "pages")
+    pages = S.spread(S.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     parts = F.array(text_part(F.col("url")), image_part_from_binary(F.col("html").cast("binary")))
     return pages.select("page_id", F.posexplode(parts).alias("pos", "p")).select(
         "page_id", "pos", F.col("p.type").alias("type"), F.col("p.text").alias("text"), F.col("p.image_url").alias("image_url")
@@ -271,7 +271,7 @@ def multimodal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judge_verdict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge replies derived from lineitem, parsed to yes/no."""
-    li = S.table(spark, sf_dir, "lineitem")
+    li = S.spread(S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
     reply = (
         F.when(F.col("l_linenumber") % 4 == 0, F.lit("Yes"))
         .when(F.col("l_linenumber") % 4 == 1, F.lit(" yes\n"))
@@ -286,7 +286,7 @@ def judge_verdict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalize_response_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = S.table(spark, sf_dir, "documents").select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
     conv = S.table(spark, sf_dir, "conversations").select(F.lit("conv").alias("src"), F.col("conv_id").alias("id"), "turn", "text")
-    both = docs.unionByName(conv)
+    both = S.spread(docs.unionByName(conv))
     return both.select("src", "id", "turn", normalize_response(F.col("text")).alias("normalized"))
 
 
@@ -316,7 +316,7 @@ def answer_extract_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def english_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = S.table(spark, sf_dir, "lineitem")
+    li = S.spread(S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
     letter = F.substring(F.lit("ABCD"), (F.col("l_partkey") % 4 + 1).cast("int"), 1)
     r = (
         F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("So the Answer: $"), letter, F.lit("$")))

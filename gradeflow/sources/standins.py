@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the input has fewer splits.
+
+    A small file with few row groups gives a scan of a few tasks, and every
+    regex after it would run on those few cores. Large inputs have far more
+    splits than cores, so this never fires at scale.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _pick(values, index_col):
     expr = None
     for i, v in enumerate(values):
@@ -82,7 +93,8 @@ def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.concat(F.lit("step\nအဖြေ: (Brand#"), (q % 5).cast("string"), F.lit(")")))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    raw = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
+    return raw.select(
         F.col("l_orderkey"),
         F.col("l_linenumber"),
         F.concat(F.lit("m"), (F.col("l_suppkey") % 4).cast("string")).alias("model_name"),
@@ -95,7 +107,7 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary rows with gaps (null, '' and ' ') from ``part``."""
     k = F.col("p_partkey")
     null = F.lit(None).cast("string")
-    return table(spark, sf_dir, "part").select(
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")).select(
         k.alias("row_key"),
         F.substring(F.col("p_name"), 1, 1).alias("alphabet"),
         F.col("p_name").alias("word"),
@@ -110,7 +122,7 @@ def distil_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distillation input (instruction, input, output) from ``documents``."""
     k = F.col("doc_id")
     null = F.lit(None).cast("string")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).select(
         k.alias("row_key"),
         F.col("text").alias("instruction"),
         F.when(k % 4 == 0, null).when(k % 4 == 1, F.lit("  ")).otherwise(F.col("source")).alias("input"),
