@@ -120,8 +120,10 @@ def run_distillation(
     # Snapshot the work list once (later appends must not change it mid-run),
     # partitioned by chunk so each chunk's job reads only its own files.
     todo_path = scratch_path(spark, "distil_todo")
-    todo.withColumn("_chunk", F.pmod(F.hash("key"), F.lit(n_chunks))).write.partitionBy("_chunk").parquet(todo_path)
-    todo = spark.read.parquet(todo_path)
+    todo = todo.withColumn("_chunk", F.pmod(F.hash("key"), F.lit(n_chunks)))
+    todo.write.partitionBy("_chunk").parquet(todo_path)
+    # Explicit schema: an empty work list leaves no partition folders to infer from.
+    todo = spark.read.schema(todo.schema).parquet(todo_path)
 
     empty = todo.filter(F.col("_prompt") == "").select(
         "key", F.lit(None).cast("string").alias("output"), F.lit(EMPTY_PROMPT_ERROR).alias("error"), F.lit(0).alias("attempts")
