@@ -1,7 +1,7 @@
 """The model call: the only Python boundary in the engine.
 
 ``batch_chat`` sends each row's message list to a user ``chat`` callable inside
-``mapInPandas`` (Arrow batches). Spark tasks give the parallelism; a thread pool
+``mapInArrow`` (Arrow record batches; key columns pass through unconverted). Spark tasks give the parallelism; a thread pool
 inside a task overlaps I/O-bound calls. Retries are bounded: after
 ``max_attempts`` the row carries the error instead of a response, so one bad row
 never stalls a job. The output must be materialised before it feeds more than
@@ -80,14 +80,10 @@ class CallPolicy:
 
 
 def _as_messages(value) -> list[dict]:
+    """Arrow list<struct> value as ``[{role, content, ...}]`` without null fields."""
     if value is None:
         return []
-    out = []
-    for m in value:
-        if hasattr(m, "asDict"):
-            m = m.asDict()
-        out.append({k: v for k, v in dict(m).items() if v is not None})
-    return out
+    return [{k: v for k, v in m.items() if v is not None} for m in value]
 
 
 def batch_chat(
@@ -133,27 +129,29 @@ def batch_chat(
     )
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
         try:
-            for pdf in batches:
-                msgs = [_as_messages(v) for v in pdf[messages_col]]
+            for batch in batches:
+                msgs = [_as_messages(v) for v in batch.column(messages_col).to_pylist()]
                 if isinstance(chat, dict):
-                    fns = [chat[name] for name in pdf[model_col]]
+                    fns = [chat[name] for name in batch.column(model_col).to_pylist()]
                 else:
                     fns = [chat] * len(msgs)
                 if pool is None:
                     results = [policy.call(f, m) for f, m in zip(fns, msgs)]
                 else:
                     results = list(pool.map(lambda fm: policy.call(*fm), zip(fns, msgs)))
-                out = pdf[keys].copy()
-                out["response"] = pd.Series([r[0] for r in results], index=pdf.index, dtype=object)
-                out["error"] = pd.Series([r[1] for r in results], index=pdf.index, dtype=object)
-                out["attempts"] = pd.Series([r[2] for r in results], index=pdf.index, dtype="int32")
-                yield out
+                # Key columns pass through as Arrow arrays, never converted to Python.
+                arrays = [batch.column(k) for k in keys] + [
+                    pa.array([r[0] for r in results], pa.string()),
+                    pa.array([r[1] for r in results], pa.string()),
+                    pa.array([r[2] for r in results], pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "response", "error", "attempts"])
         finally:
             if pool is not None:
                 pool.shutdown()
 
-    return src.mapInPandas(run, out_schema)
+    return src.mapInArrow(run, out_schema)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import DEFAULT_EXAM_TYPES, EVAL_NAMES
+from ..functions.text import normalize_response
 from ..operators.aggregate import aggregate_results, leaderboard
 from ..operators.evaluate import score_exam, score_mmlu
 from ..operators.grade import grade_with_model
@@ -119,7 +120,7 @@ def run(
             grades = None
             if grader is not None:
                 short = responses.join(items.filter(F.col("type") == "SHORT_QNA"), "item_id")
-                short = short.withColumn("response_text", F.col("response"))
+                short = short.withColumn("response_text", normalize_response(F.col("response")))
                 grades = materialize(
                     grade_with_model(short, grader, ["eval_name", "model_name", "item_id"], policy=policy), "grades"
                 )

@@ -48,3 +48,33 @@ def test_run_two_models_two_evals(spark):
 
 def test_run_without_known_evals_returns_none(spark):
     assert run({"a": always_a}, {"nope": None}) is None
+
+
+def test_headline_prefers_f1_and_error_summary(spark):
+    from gradeflow.operators.aggregate import headline
+    from gradeflow.operators.distil import error_summary
+
+    m = spark.createDataFrame(
+        [("e", "a", "score", 0.5), ("e", "a", "f1_score", 0.7), ("e", "b", "score", 0.25)],
+        "eval_name string, model_name string, metric string, value double",
+    )
+    got = {r["model_name"]: r["metric"] for r in headline(m).collect()}
+    assert got == {"a": 0.7, "b": 0.25}
+    errs = spark.createDataFrame([(str(i), "x") for i in range(25)], "key string, error string")
+    head, total = error_summary(errs, 10)
+    assert head.count() == 10 and total.collect()[0]["total_errors"] == 25
+
+
+def test_fill_missing_and_short_qna_json(spark):
+    from gradeflow.operators.evaluate import score_exam
+    from gradeflow.operators.generate import fill_missing
+
+    df = spark.createDataFrame([(None, "x")], "word string, pos string")
+    assert fill_missing(df, ["word", "origin"]).collect()[0]["word"] == ""
+    g = "Content Relevancy: 3\nRegister Appropriateness: 0\nGrammatical and Syntactic Competence: 5"
+    rows = spark.createDataFrame([("SHORT_QNA", "ans", "resp", g)], "type string, answer string, response string, g string")
+    r = score_exam(rows, grade_output_col="g").collect()[0]
+    assert r["score"] == (1.0 + 0.0 + 1.0) / 3.0 and r["grade_valid"] is True
+    import json
+
+    assert json.loads(r["extracted"])["Register Appropriateness"] == 0.0
