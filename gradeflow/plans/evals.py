@@ -24,6 +24,7 @@ from ..operators.inference import CallPolicy, batch_chat
 from ..operators.prompts import conversation, filter_types, mcq_prompt, pack_messages, typed_prompt
 from ..operators.report import example_html, markdown_lines, report_lines, write_reports
 from ..operators.sample import sample_capped, sample_fixed
+from ..session import scratch_path
 from ..sources.io import materialize, write_metrics
 
 Chat = Callable[[list[dict]], str]
@@ -46,11 +47,43 @@ def with_models(items: DataFrame, models: Sequence[str], eval_name: str) -> Data
     )
 
 
-def call_models(requests: DataFrame, samplers: dict[str, Chat], policy: CallPolicy | None = None, concurrency: int = 1, num_partitions: int | None = None) -> DataFrame:
+def call_models(
+    requests: DataFrame,
+    samplers: dict[str, Chat],
+    policy: CallPolicy | None = None,
+    concurrency: int = 1,
+    num_partitions: int | None = None,
+    responses_path: str | None = None,
+    n_chunks: int = 1,
+) -> DataFrame:
+    """Model replies for (eval, model, item) requests, appended chunk by chunk.
+
+    With a ``responses_path`` of an earlier (interrupted) run, pairs that already
+    have a reply are not called again (``left_anti``), so a crash loses at most
+    the chunk in flight; failed calls are retried on the next run.
+    """
     keys = ["eval_name", "model_name", "item_id"]
+    spark = requests.sparkSession
+    path = responses_path or scratch_path(spark, "responses")
     calls = requests.select(*keys, F.col("prompt_messages").alias("messages"))
-    out = batch_chat(calls, samplers, keys, model_col="model_name", policy=policy, concurrency=concurrency, num_partitions=num_partitions)
-    return materialize(out, "responses")
+    resumed = True
+    try:
+        done = spark.read.parquet(path).filter(F.col("error").isNull()).select(*keys).distinct()
+        calls = calls.join(done, keys, "left_anti")
+    except Exception:  # noqa: BLE001 - first run: nothing answered yet
+        resumed = False
+    for chunk in range(n_chunks):
+        part = calls.filter(F.pmod(F.hash(*keys), F.lit(n_chunks)) == chunk) if n_chunks > 1 else calls
+        out = batch_chat(part, samplers, keys, model_col="model_name", policy=policy, concurrency=concurrency, num_partitions=num_partitions)
+        out.write.mode("append").parquet(path)
+    answered = spark.read.parquet(path)
+    if not resumed:
+        return answered  # chunks are disjoint: one reply per pair already
+    # After a resume: one reply per pair, a good one if any run produced it.
+    best = answered.groupBy(*keys).agg(
+        F.max_by(F.struct("response", "error", "attempts"), F.col("error").isNull()).alias("r")
+    )
+    return best.select(*keys, "r.response", "r.error", "r.attempts")
 
 
 def finish_examples(scored: DataFrame) -> DataFrame:
@@ -93,8 +126,13 @@ def run(
     policy: CallPolicy | None = None,
     concurrency: int = 1,
     num_partitions: int | None = None,
+    n_chunks: int = 1,
 ) -> RunResult | None:
-    """Evaluate every model on every known eval; write metrics and reports."""
+    """Evaluate every model on every known eval; write metrics and reports.
+
+    With ``out_root`` the replies are kept under ``out_root/responses`` and a
+    rerun with the same ``out_root`` only calls what is still missing.
+    """
     names = []
     for name in items_by_eval:
         if name in EVAL_NAMES:
@@ -114,7 +152,10 @@ def run(
         else:
             items = sample_fixed(items, "item_id", n, seed)
             prompts = mmlu_prompts(items)
-        responses = call_models(with_models(prompts, models, name), samplers, policy, concurrency, num_partitions)
+        responses_path = f"{out_root}/responses/{name}" if out_root else None
+        responses = call_models(
+            with_models(prompts, models, name), samplers, policy, concurrency, num_partitions, responses_path, n_chunks
+        )
         responses = responses.select("eval_name", "model_name", "item_id", "response", "error")
         if name == "mg12l":
             grades = None

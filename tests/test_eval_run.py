@@ -78,3 +78,27 @@ def test_fill_missing_and_short_qna_json(spark):
     import json
 
     assert json.loads(r["extracted"])["Register Appropriateness"] == 0.0
+
+
+def flaky_mcq(messages):
+    n = len(messages[-1]["content"])
+    if n % 3 == 0:
+        raise RuntimeError("overloaded")
+    return "အဖြေ: က"
+
+
+def test_run_resumes_model_calls(spark):
+    from gradeflow.operators.inference import CallPolicy
+
+    items = {"mmlu_lite": S.mmlu_items(spark, SF_SMALL)}
+    root = scratch_path(spark, "resume")
+    pol = CallPolicy(max_attempts=1, backoff_base=0)
+    r1 = run({"a": flaky_mcq}, items, out_root=root, policy=pol, n_chunks=3)
+    first = spark.read.parquet(f"{root}/responses/mmlu_lite")
+    failed = first.filter(F.col("error").isNotNull()).count()
+    assert failed > 0 and first.count() == S.mmlu_items(spark, SF_SMALL).count()
+    r2 = run({"a": always_a}, items, out_root=root, policy=pol)
+    both = spark.read.parquet(f"{root}/responses/mmlu_lite")
+    assert both.count() == first.count() + failed  # only the failed pairs were called again
+    assert r2.examples.filter(F.col("error").isNotNull()).count() == 0
+    assert r1.examples.count() == r2.examples.count()
