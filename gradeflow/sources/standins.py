@@ -14,8 +14,22 @@ from ..fixed_values import FALSE_WORD, QUESTION_TYPES, TRUE_WORD
 MMLU_SUBJECTS = ["astronomy", "philosophy", "sociology", "virology", "unknown_subject"]
 
 
+# Declared schemas of the driver tables this package reads (only the columns it
+# uses): no schema inference pass, and parquet reads just these columns.
+TABLE_SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double",
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "pages": "page_id bigint, url string, html string",
+    "labels": "doc_id bigint, quality int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
