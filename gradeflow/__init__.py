@@ -9,12 +9,20 @@ Python boundary. Main entry points:
 * ``gradeflow.streaming`` — the same over arriving files
 """
 
-from .operators.aggregate import aggregate_results, leaderboard
-from .operators.distil import run_distillation
-from .operators.evaluate import score_exam, score_mmlu
-from .operators.generate import generate
-from .operators.inference import CallPolicy, batch_chat
-from .plans.evals import run
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Model-call stages run gradeflow code in Python workers. Pickling the package
+# by value ships that code inside each task, so executors need nothing installed.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from .operators.aggregate import aggregate_results, leaderboard  # noqa: E402
+from .operators.distil import run_distillation  # noqa: E402
+from .operators.evaluate import score_exam, score_mmlu  # noqa: E402
+from .operators.generate import generate  # noqa: E402
+from .operators.inference import CallPolicy, batch_chat  # noqa: E402
+from .plans.evals import run  # noqa: E402
 
 __all__ = [
     "CallPolicy",
