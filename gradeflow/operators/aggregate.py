@@ -85,12 +85,14 @@ def headline(metrics_long: DataFrame, group_cols: Sequence[str] = ("eval_name",
     """``f1_score`` if present, else ``score`` per (eval, model)."""
     g = list(group_cols)
     m = metrics_long.filter(F.col("metric").isin("f1_score", "score"))
-    return m.groupBy(*g).agg(
-        F.coalesce(
-            F.max(F.when(F.col("metric") == "f1_score", F.col("value"))),
-            F.max(F.when(F.col("metric") == "score", F.col("value"))),
-        ).alias("metric")
+    value = F.coalesce(
+        F.max(F.when(F.col("metric") == "f1_score", F.col("value"))),
+        F.max(F.when(F.col("metric") == "score", F.col("value"))),
     )
+    # A pivot cell must have one source row: duplicates fail the query in-plan.
+    dup = (F.count_if(F.col("metric") == "score") > 1) | (F.count_if(F.col("metric") == "f1_score") > 1)
+    message = F.concat(F.lit("duplicate headline entries for "), F.concat_ws("/", *[F.col(c).cast("string") for c in g]))
+    return m.groupBy(*g).agg(F.when(dup, F.raise_error(message).cast("double")).otherwise(value).alias("metric"))
 
 
 def leaderboard(metrics_long: DataFrame, eval_names: Sequence[str], index: str = "model_name", column: str = "eval_name") -> DataFrame:

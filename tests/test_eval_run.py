@@ -102,3 +102,15 @@ def test_run_resumes_model_calls(spark):
     assert both.count() == first.count() + failed  # only the failed pairs were called again
     assert r2.examples.filter(F.col("error").isNotNull()).count() == 0
     assert r1.examples.count() == r2.examples.count()
+
+
+def test_leaderboard_rejects_duplicates(spark):
+    import pytest
+
+    from gradeflow.operators.aggregate import leaderboard
+
+    m = spark.createDataFrame(
+        [("e", "a", "score", 0.5), ("e", "a", "score", 0.7)], "eval_name string, model_name string, metric string, value double"
+    )
+    with pytest.raises(Exception, match="duplicate headline"):
+        leaderboard(m, ["e"]).collect()
