@@ -182,3 +182,28 @@ def test_extraction_matches_python_re(spark, texts):
         assert r["mcq"] == (py_norm_answer(m) if m is not None else None), t
         assert r["tof"] == py_search(PY_TOF, pn), t
         assert r["fib"] == py_search(PY_FIB, pn), t
+
+
+ANSWERS = ["A", "B", "C", "D", None, "x", "Brand#1", "မှန်"]
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.lists(st.sampled_from(ALPHABET + ["x", "Brand#1", "a", "d"]), max_size=12).map("".join), st.sampled_from(ANSWERS)),
+        min_size=20,
+        max_size=20,
+    )
+)
+def test_exam_mcq_matches_python_re(spark, rows):
+    """Constant patterns for common answers == the per-row pattern == Python ``re``."""
+    df = spark.createDataFrame(rows, "t string, a string")
+    n = TX.normalize_response(F.col("t"))
+    got = df.select("t", "a", X.extract_exam_mcq(n, F.col("a")).alias("x")).collect()
+    head_tail = MCQ_TAIL[: MCQ_TAIL.index("[ဃ])") + len("[ဃ]")]
+    for r in got:
+        answer = "None" if r["a"] is None else r["a"]
+        pattern = "(?i)" + ANSWER_HEAD + head_tail + "|" + re.escape(answer) + ")(?:\\))?"
+        m = py_search(pattern, py_normalize(r["t"]))
+        want = (py_norm_answer(m) if m else m) if m is not None else None
+        assert r["x"] == want, (r["t"], r["a"])
