@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import DEFAULT_EXAM_TYPES
 from ..functions import extract as X
-from ..functions.score import exact_match, parse_rubric, rubric_metrics, rubric_score
+from ..functions.score import parse_rubric, rubric_metrics, rubric_score
 from ..functions.text import judge_verdict, message_html, normalize_response
 from ..operators.aggregate import aggregate_results, leaderboard as pivot_board
 from ..operators.distil import run_distillation
