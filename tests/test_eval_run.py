@@ -114,3 +114,21 @@ def test_leaderboard_rejects_duplicates(spark):
     )
     with pytest.raises(Exception, match="duplicate headline"):
         leaderboard(m, ["e"]).collect()
+
+
+def test_report_files_are_in_order(spark):
+    import os
+
+    from gradeflow.operators.report import REPORT_HEAD, REPORT_TAIL
+
+    items = {"mmlu_lite": S.mmlu_items(spark, SF_SMALL)}
+    root = scratch_path(spark, "report_order")
+    run({"a": always_a}, items, out_root=root, examples=40)
+    folder = f"{root}/reports/run_mode=full/eval_name=mmlu_lite/model_name=a"
+    lines = []
+    for name in sorted(f for f in os.listdir(folder) if f.startswith("part-")):
+        with open(os.path.join(folder, name), encoding="utf-8") as fh:
+            lines += fh.read().splitlines()
+    assert lines[0] == REPORT_HEAD and lines[-1] == REPORT_TAIL
+    assert lines.index("<h1>Examples</h1>") < len(lines) - 41
+    assert sum(1 for x in lines if x.endswith("<hr>")) == 40
