@@ -148,6 +148,26 @@ def template_table(spark: SparkSession, groups: Sequence[Sequence[Sequence[dict]
     return spark.createDataFrame(rows, schema)
 
 
+def slot_names_col(text) -> Column:
+    """All ``{{name}}`` slot names in a text column, in order (duplicates kept)."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(java_regex("\\{\\{(.*?)\\}\\}")), 1)
+
+
+def corpus_variables(df: DataFrame, text_col: str, group_col: str) -> DataFrame:
+    """Slot names used per group of texts: ``(group, n_with_slots, vars)``, vars sorted.
+
+    Names are exploded first, so the per-group set holds distinct names only (its
+    size is the slot vocabulary, not the number of rows) and is merged map-side.
+    """
+    per_row = df.select(group_col, F.array_distinct(slot_names_col(text_col)).alias("_v"))
+    names = per_row.select(group_col, F.posexplode_outer("_v").alias("_pos", "_name"))
+    return names.groupBy(group_col).agg(
+        F.count_if(F.col("_pos") == 0).alias("n_with_slots"),
+        F.array_join(F.array_sort(F.collect_set("_name")), ",").alias("vars"),
+    )
+
+
 def template_variables(templates: DataFrame) -> DataFrame:
     """Slot names per group from a template table, with Spark expressions."""
     pattern = java_regex("\\{\\{(.*?)\\}\\}")

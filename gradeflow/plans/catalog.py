@@ -397,6 +397,14 @@ def _explode_messages(df: DataFrame) -> DataFrame:
     )
 
 
+def template_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Template slot discovery over whole document texts, per source."""
+    from ..operators.generate import corpus_variables
+
+    docs = S.spread(S.table(spark, sf_dir, "documents").select("source", "text"))
+    return corpus_variables(docs, "text", "source")
+
+
 def template_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, _ = generate(S.dictionary(spark, sf_dir), DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
     return _explode_messages(accepted)
@@ -520,6 +528,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_graded_exam": model_graded_exam,
         "sample_fixed": sample_fixed_q,
         "debug_head": debug_head_q,
+        "template_vars": template_vars,
         "template_generate": template_generate,
         "template_rejects": template_rejects,
         "sft_jsonl_roundtrip": sft_jsonl_roundtrip,

@@ -563,6 +563,13 @@ def _templates_values() -> str:
     return f"templates(group_id, template_id, pos, role, content) AS (VALUES {', '.join(rows)})"
 
 
+def template_vars() -> str:
+    return r"""WITH r AS (SELECT source, list_distinct(regexp_extract_all(coalesce(text, ''), '\{\{(.*?)\}\}', 1)) AS v FROM documents)
+SELECT source, CAST(count(*) FILTER (WHERE len(v) > 0) AS BIGINT) AS n_with_slots,
+  array_to_string(list_sort(list_distinct(flatten(list(v)))), ',') AS vars
+FROM r GROUP BY source"""
+
+
 def template_generate() -> str:
     fills = []
     for gid, group in enumerate(DEFAULT_TEMPLATE_GROUPS):
@@ -742,6 +749,7 @@ def all_sql() -> dict[str, str]:
         "model_graded_exam": model_graded_exam(),
         "sample_fixed": sample_fixed(),
         "debug_head": debug_head(),
+        "template_vars": template_vars(),
         "template_generate": template_generate(),
         "template_rejects": template_rejects(),
         "sft_jsonl_roundtrip": template_generate(),

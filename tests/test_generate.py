@@ -76,3 +76,18 @@ def test_large_sample_path_equals_top_n(spark):
         small = sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3).collect())
         big = sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3, top_n_limit=0).collect())
         assert small == big
+
+
+def test_corpus_variables_match_python(spark):
+    import re
+
+    from gradeflow.operators.generate import corpus_variables
+
+    rows = [("s1", "Hi {{name}}, {{ age }} and {{name}}"), ("s1", "none"), ("s2", "{{a}}\n{{b}} {{x\ny}}"), ("s2", None)]
+    got = {r["source"]: (r["n_with_slots"], r["vars"]) for r in corpus_variables(spark.createDataFrame(rows, "source string, text string"), "text", "source").collect()}
+    want = {}
+    for src, text in rows:
+        names = set(re.findall(r"{{(.*?)}}", text or ""))
+        n, v = want.get(src, (0, set()))
+        want[src] = (n + (1 if names else 0), v | names)
+    assert got == {k: (n, ",".join(sorted(v))) for k, (n, v) in want.items()}
