@@ -164,6 +164,28 @@ def eval_run_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("model_name", F.round(EXAM, DIGITS).alias(EXAM), F.round(MMLU, DIGITS).alias(MMLU))
 
 
+def stream_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exam scorecard computed by Structured Streaming over response files.
+
+    Responses land as files; each micro-batch (one file) is scored against the
+    static item table and folded into running (n, sum) state per (model, metric).
+    """
+    import uuid
+
+    from ..streaming.distil_stream import score_stream
+
+    src = scratch_path(spark, "stream_responses")
+    S.model_responses(spark, sf_dir).write.parquet(src)
+    responses = spark.read.parquet(src)
+    items = filter_types(S.exam_items(spark, sf_dir), DEFAULT_EXAM_TYPES)
+    name = "stream_scorecard_" + uuid.uuid4().hex[:8]
+    q = score_stream(spark, src, responses.schema, items, name, max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.table(name).select(
+        F.lit(EXAM).alias("eval_name"), "model_name", "metric", "n", F.round(F.col("sum") / F.col("n"), DIGITS).alias("value")
+    )
+
+
 def exact_match_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-response score over all exam types (null answer + nothing extracted = 1.0)."""
     items = S.exam_items(spark, sf_dir).select("item_id", "type", "answer")
@@ -503,6 +525,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "leaderboard": leaderboard,
         "leaderboard_markdown": leaderboard_markdown,
         "exact_match_nullsafe": exact_match_nullsafe,
+        "stream_scorecard": stream_scorecard,
         "eval_run_metrics": eval_run_metrics,
         "eval_run_leaderboard": eval_run_leaderboard,
         "judge_equality": judge_equality,

@@ -345,6 +345,15 @@ UNION ALL SELECT 'mg12l', model_name, metric || ':min', round(lo, 9) FROM agg WH
 UNION ALL SELECT 'mg12l', model_name, metric || ':max', round(hi, 9) FROM agg WHERE metric IN ('MCQ', 'score')"""
 
 
+def stream_scorecard() -> str:
+    return f"""WITH {exam_scored(['MCQ', 'FIB', 'TOF'])},
+long AS (
+  SELECT model_name, type AS metric, score AS value FROM scored
+  UNION ALL SELECT model_name, 'score' AS metric, score AS value FROM scored)
+SELECT 'mg12l' AS eval_name, model_name, metric, count(*) AS n, round(sum(value) / count(*), 9) AS value
+FROM long GROUP BY model_name, metric"""
+
+
 def both_scorecards() -> str:
     return f"SELECT * FROM ({eval_scorecard()}) UNION ALL SELECT * FROM ({category_metrics()})"
 
@@ -728,6 +737,7 @@ def all_sql() -> dict[str, str]:
         "leaderboard": leaderboard(),
         "leaderboard_markdown": leaderboard_markdown(),
         "exact_match_nullsafe": exact_match_nullsafe(),
+        "stream_scorecard": stream_scorecard(),
         "mcq_prompt_4": mcq_prompt_4(),
         "typed_prompt": typed_prompt_sql(),
         "type_filter": type_filter(),
