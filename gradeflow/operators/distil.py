@@ -3,7 +3,7 @@
 Design (the toolkit rewrote one CSV every few completions):
 
 * pending = output null or blank after ``str.strip`` (a filter placed *before*
-  the model call: Catalyst does not push a filter below ``mapInPandas``);
+  the model call: Catalyst does not push a filter below a Python map stage);
 * minus keys that already have a good result of the same ``run_id`` in the
   append-only results table (``left_anti``), so a rerun only calls what is
   missing and failed rows are retried;

@@ -1,7 +1,8 @@
 """The model call: the only Python boundary in the engine.
 
 ``batch_chat`` sends each row's message list to a user ``chat`` callable inside
-``mapInArrow`` (Arrow record batches; key columns pass through unconverted). Spark tasks give the parallelism; a thread pool
+``mapInArrow`` (Arrow record batches; key columns pass through unconverted).
+Spark tasks give the parallelism; a thread pool
 inside a task overlaps I/O-bound calls. Retries are bounded: after
 ``max_attempts`` the row carries the error instead of a response, so one bad row
 never stalls a job. The output must be materialised before it feeds more than
