@@ -132,3 +132,15 @@ def test_report_files_are_in_order(spark):
     assert lines[0] == REPORT_HEAD and lines[-1] == REPORT_TAIL
     assert lines.index("<h1>Examples</h1>") < len(lines) - 41
     assert sum(1 for x in lines if x.endswith("<hr>")) == 40
+
+
+def test_empty_inputs_give_empty_results(spark):
+    from gradeflow.operators.inference import batch_chat
+    from gradeflow.operators.prompts import pack_messages
+
+    empty = spark.createDataFrame([], "k long, t string").select("k", pack_messages(F.col("t")).alias("messages"))
+    out = batch_chat(empty, always_a, ["k"])
+    assert out.count() == 0 and out.columns == ["k", "response", "error", "attempts"]
+    items = {"mmlu_lite": S.mmlu_items(spark, SF_SMALL).limit(0)}
+    res = run({"a": always_a}, items)
+    assert res.metrics.count() == 0 and res.examples.count() == 0
