@@ -22,12 +22,12 @@ from ..fixed_values import BAD_REQUEST_TEXT
 
 
 def retry_any(exc: BaseException) -> bool:
-    """Retry on any error (custom and Cohere-style samplers)."""
+    """Retry on any error."""
     return True
 
 
 def retry_rate_limit(exc: BaseException) -> bool:
-    """Retry only when the message mentions a limit (OpenAI-style sampler)."""
+    """Retry only when the error message mentions a limit (rate limiting)."""
     return "limit" in str(exc).lower()
 
 
