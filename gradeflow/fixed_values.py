@@ -53,6 +53,7 @@ TOF_TAIL = "[ \\t]*(?:\\()?(မှန်|မှား)(?:\\))?"
 FIB_TAIL = "[ \\t]*(?:\\()?(.*?)(?:\\))?$"
 ENGLISH_MCQ_PATTERN = "Answer[ \\t]*:[ \\t]*\\$?([A-D])\\$?"
 ENGLISH_FREE_PATTERN = "Answer\\s*:\\s*([^\\n]+)"
+SLOT_PATTERN = "{{(.*?)}}"  # a template variable slot
 
 # Characters Python's ``str.strip`` / ``re`` ``\s`` treat as white space.
 # Java's ``(?U)\s`` lacks U+001C..U+001F, so the class is spelled out.

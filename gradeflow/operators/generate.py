@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..fixed_values import SLOT_PATTERN
 from ..functions.extract import java_regex
 from .sample import pick_index
 
 MAX_TEMPLATES = 10_000
-SLOT_PATTERN = "{{(.*?)}}"  # Python spelling of a template slot
 VAR_NOT_FOUND = "variable not found"
 VALUE_NOT_VALID = "value not valid"
 
