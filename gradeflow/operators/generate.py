@@ -241,11 +241,21 @@ def _fill(m: Column, vars_: Column, vals: Column) -> Column:
     return F.struct(m["role"].alias("role"), content.alias("content"))
 
 
-def generate(df: DataFrame, groups=None, key_col: str = "row_key", seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def generate(
+    df: DataFrame, groups=None, key_col: str = "row_key", seed: int = 0, materialize_pairs: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): SFT records ``(row_key, group_id, template_id, messages)``
-    and rejections ``(row_key, group_id, variable, reason)``."""
+    and rejections ``(row_key, group_id, variable, reason)``.
+
+    Both come from one expansion; with ``materialize_pairs`` it is written once
+    to the checkpoint folder, so using both outputs does not expand twice.
+    """
     groups = groups or DEFAULT_TEMPLATE_GROUPS
     pairs = expand(df, groups, key_col, seed)
+    if materialize_pairs:
+        from ..sources.io import materialize
+
+        pairs = materialize(pairs, "template_pairs")
     accepted = pairs.filter(F.col("bad_variable").isNull()).select("row_key", "group_id", "template_id", "messages")
     rejected = pairs.filter(F.col("bad_variable").isNotNull()).select(
         "row_key", "group_id", F.col("bad_variable").alias("variable"), "reason"

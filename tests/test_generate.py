@@ -91,3 +91,10 @@ def test_corpus_variables_match_python(spark):
         n, v = want.get(src, (0, set()))
         want[src] = (n + (1 if names else 0), v | names)
     assert got == {k: (n, ",".join(sorted(v))) for k, (n, v) in want.items()}
+
+
+def test_materialized_pairs_give_same_split(spark):
+    d = S.dictionary(spark, SF_SMALL)
+    a1, r1 = generate(d, DEFAULT_TEMPLATE_GROUPS)
+    a2, r2 = generate(d, DEFAULT_TEMPLATE_GROUPS, materialize_pairs=True)
+    assert sorted(a1.collect()) == sorted(a2.collect()) and sorted(r1.collect()) == sorted(r2.collect())
