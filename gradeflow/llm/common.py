@@ -34,22 +34,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def spread(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Deal the rows out evenly where the caller asks for ``n`` partitions."""
-    return df.repartition(n) if n else df
-
-
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint only where the counted rows are under the bound."""
     return F.broadcast(df) if rows <= BROADCAST_IDS else df
 
 
-def per_batch(f: Callable[[pa.RecordBatch], pa.RecordBatch]):
-    """``f`` of each Arrow batch, for ``mapInArrow``."""
+def per_slice(f: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 512):
+    """``f`` of each Arrow batch in slices of so many rows, for ``mapInArrow``: what a task
+    holds beside the batch itself is bounded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield f(batch)
+            for at in range(0, batch.num_rows, rows):
+                yield f(batch.slice(at, rows))
 
     return run

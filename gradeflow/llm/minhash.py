@@ -10,12 +10,15 @@ The bands (40 of 4 values) miss a pair of similarity 0.75 with a probability of
 2.5e-7.  How the work is kept linear in hot groups, without losing a link:
 
 * documents with the same shingle set are one node from the start;
+* for each candidate node the shingles that occur in another candidate are counted.
+  A pair cannot be linked unless 7 * (the smaller count) >= 3 * (both sizes): this
+  bound parts the members of a family of copies that differ too much, before any
+  pair is made;
 * in a band shared by many nodes each node is first compared with one of them
-  only (a star); the verified links are joined to components, and star rounds
-  with other centres follow on the bands that still hold several components;
-* then every pair of nodes that share a band but not a component is compared,
-  unless the distances of both to one centre already rule the link out (Jaccard
-  distance is a metric).  Pairs inside a component cannot change the result.
+  only (a star); verified links make components, and star rounds with other centres
+  follow while the bands still hold many pairs of different components;
+* then every pair of nodes that share a band but not a component is compared.
+  Pairs inside a component cannot change the result.
 
 Cases: a null, empty or wordless text has an empty set, is linked with nothing
 and is its own component; a text of fewer than five words is one shingle;
@@ -33,16 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, small_or_shuffled, stored
+from .common import per_slice, small_or_shuffled, stored
 from .components import components
 from .shingles import mixed, shingle_sets
 
 BANDS, ROWS = 40, 4
 PERMUTATIONS = BANDS * ROWS // 2
 PERCENT = 75
-#: Signature agreement under which a pair cannot be linked: 0.2 below the threshold is
-#: 5.8 standard deviations of the mean of 160 values (a chance of 3e-9).
-LEAST_AGREEMENT = 0.55
 STAR_ROUNDS = 3
 #: So many open pairs an entry are compared at once instead of by another star round.
 PAIRS_PER_ENTRY = 8
@@ -77,44 +77,64 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = shingle_sets(batch.column("text"))
-    digests, bands, sketches = [], [], []
-    for s in sets:
-        if len(s):
-            values = signature(s)
-            digests.append(_digest(s))
-            bands.append(band_keys(values).tobytes())
-            sketches.append((values >> np.uint64(28)).astype(np.uint8).tobytes())
-        else:
-            digests.append(None), bands.append(None), sketches.append(None)
+    digests = pa.array([_digest(s) if len(s) else None for s in sets], pa.binary())
+    bands = pa.array([band_keys(signature(s)).tobytes() if len(s) else None for s in sets], pa.binary())
     n = pa.array([len(s) for s in sets], pa.int64())
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), n, pa.array(digests, pa.binary()), pa.array(bands, pa.binary()), pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), n, digests, bands], names=["doc_id", "n_shingles", "digest", "bands"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, sketch) of every document."""
+    """(doc_id, n_shingles, digest, bands) of every document."""
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(per_batch(_signed), "doc_id bigint, n_shingles bigint, digest binary, bands binary, sketch binary")
+    return slim.mapInArrow(per_slice(_signed), "doc_id bigint, n_shingles bigint, digest binary, bands binary")
 
 
 def _entries(batch: pa.RecordBatch) -> pa.RecordBatch:
     keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
-    node = np.repeat(batch.column("node").to_numpy(), BANDS)
-    n = np.repeat(batch.column("n_shingles").to_numpy(), BANDS)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node), pa.array(n.astype(np.int32))], names=["band", "node", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["band", "node"])
 
 
 def band_entries(nodes: DataFrame) -> DataFrame:
-    """(band, node, n) of the bands that several nodes share."""
-    rows = nodes.select("node", "n_shingles", "bands").mapInArrow(per_batch(_entries), "band bigint, node bigint, n int")
-    shared = rows.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("band")
-    return rows.join(shared, "band")
+    """(band, node) of the bands that several nodes share."""
+    rows = nodes.select("node", "bands").mapInArrow(per_slice(_entries), "band bigint, node bigint")
+    return rows.join(_shared(rows, "band"), "band")
 
 
-def _agreeing(batch: pa.RecordBatch) -> pa.RecordBatch:
-    width = BANDS * ROWS
-    a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, width) for c in ("sketch_a", "sketch_b"))
-    keep = (a == b).mean(axis=1) >= LEAST_AGREEMENT
-    return pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
+def _shared(rows: DataFrame, key: str, of: str = "node") -> DataFrame:
+    """The keys that several nodes (or roots) have."""
+    return rows.groupBy(key).agg(F.min(of).alias("lo"), F.max(of).alias("hi")).filter("lo < hi").select(key)
+
+
+def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+    sets = shingle_sets(batch.column("text"))
+    return pa.RecordBatch.from_arrays([pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "shingles"])
+
+
+def full_sets(docs: DataFrame, nodes: DataFrame, entries: DataFrame) -> DataFrame:
+    """(node, n, shingles) of the candidate nodes, read again from one document of each."""
+    wanted = stored(nodes.join(entries.select("node").distinct(), "node").select("node", "n_shingles", "digest", "first_id"), "wanted")
+    ids = wanted.select(F.col("first_id").alias("_id")).distinct()
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").cast("string").alias("text"))
+    texts = slim.join(small_or_shuffled(ids, wanted.count()), F.col("_doc").eqNullSafe(F.col("_id")), "left_semi").select("text")
+    sets = texts.mapInArrow(per_slice(_sets), "digest binary, shingles binary")
+    # copies of one document give the same set: any one of them serves
+    found = sets.join(wanted.select("node", "n_shingles", "digest"), "digest").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles"))
+    return stored(found, "sets")
+
+
+def _occurrences(batch: pa.RecordBatch) -> pa.RecordBatch:
+    sets = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column("shingles")]
+    # half a hash will do: a chance agreement only makes the bound weaker
+    half = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(half), pa.array(np.repeat(batch.column("node").to_numpy(), [len(s) for s in sets]))], names=["half", "node"])
+
+
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(node, n, c): a node's size, and how many of its shingles another candidate has
+    (or more: two shingles may agree by chance)."""
+    rows = sets.select("node", "shingles").mapInArrow(per_slice(_occurrences), "half int, node bigint")
+    counts = rows.join(_shared(rows, "half"), "half", "left_semi").groupBy("node").agg(F.count("*").alias("c"))
+    return sets.select("node", "n").join(counts, "node").filter(f"100 * c >= {PERCENT} * n")
 
 
 def _compared(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -126,78 +146,50 @@ def _compared(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(total, pa.int64())], names=["a", "b", "common", "total"])
 
 
-def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sets = shingle_sets(batch.column("text"))
-    return pa.RecordBatch.from_arrays([pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "shingles"])
-
-
-def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes, read again from one document of each."""
-    wanted = stored(nodes.join(wanted, "node").select("node", "digest", "first_id"), "wanted")
-    ids = wanted.select(F.col("first_id").alias("_id")).distinct()
-    rows = wanted.count()
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").cast("string").alias("text"))
-    texts = slim.join(small_or_shuffled(ids, rows), F.col("_doc").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(per_batch(_sets), "digest binary, shingles binary")
-    # copies of one document give the same set: any one of them serves
-    return stored(sets.join(wanted.select("node", "digest"), "digest").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-
-
-def _similarities(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, common, total) of the candidate pairs whose signatures do not rule a link out."""
-    pairs = pairs.select("a", "b").distinct()
-    sketch = nodes.select("node", "sketch")
-    near = (
-        pairs.join(sketch.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-        .join(sketch.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-        .select("a", "b", "sketch_a", "sketch_b")
-        .mapInArrow(per_batch(_agreeing), "a bigint, b bigint")
-    )
-    near = stored(near, "near")
-    wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    sets = _full_sets(docs, nodes, wanted)
+def similarities(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, common, total) of candidate pairs, from their full sets."""
+    sets = sets.select("node", "shingles")
     full = (
-        near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+        pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
         .select("a", "b", "set_a", "set_b")
     )
-    return stored(full.mapInArrow(per_batch(_compared), "a bigint, b bigint, common bigint, total bigint"), "compared")
+    return stored(full.mapInArrow(per_slice(_compared), "a bigint, b bigint, common bigint, total bigint"), "compared")
 
 
-def _like_sized(a: str, b: str):
-    """The larger set is at most 100/75 of the smaller: else no link is possible."""
-    return F.expr(f"100L * least({a}, {b}) >= {PERCENT}L * greatest({a}, {b})")
+def _possible(na: str, ca: str, nb: str, cb: str):
+    """Whether two nodes of these sizes and shared counts can be linked: with 75 of 100 in
+    common, the common part is at least 3/7 of both sizes, and no more than either count."""
+    return F.expr(f"{100 + PERCENT} * least({ca}, {cb}) >= {PERCENT} * ({na} + {nb})")
 
 
 def _open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """The entries, with their component, of bands that hold several components."""
-    named = entries.join(labels, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
-    several = named.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
-    return named.join(several, "band")
+    named = entries.join(labels, "node", "left").select("band", "node", "n", "c", F.coalesce("root", "node").alias("root"))
+    return named.join(_shared(named, "band", "root"), "band")
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, root): the component of every node that has a verified link."""
     spark = docs.sparkSession
     entries = stored(band_entries(nodes), "entries")
+    sets = full_sets(docs, nodes, entries)
+    entries = entries.join(stored(shared_counts(sets), "counts"), "node")
     compared = spark.createDataFrame([], "a bigint, b bigint, common bigint, total bigint")
     labels = spark.createDataFrame([], "node bigint, root bigint")
-    still_open = entries.withColumn("root", F.col("node"))
     for k in range(STAR_ROUNDS + 1):
-        if k:
-            still_open = stored(_open_entries(entries, labels), "open")
+        still_open = stored(_open_entries(entries, labels), "open")
         n, apart = _pairs_apart(still_open)
-        if not apart:
-            break
         # the last step compares every open pair; it comes as soon as these are few
-        last = k == STAR_ROUNDS or k > 0 and apart <= PAIRS_PER_ENTRY * n
-        pairs = _remaining(still_open, compared) if last else _stars(still_open, k)
-        pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        compared = compared.unionByName(_similarities(docs, nodes, pairs))
-        labels = components(compared.filter(f"100 * common >= {PERCENT} * total").select("a", "b"))
+        last = k == STAR_ROUNDS or apart <= PAIRS_PER_ENTRY * n
+        pairs = _remaining(still_open) if last else _stars(still_open, k)
+        compared = compared.unionByName(similarities(sets, pairs.join(compared, ["a", "b"], "left_anti")))
+        linked = compared.filter(f"100 * common >= {PERCENT} * total").select("a", "b")
         if last:
             break
-    return labels
+        # after the first round the least neighbour will do to tell what is still open
+        labels = linked.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")) if k == 0 else components(linked)
+    return components(linked)
 
 
 def _pairs_apart(still_open: DataFrame) -> tuple[int, int]:
@@ -212,28 +204,23 @@ def _stars(still_open: DataFrame, k: int) -> DataFrame:
     """Each node of a band with the band's centre.  The first centre is the least node,
     which the bands of one group share; later ones differ from band to band."""
     rank = F.col("node") if k == 0 else F.xxhash64("band", "node", F.lit(k))
-    centre = still_open.groupBy("band").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("centre_root"))).alias("c")).select("band", "c.*")
-    pairs = still_open.join(centre, "band").filter("root <> centre_root").filter(_like_sized("n", "centre_n"))
+    centre = still_open.groupBy("band").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("c").alias("centre_c"), F.col("root").alias("centre_root"))).alias("m")).select("band", "m.*")
+    pairs = still_open.join(centre, "band").filter("root <> centre_root").filter(_possible("n", "c", "centre_n", "centre_c"))
     return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
-def _remaining(still_open: DataFrame, compared: DataFrame) -> DataFrame:
-    """Every pair that shares a band but no component, unless a third node rules it out.
+def _remaining(still_open: DataFrame) -> DataFrame:
+    """Every possible pair that shares a band but no component.
 
     The component with most entries of a band stays on one side of the join only, so
     a large component costs its size times the strangers in its band.
     """
     sizes = still_open.groupBy("band", "root").agg(F.count("*").alias("k"))
     main = sizes.groupBy("band").agg(F.max(F.struct("k", "root")).alias("m")).select("band", F.col("m.root").alias("main"))
-    # the nearest measured neighbour of each node, and its distance
-    ends = compared.select(F.col("a").alias("node"), F.col("b").alias("hub"), (1 - F.col("common") / F.col("total")).alias("d"))
-    ends = ends.unionByName(compared.select(F.col("b").alias("node"), F.col("a").alias("hub"), (1 - F.col("common") / F.col("total")).alias("d")))
-    hub = ends.groupBy("node").agg(F.min(F.struct("d", "hub")).alias("h")).select("node", "h.hub", "h.d")
-    rows = still_open.join(main, "band").join(hub, "node", "left")
-    left = rows.filter("root <> main").select("band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("hub").alias("hx"), F.col("d").alias("dx"))
-    right = rows.select("band", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("main").alias("my"), F.col("hub").alias("hy"), F.col("d").alias("dy"))
-    apart = F.coalesce(F.expr(f"hx = hy and abs(dx - dy) > {1 - PERCENT / 100} + 1e-9"), F.lit(False))
-    met = left.join(right, (left["band"] == right["band"]) & (F.col("rx") != F.col("ry")) & ((F.col("ry") == F.col("my")) | (F.col("x") < F.col("y"))) & _like_sized("nx", "ny") & ~apart)
+    rows = still_open.join(main, "band")
+    left = rows.filter("root <> main").select("band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("root").alias("rx"))
+    right = rows.select("band", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("root").alias("ry"), F.col("main").alias("my"))
+    met = left.join(right, (left["band"] == right["band"]) & F.expr("rx <> ry and (ry = my or x < y)") & _possible("nx", "cx", "ny", "cy"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -241,7 +228,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     signed = stored(signatures(docs), "signed")
     groups = signed.filter("digest is not null").groupBy("digest")
-    nodes = groups.agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = groups.agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     # ids are given once, in the written table, and never computed again
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     labels = links(docs, nodes)

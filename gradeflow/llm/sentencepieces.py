@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -359,12 +360,11 @@ def decode(rows: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     proto = _model(rows.sparkSession, model)
 
     @F.pandas_udf("string")
-    def text(batches):
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = Pieces(proto.value)
-        for series in batches:
-            yield series.map(lambda x: None if x is None else pieces.decode([int(i) for i in x]))
+        for lists in batches:
+            yield pd.Series([None if x is None else pieces.decode([int(i) for i in x]) for x in lists])
 
-    text.__annotations__ = {}
     return rows.withColumn("decoded", text(F.col(ids)))
 
 
