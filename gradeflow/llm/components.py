@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -28,14 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
     can split.  An empty edge table gives an empty result.
     """
     now = edges.filter("a <> b").select("a", "b")
-    mark = None
     while True:
-        seen = Observation()
-        step = _small_star(_large_star(now)).filter("a <> b").distinct()
-        step = step.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
-        now = stored(step, "stars")
-        # a forest of stars no longer changes: compare the size and a sum over the edges
-        if (seen.get["n"], seen.get["s"]) == mark:
+        now = stored(_small_star(_large_star(now)).filter("a <> b").distinct(), "stars")
+        # done when every node is either a root or points to one root, and never both
+        ends = now.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(now.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        if ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).filter("out > 1 or out = 1 and into = 1").isEmpty():
             break
-        mark = (seen.get["n"], seen.get["s"])
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

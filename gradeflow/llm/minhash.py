@@ -10,14 +10,15 @@ The bands (40 of 4 values) miss a pair of similarity 0.75 with a probability of
 2.5e-7.  How the work is kept linear in hot groups, without losing a link:
 
 * documents with the same shingle set are one node from the start;
-* for each candidate node the shingles that occur in another candidate are counted.
-  A pair cannot be linked unless 7 * (the smaller count) >= 3 * (both sizes): this
-  bound parts the members of a family of copies that differ too much, before any
-  pair is made;
-* in a band shared by many nodes each node is first compared with one of them
-  only (a star); verified links make components, and star rounds with other centres
-  follow while the bands still hold many pairs of different components;
-* then every pair of nodes that share a band but not a component is compared.
+* for each candidate node the shingles that occur in another candidate are counted, and
+  a parity sketch is kept (bit i tells whether an odd number of shingles hash to i). A
+  pair cannot be linked unless 7 * (the smaller count) >= 3 * (both sizes), nor if the
+  sketches differ in more than a seventh of both sizes in bits: every bit that differs
+  stands for a shingle that only one of them has.  Both bounds are exact, and part the
+  members of a family of copies that differ too much before any pair is made;
+* in a band shared by many nodes each node is first compared with one of them only (a
+  star around the node with most of its shingles in others); links make components;
+* then every possible pair of nodes that share a band but not a component is compared.
   Pairs inside a component cannot change the result.
 
 Cases: a null, empty or wordless text has an empty set, is linked with nothing
@@ -43,9 +44,9 @@ from .shingles import mixed, shingle_sets
 BANDS, ROWS = 40, 4
 PERMUTATIONS = BANDS * ROWS // 2
 PERCENT = 75
-STAR_ROUNDS = 3
-#: So many open pairs an entry are compared at once instead of by another star round.
-PAIRS_PER_ENTRY = 8
+#: Bits of the parity sketch, as so many 64-bit words.
+WORDS = 8
+PARITY = [f"p{i}" for i in range(WORDS)]
 _RNG = np.random.default_rng(75)
 FACTOR = _RNG.integers(1, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFT = _RNG.integers(1, 1 << 63, PERMUTATIONS, np.uint64)
@@ -89,15 +90,24 @@ def signatures(docs: DataFrame) -> DataFrame:
     return slim.mapInArrow(per_slice(_signed), "doc_id bigint, n_shingles bigint, digest binary, bands binary")
 
 
-def _entries(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _exploded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One row for each band of each node, with the node's other columns."""
     keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["band", "node"])
+    again = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
+    names = [c for c in batch.schema.names if c != "bands"]
+    return pa.RecordBatch.from_arrays([pa.array(keys), *(batch.column(c).take(again) for c in names)], names=["band", *names])
 
 
-def band_entries(nodes: DataFrame) -> DataFrame:
-    """(band, node) of the bands that several nodes share."""
-    rows = nodes.select("node", "bands").mapInArrow(per_slice(_entries), "band bigint, node bigint")
-    return rows.join(_shared(rows, "band"), "band")
+def by_band(nodes: DataFrame) -> DataFrame:
+    """The nodes, once for each of their bands."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema.fields if f.name != "bands")
+    return nodes.mapInArrow(per_slice(_exploded), f"band bigint, {fields}")
+
+
+def candidate_nodes(nodes: DataFrame) -> DataFrame:
+    """The nodes that share a band with another."""
+    rows = by_band(nodes.select("node", "bands"))
+    return rows.join(_shared(rows, "band"), "band", "left_semi").select("node").distinct()
 
 
 def _shared(rows: DataFrame, key: str, of: str = "node") -> DataFrame:
@@ -107,19 +117,24 @@ def _shared(rows: DataFrame, key: str, of: str = "node") -> DataFrame:
 
 def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = shingle_sets(batch.column("text"))
-    return pa.RecordBatch.from_arrays([pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["digest", "shingles"])
+    parity = np.zeros((len(sets), WORDS), np.int64)
+    for i, s in enumerate(sets):
+        odd = np.bincount((s & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+        parity[i] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    digests = pa.array([_digest(s) if len(s) else None for s in sets], pa.binary())
+    return pa.RecordBatch.from_arrays([digests, pa.array([s.tobytes() for s in sets], pa.binary()), *(pa.array(parity[:, i]) for i in range(WORDS))], names=["digest", "shingles", *PARITY])
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, entries: DataFrame) -> DataFrame:
-    """(node, n, shingles) of the candidate nodes, read again from one document of each."""
-    wanted = stored(nodes.join(entries.select("node").distinct(), "node").select("node", "n_shingles", "digest", "first_id"), "wanted")
+def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, shingles, parity) of candidate nodes, read again from one document of each."""
+    wanted = stored(nodes.join(candidate_nodes(nodes), "node").select("node", "n_shingles", "digest", "first_id"), "wanted")
     ids = wanted.select(F.col("first_id").alias("_id")).distinct()
     slim = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").cast("string").alias("text"))
     texts = slim.join(small_or_shuffled(ids, wanted.count()), F.col("_doc").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(per_slice(_sets), "digest binary, shingles binary")
+    sets = texts.mapInArrow(per_slice(_sets), "digest binary, shingles binary, " + ", ".join(f"{p} bigint" for p in PARITY))
     # copies of one document give the same set: any one of them serves
-    found = sets.join(wanted.select("node", "n_shingles", "digest"), "digest").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles"))
-    return stored(found, "sets")
+    rows = sets.join(wanted.select("node", "n_shingles", "digest"), "digest").withColumnRenamed("n_shingles", "n")
+    return stored(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "shingles", *PARITY)]), "sets")
 
 
 def _occurrences(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -157,71 +172,63 @@ def similarities(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(full.mapInArrow(per_slice(_compared), "a bigint, b bigint, common bigint, total bigint"), "compared")
 
 
-def _possible(na: str, ca: str, nb: str, cb: str):
-    """Whether two nodes of these sizes and shared counts can be linked: with 75 of 100 in
-    common, the common part is at least 3/7 of both sizes, and no more than either count."""
-    return F.expr(f"{100 + PERCENT} * least({ca}, {cb}) >= {PERCENT} * ({na} + {nb})")
+def _possible(a: str, b: str):
+    """Whether two nodes (columns with these prefixes) can be linked, by sizes, shared
+    counts and parity sketches: with 75 of 100 in common, the common part is at least 3/7
+    of both sizes, and what only one of them has at most 1/7."""
+    apart = " + ".join(f"bit_count({a}{p} ^ {b}{p})" for p in PARITY)
+    only = f"({100 + PERCENT}) * ({apart}) <= {100 - PERCENT} * ({a}n + {b}n)"
+    return F.expr(f"{100 + PERCENT} * least({a}c, {b}c) >= {PERCENT} * ({a}n + {b}n) and {only}")
 
 
-def _open_entries(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries, with their component, of bands that hold several components."""
-    named = entries.join(labels, "node", "left").select("band", "node", "n", "c", F.coalesce("root", "node").alias("root"))
-    return named.join(_shared(named, "band", "root"), "band")
+def _prefixed(rows: DataFrame, prefix: str) -> DataFrame:
+    return rows.select("band", *[F.col(c).alias(prefix + c) for c in rows.columns if c != "band"])
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, root): the component of every node that has a verified link."""
-    spark = docs.sparkSession
-    entries = stored(band_entries(nodes), "entries")
-    sets = full_sets(docs, nodes, entries)
-    entries = entries.join(stored(shared_counts(sets), "counts"), "node")
-    compared = spark.createDataFrame([], "a bigint, b bigint, common bigint, total bigint")
-    labels = spark.createDataFrame([], "node bigint, root bigint")
-    for k in range(STAR_ROUNDS + 1):
-        still_open = stored(_open_entries(entries, labels), "open")
-        n, apart = _pairs_apart(still_open)
-        # the last step compares every open pair; it comes as soon as these are few
-        last = k == STAR_ROUNDS or apart <= PAIRS_PER_ENTRY * n
-        pairs = _remaining(still_open) if last else _stars(still_open, k)
-        compared = compared.unionByName(similarities(sets, pairs.join(compared, ["a", "b"], "left_anti")))
-        linked = compared.filter(f"100 * common >= {PERCENT} * total").select("a", "b")
-        if last:
-            break
-        # after the first round the least neighbour will do to tell what is still open
-        labels = linked.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")) if k == 0 else components(linked)
-    return components(linked)
-
-
-def _pairs_apart(still_open: DataFrame) -> tuple[int, int]:
-    """Entries, and pairs of entries of one band but two components (a pair counts in each band)."""
-    sizes = still_open.groupBy("band", "root").agg(F.count("*").alias("k"))
-    per_band = sizes.groupBy("band").agg(F.sum("k").alias("s"), F.sum(F.col("k").cast("double") * F.col("k")).alias("q"))
-    row = per_band.agg(F.sum("s"), F.sum((F.col("s").cast("double") * F.col("s") - F.col("q")) / 2)).first()
-    return int(row[0] or 0), int(row[1] or 0)
-
-
-def _stars(still_open: DataFrame, k: int) -> DataFrame:
-    """Each node of a band with the band's centre.  The first centre is the least node,
-    which the bands of one group share; later ones differ from band to band."""
-    rank = F.col("node") if k == 0 else F.xxhash64("band", "node", F.lit(k))
-    centre = still_open.groupBy("band").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("c").alias("centre_c"), F.col("root").alias("centre_root"))).alias("m")).select("band", "m.*")
-    pairs = still_open.join(centre, "band").filter("root <> centre_root").filter(_possible("n", "c", "centre_n", "centre_c"))
-    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-
-
-def _remaining(still_open: DataFrame) -> DataFrame:
+    sets = full_sets(docs, nodes)
+    known = shared_counts(sets).join(sets.select("node", *PARITY), "node").join(nodes.select("node", "bands"), "node")
+    known = stored(known, "candidates")
+    stars = similarities(sets, _stars(stored(_open(known.withColumn("root", F.col("node"))), "open")))
+    labels = stored(components(_linked(stars)), "labels")
+    rows = known.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = _remaining(stored(_open(rows), "open"))
+    rest = similarities(sets, rest.join(stars, ["a", "b"], "left_anti"))
+    return components(_linked(stars.unionByName(rest)))
+
+
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.filter(f"100 * common >= {PERCENT} * total").select("a", "b")
+
+
+def _open(nodes: DataFrame) -> DataFrame:
+    """The nodes once for each band that holds several components."""
+    rows = by_band(nodes)
+    return rows.join(_shared(by_band(nodes.select("root", "bands")), "band", "root"), "band")
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """Each node of a band with the band's centre: the node with the greatest part of its
+    shingles in other candidates, which the bands of one group share."""
+    node = F.struct(*[c for c in rows.columns if c != "band"])
+    centre = rows.groupBy("band").agg(F.min(F.struct((-F.col("c") / F.col("n")).alias("rank"), "node", node.alias("at"))).alias("m"))
+    pairs = _prefixed(rows, "x_").join(_prefixed(centre.select("band", "m.at.*"), "y_"), "band").filter("x_node <> y_node").filter(_possible("x_", "y_"))
+    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
+def _remaining(rows: DataFrame) -> DataFrame:
     """Every possible pair that shares a band but no component.
 
     The component with most entries of a band stays on one side of the join only, so
     a large component costs its size times the strangers in its band.
     """
-    sizes = still_open.groupBy("band", "root").agg(F.count("*").alias("k"))
+    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("k"))
     main = sizes.groupBy("band").agg(F.max(F.struct("k", "root")).alias("m")).select("band", F.col("m.root").alias("main"))
-    rows = still_open.join(main, "band")
-    left = rows.filter("root <> main").select("band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("root").alias("rx"))
-    right = rows.select("band", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"), F.col("root").alias("ry"), F.col("main").alias("my"))
-    met = left.join(right, (left["band"] == right["band"]) & F.expr("rx <> ry and (ry = my or x < y)") & _possible("nx", "cx", "ny", "cy"))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rows = rows.join(main, "band")
+    left, right = _prefixed(rows.filter("root <> main"), "x_"), _prefixed(rows, "y_")
+    met = left.join(right, (left["band"] == right["band"]) & F.expr("x_root <> y_root and (y_root = y_main or x_node < y_node)") & _possible("x_", "y_"))
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
