@@ -102,8 +102,8 @@ def batch_chat(
     ``key_cols`` are carried through unchanged (they need not be unique: every
     input row is one call).
 
-    ``num_partitions`` spreads the calls evenly (round-robin repartition); by
-    default an input with fewer partitions than cores is spread over all cores.
+    ``num_partitions`` spreads the calls evenly (round-robin repartition); without
+    it the calls run in the input's own partitions, and building the plan runs no job.
     ``concurrency`` > 1 runs that many calls at once inside each task.
     """
     policy = policy or CallPolicy()
@@ -114,11 +114,6 @@ def batch_chat(
     src = df.select(*keys, messages_col)
     if num_partitions:
         src = src.repartition(int(num_partitions))
-    else:
-        # Calls are the costly stage: never leave cores idle behind a few-split input.
-        cores = src.sparkSession.sparkContext.defaultParallelism
-        if src.rdd.getNumPartitions() < cores:
-            src = src.repartition(cores)
     key_fields = [src.schema[k] for k in keys]
     out_schema = T.StructType(
         key_fields

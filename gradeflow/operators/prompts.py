@@ -65,6 +65,8 @@ def fill(template: str, **values) -> Column:
 
 
 def options_block(options: Sequence, labels: Sequence[str] = OPTION_LABELS) -> Column:
+    if len(options) > len(labels):
+        raise ValueError(f"{len(options)} options, but only {len(labels)} labels")
     lines: list[Column] = []
     for i, (label, opt) in enumerate(zip(labels, options)):
         lines.append(F.lit(("\n" if i else "") + f"({label}) "))
@@ -72,9 +74,11 @@ def options_block(options: Sequence, labels: Sequence[str] = OPTION_LABELS) -> C
     return F.concat(*lines)
 
 
-def mcq_prompt(question, options: Sequence, instruction: str = MCQ_INSTRUCTION) -> Column:
-    """Instruction, question and labelled options (3 or 4) in one user prompt."""
-    labels = OPTION_LABELS[: len(options)]
+def mcq_prompt(question, options: Sequence, instruction: str = MCQ_INSTRUCTION, labels: Sequence[str] = OPTION_LABELS) -> Column:
+    """Instruction, question and labelled options in one user prompt, a label for each."""
+    if len(options) > len(labels):
+        raise ValueError(f"{len(options)} options, but only {len(labels)} labels")
+    labels = list(labels)[: len(options)]
     head = instruction.format(labels=", ".join(labels))
     return F.concat(F.lit(head + "\n\n"), py_str(question), F.lit("\n\n"), options_block(options, labels))
 

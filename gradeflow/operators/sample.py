@@ -17,39 +17,29 @@ def hash_rank(key, seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[k.cast("string") for k in _keys(key)], F.lit(str(seed))))
 
 
-TOP_N_LIMIT = 100_000
-BUCKET_HEX = 5  # 16^5 ~ 1M hash buckets for the large-sample path
+BUCKET_HEX = 5  # 16^5 hash buckets
 
 
-def sample_fixed(df: DataFrame, key: str | Sequence[str], n: int | None, seed: int = 0, top_n_limit: int = TOP_N_LIMIT) -> DataFrame:
-    """``n`` rows in hash order; ``n`` of 0/None keeps all; more than the table
-    holds gives the whole table.
+def sample_fixed(df: DataFrame, key: str | Sequence[str], n: int | None, seed: int = 0) -> DataFrame:
+    """The ``n`` rows that come first in hash order; ``n`` of 0/None keeps all; more than
+    the table holds gives the whole table.
 
-    Up to ``top_n_limit`` rows: ``orderBy(hash).limit(n)``, planned as a
-    per-partition top-n plus one merge of at most n rows per partition. Larger
-    samples never meet in one task: rows are counted per hash bucket (a small
-    aggregate), the bucket where the running count reaches n is found, rows of
-    lower buckets are kept whole and only that boundary bucket is ordered.
+    Rows are counted per hash bucket (a small aggregate), and a running count tells where
+    each bucket begins. Buckets that begin before ``n`` are kept by a join, and inside a
+    bucket rows are numbered: no task ever holds more than a bucket, whatever ``n`` is,
+    and building the plan runs no job.
     """
     if not n:
         return df
-    n = int(n)
-    rank = hash_rank(key, seed)
-    if n <= top_n_limit:
-        return df.orderBy(rank, *_keys(key)).limit(n)
-    ranked = df.withColumn("_rank", rank).withColumn("_bucket", F.substring("_rank", 1, BUCKET_HEX))
+    columns = df.columns
+    ranked = df.withColumn("_rank", hash_rank(key, seed)).withColumn("_bucket", F.substring("_rank", 1, BUCKET_HEX))
     counts = ranked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # At most 16^BUCKET_HEX rows: the running sum over the bucket counts is small.
-    cum = counts.withColumn("_cum", F.sum("_n").over(w))
-    edge = cum.filter(F.col("_cum") >= n).orderBy("_bucket").limit(1)
-    edge_row = edge.select("_bucket", (F.col("_cum") - F.col("_n")).alias("_before")).collect()
-    if not edge_row:
-        return df  # fewer than n rows
-    bucket, before = edge_row[0]["_bucket"], edge_row[0]["_before"]
-    whole = ranked.filter(F.col("_bucket") < bucket)
-    boundary = ranked.filter(F.col("_bucket") == bucket).orderBy("_rank", *_keys(key)).limit(n - before)
-    return whole.unionByName(boundary).drop("_rank", "_bucket")
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).filter(F.col("_before") < int(n))
+    inside = Window.partitionBy("_bucket").orderBy("_rank", *_keys(key))
+    kept = ranked.join(begins, "_bucket").withColumn("_nth", F.row_number().over(inside))
+    return kept.filter(F.col("_before") + F.col("_nth") <= int(n)).select(*columns)
 
 
 def sample_capped(df: DataFrame, key: str | Sequence[str], n: int | None, seed: int = 0) -> DataFrame:

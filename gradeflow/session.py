@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,8 @@ from pyspark.sql import SparkSession
 
 
 JIT_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+#: Number of partitions that small stand-in inputs are dealt out to; unset: as scanned.
+SPREAD = "spark.gradeflow.spread"
 
 
 def local_session(cores: str | int = "*", app: str = "gradeflow", shuffle_partitions: int = 8) -> SparkSession:
@@ -25,6 +28,8 @@ def local_session(cores: str | int = "*", app: str = "gradeflow", shuffle_partit
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # A small file is one scan task: deal its rows out to all local cores.
+        .config(SPREAD, str(cores) if str(cores).isdigit() else "")
         .config("spark.driver.memory", os.environ.get("GRADEFLOW_DRIVER_MEMORY", "8g"))
         # Generated scoring code has methods above HotSpot's 8000-byte JIT limit;
         # without this they run interpreted (2x slower). On a cluster set the
@@ -40,17 +45,25 @@ def local_session(cores: str | int = "*", app: str = "gradeflow", shuffle_partit
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is used as is.  Only where it is unset (local tests)
-    a scratch folder is created and registered.
+    The cluster's setting is used as is.  Only on a local master, where it is
+    unset, a scratch folder is created and registered: on a cluster each executor
+    would write its part to a disk of its own.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gradeflow-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def spread_to(spark: SparkSession) -> int | None:
+    """The explicit number of partitions for small inputs, if one is set."""
+    return int(spark.conf.get(SPREAD, "") or 0) or None
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the checkpoint root (never reused across runs)."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,12 +13,14 @@ from ..session import scratch_path
 
 CSV_READ_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "encoding": "UTF-8",
-    "mode": "PERMISSIVE",
+    # Every cell is parsed, and each file's header compared, whatever columns are used.
+    "columnPruning": "false",
+    "enforceSchema": "false",
 }
+BAD_RECORD = "_corrupt_record"
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -35,17 +37,49 @@ METRICS_SCHEMA = T.StructType(
 )
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, na_values: Sequence[str] = NA_STRINGS) -> DataFrame:
+def _csv_rows(spark: SparkSession, path: str, multi_line: bool, mode: str) -> tuple[DataFrame, list[str]]:
+    """All columns as text by their header names, and those names; one line is read for them."""
+    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
+    names = reader.csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in names]
+    if mode == "PERMISSIVE":
+        fields.append(T.StructField(BAD_RECORD, T.StringType()))
+    return reader.schema(T.StructType(fields)).option("mode", mode).option("columnNameOfCorruptRecord", BAD_RECORD).csv(path), names
+
+
+def _nothing_of(other: str) -> Column:
+    """An empty text that uses a column: Spark refuses queries of the bad-record column alone."""
+    return F.left(F.coalesce(F.col(other), F.lit("")), F.lit(0))
+
+
+def _record(other: str) -> Column:
+    return F.concat(F.col(BAD_RECORD), _nothing_of(other))
+
+
+def _named(names: Sequence[str], columns: Sequence[str] | None, path: str) -> list[str]:
+    missing = [c for c in columns or [] if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)} (it has {', '.join(names)})")
+    return list(columns or names)
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, na_values: Sequence[str] = NA_STRINGS, multi_line: bool = True) -> DataFrame:
     """CSV of strings with a header; quoted newlines and doubled quotes kept.
 
-    With ``columns`` the schema is declared (no inference pass). The given
-    missing-value strings become null, as a CSV reader in pandas does.
+    ``columns`` are chosen by header name, in any order of the file; a missing one is an
+    error, and so is a row with too many or too few cells (see ``read_csv_parts``). The given
+    missing-value strings become null. A file of quoted newlines is one task; where no
+    cell holds a newline, ``multi_line=False`` lets Spark split large files.
     """
-    reader = spark.read.options(**CSV_READ_OPTIONS)
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(path)
-    return na_to_null(df, na_values)
+    rows, names = _csv_rows(spark, path, multi_line, "FAILFAST")
+    return na_to_null(rows.select(*_named(names, columns, path)), na_values)
+
+
+def read_csv_parts(spark: SparkSession, path: str, columns: Sequence[str] | None = None, na_values: Sequence[str] = NA_STRINGS, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """As ``read_csv``, but rows that do not fit the header go to a second table ``(record)``."""
+    rows, names = _csv_rows(spark, path, multi_line, "PERMISSIVE")
+    good = rows.filter(F.col(BAD_RECORD).isNull() & (_nothing_of(names[0]) == "")).select(*_named(names, columns, path))
+    return na_to_null(good, na_values), rows.filter(F.col(BAD_RECORD).isNotNull()).select(_record(names[0]).alias("record"))
 
 
 def na_to_null(df: DataFrame, na_values: Sequence[str] = NA_STRINGS) -> DataFrame:
@@ -82,21 +116,36 @@ def read_sft_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def write_metrics(metrics_long: DataFrame, root: str, mode: str = "append") -> None:
-    """Long metrics ``(eval_name, model_name, [run_mode], metric, value)`` as JSON,
-    one folder per (eval, model)."""
+def write_metrics(metrics_long: DataFrame, root: str) -> None:
+    """Long metrics ``(eval_name, model_name, [run_mode], metric, value)`` as JSON, one
+    folder per (run mode, eval, model); a rerun replaces its own folders only."""
     parts = [c for c in ("run_mode", "eval_name", "model_name") if c in metrics_long.columns]
-    metrics_long.write.mode(mode).partitionBy(*parts).json(root)
+    metrics_long.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).json(root)
+
+
+def _metrics_files(spark: SparkSession, root: str, run_mode: str | None) -> DataFrame:
+    schema = T.StructType([*METRICS_SCHEMA.fields, T.StructField(BAD_RECORD, T.StringType())])
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", BAD_RECORD).json(root)
+    return rows.filter(F.col("run_mode") == run_mode) if run_mode else rows
+
+
+def read_metrics(spark: SparkSession, root: str, run_mode: str | None = None) -> DataFrame:
+    """Re-read metrics files, of one run mode if named; see ``metrics_rejects`` for the rest."""
+    rows = _metrics_files(spark, root, run_mode)
+    return rows.filter(F.col(BAD_RECORD).isNull() & (_nothing_of("metric") == "")).drop(BAD_RECORD)
 
 
-def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Re-read all metrics files with partition discovery; unreadable lines are skipped."""
-    return spark.read.schema(METRICS_SCHEMA).option("mode", "DROPMALFORMED").json(root)
+def metrics_rejects(spark: SparkSession, root: str, run_mode: str | None = None) -> DataFrame:
+    """(file, record): the lines of metrics files that could not be read."""
+    rows = _metrics_files(spark, root, run_mode).withColumn("file", F.input_file_name())
+    return rows.filter(F.col(BAD_RECORD).isNotNull()).select("file", _record("metric").alias("record"))
 
 
-def write_text_partitioned(df: DataFrame, root: str, text_col: str, parts: Sequence[str], mode: str = "append") -> None:
-    """One text folder per partition key (e.g. an HTML report per eval and model)."""
-    df.select(*parts, F.col(text_col).alias("value")).write.mode(mode).partitionBy(*parts).text(root)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds anything, asked of its own file system; other errors rise."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

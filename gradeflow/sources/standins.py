@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import FALSE_WORD, QUESTION_TYPES, TRUE_WORD
+from ..session import spread_to
 
 MMLU_SUBJECTS = ["astronomy", "philosophy", "sociology", "virology", "unknown_subject"]
 
@@ -33,14 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the input has fewer splits.
+    """Deal the rows out to the number of partitions the session sets, if it sets one.
 
     A small file with few row groups gives a scan of a few tasks, and every
-    regex after it would run on those few cores. Large inputs have far more
-    splits than cores, so this never fires at scale.
+    regex after it would run on those few cores; local sessions set the number
+    of cores. Large inputs have many splits: leave it unset there.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    n = spread_to(df.sparkSession)
+    return df.repartition(n) if n else df
 
 
 def _pick(values, index_col):
@@ -54,9 +55,7 @@ def _letter(letters: str, index_col):
     return F.substring(F.lit(letters), (index_col + 1).cast("int"), 1)
 
 
-def exam_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exam items (type, question, options, answer) from ``part``."""
-    k = F.col("p_partkey")
+def _exam_kind(k):
     qtype = _pick(QUESTION_TYPES, k % 6)
     answer = (
         F.when(k % 50 == 49, F.lit(None).cast("string"))
@@ -64,6 +63,27 @@ def exam_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(qtype == "TOF", F.when(k % 4 == 1, F.lit(TRUE_WORD)).otherwise(F.lit(FALSE_WORD)))
         .otherwise(F.col("p_brand"))
     )
+    return qtype, answer
+
+
+def _sample_id(k):
+    subject = _pick(MMLU_SUBJECTS, k % 5)
+    return F.when(k % 11 == 10, F.lit(None).cast("string")).otherwise(F.concat(subject, F.lit("/test/"), k.cast("string")))
+
+
+def item_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What scoring needs of the items of both evaluations, in one table."""
+    k = F.col("p_partkey")
+    qtype, answer = _exam_kind(k)
+    return table(spark, sf_dir, "part").select(
+        k.alias("item_id"), qtype.alias("type"), answer.alias("answer"), _sample_id(k).alias("sample_id"), _letter("ABCD", k % 4).alias("mmlu_answer")
+    )
+
+
+def exam_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exam items (type, question, options, answer) from ``part``."""
+    k = F.col("p_partkey")
+    qtype, answer = _exam_kind(k)
     return table(spark, sf_dir, "part").select(
         k.alias("item_id"),
         qtype.alias("type"),
@@ -78,13 +98,9 @@ def exam_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mmlu_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-option items with subject-bearing sample ids, from ``part``."""
     k = F.col("p_partkey")
-    subject = _pick(MMLU_SUBJECTS, k % 5)
-    sample_id = F.when(k % 11 == 10, F.lit(None).cast("string")).otherwise(
-        F.concat(subject, F.lit("/test/"), k.cast("string"))
-    )
     return table(spark, sf_dir, "part").select(
         k.alias("item_id"),
-        sample_id.alias("sample_id"),
+        _sample_id(k).alias("sample_id"),
         F.col("p_name").alias("question"),
         F.col("p_brand").alias("option_a"),
         F.col("p_type").alias("option_b"),
@@ -123,7 +139,6 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     null = F.lit(None).cast("string")
     return spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")).select(
         k.alias("row_key"),
-        F.substring(F.col("p_name"), 1, 1).alias("alphabet"),
         F.col("p_name").alias("word"),
         F.when(k % 5 == 1, null).otherwise(F.lower(F.col("p_brand"))).alias("phonetics"),
         F.when(k % 7 == 3, null).when(k % 7 == 5, F.lit("")).otherwise(F.col("p_type")).alias("meaning"),
