@@ -82,10 +82,12 @@ def _quote_text(s: str) -> str:
     return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def extract_with_pattern(text, pattern) -> Column:
-    """Group 1 of the leftmost match of a per-row pattern column, else null."""
+def extract_with_pattern(text, pattern, nonempty_group: Column) -> Column:
+    """Group 1 of the leftmost match of a per-row pattern column, else null. Where the
+    group cannot be empty, '' means no match and one scan is enough."""
     text, pattern = as_col(text), as_col(pattern)
-    return F.when(F.call_function("rlike", text, pattern), F.call_function("regexp_extract", text, pattern, F.lit(1)))
+    group = F.call_function("regexp_extract", text, pattern, F.lit(1))
+    return F.when(nonempty_group, F.nullif(group, F.lit(""))).when(F.call_function("rlike", text, pattern), group)
 
 
 def extract_exam_mcq_raw(text, answer, head: str = ANSWER_HEAD, common_answers=OPTION_LETTERS) -> Column:
@@ -101,7 +103,7 @@ def extract_exam_mcq_raw(text, answer, head: str = ANSWER_HEAD, common_answers=O
     for a in common_answers:
         if a:
             expr = expr.when(answer == a, first_match(text, [prefix + _quote_text(a) + MCQ_SUFFIX], nonempty_group=True))
-    return expr.otherwise(extract_with_pattern(text, exam_mcq_pattern(answer, head)))
+    return expr.otherwise(extract_with_pattern(text, exam_mcq_pattern(answer, head), answer != ""))
 
 
 def normalize_if_nonempty(raw) -> Column:
@@ -134,14 +136,3 @@ def extract_english_mcq(text) -> Column:
 
 def extract_english_free(text) -> Column:
     return first_match(text, [java_regex(ENGLISH_FREE_PATTERN)], nonempty_group=True)
-
-
-def extract_by_type(qtype, text, answer) -> Column:
-    """Dispatch on the exam question type (SHORT_QNA is graded, not extracted)."""
-    t = as_col(qtype)
-    return (
-        F.when(t == "MCQ", extract_exam_mcq(text, answer))
-        .when(t == "TOF", extract_tof(text))
-        .when(t == "FIB", extract_fib(text))
-        .otherwise(extract_open())
-    )

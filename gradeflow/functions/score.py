@@ -83,6 +83,12 @@ def rubric_metrics(grade) -> Column:
     return F.when(g["valid"], m).otherwise(empty)
 
 
+def metrics_json(metrics) -> Column:
+    """The metric map as JSON text, spaced as ``json.dumps`` does."""
+    entry = lambda e: F.concat(F.lit('"'), e["key"], F.lit('": '), e["value"].cast("string"))
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(as_col(metrics)), entry), ", "), F.lit("}"))
+
+
 def rubric_score(grade) -> Column:
     g = as_col(grade)
     composite = (g["content"] / 3.0 + g["register"] / 3.0 + g["grammar"] / 5.0) / 3.0

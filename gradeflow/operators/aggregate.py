@@ -99,8 +99,3 @@ def leaderboard(metrics_long: DataFrame, eval_names: Sequence[str], index: str =
     """Model x eval pivot of the headline metric; pivot values are given, so no extra job."""
     head = headline(metrics_long, (column, index))
     return head.groupBy(index).pivot(column, list(eval_names)).agg(F.first("metric"))
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once (a pivot with duplicates is an error)."""
-    return df.groupBy(*keys).count().filter(F.col("count") > 1)

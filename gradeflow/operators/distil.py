@@ -11,6 +11,10 @@ Design (the toolkit rewrote one CSV every few completions):
   appended as parquet before the next starts, so a crash loses one chunk;
 * the final table is the input left-joined to the good results, written to a
   new path (never over the input).
+
+Results are written below ``run_id=...``, so a run reads its own history only. Keys must
+be unique (they are counted before the first call); without a key column the content of
+a row is its key, and equal rows share a call.
 """
 
 from __future__ import annotations
@@ -21,16 +25,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..fixed_values import EMPTY_PROMPT_ERROR
 from ..functions.text import is_blank, py_strip
 from ..session import scratch_path
+from ..sources.io import path_exists
 from .inference import CallPolicy, batch_chat
 from .prompts import pack_messages, simple_prompt
 from .sample import debug_head
 
-RESULT_COLUMNS = ["run_id", "call_id", "key", "output", "error", "attempts"]
+RESULT_SCHEMA = "call_id string, call_time timestamp, key string, output string, error string, attempts int"
+#: Results are saved after each of so many parts of the work list.
+DEFAULT_CHUNKS = 10
 
 
 @dataclass
@@ -62,24 +68,29 @@ def pending_rows(df: DataFrame, output_column: str) -> DataFrame:
     return df.filter(is_blank(F.col(output_column)))
 
 
+def run_results(spark: SparkSession, results_path: str, run_id: str) -> DataFrame:
+    """The results of a run so far; empty before its first save."""
+    path = f"{results_path}/run_id={run_id}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    return spark.read.schema(RESULT_SCHEMA).parquet(path)
+
+
+def good_results(results: DataFrame) -> DataFrame:
+    return results.filter(F.col("error").isNull() & ~is_blank(F.col("output")))
+
+
 def done_keys(spark: SparkSession, results_path: str, run_id: str) -> DataFrame:
     """Keys of the run that already have a non-blank output and no error."""
-    schema = T.StructType(
-        [
-            T.StructField("run_id", T.StringType()),
-            T.StructField("call_id", T.StringType()),
-            T.StructField("key", T.StringType()),
-            T.StructField("output", T.StringType()),
-            T.StructField("error", T.StringType()),
-            T.StructField("attempts", T.IntegerType()),
-        ]
-    )
-    try:
-        res = spark.read.schema(schema).parquet(results_path)
-    except Exception:  # noqa: BLE001 - no results yet
-        return spark.createDataFrame([], "key string")
-    ok = res.filter((F.col("run_id") == run_id) & F.col("error").isNull() & ~is_blank(F.col("output")))
-    return ok.select("key").distinct()
+    return good_results(run_results(spark, results_path, run_id)).select("key").distinct()
+
+
+def check_keys(keyed: DataFrame, key: str = "_key", shown: int = 5) -> None:
+    """Raise, naming some of them, when keys repeat or are null: results are merged by key."""
+    bad = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(key).isNull())
+    rows = bad.orderBy(key).limit(shown).collect()
+    if rows:
+        raise ValueError("keys must be unique and not null, found " + ", ".join(f"{r[0]!r} x {r[1]}" for r in rows))
 
 
 def run_distillation(
@@ -93,10 +104,11 @@ def run_distillation(
     output_mode: str = "errorifexists",
     run_id: str = "default",
     overwrite: bool = False,
-    n_chunks: int = 1,
+    n_chunks: int = DEFAULT_CHUNKS,
     debug: bool = False,
     policy: CallPolicy | None = None,
     concurrency: int = 1,
+    num_partitions: int | None = None,
     system: str | None = None,
 ) -> DistilRun:
     """Fill blank ``output_column`` cells of ``df`` with the model's stripped reply."""
@@ -109,8 +121,11 @@ def run_distillation(
     call_id = uuid.uuid4().hex
     df = ensure_output(df, output_column, overwrite)
     keyed = df.withColumn("_key", row_key(df, key_col))
+    if key_col:
+        check_keys(keyed)
 
-    prompt = formatter(keyed) if callable(formatter) else formatter
+    # A missing prompt is an empty one: an error row, never a silent skip.
+    prompt = F.coalesce(formatter(keyed) if callable(formatter) else formatter, F.lit(""))
     todo = pending_rows(keyed, output_column).join(done_keys(spark, results_path, run_id), F.col("_key") == F.col("key"), "left_anti")
     todo = todo.select(F.col("_key").alias("key"), prompt.alias("_prompt"))
     if not key_col:
@@ -125,30 +140,29 @@ def run_distillation(
     # Explicit schema: an empty work list leaves no partition folders to infer from.
     todo = spark.read.schema(todo.schema).parquet(todo_path)
 
+    own_path = f"{results_path}/run_id={run_id}"
+    meta = [F.lit(call_id).alias("call_id"), F.current_timestamp().alias("call_time")]
     empty = todo.filter(F.col("_prompt") == "").select(
         "key", F.lit(None).cast("string").alias("output"), F.lit(EMPTY_PROMPT_ERROR).alias("error"), F.lit(0).alias("attempts")
     )
-    meta = [F.lit(run_id).alias("run_id"), F.lit(call_id).alias("call_id")]
-    empty.select(*meta, "key", "output", "error", "attempts").write.mode("append").parquet(results_path)
+    empty.select(*meta, "key", "output", "error", "attempts").write.mode("append").parquet(own_path)
 
     callable_rows = todo.filter(F.col("_prompt") != "").withColumn("messages", pack_messages(F.col("_prompt"), system=system))
     for chunk in range(n_chunks):
         part = callable_rows.filter(F.col("_chunk") == chunk)
-        answered = batch_chat(part, chat, ["key"], policy=policy, concurrency=concurrency)
+        answered = batch_chat(part, chat, ["key"], policy=policy, concurrency=concurrency, num_partitions=num_partitions)
         answered.select(
             *meta,
             "key",
             F.when(F.col("error").isNull(), py_strip(F.col("response"))).alias("output"),
             "error",
             "attempts",
-        ).write.mode("append").parquet(results_path)
+        ).write.mode("append").parquet(own_path)
 
-    all_results = spark.read.parquet(results_path)
+    all_results = run_results(spark, results_path, run_id)
     mine = all_results.filter(F.col("call_id") == call_id)
-    good = all_results.filter((F.col("run_id") == run_id) & F.col("error").isNull() & ~is_blank(F.col("output")))
-    # One good output per key: the latest call wins (call ids are not ordered, so
-    # take the max output for determinism when a key was filled twice).
-    good = good.groupBy("key").agg(F.max("output").alias("_new"))
+    # One good output per key: the latest call wins.
+    good = good_results(all_results).groupBy("key").agg(F.max_by("output", F.struct("call_time", "call_id")).alias("_new"))
     final = (
         keyed.join(good, F.col("_key") == F.col("key"), "left")
         .withColumn(

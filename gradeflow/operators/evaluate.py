@@ -13,7 +13,7 @@ from ..functions.extract import (
     extract_tof,
     normalize_if_nonempty,
 )
-from ..functions.score import exact_match, metric_map, parse_rubric, rubric_metrics, rubric_score, with_category
+from ..functions.score import exact_match, metric_map, metrics_json, parse_rubric, rubric_metrics, rubric_score, with_category
 from ..functions.text import normalize_response
 
 
@@ -23,16 +23,18 @@ def score_exam(
     answer_col: str = "answer",
     response_col: str = "response",
     grade_output_col: str | None = None,
+    normalized: bool = False,
 ) -> DataFrame:
     """Add ``response_text`` (normalised), ``extracted``, ``score``, ``metrics``.
 
     MCQ/TOF/FIB extract and compare null-safely; LONG/METAPHOR extract nothing.
     With ``grade_output_col`` the SHORT_QNA rows are scored from the grader's
     rubric; an invalid grade gives a null score and an empty metric map, and
-    ``grade_valid`` tells which rows these are.
+    ``grade_valid`` tells which rows these are. With ``normalized`` the rows have
+    their ``response_text`` already.
     """
     t = F.col(type_col)
-    out = df.withColumn("response_text", normalize_response(F.col(response_col)))
+    out = df if normalized else df.withColumn("response_text", normalize_response(F.col(response_col)))
     # Staged columns: each regex runs once per row (CollapseProject keeps a
     # non-cheap column that is referenced twice in its own projection).
     out = out.withColumn(
@@ -52,7 +54,7 @@ def score_exam(
     out = out.withColumn("_gm", rubric_metrics(F.col("_grade")))
     return out.select(
         *[c for c in out.columns if c not in ("_grade", "_gm", "_plain", "extracted")],
-        F.when(graded, F.to_json(F.col("_gm"))).otherwise(F.col("extracted")).alias("extracted"),
+        F.when(graded, metrics_json("_gm")).otherwise(F.col("extracted")).alias("extracted"),
         F.when(graded, rubric_score(F.col("_grade"))).otherwise(F.col("_plain")).alias("score"),
         F.when(graded, F.col("_gm")).otherwise(metric_map(t, F.col("_plain"))).alias("metrics"),
         F.when(graded, F.col("_grade")["valid"]).alias("grade_valid"),
@@ -64,9 +66,10 @@ def score_mmlu(
     answer_col: str = "answer",
     response_col: str = "response",
     sample_id_col: str = "sample_id",
+    normalized: bool = False,
 ) -> DataFrame:
     """Add ``response_text``, ``extracted``, ``score``, ``category`` and ``metrics``."""
-    scored = df.withColumn("response_text", normalize_response(F.col(response_col)))
+    scored = df if normalized else df.withColumn("response_text", normalize_response(F.col(response_col)))
     scored = scored.withColumn("extracted", extract_mcq(F.col("response_text")))
     scored = scored.withColumn("score", exact_match(F.col("extracted"), F.col(answer_col)))
     scored = with_category(scored, sample_id_col)

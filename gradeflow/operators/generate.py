@@ -1,15 +1,14 @@
 """Instruction data from chat templates: every row meets every template group.
 
-Template groups are small configuration (checked size), embedded as a literal
-array column and exploded per row: a map-only plan, no join and no shuffle.
-Per (row, group) one template is picked by a hash of (key, group, seed); the
-group's variables are checked in sorted order and the first bad one rejects
-the pair; accepted pairs get every ``{{var}}`` slot filled.
+Templates are a small table. Each row is exploded to the group ids only; one template
+per (row, group) is picked by a hash of (key, group, seed); the group's variables are
+checked in sorted order and the first bad one rejects the pair; accepted pairs are joined
+to the one picked template (Spark broadcasts that table by its size) and get every
+``{{var}}`` slot filled.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +17,9 @@ from pyspark.sql import types as T
 
 from ..fixed_values import SLOT_PATTERN
 from ..functions.extract import java_regex
+from ..functions.text import as_col
 from .sample import pick_index
 
-MAX_TEMPLATES = 10_000
 VAR_NOT_FOUND = "variable not found"
 VALUE_NOT_VALID = "value not valid"
 
@@ -90,94 +89,40 @@ DEFAULT_TEMPLATE_GROUPS: list[list[list[dict]]] = [
     ],
 ]
 
-MESSAGES_TYPE = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
-
-
-def slot_names(text: str) -> list[str]:
-    return re.findall(SLOT_PATTERN, text)
-
-
-def group_variables(group: Sequence[Sequence[dict]]) -> list[str]:
-    """Variables of a template group (union over its templates), sorted."""
-    names: set[str] = set()
-    for template in group:
-        for msg in template:
-            content = msg.get("content")
-            if isinstance(content, str):
-                names.update(slot_names(content))
-    return sorted(names)
-
-
-def _check_size(groups) -> None:
-    n = sum(len(g) for g in groups)
-    if n == 0 or n > MAX_TEMPLATES:
-        raise ValueError(f"template groups must hold 1..{MAX_TEMPLATES} templates, got {n}")
-
-
-def _messages_literal(template: Sequence[dict]) -> Column:
-    return F.array(*[F.struct(F.lit(str(m["role"])).alias("role"), F.lit(m.get("content")).cast("string").alias("content")) for m in template])
-
-
-def groups_literal(groups: Sequence[Sequence[Sequence[dict]]]) -> Column:
-    """array<struct<group_id, templates, vars>> as one constant column."""
-    _check_size(groups)
-    items = []
-    for gid, group in enumerate(groups):
-        vars_ = group_variables(group)
-        items.append(
-            F.struct(
-                F.lit(gid).alias("group_id"),
-                F.array(*[_messages_literal(t) for t in group]).alias("templates"),
-                (F.array(*[F.lit(v) for v in vars_]) if vars_ else F.array().cast("array<string>")).alias("vars"),
-            )
-        )
-    return F.array(*items)
+# Java reads a bare brace as a repetition.
+SLOTS = java_regex(SLOT_PATTERN.replace("{", r"\{").replace("}", r"\}"))
 
 
 def template_table(spark: SparkSession, groups: Sequence[Sequence[Sequence[dict]]]) -> DataFrame:
-    """(group_id, template_id, messages) for inspection or storage."""
-    _check_size(groups)
-    rows = [
-        (gid, tid, [(str(m["role"]), m.get("content")) for m in t])
-        for gid, group in enumerate(groups)
-        for tid, t in enumerate(group)
-    ]
-    schema = T.StructType(
-        [T.StructField("group_id", T.IntegerType()), T.StructField("template_id", T.IntegerType()), T.StructField("messages", MESSAGES_TYPE)]
-    )
-    return spark.createDataFrame(rows, schema)
+    """(group_id, template_id, messages): all message keys are kept, as text fields."""
+    extra = sorted({k for g in groups for t in g for m in t for k in m} - {"role", "content"})
+    fields = ["role", "content", *extra]
+    text = lambda v: v if v is None or isinstance(v, str) else str(v)
+    rows = [(gid, tid, [tuple(text(m.get(k)) for k in fields) for m in t]) for gid, group in enumerate(groups) for tid, t in enumerate(group)]
+    message = ",".join(f"`{f}`:string" for f in fields)
+    return spark.createDataFrame(rows, f"group_id int, template_id int, messages array<struct<{message}>>")
 
 
-def slot_names_col(text) -> Column:
-    """All ``{{name}}`` slot names in a text column, in order (duplicates kept)."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(java_regex("\\{\\{(.*?)\\}\\}")), 1)
+def slots(text) -> Column:
+    """All ``{{name}}`` slot names of a text, in order (repeats kept)."""
+    return F.regexp_extract_all(F.coalesce(as_col(text), F.lit("")), F.lit(SLOTS), 1)
 
 
 def corpus_variables(df: DataFrame, text_col: str, group_col: str) -> DataFrame:
-    """Slot names used per group of texts: ``(group, n_with_slots, vars)``, vars sorted.
+    """(group, name, n_texts): in how many texts of a group each slot name occurs.
 
-    Names are exploded first, so the per-group set holds distinct names only (its
-    size is the slot vocabulary, not the number of rows) and is merged map-side.
+    One row per name, counted map-side first: neither a hot group nor a large slot
+    vocabulary meets in one row.
     """
-    per_row = df.select(group_col, F.array_distinct(slot_names_col(text_col)).alias("_v"))
-    names = per_row.select(group_col, F.posexplode_outer("_v").alias("_pos", "_name"))
-    return names.groupBy(group_col).agg(
-        F.count_if(F.col("_pos") == 0).alias("n_with_slots"),
-        F.array_join(F.array_sort(F.collect_set("_name")), ",").alias("vars"),
-    )
+    names = df.select(group_col, F.explode(F.array_distinct(slots(text_col))).alias("name"))
+    return names.groupBy(group_col, "name").agg(F.count(F.lit(1)).alias("n_texts"))
 
 
 def template_variables(templates: DataFrame) -> DataFrame:
-    """Slot names per group from a template table, with Spark expressions."""
-    pattern = java_regex("\\{\\{(.*?)\\}\\}")
-    per_template = templates.select(
-        "group_id",
-        F.array_distinct(
-            F.flatten(F.transform("messages", lambda m: F.regexp_extract_all(F.coalesce(m["content"], F.lit("")), F.lit(pattern), 1)))
-        ).alias("vars"),
-    )
-    return per_template.groupBy("group_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("vars")))).alias("vars"))
+    """(group_id, n_templates, vars): the templates of a group and its sorted slot names."""
+    found = F.array_distinct(F.flatten(F.transform("messages", lambda m: slots(m["content"]))))
+    names = templates.select("group_id", "template_id", F.explode_outer(found).alias("name"))
+    return names.groupBy("group_id").agg(F.countDistinct("template_id").alias("n_templates"), F.array_sort(F.collect_set("name")).alias("vars"))
 
 
 def fill_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -186,72 +131,54 @@ def fill_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _value(df: DataFrame, name: str) -> Column:
-    """Column value as text; null, '' and numeric zero count as missing."""
-    f = df.schema[name]
+    """Column value as text; null, '', NaN and numeric zero count as missing."""
+    kind = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(f.dataType, T.NumericType):
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when((c != 0) & ~F.isnan(c), c.cast("string"))
+    if isinstance(kind, T.NumericType):
         return F.when(c != 0, c.cast("string"))
-    if isinstance(f.dataType, T.BooleanType):
+    if isinstance(kind, T.BooleanType):
         return F.when(c, F.lit("True"))
     return F.when(c.cast("string") != "", c.cast("string"))
 
 
 def expand(df: DataFrame, groups, key_col: str = "row_key", seed: int = 0) -> DataFrame:
-    """One row per (row, group) with the picked template, filled messages and the
-    first bad variable (null when the pair is accepted)."""
-    all_vars = sorted({v for g in groups for v in group_variables(g)})
-    present = [v for v in all_vars if v in df.columns]
+    """One row per (row, group) with the id of the picked template, filled messages and
+    the first bad variable (null when the pair is accepted)."""
+    templates = template_table(df.sparkSession, groups)
+    info = template_variables(templates)
+    # The names that templates use, from the caller's own (driver-side) templates.
+    used = [r[0] for r in info.select(F.explode("vars").alias("v")).distinct().orderBy("v").collect()]
+    present = [v for v in used if v in df.columns]
     values = F.create_map(*[x for v in present for x in (F.lit(v), _value(df, v))]) if present else F.create_map().cast("map<string,string>")
-    rows = df.select(F.col(key_col).alias("row_key"), values.alias("_vals"), F.explode(groups_literal(groups)).alias("_g"))
-    g = F.col("_g")
+    ids = [F.lit(i) for i, g in enumerate(groups) if g]
+    each = F.explode(F.array(*ids) if ids else F.array().cast("array<int>"))
+    rows = df.select(F.col(key_col).alias("row_key"), values.alias("_vals"), each.alias("group_id")).join(info, "group_id")
     vals = F.col("_vals")
-    pick = pick_index([F.col("row_key"), g["group_id"]], F.size(g["templates"]), seed)
-    bad = F.filter(g["vars"], lambda v: ~F.map_contains_key(vals, v) | vals[v].isNull())
-
-    out = rows.select(
-        "row_key",
-        g["group_id"].alias("group_id"),
-        pick.alias("template_id"),
-        F.get(bad, 0).alias("bad_variable"),
-        F.map_contains_key(vals, F.get(bad, 0)).alias("_found"),
-        g["templates"].alias("_templates"),
-        g["vars"].alias("_vars"),
-        vals,
-    )
-    return out.select(
-        "row_key",
-        "group_id",
-        "template_id",
-        "bad_variable",
-        F.when(F.col("bad_variable").isNull(), F.lit(None).cast("string"))
-        .when(F.col("_found"), F.lit(VALUE_NOT_VALID))
-        .otherwise(F.lit(VAR_NOT_FOUND))
-        .alias("reason"),
-        F.when(
-            F.col("bad_variable").isNull(),
-            F.transform(F.element_at(F.col("_templates"), F.col("template_id") + 1), lambda m: _fill(m, F.col("_vars"), vals)),
-        ).alias("messages"),
+    bad = F.get(F.filter("vars", lambda v: ~F.map_contains_key(vals, v) | vals[v].isNull()), 0)
+    pick = pick_index([F.col("row_key"), F.col("group_id")], F.col("n_templates"), seed)
+    pairs = rows.select("row_key", "group_id", pick.alias("template_id"), bad.alias("bad_variable"), "vars", "_vals")
+    reason = F.when(F.col("bad_variable").isNotNull(), F.when(F.map_contains_key(vals, F.col("bad_variable")), VALUE_NOT_VALID).otherwise(VAR_NOT_FOUND))
+    filled = F.transform("messages", lambda m: m.withField("content", _filled(m["content"], F.col("vars"), vals)))
+    return pairs.join(templates, ["group_id", "template_id"]).select(
+        "row_key", "group_id", "template_id", "bad_variable", reason.alias("reason"), F.when(F.col("bad_variable").isNull(), filled).alias("messages")
     )
 
 
-def _fill(m: Column, vars_: Column, vals: Column) -> Column:
-    content = F.aggregate(
-        vars_, m["content"], lambda acc, v: F.replace(acc, F.concat(F.lit("{{"), v, F.lit("}}")), F.coalesce(vals[v], F.lit("")))
-    )
-    return F.struct(m["role"].alias("role"), content.alias("content"))
+def _filled(content: Column, names: Column, vals: Column) -> Column:
+    return F.aggregate(names, content, lambda text, v: F.replace(text, F.concat(F.lit("{{"), v, F.lit("}}")), F.coalesce(vals[v], F.lit(""))))
 
 
-def generate(
-    df: DataFrame, groups=None, key_col: str = "row_key", seed: int = 0, materialize_pairs: bool = False
-) -> tuple[DataFrame, DataFrame]:
+def generate(df: DataFrame, groups=None, key_col: str = "row_key", seed: int = 0, materialize_pairs: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): SFT records ``(row_key, group_id, template_id, messages)``
     and rejections ``(row_key, group_id, variable, reason)``.
 
-    Both come from one expansion; with ``materialize_pairs`` it is written once
+    Without ``groups`` the default templates are used; an empty list gives empty results.
+    Both outputs come from one expansion; with ``materialize_pairs`` it is written once
     to the checkpoint folder, so using both outputs does not expand twice.
     """
-    groups = groups or DEFAULT_TEMPLATE_GROUPS
-    pairs = expand(df, groups, key_col, seed)
+    pairs = expand(df, DEFAULT_TEMPLATE_GROUPS if groups is None else groups, key_col, seed)
     if materialize_pairs:
         from ..sources.io import materialize
 
@@ -261,3 +188,8 @@ def generate(
         "row_key", "group_id", F.col("bad_variable").alias("variable"), "reason"
     )
     return accepted, rejected
+
+
+def reject_counts(rejected: DataFrame) -> DataFrame:
+    """(reason, variable, n) of a reject log."""
+    return rejected.groupBy("reason", "variable").agg(F.count(F.lit(1)).alias("n"))

@@ -6,19 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.io import materialize
 from ..functions.text import as_col, html_escape, message_html, py_str, score_display
 
 REPORT_HEAD = (
-    "<!DOCTYPE html><html><head><style>"
-    ".message{padding:8px 16px;margin-bottom:8px;border-radius:4px}"
-    ".message.user{background-color:#B2DFDB}.message.assistant{background-color:#B39DDB}"
-    ".message.system{background-color:#EEEEEE}.role{font-weight:bold}"
-    "table,th,td{border:1px solid black}pre{white-space:pre-wrap}"
+    "<!DOCTYPE html><html lang=\"my\"><head><meta charset=\"utf-8\"><title>Evaluation report</title><style>"
+    "body{font-family:sans-serif;margin:2em auto;max-width:60em}"
+    ".message{border-left:3px solid #888;margin:.6em 0;padding-left:.8em}"
+    ".message.user{border-color:#2a6}"
+    ".message.assistant{border-color:#36c}"
+    ".role{color:#666;font-size:.85em}"
+    ".message pre{white-space:pre-wrap}"
+    "dl.result{display:grid;grid-template-columns:max-content 1fr;gap:.2em 1em}"
+    "table.metrics td{padding:.2em 1em .2em 0}"
     "</style></head><body>"
 )
 REPORT_TAIL = "</body></html>"
+EXAMPLE_END = "</article>"
 
 
 def messages_html(messages) -> Column:
@@ -26,19 +32,21 @@ def messages_html(messages) -> Column:
 
 
 def example_html(prompt_messages, response_text, correct_answer, extracted, score) -> Column:
-    """Prompt conversation, sampled reply and the result block of one example."""
+    """One example: what was asked, what the model replied, and how it was scored."""
+
+    def entry(name: str, value: Column) -> list[Column]:
+        return [F.lit(f"<dt>{name}</dt><dd>"), html_escape(py_str(value)), F.lit("</dd>")]
+
     return F.concat(
-        F.lit("<h3>Prompt conversation</h3>"),
+        F.lit("<article><h2>Asked</h2>"),
         messages_html(prompt_messages),
-        F.lit("<h3>Sampled message</h3>"),
+        F.lit("<h2>Replied</h2>"),
         message_html(F.lit("assistant"), response_text),
-        F.lit("<h3>Results</h3><p>Correct Answer: "),
-        html_escape(py_str(correct_answer)),
-        F.lit("</p><p>Extracted Answer: "),
-        html_escape(py_str(extracted)),
-        F.lit("</p><p>Score: "),
-        html_escape(py_str(as_col(score).cast("double"))),
-        F.lit("</p>"),
+        F.lit('<dl class="result">'),
+        *entry("score", as_col(score).cast("double")),
+        *entry("expected", as_col(correct_answer)),
+        *entry("found", as_col(extracted)),
+        F.lit("</dl>"),
     )
 
 
@@ -48,48 +56,58 @@ def metrics_table_rows(metrics_long: DataFrame, group_cols: Sequence[str] = ("ev
     is_score = F.col("metric") == "score"
     row = F.when(
         is_score,
-        F.concat(F.lit("<tr><td><b>Score</b></td><td>"), score_display(F.col("value")).cast("string"), F.lit("</td></tr>")),
+        F.concat(F.lit('<tr class="overall"><td>overall score</td><td>'), score_display(F.col("value")).cast("string"), F.lit("</td></tr>")),
     ).otherwise(
         F.concat(F.lit("<tr><td>"), html_escape(F.col("metric")), F.lit("</td><td>"), py_str(F.col("value")), F.lit("</td></tr>"))
     )
     return metrics_long.select(*g, F.when(is_score, 0).otherwise(1).alias("_o"), F.col("metric").alias("_m"), row.alias("line"))
 
 
+def _order_key(examples: DataFrame, order_col: str) -> Column:
+    """Integers padded to sort as text; any other key whole, as it is."""
+    whole = isinstance(examples.schema[order_col].dataType, T.IntegralType)
+    text = F.col(order_col).cast("string")
+    return F.lpad(text, 20, "0") if whole else text
+
+
 def report_lines(metrics_long: DataFrame, examples: DataFrame, order_col: str = "item_id", group_cols: Sequence[str] = ("eval_name", "model_name")) -> DataFrame:
     """``(group..., section, ord, sub, line)`` lines of one report per group.
 
-    The metrics table appears only for groups that have metrics other than the
-    score; every (eval, model) with metrics gets a report. Lines never gather
+    Every group that has metrics or examples gets a whole report; the metrics table
+    appears only for groups that have metrics other than the score. Lines never gather
     into one row: sorting by (section, ord, sub) within the group gives the
     file order (see ``write_reports``).
     """
     g = list(group_cols)
-    # The metrics table is small but costly to derive and is read five times
-    # below: write it once to the checkpoint folder.
+    # Both are read several times below and costly to derive: write them once.
     metrics_long = materialize(metrics_long, "report_metrics")
-    m = metrics_table_rows(metrics_long, g)
+    examples = materialize(examples.select(*g, _order_key(examples, order_col).alias("ord"), "html"), "report_examples")
     has_table = metrics_long.filter(F.col("metric") != "score").select(*g).distinct()
-    head_groups = metrics_long.select(*g).distinct()
-    head = head_groups.select(*g, F.lit(0).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"), F.lit(REPORT_HEAD).alias("line"))
-    table_open = has_table.select(
-        *g, F.lit(1).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"),
-        F.lit("<h1>Metrics</h1><table><tr><th>Metric</th><th>Value</th></tr>").alias("line"),
-    )
-    table_rows = m.join(has_table, g, "left_semi").select(
-        *g, F.lit(2).alias("section"), F.col("_o").cast("string").alias("ord"), F.col("_m").alias("sub"), "line"
-    )
-    table_close = has_table.select(*g, F.lit(3).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"), F.lit("</table>").alias("line"))
-    ex_head = head_groups.select(*g, F.lit(4).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"), F.lit("<h1>Examples</h1>").alias("line"))
-    ex = examples.select(
-        *g, F.lit(5).alias("section"), F.lpad(F.col(order_col).cast("string"), 20, "0").alias("ord"), F.lit("").alias("sub"),
-        F.concat(F.col("html"), F.lit("<hr>")).alias("line"),
-    )
-    tail = head_groups.select(*g, F.lit(6).alias("section"), F.lit("").alias("ord"), F.lit("").alias("sub"), F.lit(REPORT_TAIL).alias("line"))
-    return head.unionByName(table_open).unionByName(table_rows).unionByName(table_close).unionByName(ex_head).unionByName(ex).unionByName(tail)
+    groups = metrics_long.select(*g).unionByName(examples.select(*g)).distinct()
+
+    def line(rows: DataFrame, section: int, text, order="", sub="") -> DataFrame:
+        as_value = lambda x: x if isinstance(x, Column) else F.lit(x)
+        return rows.select(*g, F.lit(section).alias("section"), as_value(order).alias("ord"), as_value(sub).alias("sub"), as_value(text).alias("line"))
+
+    table = metrics_table_rows(metrics_long, g).join(has_table, g, "left_semi")
+    parts = [
+        line(groups, 0, REPORT_HEAD),
+        line(has_table, 1, '<section><h1>Scores</h1><table class="metrics">'),
+        line(table, 2, F.col("line"), F.col("_o").cast("string"), F.col("_m")),
+        line(has_table, 3, "</table></section>"),
+        line(groups, 4, "<section><h1>Answers</h1>"),
+        line(examples, 5, F.concat(F.col("html"), F.lit(EXAMPLE_END)), F.col("ord")),
+        line(groups, 6, "</section>" + REPORT_TAIL),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def write_reports(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eval_name", "model_name"), num_partitions: int | None = None) -> None:
-    """One text folder per (eval, model), lines in report order.
+    """One text folder per (eval, model), lines in report order; a rerun replaces the
+    folders of its groups and leaves others alone.
 
     Range partitioning on the full sort key splits a large group over many
     tasks (a group is never forced into one task); part files then follow the
@@ -101,7 +119,8 @@ def write_reports(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eva
     (
         parts.sortWithinPartitions(*order)
         .select(*g, F.col("line").alias("value"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*g)
         .text(root)
     )

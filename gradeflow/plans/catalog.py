@@ -19,9 +19,9 @@ from ..functions.text import judge_verdict, message_html, normalize_response
 from ..operators.aggregate import aggregate_results, leaderboard as pivot_board
 from ..operators.distil import run_distillation
 from ..operators.evaluate import score_exam, score_mmlu
-from ..operators.generate import DEFAULT_TEMPLATE_GROUPS, generate
+from ..operators.generate import DEFAULT_TEMPLATE_GROUPS, fill_missing, generate, reject_counts
 from ..operators.grade import grade_with_model
-from ..operators.inference import CallPolicy, retry_rate_limit
+from ..operators.inference import CallPolicy, bad_request_fallback, batch_chat, retry_any, retry_rate_limit
 from ..operators.prompts import (
     alpaca_prompt,
     conversation,
@@ -33,9 +33,9 @@ from ..operators.prompts import (
     simple_prompt,
     typed_prompt,
 )
-from ..operators.report import example_html, markdown_lines, report_lines
+from ..operators.report import EXAMPLE_END, example_html, markdown_lines, report_lines
 from ..operators.sample import debug_head, sample_fixed
-from ..session import scratch_path
+from ..session import scratch_path, spread_to
 from ..sources import io as IO
 from ..sources import standins as S
 
@@ -92,6 +92,40 @@ def judge_chat(messages: list[dict]) -> str:
     return "Yes" if n % 3 == 0 else " no\n"
 
 
+def flaky_label_chat(messages: list[dict]) -> str:
+    """As ``label_chat``, but fails on prompt lengths = 3 (mod 7)."""
+    if len(messages[-1]["content"]) % 7 == 3:
+        raise ValueError("synthetic failure")
+    return label_chat(messages)
+
+
+def down_chat(messages: list[dict]) -> str:
+    raise ConnectionError("synthetic outage")
+
+
+def flaky_rubric_chat(messages: list[dict]) -> str:
+    """As ``rubric_chat``, but fails on prompt lengths divisible by 5."""
+    if len(messages[-1]["content"]) % 5 == 0:
+        raise ValueError("synthetic failure")
+    return rubric_chat(messages)
+
+
+class BadRequestError(Exception):
+    """What model clients raise for a request they refuse."""
+
+
+def limited_chat(messages: list[dict]) -> str:
+    """Over the limit, refused, failing or answered, by prompt length."""
+    n = len(messages[-1]["content"])
+    if n % 5 == 0:
+        raise RuntimeError("rate Limit reached")
+    if n % 7 == 0:
+        raise BadRequestError("refused")
+    if n % 11 == 0:
+        raise ValueError("synthetic failure")
+    return f"reply {n}"
+
+
 E2E_MODELS = {"ma": label_chat, "mb": word_chat}
 
 
@@ -101,21 +135,36 @@ def _stats_out(agg: DataFrame, eval_name: str, group_cols=("model_name",)) -> Da
     return agg.select(F.lit(eval_name).alias("eval_name"), *group_cols, "metric", F.round("value", DIGITS).alias("value"))
 
 
-def _resp_key():
-    return [F.col("l_orderkey"), F.col("l_linenumber")]
+QUESTION_COLUMNS = ["question", "option_a", "option_b", "option_c"]
 
 
-def exam_scored(spark: SparkSession, sf_dir: str, types=DEFAULT_EXAM_TYPES) -> DataFrame:
-    """Recorded responses joined to their items (equi-join on item_id) and scored."""
-    items = filter_types(S.exam_items(spark, sf_dir), types).select("item_id", "type", "answer")
+def exam_scored(spark: SparkSession, sf_dir: str, types=DEFAULT_EXAM_TYPES, more=()) -> DataFrame:
+    """Recorded responses joined once to their items (with ``more`` item columns) and scored."""
+    items = filter_types(S.exam_items(spark, sf_dir), types).select("item_id", "type", "answer", *more)
     return score_exam(S.model_responses(spark, sf_dir).join(items, "item_id"))
 
 
+def exam_messages():
+    return pack_messages(typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c")))
+
+
 def mmlu_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = S.mmlu_items(spark, sf_dir).select("item_id", "sample_id", "answer")
     return score_mmlu(S.model_responses(spark, sf_dir).join(items, "item_id"))
 
 
+def both_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of both evaluations from one scan, one join and one normalisation of the responses."""
+    responses = S.model_responses(spark, sf_dir).withColumn("response_text", normalize_response(F.col("response")))
+    rows = responses.join(S.item_answers(spark, sf_dir), "item_id")
+    keep = ["model_name", "type", "response_text", "sample_id", "mmlu_answer"]
+    exam = score_exam(rows, normalized=True).select(*keep, F.struct(F.lit(EXAM).alias("eval_name"), "score", "metrics").alias("exam"))
+    both = score_mmlu(exam, answer_col="mmlu_answer", normalized=True)
+    scores = F.array(F.when(F.col("type").isin(list(DEFAULT_EXAM_TYPES)), F.col("exam")), F.struct(F.lit(MMLU).alias("eval_name"), "score", "metrics"))
+    long = both.select("model_name", F.inline(F.filter(scores, lambda x: x.isNotNull())))
+    return aggregate_results(long, ["eval_name", "model_name"]).select("eval_name", "model_name", "metric", F.round("value", DIGITS).alias("value"))
+
+
 # --- evaluation ----------------------------------------------------------------
 
 def eval_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +187,7 @@ def metric_stats_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headline score per model (rows) and eval (columns)."""
-    metrics = eval_scorecard(spark, sf_dir).unionByName(category_metrics(spark, sf_dir))
-    return pivot_board(metrics, [EXAM, MMLU])
+    return pivot_board(both_metrics(spark, sf_dir), [EXAM, MMLU])
 
 
 def leaderboard_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +198,7 @@ def _e2e_run(spark: SparkSession, sf_dir: str):
     from .evals import run
 
     items = {MMLU: S.mmlu_items(spark, sf_dir), EXAM: S.exam_items(spark, sf_dir)}
-    return run(E2E_MODELS, items, policy=NO_RETRY)
+    return run(E2E_MODELS, items, policy=NO_RETRY, num_partitions=spread_to(spark), n_chunks=1)
 
 
 def eval_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,22 +218,62 @@ def stream_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     Responses land as files; each micro-batch (one file) is scored against the
     static item table and folded into running (n, sum) state per (model, metric).
     """
-    import uuid
-
-    from ..streaming.distil_stream import score_stream
+    from ..streaming.distil_stream import latest_scores, score_stream
 
     src = scratch_path(spark, "stream_responses")
     S.model_responses(spark, sf_dir).write.parquet(src)
     responses = spark.read.parquet(src)
     items = filter_types(S.exam_items(spark, sf_dir), DEFAULT_EXAM_TYPES)
-    name = "stream_scorecard_" + uuid.uuid4().hex[:8]
-    q = score_stream(spark, src, responses.schema, items, name, max_files_per_trigger=2)
+    out = scratch_path(spark, "stream_scores")
+    q = score_stream(spark, src, responses.schema, items, out, max_files_per_trigger=2)
     q.awaitTermination()
-    return spark.table(name).select(
+    return latest_scores(spark, out).select(
         F.lit(EXAM).alias("eval_name"), "model_name", "metric", "n", F.round(F.col("sum") / F.col("n"), DIGITS).alias("value")
     )
 
 
+def eval_run_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in which calls and grades fail by rule: what its statistics leave out."""
+    from .evals import run
+
+    out = run(
+        {"ma": flaky_label_chat, "mb": down_chat}, {EXAM: S.exam_items(spark, sf_dir)}, grader=flaky_rubric_chat, exam_types=None,
+        policy=NO_RETRY, num_partitions=spread_to(spark), n_chunks=1,
+    )
+    return out.counts.join(out.leaderboard, "model_name").select("eval_name", "model_name", "n_rows", "n_errors", "n_invalid_grades", F.col(EXAM).isNull().alias("no_score"))
+
+
+def eval_run_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run twice on one output folder: the metrics and reports read back from
+    its files are those of one run."""
+    from .evals import run
+
+    root = scratch_path(spark, "rerun")
+    for _ in range(2):
+        run(E2E_MODELS, {MMLU: S.mmlu_items(spark, sf_dir)}, policy=NO_RETRY, out_root=root, num_partitions=spread_to(spark), n_chunks=2)
+    keys = ["eval_name", "model_name"]
+    metrics = IO.read_metrics(spark, f"{root}/metrics", run_mode="full").select(*keys, "metric", F.round("value", DIGITS).alias("value"))
+    lines = spark.read.text(f"{root}/reports/run_mode=full")
+    counts = lines.groupBy(*keys).agg(
+        F.count_if(F.col("value").startswith("<!DOCTYPE")).cast("double").alias("report heads"),
+        F.count_if(F.col("value").endswith(EXAMPLE_END)).cast("double").alias("report examples"),
+    )
+    return metrics.unionByName(counts.unpivot(keys, ["report heads", "report examples"], "metric", "value"))
+
+
+def retry_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls that fail by rule under two policies: only rate limits are tried again and a
+    bad request has a fixed reply, or every error is tried again."""
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", pack_messages(F.col("text")).alias("messages"))
+    careful = CallPolicy(max_attempts=3, backoff_base=0.0, retryable=retry_rate_limit, fallback=bad_request_fallback)
+    stubborn = CallPolicy(max_attempts=2, backoff_base=0.0, retryable=retry_any)
+    parts = [
+        batch_chat(docs, limited_chat, ["doc_id"], policy=p, concurrency=c, num_partitions=spread_to(spark)).select(F.lit(name).alias("policy"), "*")
+        for name, p, c in (("careful", careful, 4), ("stubborn", stubborn, 1))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def exact_match_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-response score over all exam types (null answer + nothing extracted = 1.0)."""
     items = S.exam_items(spark, sf_dir).select("item_id", "type", "answer")
@@ -222,16 +310,8 @@ def chat_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def convo_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt messages plus the normalised reply, one row per message."""
-    scored = exam_scored(spark, sf_dir, types=None)
-    items = S.exam_items(spark, sf_dir).select("item_id", "question", "option_a", "option_b", "option_c")
-    rows = scored.join(items, "item_id").select(
-        "l_orderkey",
-        "l_linenumber",
-        conversation(
-            pack_messages(typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c"))),
-            F.col("response_text"),
-        ).alias("c"),
-    )
+    scored = exam_scored(spark, sf_dir, types=None, more=QUESTION_COLUMNS)
+    rows = scored.select("l_orderkey", "l_linenumber", conversation(exam_messages(), F.col("response_text")).alias("c"))
     return rows.select("l_orderkey", "l_linenumber", F.posexplode("c").alias("pos", "msg")).select(
         "l_orderkey", "l_linenumber", "pos", F.col("msg.role").alias("role"), F.col("msg.content").alias("content")
     )
@@ -242,19 +322,14 @@ def message_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conv.select("conv_id", "turn", message_html(F.col("role"), F.col("text")).alias("html"))
 
 
-def exam_examples_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored responses with the HTML of each example (items joined on their unique id)."""
-    scored = exam_scored(spark, sf_dir)
-    items = S.exam_items(spark, sf_dir).select("item_id", "question", "option_a", "option_b", "option_c")
-    rows = scored.join(items, "item_id")
-    msgs = pack_messages(typed_prompt(F.col("type"), F.col("question"), F.col("option_a"), F.col("option_b"), F.col("option_c")))
-    return rows.withColumn(
-        "html", example_html(msgs, F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score"))
-    )
+def examples_html(scored: DataFrame) -> DataFrame:
+    """The HTML of each scored response with its question."""
+    html = example_html(exam_messages(), F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score"))
+    return scored.withColumn("html", html)
 
 
 def example_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exam_examples_html(spark, sf_dir).select("l_orderkey", "l_linenumber", "html")
+    return examples_html(exam_scored(spark, sf_dir, more=QUESTION_COLUMNS)).select("l_orderkey", "l_linenumber", "html")
 
 
 def grader_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +351,7 @@ def judge_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.grade import equality_judge
 
     scored = exam_scored(spark, sf_dir)
-    out = equality_judge(scored, judge_chat, ["l_orderkey", "l_linenumber"], "extracted", "answer", policy=NO_RETRY)
+    out = equality_judge(scored, judge_chat, ["l_orderkey", "l_linenumber"], "extracted", "answer", policy=NO_RETRY, num_partitions=spread_to(spark))
     return out.select("l_orderkey", "l_linenumber", "equal")
 
 
@@ -355,6 +430,28 @@ def answer_extract_english(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers found behind whole document texts."""
+    docs = S.spread(S.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    k = F.col("doc_id")
+    letter = F.substring(F.lit("ကခဂဃ"), (k % 4 + 1).cast("int"), 1)
+    answer = F.when(k % 3 == 0, F.concat(F.lit("("), letter, F.lit(")"))).when(k % 3 == 1, F.lit("မှန်")).otherwise(F.concat(F.lit("(word "), k.cast("string"), F.lit(")")))
+    t = normalize_response(F.concat(F.coalesce("text", F.lit("")), F.lit("\n**အဖြေ: "), answer, F.lit("**")))
+    rows = docs.select("doc_id", t.alias("t"))
+    return rows.select("doc_id", X.extract_mcq(F.col("t")).alias("mcq"), X.extract_tof(F.col("t")).alias("tof"), X.extract_fib(F.col("t")).alias("fib"))
+
+
+def exam_mcq_word_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiple choice whose answer is a text with regex characters, given in either case."""
+    k = F.col("p_partkey")
+    answer = F.concat(F.lit("["), F.col("p_brand"), F.lit(".*+?|^)"))
+    given = F.when(k % 4 == 0, answer).when(k % 4 == 1, F.lower(answer)).when(k % 4 == 2, F.lit("ခ")).otherwise(F.col("p_brand"))
+    rows = S.spread(S.table(spark, sf_dir, "part").select("p_partkey", "p_brand")).select(
+        k.alias("item_id"), answer.alias("answer"), normalize_response(F.concat(F.lit("so\nအဖြေ : ("), given, F.lit(") end"))).alias("t")
+    )
+    return rows.select("item_id", X.extract_exam_mcq(F.col("t"), F.col("answer")).alias("extracted"))
+
+
 # --- rubric ----------------------------------------------------------------------
 
 def rubric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,6 +479,12 @@ def rubric_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def graded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each graded answer with its metrics as JSON text."""
+    rows = S.grader_outputs(spark, sf_dir).select("doc_id", "grade_output", F.lit("SHORT_QNA").alias("type"), F.lit("").alias("answer"), F.lit("").alias("response"))
+    return score_exam(rows, grade_output_col="grade_output").select("doc_id", "extracted", F.round("score", DIGITS).alias("score"), "grade_valid")
+
+
 def rubric_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean/std of the SHORT_QNA metrics and score per label quality; invalid grades excluded."""
     r = rubric_rows(spark, sf_dir).join(S.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
@@ -395,7 +498,7 @@ def model_graded_exam(spark: SparkSession, sf_dir: str) -> DataFrame:
     resp = S.model_responses(spark, sf_dir).join(items, "item_id").withColumn("response_text", normalize_response(F.col("response")))
     # The response key is not unique, so the grader call carries what scoring needs.
     carry = ["model_name", "type", "answer", "response_text"]
-    grades = IO.materialize(grade_with_model(resp, rubric_chat, carry, policy=NO_RETRY), "grades")
+    grades = IO.materialize(grade_with_model(resp, rubric_chat, carry, policy=NO_RETRY, num_partitions=spread_to(spark)), "grades")
     scored = score_exam(grades.withColumn("response", F.col("response_text")), grade_output_col="grade_output")
     return _stats_out(aggregate_results(scored, ["model_name"]), EXAM)
 
@@ -420,11 +523,13 @@ def _explode_messages(df: DataFrame) -> DataFrame:
 
 
 def template_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Template slot discovery over whole document texts, per source."""
+    """Template slots of whole document texts that hold some by rule, per source."""
     from ..operators.generate import corpus_variables
 
-    docs = S.spread(S.table(spark, sf_dir, "documents").select("source", "text"))
-    return corpus_variables(docs, "text", "source")
+    k = F.col("doc_id")
+    slot = F.when(k % 3 == 0, "{{lang}} {{lang}}").when(k % 3 == 1, F.concat(F.lit("{{ title }} {{v"), (k % 7).cast("string"), F.lit("}}"))).otherwise("{lang}} {{open\n}}")
+    docs = S.spread(S.table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return corpus_variables(docs.select("source", F.concat("text", slot).alias("text")), "text", "source")
 
 
 def template_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +542,23 @@ def template_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected
 
 
+def template_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejections by reason; the column of one variable is missing."""
+    _, rejected = generate(S.dictionary(spark, sf_dir).drop("origin"), DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
+    return reject_counts(rejected)
+
+
+def dictionary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary file with other columns and another order, read by name and generated from."""
+    path = scratch_path(spark, "dictionary_csv")
+    words = S.dictionary(spark, sf_dir)
+    IO.write_csv(words.select(F.lit("x,\"y\"\nz").alias("note"), "origin", "word", "meaning", "pos", "phonetics", F.col("row_key").cast("string").alias("row_key")), path)
+    names = ["row_key", "word", "phonetics", "meaning", "pos", "origin"]
+    rows = fill_missing(IO.read_csv(spark, path, names), names[1:]).withColumn("row_key", F.col("row_key").cast("bigint"))
+    accepted, _ = generate(rows, DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
+    return _explode_messages(accepted)
+
+
 def sft_jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, _ = generate(S.dictionary(spark, sf_dir), DEFAULT_TEMPLATE_GROUPS, "row_key", SEED)
     path = scratch_path(spark, "sft_jsonl")
@@ -466,7 +588,9 @@ def distil_prompt_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _distil(spark, sf_dir, chat=echo_chat, results_path=None):
     df = S.distil_input(spark, sf_dir)
-    return run_distillation(df, chat, key_col="row_key", formatter=alpaca_prompt, results_path=results_path, policy=NO_RETRY, n_chunks=2)
+    return run_distillation(
+        df, chat, key_col="row_key", formatter=alpaca_prompt, results_path=results_path, policy=NO_RETRY, n_chunks=2, num_partitions=spread_to(spark)
+    )
 
 
 def distil_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,6 +612,17 @@ def distil_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _distil(spark, sf_dir, echo_chat, path).stats
 
 
+def distil_null_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input without an output column, and a formatter that gives no prompt for some rows:
+    these are error rows. Then the same input again, overwritten: every row is called anew."""
+    df = S.distil_input(spark, sf_dir).drop("output")
+    path = scratch_path(spark, "distil_null")
+    more = dict(key_col="row_key", formatter=F.when(F.col("row_key") % 4 != 0, F.col("instruction")), results_path=path, policy=NO_RETRY, n_chunks=2, num_partitions=spread_to(spark))
+    first = run_distillation(df, echo_chat, **more)
+    again = run_distillation(first.final, echo_chat, overwrite=True, **more)
+    return first.stats.select(F.lit("first").alias("run"), "*").unionByName(again.stats.select(F.lit("overwrite").alias("run"), "*"))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distillation input through the CSV sink and back (quoted newlines, spaces kept)."""
     df = S.distil_input(spark, sf_dir)
@@ -500,7 +635,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- metrics files and reports ------------------------------------------------------
 
 def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = eval_scorecard(spark, sf_dir).unionByName(category_metrics(spark, sf_dir))
+    metrics = both_metrics(spark, sf_dir)
     root = scratch_path(spark, "metrics")
     IO.write_metrics(metrics, root)
     back = IO.read_metrics(spark, root)
@@ -508,13 +643,13 @@ def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report lines of the exam evaluation: metrics table and one line per example."""
-    metrics = eval_scorecard(spark, sf_dir)
-    ex = exam_examples_html(spark, sf_dir).select(
-        F.lit(EXAM).alias("eval_name"), "model_name",
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"), "html",
-    )
-    return report_lines(metrics, ex)
+    """Report lines of the exam evaluation: the responses are scored once, and both the
+    statistics and the examples (ordered by a text id) come from the scored rows."""
+    scored = exam_scored(spark, sf_dir, more=QUESTION_COLUMNS)
+    scored = IO.materialize(scored.select("l_orderkey", "l_linenumber", "model_name", "type", "answer", *QUESTION_COLUMNS, "response_text", "extracted", "score", "metrics"), "scored")
+    metrics = _stats_out(aggregate_results(scored, ["model_name"]), EXAM)
+    item = F.concat(F.lit("response-to-order-line-"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"))
+    return report_lines(metrics, examples_html(scored).select(F.lit(EXAM).alias("eval_name"), "model_name", item.alias("item_id"), "html"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -528,6 +663,15 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_scorecard": stream_scorecard,
         "eval_run_metrics": eval_run_metrics,
         "eval_run_leaderboard": eval_run_leaderboard,
+        "eval_run_failures": eval_run_failures,
+        "eval_run_rerun": eval_run_rerun,
+        "retry_policies": retry_policies,
+        "extract_documents": extract_documents,
+        "exam_mcq_word_answer": exam_mcq_word_answer,
+        "graded_rows": graded_rows,
+        "template_reject_counts": template_reject_counts,
+        "dictionary_csv": dictionary_csv,
+        "distil_null_prompts": distil_null_prompts,
         "judge_equality": judge_equality,
         "multimodal_parts": multimodal_parts,
         "mcq_prompt_4": mcq_prompt_4,

@@ -25,9 +25,11 @@ from ..operators.prompts import conversation, filter_types, mcq_prompt, pack_mes
 from ..operators.report import example_html, markdown_lines, report_lines, write_reports
 from ..operators.sample import sample_capped, sample_fixed
 from ..session import scratch_path
-from ..sources.io import materialize, write_metrics
+from ..operators.distil import DEFAULT_CHUNKS
+from ..sources.io import materialize, path_exists, write_metrics
 
 Chat = Callable[[list[dict]], str]
+EVAL_LANGUAGE = "MYA"
 
 
 def mmlu_prompts(items: DataFrame) -> DataFrame:
@@ -47,6 +49,9 @@ def with_models(items: DataFrame, models: Sequence[str], eval_name: str) -> Data
     )
 
 
+REPLY_SCHEMA = "eval_name string, model_name string, item_id {item}, prompt_hash string, response string, error string, attempts int, call_time timestamp"
+
+
 def call_models(
     requests: DataFrame,
     samplers: dict[str, Chat],
@@ -54,66 +59,95 @@ def call_models(
     concurrency: int = 1,
     num_partitions: int | None = None,
     responses_path: str | None = None,
-    n_chunks: int = 1,
+    n_chunks: int = DEFAULT_CHUNKS,
 ) -> DataFrame:
     """Model replies for (eval, model, item) requests, appended chunk by chunk.
 
-    With a ``responses_path`` of an earlier (interrupted) run, pairs that already
-    have a reply are not called again (``left_anti``), so a crash loses at most
-    the chunk in flight; failed calls are retried on the next run.
+    The work list is written once, by chunk, without the requests that an earlier run at
+    ``responses_path`` has answered for the same prompt (the key holds its hash, so a
+    changed prompt is asked again); a crash loses at most the chunk in flight, and failed
+    calls are repeated by the next run. One reply per request is returned: a good one if
+    any run made it, else the latest error.
     """
-    keys = ["eval_name", "model_name", "item_id"]
     spark = requests.sparkSession
     path = responses_path or scratch_path(spark, "responses")
-    calls = requests.select(*keys, F.col("prompt_messages").alias("messages"))
-    resumed = True
-    try:
-        done = spark.read.parquet(path).filter(F.col("error").isNull()).select(*keys).distinct()
-        calls = calls.join(done, keys, "left_anti")
-    except Exception:  # noqa: BLE001 - first run: nothing answered yet
-        resumed = False
+    keys = ["eval_name", "model_name", "item_id", "prompt_hash"]
+    schema = REPLY_SCHEMA.format(item=requests.schema["item_id"].dataType.simpleString())
+
+    def replies() -> DataFrame:
+        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+    calls = requests.select("eval_name", "model_name", "item_id", F.md5(F.to_json("prompt_messages")).alias("prompt_hash"), F.col("prompt_messages").alias("messages"))
+    todo = calls.join(replies().filter(F.col("error").isNull()).select(*keys).distinct(), keys, "left_anti")
+    todo = todo.withColumn("_chunk", F.pmod(F.hash(*keys), F.lit(n_chunks)))
+    todo_path = scratch_path(spark, "requests")
+    todo.write.partitionBy("_chunk").parquet(todo_path)
+    todo = spark.read.schema(todo.schema).parquet(todo_path)
     for chunk in range(n_chunks):
-        part = calls.filter(F.pmod(F.hash(*keys), F.lit(n_chunks)) == chunk) if n_chunks > 1 else calls
+        part = todo.filter(F.col("_chunk") == chunk)
         out = batch_chat(part, samplers, keys, model_col="model_name", policy=policy, concurrency=concurrency, num_partitions=num_partitions)
-        out.write.mode("append").parquet(path)
-    answered = spark.read.parquet(path)
-    if not resumed:
-        return answered  # chunks are disjoint: one reply per pair already
-    # After a resume: one reply per pair, a good one if any run produced it.
-    best = answered.groupBy(*keys).agg(
-        F.max_by(F.struct("response", "error", "attempts"), F.col("error").isNull()).alias("r")
-    )
-    return best.select(*keys, "r.response", "r.error", "r.attempts")
+        out.withColumn("call_time", F.current_timestamp()).write.mode("append").parquet(path)
+    best = F.max_by(F.struct("response", "error", "attempts"), F.struct(F.col("error").isNull(), "call_time"))
+    asked = replies().join(calls.select(*keys), keys, "left_semi")
+    return asked.groupBy(*keys).agg(best.alias("r")).select("eval_name", "model_name", "item_id", "r.response", "r.error", "r.attempts")
 
 
 def finish_examples(scored: DataFrame) -> DataFrame:
-    """Add the conversation and the HTML of each example."""
+    """Add the conversation and the HTML of each example (for a report; not stored)."""
     return scored.withColumn("convo", conversation(F.col("prompt_messages"), F.col("response_text"))).withColumn(
         "html", example_html(F.col("prompt_messages"), F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score"))
     )
 
 
+def language_guard(name: str, language: str) -> None:
+    """Both evals hold Burmese questions and answers only."""
+    if language != EVAL_LANGUAGE:
+        raise ValueError(f"{name} has no questions in {language!r}")
+
+
 def mmlu_examples(items: DataFrame, responses: DataFrame) -> DataFrame:
-    joined = responses.join(mmlu_prompts(items), "item_id")
-    return finish_examples(score_mmlu(joined))
+    """Scored replies with the prompt of their item."""
+    return score_mmlu(responses.join(mmlu_prompts(items), "item_id"))
 
 
 def exam_examples(items: DataFrame, responses: DataFrame, grades: DataFrame | None = None) -> DataFrame:
+    """Scored replies with the prompt of their item; ``grades`` of the model-graded ones."""
     joined = responses.join(exam_prompts(items), "item_id")
-    if grades is not None:
-        joined = joined.join(grades, ["eval_name", "model_name", "item_id"], "left")
-        return finish_examples(score_exam(joined, grade_output_col="grade_output"))
-    return finish_examples(score_exam(joined))
+    if grades is None:
+        return score_exam(joined)
+    return score_exam(joined.join(grades, ["eval_name", "model_name", "item_id"], "left"), grade_output_col="grade_output")
 
 
 @dataclass
 class RunResult:
-    examples: DataFrame  # per (eval, model, item): response, extracted, score, metrics, html, convo
+    examples: DataFrame  # per (eval, model, item): prompt, response, extracted, score, metrics, errors
     metrics: DataFrame  # (eval_name, model_name, metric, value)
-    leaderboard: DataFrame  # model_name x eval_name
+    counts: DataFrame  # (eval_name, model_name, n_rows, n_errors, n_invalid_grades)
+    leaderboard: DataFrame  # model_name x eval_name; null where every call failed
     markdown: DataFrame  # leaderboard as markdown lines
 
 
+EXAMPLE_COLUMNS = ["eval_name", "model_name", "item_id", "prompt_messages", "response_text", "answer", "extracted", "score", "metrics", "error", "grade_error", "grade_valid"]
+
+
+def failure_counts(examples: DataFrame) -> DataFrame:
+    """What the statistics of each (eval, model) leave out: failed calls, and grades that
+    the grader failed to give or gave in no valid form."""
+    invalid = F.col("error").isNull() & (F.col("grade_error").isNotNull() | (F.col("grade_valid") == F.lit(False)))
+    return examples.groupBy("eval_name", "model_name").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("error").isNotNull()).alias("n_errors"),
+        F.count_if(invalid).alias("n_invalid_grades"),
+    )
+
+
+def with_failed(metrics: DataFrame, counts: DataFrame) -> DataFrame:
+    """A null ``score`` for every (eval, model) without any, so that it stays on the board."""
+    keys = ["eval_name", "model_name"]
+    none = counts.join(metrics.filter(F.col("metric") == "score"), keys, "left_anti")
+    return metrics.unionByName(none.select(*keys, F.lit("score").alias("metric"), F.lit(None).cast("double").alias("value")))
+
+
 def run(
     samplers: dict[str, Chat],
     items_by_eval: dict[str, DataFrame],
@@ -126,16 +160,21 @@ def run(
     policy: CallPolicy | None = None,
     concurrency: int = 1,
     num_partitions: int | None = None,
-    n_chunks: int = 1,
+    n_chunks: int = DEFAULT_CHUNKS,
+    strict: bool = False,
+    language: str = EVAL_LANGUAGE,
 ) -> RunResult | None:
     """Evaluate every model on every known eval; write metrics and reports.
 
-    With ``out_root`` the replies are kept under ``out_root/responses`` and a
-    rerun with the same ``out_root`` only calls what is still missing.
+    Failed calls and invalid grades are left out of the statistics and counted in
+    ``counts``; with ``strict`` any of them fails the run (after the replies are saved).
+    With ``out_root`` the replies are kept under ``out_root/responses``: a rerun only
+    calls what is still missing, and replaces its own metrics and reports.
     """
     names = []
     for name in items_by_eval:
         if name in EVAL_NAMES:
+            language_guard(name, language)
             names.append(name)
         else:
             warnings.warn(f"Unrecognized evaluation '{name}'. Skipping.")
@@ -147,20 +186,21 @@ def run(
     for name in names:
         items = items_by_eval[name]
         if name == "mg12l":
-            items = sample_capped(filter_types(items, exam_types), "item_id", n, seed)
+            if grader is None and "SHORT_QNA" in (exam_types or ["SHORT_QNA"]):
+                items = without_graded(items, exam_types)
+            # The chosen items are used for prompts, grades and scores: choose them once.
+            items = materialize(sample_capped(filter_types(items, exam_types), "item_id", n, seed), "items")
             prompts = exam_prompts(items)
         else:
-            items = sample_fixed(items, "item_id", n, seed)
+            items = materialize(sample_fixed(items, "item_id", n, seed), "items")
             prompts = mmlu_prompts(items)
         responses_path = f"{out_root}/responses/{name}" if out_root else None
-        responses = call_models(
-            with_models(prompts, models, name), samplers, policy, concurrency, num_partitions, responses_path, n_chunks
-        )
+        responses = call_models(with_models(prompts, models, name), samplers, policy, concurrency, num_partitions, responses_path, n_chunks)
         responses = responses.select("eval_name", "model_name", "item_id", "response", "error")
         if name == "mg12l":
             grades = None
             if grader is not None:
-                short = responses.join(items.filter(F.col("type") == "SHORT_QNA"), "item_id")
+                short = responses.filter(F.col("error").isNull()).join(items.filter(F.col("type") == "SHORT_QNA"), "item_id")
                 short = short.withColumn("response_text", normalize_response(F.col("response")))
                 grades = materialize(
                     grade_with_model(short, grader, ["eval_name", "model_name", "item_id"], policy=policy), "grades"
@@ -168,18 +208,31 @@ def run(
             ex = exam_examples(items, responses, grades)
         else:
             ex = mmlu_examples(items, responses)
-        all_examples.append(
-            ex.select("eval_name", "model_name", "item_id", "response_text", "extracted", "score", "metrics", "html", "convo", "error")
-        )
+        for c, kind in (("grade_error", "string"), ("grade_valid", "boolean")):
+            if c not in ex.columns:
+                ex = ex.withColumn(c, F.lit(None).cast(kind))
+        all_examples.append(ex.select(*EXAMPLE_COLUMNS))
     examples_df = all_examples[0]
     for e in all_examples[1:]:
         examples_df = examples_df.unionByName(e)
     examples_df = materialize(examples_df, "examples")
-    metrics = aggregate_results(examples_df.filter(F.col("error").isNull()), ["eval_name", "model_name"])
+    counts = failure_counts(examples_df)
+    if strict and (failed := counts.filter("n_errors > 0 or n_invalid_grades > 0").collect()):
+        raise RuntimeError("failures: " + ", ".join(f"{r.eval_name}/{r.model_name}: {r.n_errors} calls, {r.n_invalid_grades} grades of {r.n_rows}" for r in failed))
+    metrics = with_failed(aggregate_results(examples_df.filter(F.col("error").isNull()), ["eval_name", "model_name"]), counts)
     metrics = materialize(metrics, "metrics")
     board = leaderboard(metrics, names)
     if out_root:
         mode = "debug" if debug else "full"
         write_metrics(metrics.withColumn("run_mode", F.lit(mode)), f"{out_root}/metrics")
-        write_reports(report_lines(metrics, examples_df), f"{out_root}/reports/run_mode={mode}")
-    return RunResult(examples_df, metrics, board, markdown_lines(board))
+        write_reports(report_lines(metrics, finish_examples(examples_df)), f"{out_root}/reports/run_mode={mode}")
+    return RunResult(examples_df, metrics, counts, board, markdown_lines(board))
+
+
+def without_graded(items: DataFrame, exam_types: Sequence[str] | None) -> DataFrame:
+    """Without a grader SHORT_QNA items cannot be scored: asked for by name they are an
+    error; with no list of types any such item fails the query."""
+    if exam_types:
+        raise ValueError("SHORT_QNA items need a grader")
+    message = F.raise_error(F.lit("SHORT_QNA items need a grader")).cast("string")
+    return items.withColumn("type", F.when(F.col("type") == "SHORT_QNA", message).otherwise(F.col("type")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..fixed_values import (
     ANSWER_HEAD,
+    BAD_REQUEST_TEXT,
     ENGLISH_FREE_PATTERN,
     ENGLISH_MCQ_PATTERN,
     NA_STRINGS,
@@ -24,7 +25,7 @@ from ..fixed_values import (
 )
 
 from ..operators import prompts as P
-from ..operators.generate import DEFAULT_TEMPLATE_GROUPS, VALUE_NOT_VALID, group_variables
+from ..operators.generate import DEFAULT_TEMPLATE_GROUPS
 from ..operators.report import REPORT_HEAD, REPORT_TAIL
 
 WS = PY_WHITESPACE_CLASS
@@ -247,13 +248,13 @@ def alpaca(instruction: str, inp: str) -> str:
 
 def example_html(prompt: str, response: str, answer: str, extracted: str, score: str) -> str:
     return concat(
-        lit("<h3>Prompt conversation</h3>"),
+        lit("<article><h2>Asked</h2>"),
         message_html("'user'", prompt),
-        lit("<h3>Sampled message</h3>"),
+        lit("<h2>Replied</h2>"),
         message_html("'assistant'", response),
-        lit("<h3>Results</h3><p>Correct Answer: "), html_escape(py_str(answer)),
-        lit("</p><p>Extracted Answer: "), html_escape(py_str(extracted)),
-        lit("</p><p>Score: "), html_escape(py_str(score)), lit("</p>"),
+        lit('<dl class="result"><dt>score</dt><dd>'), html_escape(py_str(score)),
+        lit("</dd><dt>expected</dt><dd>"), html_escape(py_str(answer)),
+        lit("</dd><dt>found</dt><dd>"), html_escape(py_str(extracted)), lit("</dd></dl>"),
     )
 
 
@@ -265,7 +266,7 @@ def rubric_value(x: str, name: str) -> str:
 # --- more stand-ins --------------------------------------------------------------
 
 DICTIONARY = """dictionary AS (
-  SELECT p_partkey AS row_key, substr(p_name, 1, 1) AS alphabet, p_name AS word,
+  SELECT p_partkey AS row_key, p_name AS word,
     CASE WHEN p_partkey % 5 = 1 THEN NULL ELSE lower(p_brand) END AS phonetics,
     CASE WHEN p_partkey % 7 = 3 THEN NULL WHEN p_partkey % 7 = 5 THEN '' ELSE p_type END AS meaning,
     CASE WHEN p_partkey % 4 = 2 THEN NULL ELSE 'noun' END AS pos,
@@ -538,6 +539,10 @@ def debug_head() -> str:
     return "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 5"
 
 
+# The variables of each default template group, in order, written out here.
+GROUP_VARIABLES = [["meaning", "word"], ["meaning", "word"], ["phonetics", "word"], ["origin", "word"], ["pos", "word"]]
+
+
 def _pick(key: str, gid: str, n: int) -> str:
     return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '|' || CAST({gid} AS VARCHAR) || '|0'), 1, 8))::BIGINT % {n} AS INTEGER)"
 
@@ -551,7 +556,7 @@ def _pairs() -> str:
     first_bad = []
     picks = []
     for gid, group in enumerate(DEFAULT_TEMPLATE_GROUPS):
-        vars_ = group_variables(group)
+        vars_ = GROUP_VARIABLES[gid]
         cases = " ".join(f"WHEN {_bad(v)} THEN {lit(v)}" for v in vars_)
         first_bad.append(f"WHEN {gid} THEN (CASE {cases} END)")
         picks.append(f"WHEN {gid} THEN {_pick('d.row_key', 'g.group_id', len(group))}")
@@ -573,17 +578,26 @@ def _templates_values() -> str:
 
 
 def template_vars() -> str:
-    return r"""WITH r AS (SELECT source, list_distinct(regexp_extract_all(coalesce(text, ''), '\{\{(.*?)\}\}', 1)) AS v FROM documents)
-SELECT source, CAST(count(*) FILTER (WHERE len(v) > 0) AS BIGINT) AS n_with_slots,
-  array_to_string(list_sort(list_distinct(flatten(list(v)))), ',') AS vars
-FROM r GROUP BY source"""
+    return r"""WITH t AS (
+  SELECT source, text || CASE doc_id % 3 WHEN 0 THEN '{{lang}} {{lang}}' WHEN 1 THEN '{{ title }} {{v' || CAST(doc_id % 7 AS VARCHAR) || '}}'
+    ELSE '{lang}} {{open' || chr(10) || '}}' END AS text FROM documents),
+n AS (SELECT source, unnest(list_distinct(regexp_extract_all(coalesce(text, ''), '\{\{(.*?)\}\}', 1))) AS name FROM t)
+SELECT source, name, count(*) AS n_texts FROM n GROUP BY source, name"""
+
+
+def template_reject_counts() -> str:
+    """The column ``origin`` is missing: its group is rejected for it, sorted before ``word``."""
+    return f"""WITH {_pairs()},
+r AS (SELECT CASE WHEN group_id = 3 THEN 'origin' ELSE bad_variable END AS variable, group_id FROM pairs)
+SELECT CASE WHEN variable = 'origin' THEN 'variable not found' ELSE 'value not valid' END AS reason, variable, count(*) AS n
+FROM r WHERE variable IS NOT NULL GROUP BY variable"""
 
 
 def template_generate() -> str:
     fills = []
     for gid, group in enumerate(DEFAULT_TEMPLATE_GROUPS):
         expr = "t.content"
-        for v in group_variables(group):
+        for v in GROUP_VARIABLES[gid]:
             expr = f"replace({expr}, {lit('{{' + v + '}}')}, p.{v})"
         fills.append(f"WHEN {gid} THEN {expr}")
     return f"""WITH {_pairs()},
@@ -595,7 +609,7 @@ WHERE p.bad_variable IS NULL"""
 
 def template_rejects() -> str:
     return f"""WITH {_pairs()}
-SELECT row_key, group_id, bad_variable AS variable, {lit(VALUE_NOT_VALID)} AS reason FROM pairs WHERE bad_variable IS NOT NULL"""
+SELECT row_key, group_id, bad_variable AS variable, 'value not valid' AS reason FROM pairs WHERE bad_variable IS NOT NULL"""
 
 
 def distil_pending() -> str:
@@ -655,19 +669,19 @@ def report_rows() -> str:
     ex = example_html("prompt", "response_text", "answer", "extracted", "score")
     return f"""{_scored_with_items(['MCQ', 'FIB', 'TOF'])},
 metrics AS ({eval_scorecard()}),
-ex AS (SELECT 'mg12l' AS eval_name, model_name, l_orderkey * 10 + l_linenumber AS item_id, {ex} AS html FROM full_rows),
+ex AS (SELECT 'mg12l' AS eval_name, model_name, 'response-to-order-line-' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS item_id, {ex} AS html FROM full_rows),
 groups AS (SELECT DISTINCT eval_name, model_name FROM metrics),
 tgroups AS (SELECT DISTINCT eval_name, model_name FROM metrics WHERE metric <> 'score')
 SELECT eval_name, model_name, 0 AS section, '' AS ord, '' AS sub, {lit(REPORT_HEAD)} AS line FROM groups
-UNION ALL SELECT eval_name, model_name, 1, '', '', '<h1>Metrics</h1><table><tr><th>Metric</th><th>Value</th></tr>' FROM tgroups
+UNION ALL SELECT eval_name, model_name, 1, '', '', '<section><h1>Scores</h1><table class="metrics">' FROM tgroups
 UNION ALL SELECT m.eval_name, m.model_name, 2, CASE WHEN metric = 'score' THEN '0' ELSE '1' END, metric,
-  CASE WHEN metric = 'score' THEN '<tr><td><b>Score</b></td><td>' || CAST(round(coalesce(value, 0.0), 3) AS VARCHAR) || '</td></tr>'
+  CASE WHEN metric = 'score' THEN '<tr class="overall"><td>overall score</td><td>' || CAST(round(coalesce(value, 0.0), 3) AS VARCHAR) || '</td></tr>'
   ELSE '<tr><td>' || {html_escape('metric')} || '</td><td>' || {py_str('value')} || '</td></tr>' END
   FROM metrics m SEMI JOIN tgroups t ON m.eval_name = t.eval_name AND m.model_name = t.model_name
-UNION ALL SELECT eval_name, model_name, 3, '', '', '</table>' FROM tgroups
-UNION ALL SELECT eval_name, model_name, 4, '', '', '<h1>Examples</h1>' FROM groups
-UNION ALL SELECT eval_name, model_name, 5, lpad(CAST(item_id AS VARCHAR), 20, '0'), '', html || '<hr>' FROM ex
-UNION ALL SELECT eval_name, model_name, 6, '', '', {lit(REPORT_TAIL)} FROM groups"""
+UNION ALL SELECT eval_name, model_name, 3, '', '', '</table></section>' FROM tgroups
+UNION ALL SELECT eval_name, model_name, 4, '', '', '<section><h1>Answers</h1>' FROM groups
+UNION ALL SELECT eval_name, model_name, 5, item_id, '', html || '</article>' FROM ex
+UNION ALL SELECT eval_name, model_name, 6, '', '', {lit('</section>' + REPORT_TAIL)} FROM groups"""
 
 
 def _e2e_scored() -> str:
@@ -715,6 +729,64 @@ SELECT model_name,
 FROM agg GROUP BY model_name"""
 
 
+def eval_run_failures() -> str:
+    prompt = typed_prompt("type", "question", "option_a", "option_b", "option_c")
+    reply = normalize_response("'Reasoning.' || chr(10) || 'အဖြေ: (' || substr('ကခဂဃ', CAST(1 + n % 4 AS INTEGER), 1) || ')'")
+    return f"""WITH {EXAM_ITEMS},
+p AS (SELECT *, length({prompt}) AS n FROM exam_items),
+a AS (SELECT type, n % 7 = 3 AS failed, length({grader_prompt('question', 'answer', reply)}) AS g FROM p)
+SELECT 'mg12l' AS eval_name, 'ma' AS model_name, count(*) AS n_rows, count(*) FILTER (failed) AS n_errors,
+  count(*) FILTER (NOT failed AND type = 'SHORT_QNA' AND (g % 5 = 0 OR g % 6 = 0)) AS n_invalid_grades, false AS no_score FROM a
+UNION ALL SELECT 'mg12l', 'mb', count(*), count(*), 0, true FROM a"""
+
+
+def eval_run_rerun() -> str:
+    return f"""WITH {_e2e_scored()}
+SELECT eval_name, model_name, metric, round(m, 9) AS value FROM agg WHERE eval_name = 'mmlu_lite'
+UNION ALL SELECT eval_name, model_name, metric || ':std', round(s, 9) FROM agg WHERE eval_name = 'mmlu_lite'
+UNION ALL SELECT 'mmlu_lite', model_name, 'report heads', 1.0 FROM models
+UNION ALL SELECT 'mmlu_lite', m.model_name, 'report examples', CAST(count(*) AS DOUBLE) FROM models m CROSS JOIN part GROUP BY m.model_name"""
+
+
+def retry_policies() -> str:
+    return f"""WITH d AS (SELECT doc_id, length(text) AS n FROM documents),
+r AS (SELECT doc_id, n, CASE WHEN n % 5 = 0 THEN 'rate Limit reached' WHEN n % 7 = 0 THEN 'refused' WHEN n % 11 = 0 THEN 'synthetic failure' END AS error FROM d)
+SELECT 'careful' AS policy, doc_id,
+  CASE WHEN error = 'refused' THEN {lit(BAD_REQUEST_TEXT)} WHEN error IS NULL THEN 'reply ' || CAST(n AS VARCHAR) END AS response,
+  CASE WHEN error <> 'refused' THEN error END AS error, CASE WHEN error LIKE 'rate%' THEN 3 ELSE 1 END AS attempts FROM r
+UNION ALL SELECT 'stubborn', doc_id, CASE WHEN error IS NULL THEN 'reply ' || CAST(n AS VARCHAR) END, error,
+  CASE WHEN error IS NULL THEN 1 ELSE 2 END FROM r"""
+
+
+def extract_documents() -> str:
+    answer = """CASE doc_id % 3 WHEN 0 THEN '(' || substr('ကခဂဃ', CAST(1 + doc_id % 4 AS INTEGER), 1) || ')' WHEN 1 THEN 'မှန်' ELSE '(word ' || CAST(doc_id AS VARCHAR) || ')' END"""
+    text = normalize_response(f"(coalesce(text, '') || chr(10) || '**အဖြေ: ' || {answer} || '**')")
+    return f"""WITH t AS (SELECT doc_id, {text} AS t FROM documents)
+SELECT doc_id, {mcq4('t')} AS mcq, {tof('t')} AS tof, {fib('t')} AS fib FROM t"""
+
+
+def exam_mcq_word_answer() -> str:
+    given = "CASE p_partkey % 4 WHEN 0 THEN answer WHEN 1 THEN lower(answer) WHEN 2 THEN 'ခ' ELSE p_brand END"
+    text = normalize_response(f"('so' || chr(10) || 'အဖြေ : (' || {given} || ') end')")
+    return f"""WITH a AS (SELECT p_partkey, p_brand, '[' || p_brand || '.*+?|^)' AS answer FROM part),
+t AS (SELECT p_partkey, answer, {text} AS t FROM a)
+SELECT p_partkey AS item_id, {exam_mcq('t', 'answer')} AS extracted FROM t"""
+
+
+def graded_rows() -> str:
+    parts = [("SHORT_QNA", "score"), ("Content Relevancy", "content_score"), ("Register Appropriateness", "register_score"), ("Grammatical and Syntactic Competence", "grammar_score")]
+    text = " || ', ' || ".join(f"""'"{name}": ' || CAST(CAST({column} AS DOUBLE) AS VARCHAR)""" for name, column in parts)
+    return f"""WITH {GRADER_OUTPUTS},
+{_rubric_rows('grader_outputs', 'doc_id', 'grade_output')}
+SELECT doc_id, '{{' || CASE WHEN grade_valid THEN {text} ELSE '' END || '}}' AS extracted, round(score, 9) AS score, grade_valid FROM rubric"""
+
+
+def distil_null_prompts() -> str:
+    return """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 0 ELSE length(text) END AS n FROM documents)
+SELECT unnest(['first', 'overwrite']) AS run, count(*) AS total_rows, count(*) FILTER (n > 0 AND n % 7 <> 3) AS processed,
+  count(*) FILTER (n = 0 OR n % 7 = 3) AS errors, 0 AS skipped, count(*) FILTER (n > 0) AS calls FROM d"""
+
+
 def judge_equality() -> str:
     return f"""WITH {exam_scored(['MCQ', 'FIB', 'TOF'])}
 SELECT l_orderkey, l_linenumber, length({judge_prompt('extracted', 'answer')}) % 3 = 0 AS equal FROM scored"""
@@ -730,6 +802,15 @@ def all_sql() -> dict[str, str]:
         "eval_run_metrics": eval_run_metrics(),
         "eval_run_leaderboard": eval_run_leaderboard(),
         "judge_equality": judge_equality(),
+        "eval_run_failures": eval_run_failures(),
+        "eval_run_rerun": eval_run_rerun(),
+        "retry_policies": retry_policies(),
+        "extract_documents": extract_documents(),
+        "exam_mcq_word_answer": exam_mcq_word_answer(),
+        "graded_rows": graded_rows(),
+        "template_reject_counts": template_reject_counts(),
+        "dictionary_csv": template_generate(),
+        "distil_null_prompts": distil_null_prompts(),
         "multimodal_parts": multimodal_parts(),
         "eval_scorecard": eval_scorecard(),
         "category_metrics": category_metrics(),

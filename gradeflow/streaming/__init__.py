@@ -1,5 +1,5 @@
 """Structured Streaming wrappers over the batch operators."""
 
-from .distil_stream import distil_stream, score_stream
+from .distil_stream import distil_stream, latest_scores, score_stream
 
-__all__ = ["distil_stream", "score_stream"]
+__all__ = ["distil_stream", "latest_scores", "score_stream"]

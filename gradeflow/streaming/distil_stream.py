@@ -73,16 +73,15 @@ def score_stream(
     responses_dir: str,
     responses_schema: T.StructType,
     items: DataFrame,
-    query_name: str,
+    output_root: str,
     checkpoint_location: str | None = None,
     fmt: str = "parquet",
     max_files_per_trigger: int = 1,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Running (model, metric) sums into a memory table ``query_name`` (complete mode).
-
-    Read ``n``, ``sum`` and ``sum_sq`` to get mean = sum/n and
-    std = sqrt(sum_sq/n - mean^2) (population).
+    """Running (model, metric) sums, a whole table per epoch below ``output_root``
+    (complete mode; a replayed epoch rewrites its own folder). ``latest_scores`` reads
+    the last one: mean = sum/n, std = sqrt(sum_sq/n - mean^2) (population).
     """
     checkpoint_location = checkpoint_location or scratch_path(spark, "score_stream_ckpt")
     responses = spark.readStream.schema(responses_schema).option("maxFilesPerTrigger", max_files_per_trigger).format(fmt).load(responses_dir)
@@ -91,6 +90,17 @@ def score_stream(
     agg = long.groupBy("model_name", "metric").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum"), F.sum(F.col("value") * F.col("value")).alias("sum_sq")
     )
-    writer = agg.writeStream.outputMode("complete").format("memory").queryName(query_name).option("checkpointLocation", checkpoint_location)
+
+    def each_epoch(table: DataFrame, epoch_id: int) -> None:
+        table.write.mode("overwrite").parquet(f"{output_root}/epoch={epoch_id}")
+
+    writer = agg.writeStream.outputMode("complete").foreachBatch(each_epoch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def latest_scores(spark: SparkSession, output_root: str) -> DataFrame:
+    """The table of the last epoch that ``score_stream`` wrote."""
+    epochs = spark.read.parquet(output_root)
+    last = epochs.agg(F.max("epoch").alias("epoch"))
+    return epochs.join(last, "epoch", "left_semi").drop("epoch")

@@ -78,6 +78,7 @@ def test_fill_missing_and_short_qna_json(spark):
     import json
 
     assert json.loads(r["extracted"])["Register Appropriateness"] == 0.0
+    assert json.dumps(json.loads(r["extracted"])) == r["extracted"]
 
 
 def flaky_mcq(messages):
@@ -119,7 +120,7 @@ def test_leaderboard_rejects_duplicates(spark):
 def test_report_files_are_in_order(spark):
     import os
 
-    from gradeflow.operators.report import REPORT_HEAD, REPORT_TAIL
+    from gradeflow.operators.report import EXAMPLE_END, REPORT_HEAD, REPORT_TAIL
 
     items = {"mmlu_lite": S.mmlu_items(spark, SF_SMALL)}
     root = scratch_path(spark, "report_order")
@@ -129,9 +130,9 @@ def test_report_files_are_in_order(spark):
     for name in sorted(f for f in os.listdir(folder) if f.startswith("part-")):
         with open(os.path.join(folder, name), encoding="utf-8") as fh:
             lines += fh.read().splitlines()
-    assert lines[0] == REPORT_HEAD and lines[-1] == REPORT_TAIL
-    assert lines.index("<h1>Examples</h1>") < len(lines) - 41
-    assert sum(1 for x in lines if x.endswith("<hr>")) == 40
+    assert lines[0] == REPORT_HEAD and lines[-1] == "</section>" + REPORT_TAIL
+    assert lines.index("<section><h1>Answers</h1>") < len(lines) - 41
+    assert sum(1 for x in lines if x.endswith(EXAMPLE_END)) == 40
 
 
 def test_empty_inputs_give_empty_results(spark):
@@ -144,3 +145,77 @@ def test_empty_inputs_give_empty_results(spark):
     items = {"mmlu_lite": S.mmlu_items(spark, SF_SMALL).limit(0)}
     res = run({"a": always_a}, items)
     assert res.metrics.count() == 0 and res.examples.count() == 0
+
+
+def down(messages):
+    raise RuntimeError("down")
+
+
+def no_grade(messages):
+    return "no scores here"
+
+
+def test_failures_are_counted_and_failed_models_stay(spark):
+    import pytest
+
+    from gradeflow.operators.inference import CallPolicy
+
+    items = {"mg12l": S.exam_items(spark, SF_SMALL)}
+    pol = CallPolicy(max_attempts=1, backoff_base=0)
+    root = scratch_path(spark, "failures")
+    res = run({"a": always_a, "d": down}, items, grader=no_grade, exam_types=["MCQ", "SHORT_QNA"], policy=pol, out_root=root)
+    counts = {r.model_name: r for r in res.counts.collect()}
+    n, short = counts["a"].n_rows, items["mg12l"].filter("type = 'SHORT_QNA'").count()
+    assert (counts["a"].n_errors, counts["a"].n_invalid_grades) == (0, short) and (counts["d"].n_errors, counts["d"].n_rows) == (n, n)
+    board = {r.model_name: r.mg12l for r in res.leaderboard.collect()}
+    assert board["d"] is None and board["a"] is not None
+    report = spark.read.text(f"{root}/reports/run_mode=full/eval_name=mg12l/model_name=d").collect()
+    assert sum("<!DOCTYPE" in r.value for r in report) == 1
+    with pytest.raises(RuntimeError, match="failures"):
+        run({"a": always_a}, items, grader=no_grade, exam_types=["SHORT_QNA"], policy=pol, strict=True)
+    with pytest.raises(ValueError, match="grader"):
+        run({"a": always_a}, items, exam_types=["SHORT_QNA"])
+    with pytest.raises(ValueError, match="no questions"):
+        run({"a": always_a}, items, language="EN-US")
+
+
+def test_a_changed_prompt_is_asked_again(spark):
+    items = S.mmlu_items(spark, SF_SMALL).limit(30)
+    root = scratch_path(spark, "prompts")
+    run({"a": always_a}, {"mmlu_lite": items}, out_root=root)
+    changed = items.withColumn("question", F.when(F.col("item_id") % 2 == 0, F.lit("new?")).otherwise(F.col("question")))
+    res = run({"a": always_true}, {"mmlu_lite": changed}, out_root=root)
+    got = {r.item_id: r.response_text for r in res.examples.collect()}
+    assert len(got) == 30 and all(("မှန်" in t) == (i % 2 == 0) for i, t in got.items())
+
+
+def test_report_orders_long_ids_and_needs_no_metrics(spark):
+    from gradeflow.operators.report import report_lines
+
+    ids = [f"benchmark-row-{'0' * 12}-{i:03d}" for i in (2, 1, 3)]
+    ex = spark.createDataFrame([("e", "m", i, "<article>" + i) for i in ids], "eval_name string, model_name string, item_id string, html string")
+    none = spark.createDataFrame([], "eval_name string, model_name string, metric string, value double")
+    rows = sorted(report_lines(none, ex).collect(), key=lambda r: (r.section, r.ord, r.sub))
+    assert [r.ord for r in rows if r.section == 5] == sorted(ids)
+    assert rows[0].section == 0 and rows[-1].section == 6 and not [r for r in rows if r.section in (1, 2, 3)]
+
+
+def test_metrics_rewrite_modes_and_rejects(spark):
+    m = spark.createDataFrame([("full", "e", "a", "score", 0.5), ("debug", "e", "a", "score", 0.1)], "run_mode string, eval_name string, model_name string, metric string, value double")
+    root = scratch_path(spark, "metrics")
+    for _ in range(2):
+        IO.write_metrics(m, root)
+    assert [r.value for r in IO.read_metrics(spark, root, run_mode="full").collect()] == [0.5] and IO.read_metrics(spark, root).count() == 2
+    with open(f"{root}/run_mode=full/eval_name=e/model_name=a/part-bad.json", "w") as f:
+        f.write("{broken\n")
+    assert IO.read_metrics(spark, root).count() == 2
+    assert [r.record for r in IO.metrics_rejects(spark, root).collect()] == ["{broken"]
+
+
+def test_options_beyond_the_labels_are_an_error():
+    import pytest
+
+    from gradeflow.operators.prompts import mcq_prompt
+
+    with pytest.raises(ValueError, match="5 options"):
+        mcq_prompt(F.lit("q"), [F.lit(str(i)) for i in range(5)])

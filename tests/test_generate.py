@@ -7,7 +7,6 @@ from gradeflow.operators.generate import (
     DEFAULT_TEMPLATE_GROUPS,
     VALUE_NOT_VALID,
     generate,
-    group_variables,
     template_table,
     template_variables,
 )
@@ -16,10 +15,31 @@ from gradeflow.sources import io as IO
 from gradeflow.sources import standins as S
 
 
-def test_template_variables_spark_equals_python(spark):
-    tv = {r["group_id"]: r["vars"] for r in template_variables(template_table(spark, DEFAULT_TEMPLATE_GROUPS)).collect()}
-    for gid, group in enumerate(DEFAULT_TEMPLATE_GROUPS):
-        assert tv[gid] == group_variables(group)
+def test_template_variables(spark):
+    from gradeflow.plans.oracle_sql import GROUP_VARIABLES
+
+    tv = {r["group_id"]: (r["n_templates"], r["vars"]) for r in template_variables(template_table(spark, DEFAULT_TEMPLATE_GROUPS)).collect()}
+    assert tv == {gid: (len(g), v) for gid, (g, v) in enumerate(zip(DEFAULT_TEMPLATE_GROUPS, GROUP_VARIABLES))}
+    plain = template_variables(template_table(spark, [[[{"role": "User", "content": "no slot"}, {"role": "Chatbot", "content": None}]]])).collect()
+    assert [tuple(r) for r in plain] == [(0, 1, [])]
+
+
+def test_other_message_keys_are_kept_and_nan_rejected(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, 0.0), (3, 2.5)], "row_key long, v double")
+    groups = [[[{"role": "User", "content": "v={{v}}", "name": "n", "weight": 3}, {"role": "Chatbot", "content": "no slot"}]]]
+    acc, rej = generate(df, groups)
+    assert sorted(r["row_key"] for r in rej.collect()) == [1, 2]
+    (r,) = acc.collect()
+    assert [m.asDict() for m in r["messages"]] == [{"role": "User", "content": "v=2.5", "name": "n", "weight": "3"}, {"role": "Chatbot", "content": "no slot", "name": None, "weight": None}]
+
+
+def test_no_groups_give_nothing_and_many_templates_work(spark):
+    df = spark.createDataFrame([(i, "w") for i in range(50)], "row_key long, word string")
+    acc, rej = generate(df, [])
+    assert acc.count() == rej.count() == 0
+    many = [[[{"role": "User", "content": f"{i} {{{{word}}}}"}] for i in range(500)]]
+    acc, _ = generate(df, many)
+    assert acc.count() == 50 and acc.select("template_id").distinct().count() > 30
 
 
 def test_accepted_plus_rejected_is_rows_times_groups(spark):
@@ -68,14 +88,19 @@ def test_sft_jsonl_roundtrip_keeps_burmese(spark):
     assert back[0]["messages"] == acc.collect()[0]["messages"]
 
 
-def test_large_sample_path_equals_top_n(spark):
+def test_sample_is_the_first_rows_in_hash_order(spark):
+    import hashlib
+
     from gradeflow.operators.sample import sample_fixed
 
     docs = S.table(spark, SF_SMALL, "documents").select("doc_id")
+    ids = [r["doc_id"] for r in docs.collect()]
+    order = sorted(ids, key=lambda i: (hashlib.md5(f"{i}|3".encode()).hexdigest(), i))
     for n in (1, 37, 150, 10_000):
-        small = sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3).collect())
-        big = sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3, top_n_limit=0).collect())
-        assert small == big
+        assert sorted(r["doc_id"] for r in sample_fixed(docs, "doc_id", n, 3).collect()) == sorted(order[:n])
+        assert sorted(r["doc_id"] for r in sample_fixed(docs.repartition(7), "doc_id", n, 3).collect()) == sorted(order[:n])
+    twice = docs.unionAll(docs)
+    assert sample_fixed(twice, "doc_id", 41, 3).count() == 41 and sample_fixed(docs, "doc_id", None).count() == len(ids)
 
 
 def test_corpus_variables_match_python(spark):
@@ -83,14 +108,13 @@ def test_corpus_variables_match_python(spark):
 
     from gradeflow.operators.generate import corpus_variables
 
-    rows = [("s1", "Hi {{name}}, {{ age }} and {{name}}"), ("s1", "none"), ("s2", "{{a}}\n{{b}} {{x\ny}}"), ("s2", None)]
-    got = {r["source"]: (r["n_with_slots"], r["vars"]) for r in corpus_variables(spark.createDataFrame(rows, "source string, text string"), "text", "source").collect()}
+    rows = [("s1", "Hi {{name}}, {{ age }} and {{name}}"), ("s1", "none {{name}}"), ("s2", "{{a}}\n{{b}} {{x\ny}}"), ("s2", None)]
+    got = {tuple(r) for r in corpus_variables(spark.createDataFrame(rows, "source string, text string"), "text", "source").collect()}
     want = {}
     for src, text in rows:
-        names = set(re.findall(r"{{(.*?)}}", text or ""))
-        n, v = want.get(src, (0, set()))
-        want[src] = (n + (1 if names else 0), v | names)
-    assert got == {k: (n, ",".join(sorted(v))) for k, (n, v) in want.items()}
+        for name in set(re.findall(r"{{(.*?)}}", text or "")):
+            want[src, name] = want.get((src, name), 0) + 1
+    assert got == {(s, v, n) for (s, v), n in want.items()}
 
 
 def test_materialized_pairs_give_same_split(spark):

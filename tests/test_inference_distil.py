@@ -114,3 +114,85 @@ def test_content_keys_share_one_call(spark):
     r = run_distillation(df, length_chat, key_col=None, policy=CallPolicy(max_attempts=1, backoff_base=0))
     s = r.stats.collect()[0]
     assert s["calls"] == 2 and r.final.filter(F.col("output").startswith("reply")).count() == 31
+
+
+def counted(path):
+    def chat(messages):
+        with open(path, "a") as f:
+            f.write("x\n")
+        return "yes"
+
+    return chat
+
+
+def test_building_a_plan_starts_no_job_and_each_row_is_called_once(spark, tmp_path):
+    from gradeflow.operators.grade import equality_judge
+
+    sc = spark.sparkContext
+    left = spark.range(40).select(F.col("id").alias("k"), F.lit("a").alias("x"))
+    right = spark.range(40).select(F.col("id").alias("k"), F.lit("b").alias("y"))
+    sc.setJobGroup("plan-only", "plan-only")
+    try:
+        out = equality_judge(left.join(right, "k"), counted(str(tmp_path / "calls")), ["k"], "x", "y")
+        assert not sc.statusTracker().getJobIdsForGroup("plan-only") and not (tmp_path / "calls").exists()
+        assert len(out.collect()) == 40
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len((tmp_path / "calls").read_text().split()) == 40
+
+
+def test_repeated_keys_are_refused_and_null_prompts_are_errors(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "a", None), (1, "b", None), (2, "c", None)], "row_key long, input string, output string")
+    with pytest.raises(ValueError, match="'1' x 2"):
+        run_distillation(df, length_chat)
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "row_key long, input string")
+    r = run_distillation(rows, length_chat, formatter=F.when(F.col("row_key") == 2, F.col("input")), n_chunks=2)
+    assert {x["key"]: x["error"] for x in r.errors.collect()} == {"1": EMPTY_PROMPT_ERROR}
+    s = r.stats.first()
+    assert (s.total_rows, s.processed, s.errors, s.skipped, s.calls) == (2, 1, 1, 0, 1)
+
+
+def test_runs_keep_their_own_results_and_the_latest_call_wins(spark):
+    df = spark.createDataFrame([(1, "a", None)], "row_key long, input string, output string")
+    path = scratch_path(spark, "runs")
+    run_distillation(df, lambda m: "zz", results_path=path, run_id="one", n_chunks=1)
+    run_distillation(df, lambda m: "aa", results_path=path, run_id="two", n_chunks=1)
+    again = run_distillation(df, lambda m: "never", results_path=path, run_id="two", n_chunks=1)
+    assert again.final.first().output == "aa" and again.stats.first().calls == 0
+
+
+def test_csv_by_name_and_bad_rows(spark, tmp_path):
+    import pytest
+
+    f = tmp_path / "a.csv"
+    f.write_text('row_key,instruction,input,extra\n1,"say ""hi""\nnow",x,1\n2,b,y,2\n')
+    rows = IO.read_csv(spark, str(f), ["row_key", "input", "instruction"]).collect()
+    assert [tuple(r) for r in rows] == [("1", "x", 'say "hi"\nnow'), ("2", "y", "b")]
+    with pytest.raises(ValueError, match="no column answer"):
+        IO.read_csv(spark, str(f), ["answer"])
+    bad = tmp_path / "b.csv"
+    bad.write_text("a,b\n1,2,3\n4\n5,6\n")
+    with pytest.raises(Exception):
+        IO.read_csv(spark, str(bad)).collect()
+    good, rejects = IO.read_csv_parts(spark, str(bad), multi_line=False)
+    assert [tuple(r) for r in good.collect()] == [("5", "6")] and sorted(r.record for r in rejects.collect()) == ["1,2,3", "4"]
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode(spark, monkeypatch):
+    import pytest
+
+    from gradeflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(type("S", (), {"sparkContext": Context()})())

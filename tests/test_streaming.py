@@ -8,7 +8,7 @@ from gradeflow.operators.prompts import alpaca_prompt
 from gradeflow.plans.catalog import exam_scored
 from gradeflow.session import scratch_path
 from gradeflow.sources import standins as S
-from gradeflow.streaming.distil_stream import distil_stream, score_stream
+from gradeflow.streaming.distil_stream import distil_stream, latest_scores, score_stream
 
 
 def short_chat(messages):
@@ -37,9 +37,10 @@ def test_score_stream_matches_batch(spark):
     src = scratch_path(spark, "resp_in")
     resp.repartition(3).write.parquet(src)
     items = S.exam_items(spark, SF_SMALL).filter(F.col("type").isin("MCQ", "FIB", "TOF"))
-    q = score_stream(spark, src, resp.schema, items, "scores_test")
+    out = scratch_path(spark, "scores")
+    q = score_stream(spark, src, resp.schema, items, out)
     q.awaitTermination(300)
-    got = {(r["model_name"], r["metric"]): r["sum"] / r["n"] for r in spark.table("scores_test").collect()}
+    got = {(r["model_name"], r["metric"]): r["sum"] / r["n"] for r in latest_scores(spark, out).collect()}
     from gradeflow.operators.aggregate import aggregate_results
 
     want = {(r["model_name"], r["metric"]): r["value"] for r in aggregate_results(exam_scored(spark, SF_SMALL), ["model_name"]).collect() if ":" not in r["metric"]}
