@@ -77,9 +77,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum(list_transform(list_zip(q.e, d.e), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.e, d.e)]) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10

@@ -37,7 +37,7 @@ def test_chat_round_trip_and_edge_cases(spark):
         3: [("assistant", "x" * 100_000)],
     }
     got = {r.conv_id: r for r in chatformat.digests(out).collect()}
-    assert got[1].loss_chars == len(text) + 12 and got[1].loss_sha256 == hashlib.sha256((text + "<\\|im_sep|>").encode()).hexdigest()
+    assert got[1].loss_chars == len(text) + len("<\\|im_sep|>") and got[1].loss_sha256 == hashlib.sha256((text + "<\\|im_sep|>").encode()).hexdigest()
     whole = {r.conv_id: r.formatted for r in out.collect()}
     assert whole[1].count("<|im_start|>") == 3 and whole[1].count("<|im_sep|>") == 2  # adjacent turns of a role are merged
     assert chatformat.digests(chatformat.formatted(df.limit(0))).count() == 0
