@@ -81,13 +81,14 @@ def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
     digests = pa.array([_digest(s) if len(s) else None for s in sets], pa.binary())
     bands = pa.array([band_keys(signature(s)).tobytes() if len(s) else None for s in sets], pa.binary())
     n = pa.array([len(s) for s in sets], pa.int64())
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), n, digests, bands], names=["doc_id", "n_shingles", "digest", "bands"])
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), n, digests, bands], names=["doc_id", "text_hash", "n_shingles", "digest", "bands"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of every document."""
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(per_slice(_signed), "doc_id bigint, n_shingles bigint, digest binary, bands binary")
+    """(doc_id, text_hash, n_shingles, digest, bands) of every document."""
+    text = F.col("text").cast("string")
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return slim.mapInArrow(per_slice(_signed), "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, bands binary")
 
 
 def _exploded(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -231,8 +232,8 @@ def _remaining(rows: DataFrame) -> DataFrame:
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with ``text_hash`` and ``root``, the component (null: an empty set)."""
     signed = stored(signatures(docs), "signed")
     groups = signed.filter("digest is not null").groupBy("digest")
     nodes = groups.agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
@@ -241,27 +242,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = links(docs, nodes)
     names = nodes.select("digest", "node", "first_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = names.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = names.join(named, "root").select("digest", "component_id")
-    out = signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
+    classes = names.join(named, "root").select("digest", "component_id", "root")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    return grouped(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one row of each group left; columns as given.
 
-    The row of the smallest id stays.  Rows that repeat that id are told apart by
-    their text, then by their other columns; among equal rows one stays.
+    A row of the smallest id stays: where several rows of a group have that id, the one
+    of the least text hash, and of equal rows the least by its other columns. Rows with
+    an empty set belong to no group and all stay.
     """
-    found = stored(near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept"), "found")
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(small_or_shuffled(gone, gone.count()), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    twice = found.filter("kept and n_shingles > 0").groupBy("component_id").count().filter("count > 1").select(F.col("component_id").alias("_twice"))
+    found = stored(grouped(docs).filter("root is not null"), "found")
+    first = found.filter("kept").groupBy("root").agg(F.min("text_hash").alias("least"), F.count("*").alias("k")).filter("k > 1").select("root", "least")
+    also = found.filter("kept").join(first, "root").filter("text_hash <> least")
+    gone = found.filter("not kept").unionByName(also.select(found.columns)).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct()
+    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
+    same_row = lambda ids, hashes: F.col("doc_id").eqNullSafe(F.col(ids)) & (F.col("_text_hash") == F.col(hashes))
+    rest = hashed.join(small_or_shuffled(gone, gone.count()), same_row("_gone", "_hash"), "left_anti")
+    twice = found.filter("kept").groupBy("doc_id", "text_hash").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     n = twice.count()
     if not n:
-        return rest
-    # repeated ids: of the rows of one component keep the least
-    again = rest.join(small_or_shuffled(twice, n), F.col("doc_id").eqNullSafe(F.col("_twice")), "left_semi")
-    single = rest.join(small_or_shuffled(twice, n), F.col("doc_id").eqNullSafe(F.col("_twice")), "left_anti")
-    first = again.groupBy("doc_id", F.sha2(F.lower(F.coalesce("text", F.lit(""))), 256).alias("_d")).agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
-    return single.unionByName(first.select(*docs.columns))
+        return rest.select(*docs.columns)
+    again = rest.join(small_or_shuffled(twice, n), same_row("_id", "_hash"), "left_semi")
+    single = rest.join(small_or_shuffled(twice, n), same_row("_id", "_hash"), "left_anti")
+    one = again.groupBy("doc_id", "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
+    return single.select(*docs.columns).unionByName(one.select(*docs.columns))
