@@ -51,7 +51,7 @@ class LanguageModel:
         return [self.langs[k] if s else UNDETERMINED for k, s in zip(best, some)], score, ~some | (score < self.threshold)
 
 
-def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: int = 5, reject_share: float = 0.001, max_threshold: float = 0.5) -> LanguageModel:
+def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: int = 5, reject_share: float = 0.001, max_threshold: float = 0.4) -> LanguageModel:
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("_l"))
     rows = [r for r in labelled_sample(docs, known, "_l", max_train) if r[1] and any(map(str.isalpha, r[1]))]
     langs = tuple(sorted({v for v, _ in rows}))
