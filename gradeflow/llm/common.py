@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,7 +41,19 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_IDS else df
 
 
-def per_slice(f: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 512):
+def give_back() -> None:
+    """Return what a task has freed to the system: Python workers live on between stages,
+    and what they keep for themselves counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+#: Rows that a Python stage handles at a time, of however large an Arrow batch.
+SLICE_ROWS = 512
+
+
+def per_slice(f: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = SLICE_ROWS):
     """``f`` of each Arrow batch in slices of so many rows, for ``mapInArrow``: what a task
     holds beside the batch itself is bounded."""
 
@@ -47,5 +61,6 @@ def per_slice(f: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 512):
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 yield f(batch.slice(at, rows))
+            give_back()
 
     return run

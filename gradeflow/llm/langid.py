@@ -4,11 +4,12 @@ Trained by numpy stochastic gradient descent on a bounded sample of rows with a
 language (``max_train``, the rows of smallest id hash).  A fifth of that sample
 is set aside: on it a temperature makes the probabilities calibrated, and the
 rejection threshold is the calibrated probability that all but ``reject_share``
-of its rightly named texts reach (never above ``max_threshold``).
+of its rightly named texts reach (never above ``max_threshold``).  A text is also
+rejected when fewer of its n-grams were seen in training than in all but
+``reject_share`` of these texts (never more than half): an unknown script or language.
 
 Cases: a null text or one without a letter is ``und`` with score 0 and rejected;
-a text whose n-grams were never seen lies near the zero vector and scores about
-one share of the languages, so it is rejected; with nothing to learn from every
+with nothing to learn from every
 text is ``und``; repeated rows are handled one by one; columns other than
 ``doc_id``, ``text`` and, for learning, ``lang`` are not read.
 """
@@ -19,11 +20,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import SLICE_ROWS, give_back, held_out
 from .quality import labelled_sample
 from .subword import Features, bags, logits, softmax, train
 
@@ -33,10 +34,11 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class LanguageModel:
-    table: np.ndarray
+    table: np.ndarray  # folded logits of each language, and 1 for an n-gram seen in training
     langs: tuple[str, ...]
     temperature: float
     threshold: float
+    seen: float
     spec: Features = SPEC
 
     def predict(self, texts) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -45,10 +47,11 @@ class LanguageModel:
         some = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], bool)
         if not self.langs:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        p = softmax(logits(texts, self.table, self.spec) / self.temperature) if texts else np.zeros((0, len(self.langs)))
+        z = logits(texts, self.table, self.spec)
+        p = softmax(z[:, :-1] / self.temperature) if texts else np.zeros((0, len(self.langs)))
         best = p.argmax(axis=1)
         score = np.where(some, p.max(axis=1), 0.0)
-        return [self.langs[k] if s else UNDETERMINED for k, s in zip(best, some)], score, ~some | (score < self.threshold)
+        return [self.langs[k] if s else UNDETERMINED for k, s in zip(best, some)], score, ~some | (score < self.threshold) | (z[:, -1] < self.seen)
 
 
 def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: int = 5, reject_share: float = 0.001, max_threshold: float = 0.4) -> LanguageModel:
@@ -56,30 +59,41 @@ def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: i
     rows = [r for r in labelled_sample(docs, known, "_l", max_train) if r[1] and any(map(str.isalpha, r[1]))]
     langs = tuple(sorted({v for v, _ in rows}))
     if not langs:
-        return LanguageModel(np.zeros((1 << spec.bits, 1), np.float32), (), 1.0, 0.0, spec)
+        return LanguageModel(np.zeros((1 << spec.bits, 1), np.float32), (), 1.0, 0.0, 0.0, spec)
     y = np.array([langs.index(v) for v, _ in rows])
     bag = bags([t for _, t in rows], spec)
     aside = np.arange(len(rows)) % 5 == 0 if len(rows) >= 50 else np.zeros(len(rows), bool)
     table = train([b for b, a in zip(bag, aside) if not a], y[~aside], len(langs), spec, epochs=epochs)
+    seen = np.zeros(len(table), np.float32)
+    for (ids, _), a in zip(bag, aside):
+        if not a:
+            seen[ids] = 1
     check = np.flatnonzero(aside) if aside.any() else np.arange(len(rows))
     z = np.array([share @ table[ids] for ids, share in (bag[i] for i in check)], float)
     temperature = min(np.geomspace(0.05, 20, 121), key=lambda t: -np.log(softmax(z / t)[np.arange(len(check)), y[check]] + 1e-12).mean())
     p = softmax(z / temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y[check]]
     threshold = min(max_threshold, float(np.quantile(right, reject_share))) if len(right) else 0.0
-    return LanguageModel(table, langs, float(temperature), threshold, spec)
+    known = [share @ seen[ids] for ids, share in (bag[i] for i in check)]
+    return LanguageModel(np.hstack([table, seen[:, None]]), langs, float(temperature), threshold, min(0.5, float(np.quantile(known, reject_share))), spec)
 
 
 def language_column(model: LanguageModel, text: Column) -> Column:
     """struct(lang_pred, score, rejected) of a text column."""
-    parts = (model.table, model.langs, model.temperature, model.threshold, model.spec)
+    parts = (model.table, model.langs, model.temperature, model.threshold, model.seen, model.spec)
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fitted = LanguageModel(*parts)
         for texts in batches:
-            lang, score, rejected = fitted.predict(texts)
-            yield pd.DataFrame({"lang_pred": lang, "score": score, "rejected": rejected})
+            langs, scores, rejected = [], [], []
+            for at in range(0, len(texts), SLICE_ROWS):
+                lang, score, gone = fitted.predict(texts.slice(at, SLICE_ROWS).to_pylist())
+                langs += lang
+                scores += score.tolist()
+                rejected += gone.tolist()
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names=["lang_pred", "score", "rejected"])
+            give_back()
 
     return predict(text)
 

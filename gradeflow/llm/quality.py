@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import SLICE_ROWS, give_back, held_out
 from .subword import Features, bags, logits, softmax, train
 
 SPEC = Features(ngrams=(3, 4), words=True, letters=False, bits=18, repeats=True)
@@ -73,11 +73,13 @@ def score_column(model: QualityModel, text: Column) -> Column:
     """The score as a column; the model (1 M values of the folded table) goes out with the task."""
     table, spec = model.table, model.spec
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fitted = QualityModel(table, spec)
         for texts in batches:
-            yield pd.Series(fitted.scores(texts))
+            parts = [fitted.scores(texts.slice(at, SLICE_ROWS).to_pylist()) for at in range(0, len(texts), SLICE_ROWS)]
+            yield pa.array(np.concatenate(parts) if parts else [], pa.float64())
+            give_back()
 
     return score(text)
 

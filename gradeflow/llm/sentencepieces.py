@@ -34,10 +34,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 MAX_MODEL = 16 << 20
 SPACE = "▁"
 #: Chunks that a task keeps; a full table is emptied.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 150_000
 #: Chunks whose agendas advance together.
 STEP = 8000
 #: Chunks longer than this are encoded but not kept.
@@ -288,7 +290,7 @@ class Table:
 
 
 #: Texts are handled in groups of about so many characters, which bounds a task's memory.
-GROUP = 1 << 21
+GROUP = 1 << 19
 
 
 def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
@@ -326,6 +328,7 @@ def encode(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
                 ids = [list(map(int, x[0].split(" "))) for x in rows]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(ids, pa.list_(pa.int32())), pa.array([x[1] for x in rows], pa.string())], names=["doc_id", "ids", "decoded"])
                 at += len(texts)
+            give_back()
 
     return _slim(docs).mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
 
@@ -351,6 +354,7 @@ def digests(docs: DataFrame, model: str, check: bool = True) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
                 at += len(texts)
+            give_back()
 
     return _slim(docs).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
