@@ -1,23 +1,27 @@
 """Language identification: averaged hashed subword embeddings with a linear softmax.
 
 Trained by numpy stochastic gradient descent on a bounded sample of rows with a
-language (``max_train``, the rows of smallest id hash).  A fifth of that sample
-is set aside: on it a temperature makes the probabilities calibrated, and the
-rejection threshold is the calibrated probability that all but ``reject_share``
-of its rightly named texts reach (never above ``max_threshold``).  A text is also
-rejected when fewer of its n-grams were seen in training than in all but
-``reject_share`` of these texts (never more than half): an unknown script or language.
+language (``max_train``, by id hash).  Further rows of the sample (``max_check``) are
+set aside: on them a temperature makes the probabilities calibrated, and two cutoffs are
+fitted, of the calibrated probability and of the share of n-grams seen in training.  A
+text under either is rejected; each cutoff is what all but ``reject_share`` of the rightly
+named texts set aside reach, and all but ``reject_share`` of texts mixed from two to four
+of their languages.  No constant bounds a cutoff.  N-grams count as seen by a hash of
+``SEEN_BITS`` bits, so that hardly any is seen by chance.  So a text of which more is new
+than of nearly all known ones is rejected: another script or language, also one of the
+same script, and a text with long parts in one.
 
 Cases: a null text or one without a letter is ``und`` with score 0 and rejected;
 with nothing to learn from every
-text is ``und``; repeated rows are handled one by one; columns other than
+text is ``und``; under 50 rows nothing is set aside and the cutoffs are those of the
+rows learned from; repeated rows are handled one by one; columns other than
 ``doc_id``, ``text`` and, for learning, ``lang`` are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +30,22 @@ from pyspark.sql import functions as F
 
 from .common import SLICE_ROWS, give_back, held_out
 from .quality import labelled_sample
-from .subword import Features, bags, logits, softmax, train
+from .subword import Features, bags, feature_ids, softmax, train
 
 SPEC = Features(ngrams=(2, 3, 4), words=False, letters=True, bits=17)
 UNDETERMINED = "und"
+#: Bits of the hash by which an n-gram counts as seen: one of 100,000 learned is met by chance in 0.3 % of cases.
+SEEN_BITS = 25
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    table: np.ndarray  # folded logits of each language, and 1 for an n-gram seen in training
+    table: np.ndarray  # folded logits of each language
     langs: tuple[str, ...]
     temperature: float
-    threshold: float
-    seen: float
+    threshold: float  # of the calibrated probability
+    seen: np.ndarray  # a bit for each n-gram hash: seen in training
+    seen_share: float  # least share of seen n-grams
     spec: Features = SPEC
 
     def predict(self, texts) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -47,40 +54,74 @@ class LanguageModel:
         some = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], bool)
         if not self.langs:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-        z = logits(texts, self.table, self.spec)
-        p = softmax(z[:, :-1] / self.temperature) if texts else np.zeros((0, len(self.langs)))
+        z, known = measures(texts, self.table, self.seen, self.spec)
+        p = softmax(z / self.temperature) if texts else np.zeros((0, len(self.langs)))
         best = p.argmax(axis=1)
         score = np.where(some, p.max(axis=1), 0.0)
-        return [self.langs[k] if s else UNDETERMINED for k, s in zip(best, some)], score, ~some | (score < self.threshold) | (z[:, -1] < self.seen)
-
-
-def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: int = 5, reject_share: float = 0.001, max_threshold: float = 0.4) -> LanguageModel:
+        return [self.langs[k] if s else UNDETERMINED for k, s in zip(best, some)], score, ~some | (score < self.threshold) | (known < self.seen_share)
+
+
+def measures(texts, table: np.ndarray, seen: np.ndarray, spec: Features) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, share of seen n-grams) of each whole text; 0 for a text without any feature."""
+    total, known, count = np.zeros((len(texts), table.shape[1])), np.zeros(len(texts)), np.zeros(len(texts))
+    for own, ids in feature_ids(texts, replace(spec, bits=SEEN_BITS)):
+        count += np.bincount(own, minlength=len(texts))
+        known += np.bincount(own, weights=seen[ids >> 3] >> (7 - (ids & 7)) & 1, minlength=len(texts))
+        ids >>= SEEN_BITS - spec.bits  # the bucket is the head of the longer hash
+        for k in range(table.shape[1]):
+            total[:, k] += np.bincount(own, weights=table[:, k][ids], minlength=len(texts))
+    count = np.maximum(count, 1)
+    return total / count[:, None], known / count
+
+
+def mixed(texts: list[str], y: np.ndarray, seed: int = 7) -> list[str]:
+    """For each text a mixture of it with texts of one to three other languages, equal parts of each."""
+    rng = np.random.default_rng(seed)
+    of = {k: np.flatnonzero(y == k) for k in np.unique(y)}
+    out = []
+    for i in range(len(texts) if len(of) > 1 else 0):
+        others = rng.permutation([k for k in of if k != y[i]])[: rng.integers(1, min(4, len(of)))]
+        words = [texts[j].split() for j in (i, *(rng.choice(of[k]) for k in others))]
+        n = min(map(len, words))
+        out.append(" ".join(w for part in words for w in part[:n]))
+    return out
+
+
+def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: int = 5, reject_share: float = 0.001, max_check: int = 3000) -> LanguageModel:
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("_l"))
-    rows = [r for r in labelled_sample(docs, known, "_l", max_train) if r[1] and any(map(str.isalpha, r[1]))]
+    rows = [r for r in labelled_sample(docs, known, "_l", max_train + max_check) if r[1] and any(map(str.isalpha, r[1]))]
     langs = tuple(sorted({v for v, _ in rows}))
     if not langs:
-        return LanguageModel(np.zeros((1 << spec.bits, 1), np.float32), (), 1.0, 0.0, 0.0, spec)
-    y = np.array([langs.index(v) for v, _ in rows])
-    bag = bags([t for _, t in rows], spec)
-    aside = np.arange(len(rows)) % 5 == 0 if len(rows) >= 50 else np.zeros(len(rows), bool)
-    table = train([b for b, a in zip(bag, aside) if not a], y[~aside], len(langs), spec, epochs=epochs)
-    seen = np.zeros(len(table), np.float32)
-    for (ids, _), a in zip(bag, aside):
-        if not a:
-            seen[ids] = 1
+        return LanguageModel(np.zeros((1 << spec.bits, 1), np.float32), (), 1.0, 0.0, np.zeros(1, np.uint8), 0.0, spec)
+    y, texts = np.array([langs.index(v) for v, _ in rows]), [t for _, t in rows]
+    aside = np.zeros(len(rows), bool)
+    if len(rows) >= 50:  # of each language in turn; its first row is learned from
+        nth = np.zeros(len(rows), int)
+        for k in range(len(langs)):
+            nth[y == k] = np.arange((y == k).sum())
+        aside = (nth + 1) * max_check // (max_train + max_check) > nth * max_check // (max_train + max_check)
+    learned = [t for t, a in zip(texts, aside) if not a]
+    table = train(bags(learned, spec), y[~aside], len(langs), spec, epochs=epochs)
+    bits = np.zeros(1 << SEEN_BITS, bool)
+    for _, ids in feature_ids(learned, replace(spec, bits=SEEN_BITS)):
+        bits[ids] = True
+    seen = np.packbits(bits)
     check = np.flatnonzero(aside) if aside.any() else np.arange(len(rows))
-    z = np.array([share @ table[ids] for ids, share in (bag[i] for i in check)], float)
+    plain = [texts[i] for i in check]
+    z, share = measures(plain, table, seen, spec)
     temperature = min(np.geomspace(0.05, 20, 121), key=lambda t: -np.log(softmax(z / t)[np.arange(len(check)), y[check]] + 1e-12).mean())
-    p = softmax(z / temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == y[check]]
-    threshold = min(max_threshold, float(np.quantile(right, reject_share))) if len(right) else 0.0
-    known = [share @ seen[ids] for ids, share in (bag[i] for i in check)]
-    return LanguageModel(np.hstack([table, seen[:, None]]), langs, float(temperature), threshold, min(0.5, float(np.quantile(known, reject_share))), spec)
+    right = z.argmax(axis=1) == y[check]
+    # the plain texts of the right name, and mixtures, which have none
+    groups = [(z[right], share[right])] if right.any() else [(z, share)]
+    if both := [t for t in mixed(plain, y[check]) if any(map(str.isalpha, t))]:
+        groups.append(measures(both, table, seen, spec))
+    threshold, seen_share = (min(float(np.quantile(v, reject_share)) for v in values) for values in ([softmax(z / temperature).max(axis=1) for z, _ in groups], [s for _, s in groups]))
+    return LanguageModel(table, langs, float(temperature), threshold, seen, seen_share, spec)
 
 
 def language_column(model: LanguageModel, text: Column) -> Column:
     """struct(lang_pred, score, rejected) of a text column."""
-    parts = (model.table, model.langs, model.temperature, model.threshold, model.seen, model.spec)
+    parts = (model.table, model.langs, model.temperature, model.threshold, model.seen, model.seen_share, model.spec)
 
     @F.arrow_udf("lang_pred string, score double, rejected boolean")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

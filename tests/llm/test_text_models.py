@@ -79,6 +79,37 @@ def test_languages_rejected_and_edge_cases(spark):
     assert {r.lang_pred for r in langid.identify(df, nothing).collect()} == {"und"}
 
 
+#: One sentence each in languages that no table labels, all in Latin script.
+UNLEARNED = [
+    "La ragazza cammina lungo la strada e guarda le vetrine dei negozi prima di tornare a casa.",
+    "Dziewczyna idzie ulicą i patrzy na wystawy sklepów, zanim wróci do domu.",
+    "Tyttö kävelee katua pitkin ja katselee kauppojen ikkunoita ennen kuin palaa kotiin.",
+    "Het meisje loopt door de straat en kijkt naar de etalages voordat ze naar huis gaat.",
+    "Kız sokakta yürüyor ve eve dönmeden önce dükkanların vitrinlerine bakıyor.",
+    "Flickan går längs gatan och tittar i skyltfönstren innan hon går hem igen.",
+]
+
+
+def test_unlearned_languages_of_the_same_script_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF_MID.replace('sf0.01', 'sf0.1')}/documents.parquet")
+    model = langid.fit(docs)
+    assert model.predict(UNLEARNED)[2].all()
+    # and the texts of known languages stay, whole or mixed
+    rows = docs.filter(held_out(F.col("doc_id"))).select("lang", "text").orderBy("doc_id").collect()
+    assert model.predict([r.text for r in rows])[2].mean() < 0.005
+    pairs = [(a.text.split(), b.text.split()) for a, b in zip(rows, rows[1:]) if a.lang != b.lang]
+    both = [" ".join(a[: min(len(a), len(b))] + b[: min(len(a), len(b))]) for a, b in pairs]
+    assert len(both) > 500 and model.predict(both)[2].mean() < 0.005
+
+
+def test_few_ngrams_are_seen_by_chance(spark):
+    """Random letters of a script that was not learned."""
+    model = langid.fit(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    letters = np.random.default_rng(2).integers(0x4E00, 0x9FA5, 30_000)
+    share = langid.measures(["".join(map(chr, letters))], model.table, model.seen, model.spec)[1][0]
+    assert share < 0.01
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b"), (4, "x " * 50_000)], "doc_id long, text string").withColumn("score", F.lit(9))
     labels = spark.createDataFrame([(1, 1), (4, 0), (4, 0), (None, 1), (2, None)], "doc_id long, quality int")
