@@ -18,12 +18,14 @@ numpy on the driver, while counting and sampling are single passes over the docu
 Cases: a null source or language counts to ``OTHER``; a null or empty text has no tokens
 and is drawn with its cell's probability; targets of values that do not occur are shared
 out among the others of the margin; ``OTHER`` gets what the targets leave (nothing left:
-weight 0); with an empty table nothing is sampled; repeated rows are drawn alike; other
+weight 0, its tokens are reported in a warning, and where the rest cannot reach the budget
+it is an error); with an empty table nothing is sampled; repeated rows are drawn alike; other
 columns pass through.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -138,6 +140,12 @@ def mixture(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], budget
     weights = np.divide(raked, tokens, out=np.zeros(len(tokens)), where=tokens > 0)
     # a cell of empty texts only: as any other
     weights[tokens == 0] = 1.0 if not tokens.sum() else raked.sum() / tokens.sum()
+    reachable = tokens[weights > 0].sum()
+    if reachable < tokens.sum():
+        left_out = f"{tokens.sum() - reachable:.0f} of {tokens.sum():.0f} tokens have a source, language or topic with no target share"
+        if reachable < min(budget, 1.0) * tokens.sum():
+            raise ValueError(f"{left_out}; the rest cannot reach the budget of {budget:g} of all tokens")
+        warnings.warn(f"{left_out} and are never sampled", stacklevel=2)
     return Mixture(names, tokens, weights, calibrate(tokens, weights, budget * tokens.sum()))
 
 

@@ -4,6 +4,7 @@ import base64
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -109,3 +110,22 @@ def test_draws_are_even_and_mixing_edge_cases(spark):
     assert everything.count() == 5
     assert mixing.sample_documents(docs.limit(0), registry.TARGETS, 0.5).count() == 0
     assert mixing.sample_table(docs.limit(0), registry.TARGETS, 0.5).count() == 0
+
+
+def test_documents_without_a_language_are_drawn_and_the_budget_is_met(spark):
+    """Four of five rows have no language, so the rest alone cannot reach half of all tokens."""
+    rows = [(i, "word " * (50 + i % 300), "en fr de es xx".split()[i // 5 % 5] if i % 5 == 0 else None, f"src{i % 21}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.sample_documents(docs, registry.TARGETS, registry.BUDGET).collect()
+    assert any(r.lang is None for r in got) and any(r.lang == "xx" for r in got)
+    tokens = sum(len(r.text.split()) for r in got) / sum(len(r[1].split()) for r in rows)
+    assert abs(tokens - registry.BUDGET) < 0.05
+
+
+def test_tokens_without_a_target_share_are_reported(spark):
+    docs = spark.createDataFrame([(i, "a b c", "en" if i < 60 else None, "src1") for i in range(100)], "doc_id long, text string, lang string, source string")
+    targets = {"source": {}, "lang": {"en": 1.0}, "topic": {}}
+    with pytest.raises(ValueError, match="120 of 300 tokens"):
+        mixing.sample_documents(docs, targets, 0.7)
+    with pytest.warns(UserWarning, match="never sampled"):
+        assert mixing.sample_documents(docs, targets, 0.5).filter("lang is null").isEmpty()
