@@ -1,8 +1,10 @@
 """Language identification: averaged hashed subword embeddings with a linear softmax.
 
 Trained by numpy stochastic gradient descent on a bounded sample of rows with a
-language (``max_train``, by id hash).  Further rows of the sample (``max_check``) are
-set aside: on them a temperature makes the probabilities calibrated, and two cutoffs are
+language (``max_train``).  The sample is drawn per language: each has as many rows as any
+other, those of smallest id hash, or all where it has fewer, and the rest is dealt to the
+others; so the rarest language is learned, from however few rows.  Further rows of the
+sample (``max_check``) are set aside: on them a temperature makes the probabilities calibrated, and two cutoffs are
 fitted, of the calibrated probability and of the share of n-grams seen in training.  A
 text under either is rejected; each cutoff is what all but ``reject_share`` of the rightly
 named texts set aside reach, and all but ``reject_share`` of texts mixed from two to four
@@ -14,12 +16,15 @@ same script, and a text with long parts in one.
 Cases: a null text or one without a letter is ``und`` with score 0 and rejected;
 with nothing to learn from every
 text is ``und``; under 50 rows nothing is set aside and the cutoffs are those of the
-rows learned from; repeated rows are handled one by one; columns other than
+rows learned from; with more than ``max_train`` languages the rarest are not learned and a
+warning says so; of rows that repeat id and language one is learned from; repeated rows are
+handled one by one; columns other than
 ``doc_id``, ``text`` and, for learning, ``lang`` are not read.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -29,11 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SLICE_ROWS, give_back, held_out
-from .quality import labelled_sample
 from .subword import Features, bags, feature_ids, softmax, train
 
 SPEC = Features(ngrams=(2, 3, 4), words=False, letters=True, bits=17)
 UNDETERMINED = "und"
+#: Steps of training that even few rows get.
+LEAST_STEPS = 3000
 #: Bits of the hash by which an n-gram counts as seen: one of 100,000 learned is met by chance in 0.3 % of cases.
 SEEN_BITS = 25
 
@@ -87,9 +93,50 @@ def mixed(texts: list[str], y: np.ndarray, seed: int = 7) -> list[str]:
     return out
 
 
+def dealt(counts: dict[str, int], rows: int) -> dict[str, int]:
+    """So many rows dealt evenly to labels that have ``counts`` of them, at least one each."""
+    out, left = {}, rows
+    for k, (label, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        out[label] = max(1, min(n, left // (len(counts) - k)))
+        left -= out[label]
+    return out
+
+
+def sample_per_language(docs: DataFrame, max_rows: int, max_langs: int) -> list[tuple[str, str]]:
+    """(lang, text) of at most ``max_rows`` rows of the learning folds with a letter in their
+    text, dealt evenly to the languages, in a fixed order.
+
+    Nothing is sorted or grouped by language: cutoffs of the id hash, from counts, leave
+    little more than the sample, and only its ids and then its texts leave the scans.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("_y"), F.col("text").cast("string").alias("text"))
+    rows = rows.filter(F.col("doc_id").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
+    counts = rows.groupBy("_y").agg(F.approx_count_distinct("doc_id").alias("n")).orderBy(F.desc("n"), "_y").limit(max_langs + 1).collect()
+    if len(counts) > max_langs:
+        warnings.warn(f"over {max_langs} languages: the rarest are not learned", stacklevel=2)
+    counts = {r["_y"]: max(1, r["n"]) for r in counts[:max_langs]}
+    if not counts:
+        return []
+    # a generous part, as the counts are estimates; all of a rare language
+    part = {label: min(1.0, (1.3 * n + 50) / counts[label]) for label, n in dealt(counts, max_rows).items()}
+    cuts = spark.createDataFrame([(label, min((1 << 63) - 1, int((p - 0.5) * (1 << 64)))) for label, p in part.items()], "_y string, _cut bigint")
+    found = rows.join(F.broadcast(cuts), "_y").withColumn("_h", F.xxhash64("doc_id")).filter("_h <= _cut").select("_y", "_h", "doc_id").distinct().collect()
+    of: dict[str, list] = {}
+    for r in sorted(found):
+        of.setdefault(r["_y"], []).append((r["doc_id"], r["_y"]))
+    if not of:
+        return []
+    share = dealt({label: len(ids) for label, ids in of.items()}, max_rows)
+    chosen = spark.createDataFrame([pair for label, ids in of.items() for pair in ids[: share[label]]], "doc_id bigint, _y string")
+    texts = rows.join(F.broadcast(chosen), ["doc_id", "_y"]).groupBy("doc_id", "_y").agg(F.min("text").alias("text"))
+    # Python orders them: by language, and in it by the hash
+    text_of = {(r["doc_id"], r["_y"]): r["text"] for r in texts.collect()}
+    return [(label, text_of[pair]) for label, ids in sorted(of.items()) for pair in ids[: share[label]]]
+
+
 def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: int = 5, reject_share: float = 0.001, max_check: int = 3000) -> LanguageModel:
-    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("_l"))
-    rows = [r for r in labelled_sample(docs, known, "_l", max_train + max_check) if r[1] and any(map(str.isalpha, r[1]))]
+    rows = sample_per_language(docs, max_train + max_check, max_train)
     langs = tuple(sorted({v for v, _ in rows}))
     if not langs:
         return LanguageModel(np.zeros((1 << spec.bits, 1), np.float32), (), 1.0, 0.0, np.zeros(1, np.uint8), 0.0, spec)
@@ -101,7 +148,8 @@ def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: i
             nth[y == k] = np.arange((y == k).sum())
         aside = (nth + 1) * max_check // (max_train + max_check) > nth * max_check // (max_train + max_check)
     learned = [t for t, a in zip(texts, aside) if not a]
-    table = train(bags(learned, spec), y[~aside], len(langs), spec, epochs=epochs)
+    # few rows are seen more often
+    table = train(bags(learned, spec), y[~aside], len(langs), spec, epochs=max(epochs, LEAST_STEPS // len(learned)))
     bits = np.zeros(1 << SEEN_BITS, bool)
     for _, ids in feature_ids(learned, replace(spec, bits=SEEN_BITS)):
         bits[ids] = True

@@ -102,6 +102,26 @@ def test_unlearned_languages_of_the_same_script_are_rejected(spark):
     assert len(both) > 500 and model.predict(both)[2].mean() < 0.005
 
 
+def test_rare_languages_are_learned(spark):
+    """Ten rows of 40,000: an even draw of 6,000 learning rows would hold one or two, or none."""
+    words = "the of and that with from this have not are which were been their would".split()
+    rare = "και του της από στην για που δεν είναι ένα αυτό στο".split()
+    rows = [(i, " ".join(words[i * k % 15] for k in range(3, 15)), "en") if i % 4000 else (i, " ".join(rare[(i // 4000 + k) % 12] for k in range(10)), "el") for i in range(40_000)]
+    docs = spark.createDataFrame([*rows, (50_000, None, "it"), (50_001, "12 34", "it"), (50_002, "senza lingua", None)], "doc_id long, text string, lang string")
+    sample = langid.sample_per_language(docs, 600, 300)
+    assert len(sample) == 600 and 5 <= sum(v == "el" for v, _ in sample) <= 10 and sample == langid.sample_per_language(docs.repartition(5), 600, 300)
+    model = langid.fit(docs, max_train=300, max_check=300)
+    langs, _, rejected = model.predict([" ".join(rare), " ".join(words)])
+    assert model.langs == ("el", "en") and langs == ["el", "en"] and not rejected.any()
+    with pytest.warns(UserWarning, match="rarest"):
+        assert langid.fit(docs, max_train=1, max_check=0).langs == ("en",)
+
+
+def test_rows_are_dealt_evenly():
+    assert langid.dealt({"a": 10_000, "b": 5, "c": 800, "d": 9000}, 3000) == {"b": 5, "c": 800, "d": 1097, "a": 1098}
+    assert langid.dealt({"a": 2, "b": 3}, 100) == {"a": 2, "b": 3}
+
+
 def test_few_ngrams_are_seen_by_chance(spark):
     """Random letters of a script that was not learned."""
     model = langid.fit(spark.read.parquet(f"{SF_MID}/documents.parquet"))
