@@ -11,6 +11,13 @@ entities may share a surrogate, and no surrogate may be an entity that occurs.
 entities that fail (usually a handful) are keyed again until none does; only these travel
 back to their texts, all others need no join.
 
+Phone numbers: 3-3-4 groups; a plus sign and 8 to 15 digits; 00 and a country code, or a
+trunk 0 with 9 to 12 digits in all, in groups or not.  The country code and the trunk digit
+stay, so a number's national and international spellings agree.  Not covered: plain digits
+without plus or zero, and 13 or more plain digits after 00, which may be any number.  Numbers
+that follow a phone number by a blank can be taken as part of it, up to its longest form.
+E-mail addresses may hold Latin, Greek and Cyrillic letters.
+
 Cases: a null text stays null, an empty one empty; a text without an entity is returned
 unchanged to the character; a number that only looks like a card (wrong check digit) is
 left alone; repeated rows give repeated results; columns other than ``text`` pass through
@@ -50,13 +57,21 @@ _WORD = r"\p{Lu}[\p{L}'’-]*\p{L}"
 _TITLE = rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{'|'.join(TITLES)})\.?[ \t]"
 _GIVEN = rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{'|'.join(n for names in GIVEN.values() for n in names)})[ \t]"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+#: Letters of the scripts that part words by spaces, so that an address ends where its word does.
+_LETTER = r"A-Za-z\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{M}"
+EMAIL = rf"(?<![0-9{_LETTER}._%+-])[0-9{_LETTER}._%+-]{{1,64}}@(?:[0-9{_LETTER}-]{{1,63}}\.){{1,8}}[{_LETTER}]{{2,24}}(?![0-9{_LETTER}-])"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+#: International: a plus sign and 8 to 15 digits, in groups or not.
+_GROUPED = r"[ \u00A0\u202F./()-]{0,2}[0-9]"
+PHONE_PLUS = rf"(?<![\w+])\+[1-9](?:{_GROUPED}){{7,14}}(?![0-9])"
+#: With the prefix 00, or national with the trunk digit 0 (9 to 12 digits); no date.
+PHONE_ZERO = rf"(?<![\w+.,/-])(?:00[1-9](?:{_GROUPED}){{7,14}}|(?!0[1-9][ ./-][0-9]{{2}}[ ./-][12][0-9]{{3}}(?![0-9]))\(?0[1-9](?:{_GROUPED}){{7,10}})(?![\w]|[.,/-][0-9])"
+_COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 CARD = r"(?<![\w-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-])"
 NAME = rf"(?:{_TITLE}|{_GIVEN}){_WORD}(?:[ \t]{_WORD})?"
-ENTITY = "|".join([EMAIL, IP, PHONE, SSN, CARD.replace("([ -])", "[ -]").replace(r"\1", "[ -]"), NAME])
+ENTITY = "|".join([EMAIL, IP, PHONE, PHONE_PLUS, SSN, CARD.replace("([ -])", "[ -]").replace(r"\1", "[ -]"), PHONE_ZERO, NAME])
 #: Every entity holds a digit, an at sign, a title or a known given name.
 HINT = rf"[0-9@]|{_TITLE}|{_GIVEN}"
 
@@ -87,7 +102,8 @@ def kind(entity: Column) -> Column:
     """The type of a matched string; null for a number that is no card."""
 
     def number(d: Column) -> Column:
-        return F.when(F.length(d) < 13, "phone").when(_luhn_sum(d) % 10 == 0, "card")
+        out = F.when(entity.startswith("+") | (F.length(d) < 13), "phone").when(_luhn_sum(d) % 10 == 0, "card")
+        return out.when(entity.rlike("^00[1-9][0-9]{0,2}[^0-9]"), "phone")
 
     return _let(
         entity,
@@ -120,7 +136,9 @@ def units(entity: Column) -> Column:
 
 def _value(e: Column, k: Column) -> Column:
     """The normal form that all spellings of an entity share."""
-    return F.when(k == "email", F.lower(e)).when(k == "ip", e).when(k == "phone", F.right(_digits(e), F.lit(10))).otherwise(_digits(e))
+    # a phone number without its country code and, where that can be one, its trunk digit
+    phone = F.when(e.rlike(f"^{PHONE}$"), F.right(_digits(e), F.lit(10))).otherwise(F.regexp_replace(_digits(F.regexp_replace(e, rf"^(?:\+|00(?=[1-9])){_COUNTRY}", "")), "^0", ""))
+    return F.when(k == "email", F.lower(e)).when(k == "ip", e).when(k == "phone", phone).otherwise(_digits(e))
 
 
 def _hash(key: str, kind_: Column, value: Column, attempt: Column) -> Column:
@@ -143,7 +161,11 @@ def _spelled(h: Column, value: Column) -> Column:
     def char(i: Column) -> Column:
         c = F.substr(value, i, F.lit(1))
         n = _number(F.sha2(F.concat(h, i.cast("string")), 256), 1, 8)
-        return F.when(c.rlike("[a-z]"), F.char(97 + n % 26)).when(c.rlike("[0-9]"), F.char(48 + n % 10)).otherwise(c)
+        out = F.when(c.rlike("[a-z]"), F.char(97 + n % 26)).when(c.rlike("[0-9]"), F.char(48 + n % 10))
+        for script, first, size in (("Cyrillic", 0x430, 32), ("Greek", 0x3B1, 17)):
+            letters = F.lit("".join(map(chr, range(first, first + size))))
+            out = out.when(c.rlike(rf"\p{{Is{script}}}"), F.substr(letters, (1 + n % size).cast("int"), F.lit(1)))
+        return out.when(c.rlike(r"[\p{L}\p{M}]"), F.char(97 + n % 26)).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), char), "")
 
@@ -175,7 +197,7 @@ def surrogate(key: str, kind_: Column, value: Column, attempt: Column) -> Column
 
     def phone(h: Column) -> Column:
         whole = F.concat((2 + _number(h, 1, 2) % 8).cast("string"), F.substr(_digit_pool(h), F.lit(2), F.lit(2)), (2 + _number(h, 3, 2) % 8).cast("string"), F.substr(_digit_pool(h), F.lit(5), F.lit(6)))
-        return F.right(whole, F.length(value))
+        return F.left(F.concat(whole, F.substr(_digit_pool(h), F.lit(11), F.lit(22))), F.length(value))
 
     def card(h: Column) -> Column:
         body = F.concat(F.left(value, F.lit(1)), F.substr(_digit_pool(h), F.lit(1), F.length(value) - 2))

@@ -90,6 +90,29 @@ def test_edge_cases(spark):
     assert surrogates.replace_pii(df.limit(0), "k").count() == 0
 
 
+def test_phone_numbers_of_other_countries(spark):
+    numbers = ["+33 6 12 34 56 78", "06 12 34 56 78", "0612345678", "+49 30 1234567", "030/1234567", "+49 (0) 30 1234567", "+34 612 345 678", "+44 20 7946 0958", "+442079460958", "0033 6 12 34 56 78", "+7 (495) 123-45-67", "+351 12345 6789012"]
+    got = replaced(spark, [f"Tel. {n}, bitte" for n in numbers])
+    for old, new in zip(numbers, got):
+        new = re.fullmatch(r"Tel\. (.*), bitte", new)[1]
+        assert new != old and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", old)
+        assert new[: 3 if old[0] == "+" and old[1] != "7" else 1] == old[: 3 if old[0] == "+" and old[1] != "7" else 1]
+        # hardly a digit after the code stays by chance
+        assert sum(a != b for a, b in zip(old, new)) >= 5
+    assert len({re.sub(r"\D", "", t)[-9:] for t in (got[0], got[1], got[2], got[9])}) == 1
+    kept = ["on 01.02.2024 12:30", "0.123456789", "id 1700000000", "05 12", "am 02/03/2024 10 Uhr", "v0123456789x", "4111111111111112"]
+    assert replaced(spark, kept) == kept
+
+
+def test_addresses_with_letters_beyond_ascii(spark):
+    a, b, c, d = replaced(spark, ["an jürgen.müller@mail5.example.com.", "пишите иван@почта.рф, да", "JÜRGEN.MÜLLER@mail5.example.com", "见a.b@c.org谢谢"])
+    m = re.fullmatch(r"an ([a-z]{6}\.[a-z]{6}@[a-z]{8}\.example\.com)\.", a)
+    assert m[1] == c and "ller" not in m[1]
+    m = re.fullmatch(r"пишите ([а-я]{4})@[a-z]{8}\.example\.com, да", b)
+    assert m[1] != "иван"
+    assert re.fullmatch(r"见[a-z]\.[a-z]@[a-z]{8}\.example\.com谢谢", d)
+
+
 def test_collisions_are_keyed_again(spark):
     """One-letter addresses of one host have 26 surrogates: chance alone would not part 20."""
     texts = [f"{c}@x.org" for c in "abcdefghijklmnopqrst"]
