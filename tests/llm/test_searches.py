@@ -45,6 +45,16 @@ def test_recall_and_scores_of_one_bit_codes(spark):
     assert all(abs(s - known[q, i]) < 1e-12 for q, v in got.items() for i, s in v)
 
 
+def test_recall_of_one_bit_codes_at_a_larger_size(spark):
+    """2,000 vectors, four times those of the test above."""
+    large = SF_MID.replace("sf0.01", "sf0.1")
+    rows = spark.read.parquet(f"{large}/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    ids, x = rows.vec_id.to_numpy(), np.stack(rows.embedding).astype(float)
+    want = brute(ids, x, 50, 5, cosine)
+    got = by_query(registry.op3_onebit_neighbours(spark, large).collect())
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.95
+
+
 def test_estimates_lie_within_their_bounds():
     rng = np.random.default_rng(8)
     x = onebit.unit(rng.normal(size=(2000, 64)))
