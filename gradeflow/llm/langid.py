@@ -27,6 +27,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -80,17 +81,15 @@ def measures(texts, table: np.ndarray, seen: np.ndarray, spec: Features) -> tupl
     return total / count[:, None], known / count
 
 
-def mixed(texts: list[str], y: np.ndarray, seed: int = 7) -> list[str]:
+def mixed(texts: list[str], y: np.ndarray, seed: int = 7) -> Iterator[str]:
     """For each text a mixture of it with texts of one to three other languages, equal parts of each."""
     rng = np.random.default_rng(seed)
     of = {k: np.flatnonzero(y == k) for k in np.unique(y)}
-    out = []
     for i in range(len(texts) if len(of) > 1 else 0):
         others = rng.permutation([k for k in of if k != y[i]])[: rng.integers(1, min(4, len(of)))]
         words = [texts[j].split() for j in (i, *(rng.choice(of[k]) for k in others))]
         n = min(map(len, words))
-        out.append(" ".join(w for part in words for w in part[:n]))
-    return out
+        yield " ".join(w for part in words for w in part[:n])
 
 
 def dealt(counts: dict[str, int], rows: int) -> dict[str, int]:
@@ -150,10 +149,10 @@ def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: i
     learned = [t for t, a in zip(texts, aside) if not a]
     # few rows are seen more often
     table = train(bags(learned, spec), y[~aside], len(langs), spec, epochs=max(epochs, LEAST_STEPS // len(learned)))
-    bits = np.zeros(1 << SEEN_BITS, bool)
+    seen = np.zeros(1 << (SEEN_BITS - 3), np.uint8)
     for _, ids in feature_ids(learned, replace(spec, bits=SEEN_BITS)):
-        bits[ids] = True
-    seen = np.packbits(bits)
+        ids = np.unique(ids)
+        np.bitwise_or.at(seen, ids >> 3, (128 >> (ids & 7)).astype(np.uint8))
     check = np.flatnonzero(aside) if aside.any() else np.arange(len(rows))
     plain = [texts[i] for i in check]
     z, share = measures(plain, table, seen, spec)
@@ -161,8 +160,12 @@ def fit(docs: DataFrame, max_train: int = 3000, spec: Features = SPEC, epochs: i
     right = z.argmax(axis=1) == y[check]
     # the plain texts of the right name, and mixtures, which have none
     groups = [(z[right], share[right])] if right.any() else [(z, share)]
-    if both := [t for t in mixed(plain, y[check]) if any(map(str.isalpha, t))]:
-        groups.append(measures(both, table, seen, spec))
+    both = (t for t in mixed(plain, y[check]) if any(map(str.isalpha, t)))
+    while some := list(islice(both, SLICE_ROWS)):
+        groups.append(measures(some, table, seen, spec))
+    groups = [groups[0], tuple(map(np.concatenate, zip(*groups[1:])))] if groups[1:] else groups
+    del rows, texts, learned, plain
+    give_back()
     threshold, seen_share = (min(float(np.quantile(v, reject_share)) for v in values) for values in ([softmax(z / temperature).max(axis=1) for z, _ in groups], [s for _, s in groups]))
     return LanguageModel(table, langs, float(temperature), threshold, seen, seen_share, spec)
 

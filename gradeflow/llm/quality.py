@@ -65,7 +65,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: i
     labels = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").cast("string").alias("_l"))
     rows = labelled_sample(docs, labels, "_l", max_train)
     y = np.array([int(v) for v, _ in rows], int)
-    table = train(bags([t for _, t in rows], spec), y, 2, spec, epochs=epochs)
+    found = bags([t for _, t in rows], spec)
+    del rows
+    table = train(found, y, 2, spec, epochs=epochs)
+    del found
+    give_back()
     return QualityModel(table, spec)
 
 

@@ -38,8 +38,8 @@ from .common import give_back
 
 MAX_MODEL = 16 << 20
 SPACE = "▁"
-#: Chunks that a task keeps; a full table is emptied.
-KEPT_CHUNKS = 150_000
+#: Chunks that a task keeps, in two generations of half each.
+KEPT_CHUNKS = 240_000
 #: Chunks whose agendas advance together.
 STEP = 8000
 #: Chunks longer than this are encoded but not kept.
@@ -53,6 +53,7 @@ class Pieces:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=proto)
         size = self.library.get_piece_size()
         self.names = [self.library.id_to_piece(i) for i in range(size)]
+        self.digits = list(map(str, range(size)))
         lib = self.library
         plain = [i for i in range(size) if not (lib.is_unknown(i) or lib.is_control(i) or lib.is_byte(i) or lib.is_unused(i))]
         self.ids = {self.names[i]: i for i in plain}
@@ -243,34 +244,50 @@ def _utf8(raw: bytes) -> str:
 
 
 class Table:
-    """The ids, as text, of the chunks seen so far; ``odd`` chunks do not decode to themselves."""
+    """The ids, as text, of the chunks seen lately; ``odd`` chunks do not decode to themselves.
+
+    Chunks met are kept in the young generation; once it is full it becomes the old one,
+    whose former chunks go.  A chunk met again in the old one is young again, so what is
+    frequent stays.  Long chunks live for their group of texts only.
+    """
 
     def __init__(self, pieces: Pieces, check: bool = True):
         self.pieces, self.check = pieces, check
-        self.known: dict[str, str] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
         self.odd: dict[str, str] = {}
+        self.long: list[str] = []
 
     def learn(self, chunks: set[str]) -> dict[str, str]:
         """The ids of all the chunks; newly encoded ones are compared with the library."""
-        new = list(chunks.difference(self.known))
+        missing = chunks.difference(self.young)
+        again = missing.intersection(self.old)
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        new = list(missing.difference(again))
         short = [c for c in new if len(c) <= KEPT_LENGTH]
         long = [c for c in new if len(c) > KEPT_LENGTH]
         found = [x for at in range(0, len(short), STEP) for x in self.pieces.many(short[at : at + STEP])]
         found += map(self.pieces.chunk_ids, long)
         if self.check and new and (bad := self.pieces.differing(short + long, found)):
             raise ValueError(f"{len(bad)} chunks differ from the library, such as {bad[0]!r}")
-        if len(self.known) + len(short) > KEPT_CHUNKS:
-            self.known = {c: self.known[c] for c in chunks if c in self.known}
-        fresh = {}
+        names, digits = self.pieces.names, self.pieces.digits
         for c, ids in zip(short + long, found):
-            fresh[c] = " ".join(map(str, ids))
-            decoded = self.pieces._joined(ids)
-            if decoded != c.replace(SPACE, " "):
-                self.odd[c] = decoded
-        if not long and len(self.known) + len(fresh) <= KEPT_CHUNKS:
-            self.known.update(fresh)
-            return self.known
-        return {**self.known, **fresh}  # this group only
+            self.young[c] = " ".join([digits[i] for i in ids])
+            if "".join([names[i] for i in ids]) != c:  # bytes or unknown pieces
+                decoded = self.pieces._joined(ids)
+                if decoded != c.replace(SPACE, " "):
+                    self.odd[c] = decoded
+        self.long = long
+        return self.young
+
+    def forget(self) -> None:
+        """After a group: its long chunks go, and a full young generation becomes the old one."""
+        for c in self.long:
+            del self.young[c]
+            self.odd.pop(c, None)
+        if len(self.young) >= KEPT_CHUNKS // 2:
+            self.old, self.young = self.young, {}
+            self.odd = {c: d for c, d in self.odd.items() if c in self.old}
 
     def encode(self, texts: Sequence[str | None]) -> list[tuple[str, str]]:
         """(ids as text, decoded text) of each whole text, the end id last."""
@@ -286,6 +303,7 @@ class Table:
                 decoded = "".join(chunks).replace(SPACE, " ")
             spaced = chunks and self.pieces.names[int(ids.split(" ", 1)[0])].startswith(SPACE)
             out.append((ids, decoded[1:] if spaced else decoded))
+        self.forget()
         return out
 
 

@@ -164,18 +164,29 @@ def word_hashes(run: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def bags(texts: Sequence[str | None], spec: Features) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text its distinct buckets and their shares of all its features."""
-    out = [[] for _ in texts]
+    """For each text its distinct buckets and their shares of all its features.
+
+    A text is reduced as soon as its last feature is there, so raw features of one slice
+    (and of one text that goes on in the next) are held at a time.
+    """
+    done = [(np.empty(0, np.int32), np.empty(0, np.float32))] * len(texts)
+    at, parts = -1, []
+
+    def close():
+        if parts:
+            ids, n = np.unique(np.concatenate(parts), return_counts=True)
+            done[at] = ids.astype(np.int32), (n / n.sum()).astype(np.float32)
+
     for own, ids in feature_ids(texts, spec):
         order = np.argsort(own, kind="stable")
         own, ids = own[order], ids[order]
         cuts = np.flatnonzero(np.diff(own)) + 1
-        for i, part in zip(own[np.r_[0, cuts]] if len(own) else [], np.split(ids, cuts)):
-            out[i].append(part)
-    done = []
-    for parts in out:
-        ids, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, np.int64), np.empty(0))
-        done.append((ids.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
+        for i, part in zip(own[np.r_[0, cuts]].tolist() if len(own) else [], np.split(ids, cuts)):
+            if i != at:
+                close()
+                at, parts = i, []
+            parts.append(part.astype(np.int32))
+    close()
     return done
 
 
