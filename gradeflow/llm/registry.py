@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chatformat, langid, minhash, mixing, onebit, quality, sentencepieces, surrogates, tokencounts, voronoi
+from . import alignment, chatformat, langid, minhash, mixing, onebit, quality, sentencepieces, surrogates, tokencounts, voronoi
 from .common import read
 
 SENTENCEPIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_PAIR_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_PAIR_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: For tests and queries only: a real run takes its key from its secret store.
 PII_KEY = "a test key"
@@ -75,6 +76,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(read(spark, sf_dir, "documents"), BYTE_PAIR_VOCABULARY, SENTENCEPIECE_MODEL)
+
+
 OP9_SQL = """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
@@ -88,7 +93,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_classifier, op2_mixing_weights, op3_onebit_neighbours, op4_token_counts, op5_pii_surrogates, op6_sentencepiece, op7_chat_format, op8_minhash_near_dedup, op9_voronoi_topk, op10_language_id]
+    found = [op1_quality_classifier, op2_mixing_weights, op3_onebit_neighbours, op4_token_counts, op5_pii_surrogates, op6_sentencepiece, op7_chat_format, op8_minhash_near_dedup, op9_voronoi_topk, op10_language_id, op13_tokenizer_alignment]
     return {f.__name__: f for f in found}
 
 
