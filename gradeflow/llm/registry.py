@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chatformat, collocations, langid, minhash, mixing, onebit, quality, sentencepieces, surrogates, tokencounts, voronoi
+from . import alignment, chatformat, collocations, extraction, langid, minhash, mixing, onebit, quality, sentencepieces, surrogates, tokencounts, voronoi
 from .common import read
 
 SENTENCEPIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -76,6 +76,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_texts(read(spark, sf_dir, "pages"), extraction.fit())
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
@@ -97,7 +101,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_classifier, op2_mixing_weights, op3_onebit_neighbours, op4_token_counts, op5_pii_surrogates, op6_sentencepiece, op7_chat_format, op8_minhash_near_dedup, op9_voronoi_topk, op10_language_id, op12_phrase_collocations, op13_tokenizer_alignment]
+    found = [op1_quality_classifier, op2_mixing_weights, op3_onebit_neighbours, op4_token_counts, op5_pii_surrogates, op6_sentencepiece, op7_chat_format, op8_minhash_near_dedup, op9_voronoi_topk, op10_language_id, op11_html_extraction, op12_phrase_collocations, op13_tokenizer_alignment]
     return {f.__name__: f for f in found}
 
 
