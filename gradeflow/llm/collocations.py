@@ -1,19 +1,20 @@
 """Phrase collocations by Toivonen's sampling method.
 
 A sample of the documents proposes frequent words and phrases, at a lowered threshold.
-A full pass then counts exactly every phrase whose two parts of one word less were both
-proposed: the proposed phrases and their negative border.  Where a phrase of the border
-turns out frequent, its extensions were not counted: it joins the proposals, and a further
-pass counts what that adds to the border, until no border phrase is frequent.  Each pass
-closes one length, so there are at most ``max_words`` passes.  The result is exact
-whatever the sample held; a poor sample costs passes.
+A full pass then counts every phrase whose two parts of one word less were both proposed:
+the proposed phrases and their negative border.  Where a phrase of the border turns out
+frequent, its extensions were not counted: it joins the proposals, and a further pass
+counts what that adds to the border, until no border phrase is frequent.  Each pass
+closes one length, so there are at most ``max_words`` passes.  These passes count by a
+64-bit hash of language and phrase, which never counts less than there is; a last pass
+counts by their texts the phrases whose hash is frequent.  So the result is exact,
+whatever the sample held and whatever hashes meet; a poor sample costs passes.
 
-Proposals go to the tasks as bits of a fixed size (``BITS``), by a hash of the phrase.
-Two phrases of one bit only make the border larger; they are counted by their text.
+Proposals go to the tasks as bits of a fixed size (``BITS``), by the hash of the phrase.
+Two phrases of one bit only make the border larger.
 
-A task counts in numpy over word numbers, about ``FLUSH`` words at a time, so what is
-shuffled are distinct phrases of a block with their counts, summed before the shuffle
-again; a common phrase or language is a row per block.
+A task counts in numpy over word numbers, about ``FLUSH`` words at a time, and puts its
+blocks together before anything is shuffled; a common phrase or language is a row per task.
 
 Words and pieces: A-Z in lower case; pieces part at ``[.,;:!?\\x0A-\\x0D]``, words at
 spaces and tabs; phrases lie in one piece.  All is per language.
@@ -26,8 +27,8 @@ or one without frequent phrases gives an empty result; columns other than ``text
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,30 +41,45 @@ from .common import give_back, stored
 #: Bits of the proposals of each length (as a power of two): 4 MB each.
 BITS = 25
 #: Words of a block that is counted at a time, and words that a task keeps numbered.
-FLUSH = 1 << 20
-KEPT_WORDS = 1 << 19
+FLUSH = 1 << 19
+KEPT_WORDS = 1 << 18
+#: Different hashes, and different phrases, that a task holds before it passes them on.
+HELD_HASHES = 1 << 21
+HELD_PHRASES = 1 << 17
+#: Rows passed on at a time.
+ROWS_OUT = 1 << 15
 #: Bytes of a text that are handled at a time (cut after a piece).
 SLICE = 1 << 20
 #: One of so many documents is in the sample.
 SAMPLE = 8
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes(0x2E if b in SEPARATORS else 0x20 if b == 9 else b for b in range(256))
-ROWS = "lang string, phrase string, k int, n bigint, fresh boolean, h bigint"
 Bits = list[np.ndarray]  # proposals of one word, two words, ...
 
 
 class Words(dict):
-    """Numbers of words, given when they are first met; 0 is the end of a piece."""
+    """Numbers of words, given when they are first met, and their hashes; 0 ends a piece."""
 
     def __init__(self):
         super().__init__({b".": 0})
         self.names = [b"."]
+        self._hashes = np.zeros(1024, np.uint64)
+        self._hashed = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.names)
         self.names.append(word)
         return n
 
+    def hashes(self) -> np.ndarray:
+        new = self.names[self._hashed :]
+        if len(self.names) > len(self._hashes):
+            self._hashes = np.concatenate([self._hashes, np.zeros(2 * len(self.names), np.uint64)])
+        if new:
+            self._hashes[self._hashed : len(self.names)] = [xxhash.xxh64_intdigest(w) for w in new]
+            self._hashed = len(self.names)
+        return self._hashes
+
 
 def word_numbers(text: str, words: Words) -> Iterator[np.ndarray]:
     """The numbers of a text's words, 0 after each piece, in slices."""
@@ -89,114 +105,155 @@ def _bit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-class Block:
-    """The phrases of a block of one language's words.
-
-    ``bits`` are the proposals, ``before`` those of earlier passes: what both of its parts
-    were proposed for then has been counted."""
-
-    def __init__(self, numbers: np.ndarray, words: Words, lang: str, bits: Bits, before: Bits | None, max_words: int):
-        self.words, self.bits, self.before, self.max_words = words, bits, before, max_words
-        self.numbers, local = np.unique(numbers, return_inverse=True)
-        self.local = local.astype(np.int64)
-        self.end = numbers == 0
-        seed = xxhash.xxh64_intdigest(lang.encode("utf-8"))
-        names = words.names
-        self.hash1 = np.array([xxhash.xxh64_intdigest(names[i], seed) for i in self.numbers.tolist()], np.uint64)
-
-    def lengths(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
-        """(length, hashes, counts, texts, whether proposed) of the phrases to count, by length."""
-        names, numbers = self.words.names, self.numbers
-        one = [names[i] for i in numbers.tolist()]
-        here = ~self.end
-        # group: number of the phrase that begins at a place; its hash; its text on demand
-        group, h = self.local, self.hash1
-        texts = one
-        counts = np.bincount(self.local[here], minlength=len(numbers))
-        now = _bit(self.bits[0], h) if self.bits else np.zeros(len(h), bool)
-        if self.before is None:
-            some = np.flatnonzero(counts)
-            yield 1, h[some], counts[some], [one[i] for i in some.tolist()], now[some]
-        old = _bit(self.before[0], h) if self.before else np.zeros(len(h), bool)
-        place = np.flatnonzero(here)
-        for k in range(2, self.max_words + 1):
-            if len(self.bits) < k - 1:
-                return
-            # places where a phrase of k - 1 words begins, both there and at the next word, both proposed
-            in_now, in_old = np.zeros(len(self.local) + 1, bool), np.zeros(len(self.local) + 1, bool)
-            in_now[place], in_old[place] = now[group[place]], old[group[place]]
-            place = place[in_now[place] & in_now[place + 1]]
-            if not len(place):
-                return
-            counted = in_old[place] & in_old[place + 1]
-            pair = group[place] * len(numbers) + self.local[place + k - 1]
-            pairs, first, inverse = np.unique(pair, return_index=True, return_inverse=True)
-            head, tail = np.divmod(pairs, len(numbers))
-            heads, h = (texts, head), _mix(h[head] * np.uint64(0x9E3779B97F4A7C15) + self.hash1[tail])
-            group = np.full(len(self.local), -1, np.int64)
-            group[place] = inverse
-            now = _bit(self.bits[k - 1], h) if len(self.bits) >= k else np.zeros(len(h), bool)
-            old = now & _bit(self.before[k - 1], h) if self.before and len(self.before) >= k else np.zeros(len(h), bool)
-            counts = np.bincount(inverse)
-            new = np.flatnonzero(~counted[first])  # alike at all places of a phrase
-            texts = _Joined(heads, tail, one)
-            yield k, h[new], counts[new], texts.some(new), now[new]
-
-
-class _Joined:
-    """Texts of phrases, made only where they are asked for."""
-
-    def __init__(self, heads, tail: np.ndarray, one: list[bytes]):
-        (self.texts, self.head), self.tail, self.one = heads, tail, one
-
-    def some(self, at: np.ndarray) -> list[bytes]:
-        heads = self.texts.some(self.head[at]) if isinstance(self.texts, _Joined) else [self.texts[i] for i in self.head[at].tolist()]
-        return [a + b" " + self.one[j] for a, j in zip(heads, self.tail[at].tolist())]
+def places(numbers: np.ndarray, words: Words, lang: str, bits: Bits, before: Bits | None, max_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places, hashes) of the phrases to count in a block of one language.
+
+    A phrase counts where both its parts of one word less are in ``bits``, unless both were
+    ``before``, as it has been counted then; every word counts in the first pass."""
+    one = _mix(words.hashes()[numbers] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8"))))
+    here = numbers != 0
+    at = np.flatnonzero(here)
+    if before is None:
+        yield 1, at, one[at]
+    h, was = one, np.append(here, False)  # was: counted by earlier passes
+    for k in range(2, max_words + 1):
+        if len(bits) < k - 1:
+            return
+        # where phrases of k - 1 words begin that are proposed now, and were before
+        now, old = np.zeros(len(numbers) + 1, bool), np.zeros(len(numbers) + 1, bool)
+        now[at] = found = _bit(bits[k - 2], h[at])
+        if before is not None:
+            old[at] = was[at] & _bit(before[k - 2], h[at])
+        at = at[found]
+        at = at[now[at + 1]]
+        if not len(at):
+            return
+        longer = np.zeros(len(numbers), np.uint64)
+        longer[at] = _mix(h[at] * np.uint64(0x9E3779B97F4A7C15) + one[at + k - 1])
+        h = longer
+        was = np.zeros(len(numbers) + 1, bool)
+        was[at] = old[at] & old[at + 1]
+        new = at if before is None else at[~was[at]]
+        yield k, new, h[new]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[tuple[str, np.ndarray]]]]:
+    """The words of many texts at a time, by language."""
+    words, held, size = Words(), {}, 0
+
+    def block():
+        return words, [(v, np.concatenate(parts)) for v, parts in held.items()]
+
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            if len(words) > KEPT_WORDS:  # numbers hold for a block and a text
+                if held:
+                    yield block()
+                words, held, size = Words(), {}, 0
+            for numbers in word_numbers(text.as_py() or "", words):
+                held.setdefault(lang, []).append(numbers)
+                size += len(numbers)
+                if size >= FLUSH:
+                    yield block()
+                    held, size = {}, 0
+                    give_back()
+    if held:
+        yield block()
+
+
+def _summed(h: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different hashes and their counts."""
+    if n is None:
+        h = np.sort(h)
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
+        return h[first], np.diff(np.r_[first, len(h)]).astype(np.int64)
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    return h[first], np.add.reduceat(n, first)
 
 
 def counted(docs: DataFrame, bits: Bits, before: Bits | None, max_words: int, only: int | None = None) -> DataFrame:
-    """Rows of phrases and their counts in a block: those that both of whose parts are
-    proposed (in ``bits``) but were not ``before``; every word too in the first pass.
-    ``fresh``: of the border, not proposed.  A row without a phrase counts all words.
-    ``only``: just that length, without texts."""
+    """(k, h, n): hashes of the phrases to count (see ``places``) and how often they occur, summed
+    over all documents. ``only``: just that length."""
     sent = docs.sparkSession.sparkContext.broadcast((bits, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, before = sent.value
-        words: Words = Words()
-        held: dict[str, list[np.ndarray]] = {}
+        held: dict[int, list] = {}
         size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                numbers = np.concatenate(parts)
-                for k, h, n, texts, now in Block(numbers, words, lang, bits, before, only or max_words).lengths():
-                    if only is None or k == only:
-                        yield _rows(lang, k, h, n, None if only else texts, now)
-                if before is None and only is None:
-                    yield _rows(lang, 0, np.zeros(1, np.uint64), np.array([np.count_nonzero(numbers)]), None, np.ones(1, bool))
-
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                for numbers in word_numbers(text.as_py() or "", words):
-                    held.setdefault(lang, []).append(numbers)
-                    size += len(numbers)
-                    if size >= FLUSH:
-                        yield from flush()
-                        held, size = {}, 0
-                        if len(words) > KEPT_WORDS:
-                            words = Words()
-                        give_back()
-        yield from flush()
+        def passed_on():
+            for k, parts in held.items():
+                h, n = _summed(*map(np.concatenate, zip(*parts))) if len(parts) > 1 else parts[0]
+                for at in range(0, len(h), ROWS_OUT):
+                    part = slice(at, at + ROWS_OUT)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h[part]), k, np.int32)), pa.array(h[part].view(np.int64)), pa.array(n[part])], names=["k", "h", "n"])
+
+        for words, block in _blocks(batches):
+            for lang, numbers in block:
+                for k, _, h in places(numbers, words, lang, bits, before, only or max_words):
+                    if len(h) and k == (only or k):
+                        held.setdefault(k, []).append(_summed(h))
+                        size += len(held[k][-1][0])
+            if size > HELD_HASHES:
+                yield from passed_on()
+                held, size = {}, 0
+                give_back()
+        yield from passed_on()
         give_back()
 
-    return docs.mapInArrow(run, ROWS)
+    rows = docs.mapInArrow(run, "k int, h bigint, n bigint")
+    # Dealt out first: tasks have summed their own rows, which hardly meet again before that.
+    return rows.repartition("k", "h").groupBy("k", "h").agg(F.sum("n").alias("n"))
+
 
+def exact_counts(docs: DataFrame, bits: Bits, max_words: int) -> DataFrame:
+    """(lang, phrase, k, f) by their texts, of the words and phrases whose hashes are in
+    ``bits``, and of all words of a language (null phrase)."""
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        held: Counter = Counter()
+
+        def passed_on():
+            rows = list(held.items())
+            for at in range(0, len(rows), ROWS_OUT):
+                part = rows[at : at + ROWS_OUT]
+                columns = [pa.array([r[0][0] for r in part], pa.string()), pa.array([r[0][2] for r in part], pa.string()), pa.array([r[0][1] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
+
+        for words, block in _blocks(batches):
+            names = words.names
+            for lang, numbers in block:
+                held[lang, 0, None] += int(np.count_nonzero(numbers))
+                for k, at, h in places(numbers, words, lang, bits, None, max_words):
+                    keep = _bit(bits[k - 1], h)
+                    at, h = at[keep], h[keep]
+                    if not len(at):
+                        continue
+                    order = np.argsort(h)
+                    at, h = at[order], h[order]
+                    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+                    n = np.diff(np.r_[first, len(h)])
+                    parts = numbers[at[:, None] + np.arange(k)]
+                    same = (parts == np.repeat(parts[first], n, axis=0)).all(axis=1)
+                    if not same.all():  # other phrases of the same hash
+                        for row in parts[~same].tolist():
+                            held[lang, k, b" ".join([names[i] for i in row])] += 1
+                        n = np.add.reduceat(same, first)
+                    for row, c in zip(parts[first].tolist(), n.tolist()):
+                        held[lang, k, b" ".join([names[i] for i in row])] += c
+            if len(held) > HELD_PHRASES:
+                yield from passed_on()
+                held = Counter()
+                give_back()
+        yield from passed_on()
+        give_back()
 
-def _rows(lang: str, k: int, h: np.ndarray, n: np.ndarray, texts: Sequence[bytes] | None, now: np.ndarray) -> pa.RecordBatch:
-    rows = len(h)
-    phrase = pa.array(texts, pa.string()) if texts is not None else pa.nulls(rows, pa.string())
-    return pa.RecordBatch.from_arrays([pa.array([lang] * rows, pa.string()), phrase, pa.array(np.full(rows, k, np.int32)), pa.array(n.astype(np.int64)), pa.array(~now), pa.array(h.view(np.int64))], names=["lang", "phrase", "k", "n", "fresh", "h"])
+    rows = docs.mapInArrow(run, "lang string, phrase string, k int, n bigint")
+    return rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"))
 
 
 def bits_of(hashes: DataFrame, old: np.ndarray | None = None) -> np.ndarray:
@@ -211,14 +268,28 @@ def bits_of(hashes: DataFrame, old: np.ndarray | None = None) -> np.ndarray:
 def proposals(docs: DataFrame, least: int, max_words: int, sample: int) -> Bits:
     """Bits of the phrases of one word, two, ... (but the longest) that the sample proposes."""
     drawn = stored(docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).select("lang", "text"), "collocation_sample")
-    low = max(2, least // (2 * sample))
+    low = max(2, least * 4 // (5 * sample))
     bits: Bits = []
     for k in range(1, max_words):
-        rows = counted(drawn, bits, None, max_words, only=k).groupBy("lang", "h").agg(F.sum("n").alias("n")).filter(F.col("n") >= low)
-        bits.append(bits_of(rows))
+        bits.append(bits_of(counted(drawn, bits, None, max_words, only=k).filter(F.col("n") >= low)))
     return bits
 
 
+def not_proposed(frequent: DataFrame, bits: Bits) -> DataFrame:
+    """The frequent hashes of the border."""
+    sent = frequent.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k, h = batch.column("k").to_numpy(), batch.column("h").to_numpy().view(np.uint64)
+            there = np.zeros(len(k), bool)
+            for length, b in enumerate(sent.value, 1):
+                there[k == length] = _bit(b, h[k == length])
+            yield batch.filter(pa.array(~there & (k <= len(sent.value))))
+
+    return frequent.mapInArrow(run, frequent.schema)
+
+
 def frequent(docs: DataFrame, least: int = 30, max_words: int = 4, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, k, f) of every phrase of up to ``max_words`` words with f >= ``least``,
     (lang, n) of all words), exact."""
@@ -227,18 +298,20 @@ def frequent(docs: DataFrame, least: int = 30, max_words: int = 4, sample: int =
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    bits, before, tables = proposals(docs, least, max_words, sample), None, []
+    bits, before = proposals(docs, least, max_words, sample), None
+    docs = docs.select("lang", "text")
+    known: Bits = [None] * max_words
     while True:
-        rows = counted(docs.select("lang", "text"), bits, before, max_words).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"), F.max("fresh").alias("fresh"), F.max("h").alias("h"))
-        table = stored(rows.filter(F.col("phrase").isNull() | (F.col("f") >= least)), "collocation_counts")
-        tables.append(table)
-        failed = table.filter(F.col("fresh") & F.col("phrase").isNotNull() & (F.col("k") < max_words))
-        lengths = [r["k"] for r in failed.groupBy("k").count().collect()]
+        found = stored(counted(docs, bits, before, max_words).filter(F.col("n") >= least), "collocation_hashes")
+        known = [bits_of(found.filter(F.col("k") == k), b) for k, b in enumerate(known, 1)]
+        failed = stored(not_proposed(found, bits), "collocation_border")
+        lengths = {r["k"] for r in failed.groupBy("k").count().collect()}
         if not lengths:
             break
         before, bits = bits, [bits_of(failed.filter(F.col("k") == k), b) if k in lengths else b for k, b in enumerate(bits, 1)]
-    found = reduce(DataFrame.unionByName, tables)
-    return found.filter("phrase is not null").select("lang", "phrase", "k", "f"), found.filter("phrase is null").select("lang", F.col("f").alias("n"))
+    counts = exact_counts(docs, known, max_words)
+    counts = stored(counts.filter(F.col("phrase").isNull() | (F.col("f") >= least)), "collocation_counts")
+    return counts.filter("phrase is not null"), counts.filter("phrase is null").select("lang", F.col("f").alias("n"))
 
 
 def _part(begin: int, size: int) -> Column:

@@ -98,20 +98,24 @@ def test_edges(spark):
 
 
 def test_blocks_and_slices(spark, monkeypatch):
-    """Blocks of a few words and slices of a few bytes count the same."""
+    """Blocks of a few words, slices of a few bytes and small tables count the same."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
     local = [(r["text"], r["lang"]) for r in docs.collect()]
-    want = Counter(counts(local))
-    for flush, kept, size in ((50, 10, 20), (1 << 20, 1 << 19, 7)):
-        words = collocations.Words()
-        monkeypatch.setattr(collocations, "SLICE", size)
-        got = Counter()
-        everything = [np.full(1 << (collocations.BITS - 6), ~np.uint64(0))] * 3
-        for text, lang in local:
-            for numbers in collocations.word_numbers(text or "", words):
-                for _, _, n, texts, _ in collocations.Block(numbers, words, lang or "und", everything, None, 4).lengths():
-                    got.update({(lang or "und", t.decode()): int(c) for t, c in zip(texts, n)})
-        assert got == want
+    want = sorted((*k, c) for k, c in counts(local).items() if c >= 4)
+    for name, value in (("FLUSH", 50), ("KEPT_WORDS", 10), ("SLICE", 7), ("HELD_HASHES", 100), ("HELD_PHRASES", 10), ("ROWS_OUT", 3)):
+        monkeypatch.setattr(collocations, name, value)
+    found, _ = collocations.frequent(docs, 4)
+    assert sorted((r["lang"], r["phrase"], r["f"]) for r in found.collect()) == want
+
+
+def test_hashes_that_meet(spark, monkeypatch):
+    """Hashes of few values: many phrases share one, and the counts are still exact."""
+    real = collocations._mix
+    monkeypatch.setattr(collocations, "_mix", lambda h: real(h) & np.uint64(0xFF00000000000000))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(30)
+    want = sorted((*k, c) for k, c in counts([(r["text"], r["lang"]) for r in docs.collect()]).items() if c >= 5)
+    found, _ = collocations.frequent(docs, 5)
+    assert sorted((r["lang"], r["phrase"], r["f"]) for r in found.collect()) == want
 
 
 def test_ties_and_exact_arithmetic(spark):
