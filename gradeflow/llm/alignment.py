@@ -48,7 +48,11 @@ from .common import give_back, stored
 from .sentencepieces import SPACE, _groups, _model, _slim
 
 #: Chunks that a task keeps, in two generations of half each.
-KEPT_CHUNKS = 200_000
+KEPT_CHUNKS = 160_000
+#: Chunks that B encodes together.
+JOINED = 200
+#: Characters of the texts that are handled at a time, about.
+GROUP = 1 << 18
 #: Chunks longer than this are encoded but not kept.
 KEPT_LENGTH = 64
 #: At most so many irregular forms are broadcast (about 40 bytes each).
@@ -81,11 +85,7 @@ class Vocabularies:
     """Both tokenizers, the bytes of their ids, and the map between ids of the same bytes."""
 
     def __init__(self, a_json: bytes, b_model: bytes):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_str(a_json.decode("utf-8"))
-        self.a.encode_special_tokens = True
+        self.a_json, self._a = a_json, None
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         letter = byte_letters()
         described = json.loads(a_json)
@@ -116,6 +116,17 @@ class Vocabularies:
         self.ranks = self._ranks(described)
         self.width = np.dtype("<u2") if max(self.size_a, self.size_b) < 1 << 16 else np.dtype("<u4")
 
+    @property
+    def a(self):
+        """The tokenizer library's own A: loaded only where ``ranks`` do not serve."""
+        if self._a is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            self._a = Tokenizer.from_str(self.a_json.decode("utf-8"))
+            self._a.encode_special_tokens = True
+        return self._a
+
     def chunks(self, text: str | None) -> list[str]:
         """The chunks of a space and the text; none of an empty text."""
         if not text:
@@ -135,21 +146,28 @@ class Vocabularies:
         """The A ids of all the chunks and how many are of each chunk, and the same of B.
 
         The first ``n_plain`` chunks end with a non-space and are plain, so they are encoded
-        in one go: no token of A crosses from one to the next."""
-        a = self.ranks.encode_ordinary("".join(chunks[:n_plain])) if n_plain else []
-        n_a = np.diff(np.searchsorted(np.cumsum(self.a_len[a]), np.cumsum([0, *(len(c.encode("utf-8")) for c in chunks[:n_plain])]), side="right"))
-        others = [e.ids for e in self.a.encode_batch_fast(list(chunks[n_plain:]), add_special_tokens=False)]
-        a, n_a = a + list(chain.from_iterable(others)), np.r_[n_a, [len(x) for x in others]].astype(np.int64)
+        together: no token of either crosses from one to the next."""
+        joined, other = chunks[:n_plain], chunks[n_plain:]
+        ends = np.cumsum([0, *(len(c.encode("utf-8")) for c in joined)])
+        a = self.ranks.encode_ordinary("".join(joined)) if joined else []
+        b = []
+        for at in range(0, n_plain, JOINED):
+            b += self.b.encode("\n" + "".join(joined[at : at + JOINED]))[self.probe :]
+        n_a, n_b = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, side="right")) for size, ids in ((self.a_len, a), (self.b_len, b)))
+        if not other:
+            return a, n_a, b, n_b
+        a_each = [e.ids for e in self.a.encode_batch_fast(list(other), add_special_tokens=False)]
         if self.cut:  # after a line feed of its own, so that the chunk's own space is the only one
-            b = [x[self.probe :] for x in self.b.encode(["\n" + c for c in chunks], num_threads=1)]
+            b_each = [x[self.probe :] for x in self.b.encode(["\n" + c for c in other], num_threads=1)]
         else:
-            b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        return a, n_a, list(chain.from_iterable(b)), np.array([len(x) for x in b], np.int64)
+            b_each = self.b.encode([c[1:] for c in other], num_threads=1)
+        sizes = [np.r_[n, [len(x) for x in each]].astype(np.int64) for n, each in ((n_a, a_each), (n_b, b_each))]
+        return a + list(chain.from_iterable(a_each)), sizes[0], b + list(chain.from_iterable(b_each)), sizes[1]
 
     def align(self, chunks: Sequence[str]) -> dict[str, Chunk]:
         """The alignments of all the chunks, worked out together."""
         plain = [c for c in chunks if PLAIN.fullmatch(c)] if self.ranks and self.cut else []
-        chunks = [*plain, *set(chunks).difference(plain)]
+        chunks = plain if len(plain) == len(chunks) else [*plain, *set(chunks).difference(plain)]
         if not chunks:
             return {}
         a, n_a, b, n_b = self.ids(chunks, len(plain))
@@ -167,7 +185,7 @@ class Vocabularies:
             if len(good) == len(chunks):
                 raise AssertionError("chunks of the same bytes that do not add up")
             return dict.fromkeys(chunks) | self.align(good)
-        last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        last_a, last_b = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a, ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         size_a, size_b = np.bincount(group_a), np.bincount(group_b)
         # all ids in the order of the groups, those of A before those of B
@@ -250,6 +268,14 @@ def _lists(values: pa.Array, sizes: Sequence[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values)
 
 
+class _Numbers(dict):
+    """Numbers in the order of first asking."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places begin, begin + 1, ... of all parts, one part after the other."""
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -258,14 +284,14 @@ def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _aligned(v: Vocabularies, table: Table, texts: Sequence[str | None]) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
     """What ``encoded`` returns of some texts, and their regular ids with their times."""
     cut = [v.chunks(t) for t in texts]
-    got, long = table.learn(set().union(*cut))
-    known = {c: k for k, c in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+    size = np.array([len(c) for c in cut], np.int64)
+    known = _Numbers()
+    at = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, size.sum())
+    got, long = table.learn(set(known))
     found = [got[c] or (0, 0, "", (), ()) for c in known]
     ok = np.array([got[c] is not None for c in known], bool)
     table.forget(long)
     n = len(texts)
-    size = np.array([len(c) for c in cut], np.int64)
-    at = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, size.sum())
     doc = np.repeat(np.arange(n), size)
     good = (np.bincount(doc[~ok[at]], minlength=n) == 0) & (size > 0)
     keep = good[doc]
@@ -308,7 +334,7 @@ def encoded(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
         table, vector, uid = Table(v), np.zeros(v.size_a, np.int64), TaskContext.get().partitionId() << 33
         for batch in batches:
             at = 0
-            for texts in _groups(batch.column("text")):
+            for texts in _groups(batch.column("text"), GROUP):
                 columns, ids, times = _aligned(v, table, texts)
                 vector += np.bincount(ids, weights=times, minlength=v.size_a).astype(np.int64)
                 first = [pa.array(np.arange(uid, uid + len(texts))), batch.column("doc_id").slice(at, len(texts))]
@@ -316,8 +342,9 @@ def encoded(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
                 at += len(texts)
                 uid += len(texts)
             give_back()
-        del table
+        del table, v
         gc.enable()
+        give_back()
         if vector.any():
             types = [f.type for f in columns_of(1)]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types[:-1]), pa.array([vector.tolist()], types[-1])], names=NAMES)

@@ -311,13 +311,13 @@ class Table:
 GROUP = 1 << 19
 
 
-def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
+def _groups(texts: pa.Array, characters: int = GROUP) -> Iterator[list[str | None]]:
     group, size = [], 0
     for t in texts:
         t = t.as_py()
         group.append(t)
         size += len(t or "")
-        if size >= GROUP:
+        if size >= characters:
             yield group
             group, size = [], 0
     if group:
