@@ -68,21 +68,15 @@ def html_escape(c) -> Column:
 
 
 def message_html(role, content, variant=None) -> Column:
-    """One chat message as an HTML block; every field is escaped."""
+    """One chat message as an HTML block; every field is escaped. A variant (which of several
+    messages of one turn this is) is shown after the role where there is one."""
     role = html_escape(py_str(role))
-    parts = [F.lit('<div class="message '), role, F.lit('"><div class="role">'), role]
+    shown = F.lit("")
     if variant is not None:
-        v = as_col(variant)
-        parts.append(
-            F.when(v.isNotNull() & (v != ""), F.concat(F.lit(' <span class="variant">('), html_escape(v), F.lit(")</span>")))
-            .otherwise(F.lit(""))
-        )
-    parts += [
-        F.lit('</div><div class="content"><pre>'),
-        html_escape(F.coalesce(as_col(content).cast("string"), F.lit("None"))),
-        F.lit("</pre></div></div>"),
-    ]
-    return F.concat(*parts)
+        v = as_col(variant).cast("string")
+        shown = F.when(F.coalesce(v, F.lit("")) != "", F.concat(F.lit(" <small>"), html_escape(v), F.lit("</small>"))).otherwise(F.lit(""))
+    text = html_escape(F.coalesce(as_col(content).cast("string"), F.lit("None")))
+    return F.concat(F.lit('<section data-from="'), role, F.lit('"><h3>'), role, shown, F.lit("</h3><pre>"), text, F.lit("</pre></section>"))
 
 
 def score_display(c) -> Column:

@@ -15,6 +15,13 @@ Design (the toolkit rewrote one CSV every few completions):
 Results are written below ``run_id=...``, so a run reads its own history only. Keys must
 be unique (they are counted before the first call); without a key column the content of
 a row is its key, and equal rows share a call.
+
+``distil_by_position`` fills a table without a key row by row: each row, equal or not, has
+its own call and result, and the result is in the order of the input.
+
+``distil_in_place`` fills a versioned table (``sources.versions``) where it is: after each
+bucket a new version of the whole table is committed, so others read a whole table at any
+time, and a rerun goes on with what is blank.
 """
 
 from __future__ import annotations
@@ -29,7 +36,9 @@ from pyspark.sql import functions as F
 from ..fixed_values import EMPTY_PROMPT_ERROR
 from ..functions.text import is_blank, py_strip
 from ..session import scratch_path
+from ..sources import versions as V
 from ..sources.io import path_exists
+from ..sources.positions import in_order, with_positions
 from .inference import CallPolicy, batch_chat
 from .prompts import pack_messages, simple_prompt
 from .sample import debug_head
@@ -182,6 +191,100 @@ def run_distillation(
     return DistilRun(final, mine, stats, errors, results_path, run_id, call_id)
 
 
+POSITION = "position"
+
+
+def distil_by_position(
+    rows: DataFrame,
+    chat: Callable[[list[dict]], str],
+    output_column: str = "output",
+    output_path: str | None = None,
+    **options,
+) -> DistilRun:
+    """Fill a table without a key: a row is known by its position and its content.
+
+    ``rows`` are numbered once (``sources.positions``; after ``from_files`` in file order), so
+    equal rows are separate calls with separate results. A rerun with the same
+    ``results_path`` and ``run_id`` repeats only rows without a good result; a row whose
+    content has changed at its position is called anew. ``final`` has the column
+    ``position`` and, written to ``output_path``, part files in the order of the input.
+    """
+    key = "__position_key"
+    placed = with_positions(ensure_output(rows, output_column), POSITION)
+    content = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in placed.columns if c not in (POSITION, output_column)])))
+    placed = placed.withColumn(key, F.concat_ws("-", F.col(POSITION).cast("string"), content))
+    run = run_distillation(placed, chat, key_col=key, output_column=output_column, **options)
+    final = run.final.drop(key)
+    if output_path:
+        in_order(final, POSITION).write.parquet(output_path)
+        final = rows.sparkSession.read.schema(final.schema).parquet(output_path)
+    place = F.substring_index("key", "-", 1)
+    errors = run.errors.select(place.alias("key"), "error", F.concat(F.lit("Row "), place, F.lit(": "), F.col("error")).alias("detail"))
+    return DistilRun(final, run.results, run.stats, errors, run.results_path, run.run_id, run.call_id)
+
+
+@dataclass
+class InPlaceRun:
+    versions: list[int]  # the versions this run committed, in order
+    errors: DataFrame  # (version, error, n): failed calls of the rows of each version's bucket
+    root: str
+
+
+def distil_in_place(
+    spark: SparkSession,
+    root: str,
+    chat: Callable[[list[dict]], str],
+    output_column: str = "output",
+    formatter: Callable[[DataFrame], Column] | Column = simple_prompt,
+    policy: CallPolicy | None = None,
+    concurrency: int = 1,
+    num_partitions: int | None = None,
+    system: str | None = None,
+    before_commit: Callable[[], None] | None = None,
+) -> InPlaceRun:
+    """Fill the blank cells of ``output_column`` in the versioned table at ``root``.
+
+    Bucket by bucket the blank rows are called, the bucket is written anew with the replies,
+    and a version is committed in which only that bucket differs. The rows themselves go
+    through the call, so they need no key and nothing is joined; each blank row is one call.
+    Buckets without a blank row are neither read again nor written. A reader always has a
+    whole table: every save so far, all else as it was. A crash costs the bucket in work; a
+    second writer on the same table fails at its commit.
+    """
+    version = V.current(spark, root)
+    if output_column not in version.struct().names:
+        raise ValueError(f"the table at {root} has no column {output_column!r}")
+    names = version.struct().names
+    committed, errors_path = [], scratch_path(spark, "in_place_errors")
+
+    def fill(rows: DataFrame) -> DataFrame:
+        blank = is_blank(F.col(output_column))
+        prompt = F.coalesce(formatter(rows) if callable(formatter) else formatter, F.lit(""))
+        asked = rows.filter(blank).withColumn("__prompt", prompt)
+        asked = asked.withColumn("__row", F.struct(*[F.col(f"`{n}`") for n in names]))
+        packed = asked.filter(F.col("__prompt") != "").select("__row", pack_messages(F.col("__prompt"), system=system).alias("messages"))
+        answered = batch_chat(packed, chat, ["__row"], policy=policy, concurrency=concurrency, num_partitions=num_partitions)
+        answered = answered.select("__row", F.when(F.col("error").isNull(), py_strip(F.col("response"))).alias("__new"), F.col("error").alias("__error"))
+        empty = asked.filter(F.col("__prompt") == "").select("__row", F.lit(None).cast("string").alias("__new"), F.lit(EMPTY_PROMPT_ERROR).alias("__error"))
+        path = scratch_path(spark, "in_place_bucket")
+        answered.unionByName(empty).write.parquet(path)
+        called = spark.read.schema(answered.schema).parquet(path)
+        failed = called.filter(F.col("__error").isNotNull()).groupBy(F.col("__error").alias("error")).agg(F.count(F.lit(1)).alias("n"))
+        failed.select(F.lit(version.number + 1).cast("bigint").alias("version"), "error", "n").write.mode("append").parquet(errors_path)
+        new = F.when(F.col("__new").isNotNull() & ~is_blank(F.col("__new")), F.col("__new")).otherwise(F.col(f"__row.`{output_column}`"))
+        filled = called.select(*[(new if n == output_column else F.col(f"__row.`{n}`")).alias(n) for n in names])
+        return filled.unionByName(rows.filter(~blank))
+
+    for bucket in range(version.buckets):
+        if V.read_buckets(spark, version, [bucket]).filter(is_blank(F.col(output_column))).isEmpty():
+            continue
+        version = V.rewrite(spark, root, version, bucket, fill, before_commit)
+        committed.append(version.number)
+    schema = "version bigint, error string, n bigint"
+    errors = spark.read.schema(schema).parquet(errors_path) if committed else spark.createDataFrame([], schema)
+    return InPlaceRun(committed, errors, root)
+
+
 def distil_stats(keyed: DataFrame, mine: DataFrame, output_column: str) -> DataFrame:
     """total_rows, processed, errors, skipped (per input row) and calls (per model call).
 

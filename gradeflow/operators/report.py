@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,24 +16,33 @@ from ..functions.text import as_col, html_escape, message_html, py_str, score_di
 REPORT_HEAD = (
     "<!DOCTYPE html><html lang=\"my\"><head><meta charset=\"utf-8\"><title>Evaluation report</title><style>"
     "body{font-family:sans-serif;margin:2em auto;max-width:60em}"
-    ".message{border-left:3px solid #888;margin:.6em 0;padding-left:.8em}"
-    ".message.user{border-color:#2a6}"
-    ".message.assistant{border-color:#36c}"
-    ".role{color:#666;font-size:.85em}"
-    ".message pre{white-space:pre-wrap}"
+    "section[data-from]{border-left:3px solid #888;margin:.6em 0;padding-left:.8em}"
+    "section[data-from=user]{border-color:#2a6}"
+    "section[data-from=assistant]{border-color:#36c}"
+    "section[data-from] h3{color:#666;font-size:.85em}"
+    "section[data-from] pre{white-space:pre-wrap}"
     "dl.result{display:grid;grid-template-columns:max-content 1fr;gap:.2em 1em}"
     "table.metrics td{padding:.2em 1em .2em 0}"
     "</style></head><body>"
 )
 REPORT_TAIL = "</body></html>"
 EXAMPLE_END = "</article>"
+#: Bytes copied at a time when the parts of a report are joined.
+COPY_BUFFER = 1 << 20
 
 
-def messages_html(messages) -> Column:
-    return F.array_join(F.transform(as_col(messages), lambda m: message_html(m["role"], m["content"])), "")
+def messages_html(messages, variants: bool = False) -> Column:
+    """All messages; with ``variants`` their structs have a field ``variant``."""
+    return F.array_join(F.transform(as_col(messages), lambda m: message_html(m["role"], m["content"], m["variant"] if variants else None)), "")
 
 
-def example_html(prompt_messages, response_text, correct_answer, extracted, score) -> Column:
+def has_variants(df: DataFrame, messages_col: str = "prompt_messages") -> bool:
+    """Whether the messages of a table say which variant of a turn they are."""
+    kind = df.schema[messages_col].dataType
+    return isinstance(kind, T.ArrayType) and "variant" in kind.elementType.names
+
+
+def example_html(prompt_messages, response_text, correct_answer, extracted, score, variants: bool = False) -> Column:
     """One example: what was asked, what the model replied, and how it was scored."""
 
     def entry(name: str, value: Column) -> list[Column]:
@@ -39,7 +50,7 @@ def example_html(prompt_messages, response_text, correct_answer, extracted, scor
 
     return F.concat(
         F.lit("<article><h2>Asked</h2>"),
-        messages_html(prompt_messages),
+        messages_html(prompt_messages, variants),
         F.lit("<h2>Replied</h2>"),
         message_html(F.lit("assistant"), response_text),
         F.lit('<dl class="result">'),
@@ -126,6 +137,49 @@ def write_reports(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eva
     )
 
 
+def write_report_files(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eval_name", "model_name"), num_partitions: int | None = None) -> list[str]:
+    """One ``.html`` file per (eval, model) at ``root``, lines in report order; returns their paths.
+
+    All tasks write parts in order (``write_reports``). Then each report's parts are joined
+    under a temporary name and renamed over the old file, so a reader finds the old report or
+    the new one, never half of one. Joining copies bytes through a buffer of fixed size, as
+    one file has one writer; whoever can read a folder of parts needs only ``write_reports``.
+    """
+    spark = lines.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop
+    parts_root = f"{root}/_parts/{uuid.uuid4().hex}"
+    write_reports(lines, parts_root, group_cols, num_partitions)
+    top = hadoop.fs.Path(parts_root)
+    fs = top.getFileSystem(conf)
+    files = hadoop.fs.FileContext.getFileContext(top.toUri(), conf)
+    replace = spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 1)
+    replace[0] = hadoop.fs.Options.Rename.OVERWRITE
+    folders: list[list] = [[top]]
+    for _ in group_cols:
+        folders = [[*f, s.getPath()] for f in folders for s in fs.listStatus(f[-1]) if s.isDirectory()]
+    written = []
+    for path in folders:
+        name = "_".join(re.sub(r"%(?![0-9A-F]{2})", "%25", p.getName().split("=", 1)[1]) for p in path[1:])
+        parts = sorted(s.getPath().toString() for s in fs.listStatus(path[-1]) if s.getPath().getName().startswith("part-"))
+        temporary = hadoop.fs.Path(f"{parts_root}/{uuid.uuid4().hex}.html")
+        out = fs.create(temporary, False)
+        try:
+            for part in parts:
+                source = fs.open(hadoop.fs.Path(part))
+                try:
+                    hadoop.io.IOUtils.copyBytes(source, out, COPY_BUFFER, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+        target = hadoop.fs.Path(f"{root}/{name}.html")
+        files.rename(temporary, target, replace)
+        written.append(target.toString())
+    fs.delete(top, True)
+    return written
+
+
 def markdown_lines(pivot: DataFrame, index: str = "model_name") -> DataFrame:
     """Markdown table rows of a pivot: header, rule, then one line per row.
 

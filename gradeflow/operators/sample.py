@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.positions import positions_of
+
 
 def _keys(key) -> list[Column]:
     return [F.col(k) for k in ([key] if isinstance(key, str) else key)]
@@ -20,9 +23,9 @@ def hash_rank(key, seed: int) -> Column:
 BUCKET_HEX = 5  # 16^5 hash buckets
 
 
-def sample_fixed(df: DataFrame, key: str | Sequence[str], n: int | None, seed: int = 0) -> DataFrame:
+def sample_fixed(df: DataFrame, key: str | Sequence[str], n: int | None, seed: int = 0, ties: str | Sequence[str] = ()) -> DataFrame:
     """The ``n`` rows that come first in hash order; ``n`` of 0/None keeps all; more than
-    the table holds gives the whole table.
+    the table holds gives the whole table. Rows of equal keys come in the order of ``ties``.
 
     Rows are counted per hash bucket (a small aggregate), and a running count tells where
     each bucket begins. Buckets that begin before ``n`` are kept by a join, and inside a
@@ -37,7 +40,7 @@ def sample_fixed(df: DataFrame, key: str | Sequence[str], n: int | None, seed: i
     # At most 16^BUCKET_HEX rows: the running sum over the bucket counts is small.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).filter(F.col("_before") < int(n))
-    inside = Window.partitionBy("_bucket").orderBy("_rank", *_keys(key))
+    inside = Window.partitionBy("_bucket").orderBy("_rank", *_keys(key), *_keys(ties))
     kept = ranked.join(begins, "_bucket").withColumn("_nth", F.row_number().over(inside))
     return kept.filter(F.col("_before") + F.col("_nth") <= int(n)).select(*columns)
 
@@ -47,6 +50,25 @@ def sample_capped(df: DataFrame, key: str | Sequence[str], n: int | None, seed:
     return sample_fixed(df, key, n, seed)
 
 
+def sample_positions(placed: DataFrame, n: int | None, seed: int = 0, position: str = "position", capped: bool = False) -> DataFrame:
+    """The rows whose positions Python's ``random.Random(seed).sample`` picks out of the
+    table's row positions (``sources.positions``): the very items that a list of the rows
+    would give. ``n`` of 0/None keeps all; more than there are is an error, as there, unless
+    ``capped``.
+
+    Only the number of rows and the ``n`` picks are on the driver; the rows are found by an
+    equi-join with the picks, which Spark broadcasts under its size limit.
+    """
+    if not n:
+        return placed
+    last = placed.agg(F.max(position)).first()[0]
+    size = 0 if last is None else last + 1
+    if capped and size <= n:
+        return placed
+    picks = random.Random(seed).sample(range(size), n)
+    return placed.join(positions_of(placed.sparkSession, picks, position).drop("pick"), position)
+
+
 def debug_head(df: DataFrame, key: str | Sequence[str], n: int = 5) -> DataFrame:
     """First ``n`` rows by key (the toolkit's debug mode)."""
     return df.orderBy(*_keys(key)).limit(int(n))

@@ -319,7 +319,9 @@ def convo_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_html_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = S.spread(S.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
-    return conv.select("conv_id", "turn", message_html(F.col("role"), F.col("text")).alias("html"))
+    # every third message is one of several variants of its turn
+    variant = F.when(F.col("turn") % 3 == 1, F.concat(F.lit("<"), (F.col("conv_id") % 4).cast("string"), F.lit(">")))
+    return conv.select("conv_id", "turn", message_html(F.col("role"), F.col("text"), variant).alias("html"))
 
 
 def examples_html(scored: DataFrame) -> DataFrame:

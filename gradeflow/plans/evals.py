@@ -20,13 +20,13 @@ from ..functions.text import normalize_response
 from ..operators.aggregate import aggregate_results, leaderboard
 from ..operators.evaluate import score_exam, score_mmlu
 from ..operators.grade import grade_with_model
-from ..operators.inference import CallPolicy, batch_chat
+from ..operators.inference import CallPolicy
 from ..operators.prompts import conversation, filter_types, mcq_prompt, pack_messages, typed_prompt
-from ..operators.report import example_html, markdown_lines, report_lines, write_reports
-from ..operators.sample import sample_capped, sample_fixed
-from ..session import scratch_path
-from ..operators.distil import DEFAULT_CHUNKS
-from ..sources.io import materialize, path_exists, write_metrics
+from ..operators.report import example_html, has_variants, markdown_lines, report_lines, write_reports
+from ..operators.replies import DEFAULT_CHUNKS, call_stored
+from ..operators.sample import sample_fixed, sample_positions
+from ..sources.io import materialize, write_metrics
+from ..sources.positions import with_positions
 
 Chat = Callable[[list[dict]], str]
 EVAL_LANGUAGE = "MYA"
@@ -49,9 +49,6 @@ def with_models(items: DataFrame, models: Sequence[str], eval_name: str) -> Data
     )
 
 
-REPLY_SCHEMA = "eval_name string, model_name string, item_id {item}, prompt_hash string, response string, error string, attempts int, call_time timestamp"
-
-
 def call_models(
     requests: DataFrame,
     samplers: dict[str, Chat],
@@ -61,41 +58,20 @@ def call_models(
     responses_path: str | None = None,
     n_chunks: int = DEFAULT_CHUNKS,
 ) -> DataFrame:
-    """Model replies for (eval, model, item) requests, appended chunk by chunk.
+    """Every request row with its model reply (see ``operators.replies``).
 
-    The work list is written once, by chunk, without the requests that an earlier run at
-    ``responses_path`` has answered for the same prompt (the key holds its hash, so a
-    changed prompt is asked again); a crash loses at most the chunk in flight, and failed
-    calls are repeated by the next run. One reply per request is returned: a good one if
-    any run made it, else the latest error.
+    Replies are kept at ``responses_path`` by what was asked, not by item: a crash loses at
+    most the chunk in flight, failed calls are repeated by the next run, and an item whose
+    prompt changed is asked again. A row is never joined by its item id.
     """
-    spark = requests.sparkSession
-    path = responses_path or scratch_path(spark, "responses")
-    keys = ["eval_name", "model_name", "item_id", "prompt_hash"]
-    schema = REPLY_SCHEMA.format(item=requests.schema["item_id"].dataType.simpleString())
-
-    def replies() -> DataFrame:
-        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
-
-    calls = requests.select("eval_name", "model_name", "item_id", F.md5(F.to_json("prompt_messages")).alias("prompt_hash"), F.col("prompt_messages").alias("messages"))
-    todo = calls.join(replies().filter(F.col("error").isNull()).select(*keys).distinct(), keys, "left_anti")
-    todo = todo.withColumn("_chunk", F.pmod(F.hash(*keys), F.lit(n_chunks)))
-    todo_path = scratch_path(spark, "requests")
-    todo.write.partitionBy("_chunk").parquet(todo_path)
-    todo = spark.read.schema(todo.schema).parquet(todo_path)
-    for chunk in range(n_chunks):
-        part = todo.filter(F.col("_chunk") == chunk)
-        out = batch_chat(part, samplers, keys, model_col="model_name", policy=policy, concurrency=concurrency, num_partitions=num_partitions)
-        out.withColumn("call_time", F.current_timestamp()).write.mode("append").parquet(path)
-    best = F.max_by(F.struct("response", "error", "attempts"), F.struct(F.col("error").isNull(), "call_time"))
-    asked = replies().join(calls.select(*keys), keys, "left_semi")
-    return asked.groupBy(*keys).agg(best.alias("r")).select("eval_name", "model_name", "item_id", "r.response", "r.error", "r.attempts")
+    return call_stored(requests, samplers, responses_path, "prompt_messages", policy, concurrency, num_partitions, n_chunks)
 
 
 def finish_examples(scored: DataFrame) -> DataFrame:
     """Add the conversation and the HTML of each example (for a report; not stored)."""
-    return scored.withColumn("convo", conversation(F.col("prompt_messages"), F.col("response_text"))).withColumn(
-        "html", example_html(F.col("prompt_messages"), F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score"))
+    asked = F.transform("prompt_messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return scored.withColumn("convo", conversation(asked, F.col("response_text"))).withColumn(
+        "html", example_html(F.col("prompt_messages"), F.col("response_text"), F.col("answer"), F.col("extracted"), F.col("score"), has_variants(scored))
     )
 
 
@@ -105,29 +81,28 @@ def language_guard(name: str, language: str) -> None:
         raise ValueError(f"{name} has no questions in {language!r}")
 
 
-def mmlu_examples(items: DataFrame, responses: DataFrame) -> DataFrame:
-    """Scored replies with the prompt of their item."""
-    return score_mmlu(responses.join(mmlu_prompts(items), "item_id"))
+#: What is kept of an item beside its prompt: what scoring and grading read.
+ASKED_COLUMNS = ["item_pos", "item_id", "prompt_messages", "type", "question", "answer", "sample_id"]
+EXAMPLE_KEYS = ["eval_name", "model_name", "item_pos"]
 
 
-def exam_examples(items: DataFrame, responses: DataFrame, grades: DataFrame | None = None) -> DataFrame:
-    """Scored replies with the prompt of their item; ``grades`` of the model-graded ones."""
-    joined = responses.join(exam_prompts(items), "item_id")
+def exam_examples(answered: DataFrame, grades: DataFrame | None = None) -> DataFrame:
+    """Scored replies; ``grades`` of the model-graded ones, by (eval, model, item position)."""
     if grades is None:
-        return score_exam(joined)
-    return score_exam(joined.join(grades, ["eval_name", "model_name", "item_id"], "left"), grade_output_col="grade_output")
+        return score_exam(answered)
+    return score_exam(answered.join(grades, EXAMPLE_KEYS, "left"), grade_output_col="grade_output")
 
 
 @dataclass
 class RunResult:
-    examples: DataFrame  # per (eval, model, item): prompt, response, extracted, score, metrics, errors
+    examples: DataFrame  # per (eval, model, item position): prompt, response, extracted, score, metrics, errors
     metrics: DataFrame  # (eval_name, model_name, metric, value)
     counts: DataFrame  # (eval_name, model_name, n_rows, n_errors, n_invalid_grades)
     leaderboard: DataFrame  # model_name x eval_name; null where every call failed
     markdown: DataFrame  # leaderboard as markdown lines
 
 
-EXAMPLE_COLUMNS = ["eval_name", "model_name", "item_id", "prompt_messages", "response_text", "answer", "extracted", "score", "metrics", "error", "grade_error", "grade_valid"]
+EXAMPLE_COLUMNS = ["eval_name", "model_name", "item_pos", "item_id", "prompt_messages", "response_text", "answer", "extracted", "score", "metrics", "error", "grade_error", "grade_valid"]
 
 
 def failure_counts(examples: DataFrame) -> DataFrame:
@@ -163,12 +138,18 @@ def run(
     n_chunks: int = DEFAULT_CHUNKS,
     strict: bool = False,
     language: str = EVAL_LANGUAGE,
+    sampling: str = "hash",
 ) -> RunResult | None:
     """Evaluate every model on every known eval; write metrics and reports.
 
+    Items are known by their position in their table, so ids may repeat or be missing: each
+    item is asked, scored and counted once for each model. ``sampling`` is ``hash``
+    (the same items under any order of the table) or ``position`` (the positions that Python's
+    seeded ``random.sample`` picks, comparable with scores published that way).
+
     Failed calls and invalid grades are left out of the statistics and counted in
     ``counts``; with ``strict`` any of them fails the run (after the replies are saved).
-    With ``out_root`` the replies are kept under ``out_root/responses``: a rerun only
+    With ``out_root`` the replies are kept under ``out_root/replies``: a rerun only
     calls what is still missing, and replaces its own metrics and reports.
     """
     names = []
@@ -183,31 +164,33 @@ def run(
     models = list(samplers)
     n = 1 if debug else examples
     all_examples = []
+    prompted = []
     for name in names:
         items = items_by_eval[name]
         if name == "mg12l":
             if grader is None and "SHORT_QNA" in (exam_types or ["SHORT_QNA"]):
                 items = without_graded(items, exam_types)
-            # The chosen items are used for prompts, grades and scores: choose them once.
-            items = materialize(sample_capped(filter_types(items, exam_types), "item_id", n, seed), "items")
-            prompts = exam_prompts(items)
+            prompts = exam_prompts(chosen_items(filter_types(items, exam_types), n, seed, sampling, capped=True))
         else:
-            items = materialize(sample_fixed(items, "item_id", n, seed), "items")
-            prompts = mmlu_prompts(items)
-        responses_path = f"{out_root}/responses/{name}" if out_root else None
-        responses = call_models(with_models(prompts, models, name), samplers, policy, concurrency, num_partitions, responses_path, n_chunks)
-        responses = responses.select("eval_name", "model_name", "item_id", "response", "error")
+            prompts = mmlu_prompts(chosen_items(items, n, seed, sampling))
+        prompted.append(with_models(prompts.select(*[c for c in ASKED_COLUMNS if c in prompts.columns]), models, name))
+    # One work list and one store for all evals: equal prompts are called once.
+    requests = prompted[0]
+    for p in prompted[1:]:
+        requests = requests.unionByName(p, allowMissingColumns=True)
+    answered = call_models(requests, samplers, policy, concurrency, num_partitions, f"{out_root}/replies" if out_root else None, n_chunks)
+    answered = materialize(answered.drop("attempts"), "answered")
+    for name in names:
+        mine = answered.filter(F.col("eval_name") == name)
         if name == "mg12l":
             grades = None
             if grader is not None:
-                short = responses.filter(F.col("error").isNull()).join(items.filter(F.col("type") == "SHORT_QNA"), "item_id")
-                short = short.withColumn("response_text", normalize_response(F.col("response")))
-                grades = materialize(
-                    grade_with_model(short, grader, ["eval_name", "model_name", "item_id"], policy=policy), "grades"
-                )
-            ex = exam_examples(items, responses, grades)
+                short = mine.filter(F.col("error").isNull() & (F.col("type") == "SHORT_QNA"))
+                short = short.withColumn("response_text", normalize_response(F.col("response"))).drop("error")
+                grades = materialize(grade_with_model(short, grader, EXAMPLE_KEYS, policy=policy), "grades")
+            ex = exam_examples(mine, grades)
         else:
-            ex = mmlu_examples(items, responses)
+            ex = score_mmlu(mine)
         for c, kind in (("grade_error", "string"), ("grade_valid", "boolean")):
             if c not in ex.columns:
                 ex = ex.withColumn(c, F.lit(None).cast(kind))
@@ -225,10 +208,25 @@ def run(
     if out_root:
         mode = "debug" if debug else "full"
         write_metrics(metrics.withColumn("run_mode", F.lit(mode)), f"{out_root}/metrics")
-        write_reports(report_lines(metrics, finish_examples(examples_df)), f"{out_root}/reports/run_mode={mode}")
+        write_reports(report_lines(metrics, finish_examples(examples_df), "item_pos"), f"{out_root}/reports/run_mode={mode}")
     return RunResult(examples_df, metrics, counts, board, markdown_lines(board))
 
 
+def chosen_items(items: DataFrame, n: int | None, seed: int, sampling: str, capped: bool = False) -> DataFrame:
+    """The items to ask, with their positions in the table as ``item_pos``; chosen once, as
+    they are used for prompts, grades and scores. ``capped``: a table of fewer items is
+    taken whole."""
+    placed = with_positions(items, "item_pos")
+    if "item_id" not in placed.columns:
+        placed = placed.withColumn("item_id", F.col("item_pos"))
+    if sampling == "position":
+        return sample_positions(placed, n, seed, "item_pos", capped)
+    if sampling != "hash":
+        raise ValueError(f"sampling is 'hash' or 'position', not {sampling!r}")
+    # equal ids differ by their position
+    return sample_fixed(placed, "item_id", n, seed, ties="item_pos")
+
+
 def without_graded(items: DataFrame, exam_types: Sequence[str] | None) -> DataFrame:
     """Without a grader SHORT_QNA items cannot be scored: asked for by name they are an
     error; with no list of types any such item fails the query."""

@@ -179,12 +179,11 @@ def html_escape(x: str) -> str:
     return replace_all(x, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&#39;"), ('"', "&#34;")])
 
 
-def message_html(role: str, content: str) -> str:
+def message_html(role: str, content: str, variant: str = "NULL") -> str:
     r = html_escape(py_str(role))
-    return (
-        f"""('<div class="message ' || {r} || '"><div class="role">' || {r} || """
-        f"""'</div><div class="content"><pre>' || {html_escape(py_str(content))} || '</pre></div></div>')"""
-    )
+    v = f"CASE WHEN coalesce({variant}, '') <> '' THEN ' <small>' || {html_escape(variant)} || '</small>' ELSE '' END"
+    shown = "" if variant == "NULL" else f" || {v}"
+    return f"""('<section data-from="' || {r} || '"><h3>' || {r}{shown} || '</h3><pre>' || {html_escape(py_str(content))} || '</pre></section>')"""
 
 
 def concat(*parts: str) -> str:
@@ -415,7 +414,8 @@ UNION ALL SELECT l_orderkey, l_linenumber, 1 AS pos, 'assistant' AS role, respon
 
 
 def message_html_sql() -> str:
-    return f"SELECT conv_id, turn, {message_html('role', 'text')} AS html FROM conversations"
+    variant = "(CASE WHEN turn % 3 = 1 THEN '<' || CAST(conv_id % 4 AS VARCHAR) || '>' END)"
+    return f"SELECT conv_id, turn, {message_html('role', 'text', variant)} AS html FROM conversations"
 
 
 def example_html_sql() -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..fixed_values import NA_STRINGS
 from ..session import scratch_path
+from .positions import in_order
 
 CSV_READ_OPTIONS = {
     "header": "true",
@@ -56,7 +57,7 @@ def _record(other: str) -> Column:
     return F.concat(F.col(BAD_RECORD), _nothing_of(other))
 
 
-def _named(names: Sequence[str], columns: Sequence[str] | None, path: str) -> list[str]:
+def named_columns(names: Sequence[str], columns: Sequence[str] | None, path: str) -> list[str]:
     missing = [c for c in columns or [] if c not in names]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)} (it has {', '.join(names)})")
@@ -68,17 +69,17 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 
     ``columns`` are chosen by header name, in any order of the file; a missing one is an
     error, and so is a row with too many or too few cells (see ``read_csv_parts``). The given
-    missing-value strings become null. A file of quoted newlines is one task; where no
-    cell holds a newline, ``multi_line=False`` lets Spark split large files.
+    missing-value strings become null. A file is one task here; ``csv_split.read_csv_split``
+    reads large files by several tasks, quoted newlines included.
     """
     rows, names = _csv_rows(spark, path, multi_line, "FAILFAST")
-    return na_to_null(rows.select(*_named(names, columns, path)), na_values)
+    return na_to_null(rows.select(*named_columns(names, columns, path)), na_values)
 
 
 def read_csv_parts(spark: SparkSession, path: str, columns: Sequence[str] | None = None, na_values: Sequence[str] = NA_STRINGS, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """As ``read_csv``, but rows that do not fit the header go to a second table ``(record)``."""
     rows, names = _csv_rows(spark, path, multi_line, "PERMISSIVE")
-    good = rows.filter(F.col(BAD_RECORD).isNull() & (_nothing_of(names[0]) == "")).select(*_named(names, columns, path))
+    good = rows.filter(F.col(BAD_RECORD).isNull() & (_nothing_of(names[0]) == "")).select(*named_columns(names, columns, path))
     return na_to_null(good, na_values), rows.filter(F.col(BAD_RECORD).isNotNull()).select(_record(names[0]).alias("record"))
 
 
@@ -94,9 +95,10 @@ def na_to_null(df: DataFrame, na_values: Sequence[str] = NA_STRINGS) -> DataFram
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV keeping leading/trailing spaces; a null reads back as missing."""
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", order: Sequence[str] = ()) -> None:
+    """CSV keeping leading/trailing spaces; a null reads back as missing. With ``order`` the
+    part files, read by name, hold the rows in that order."""
+    (in_order(df, *order) if order else df).write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -106,9 +108,10 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def write_sft_jsonl(df: DataFrame, path: str, messages_col: str = "messages", mode: str = "errorifexists") -> None:
-    """One ``{"messages": [...]}`` object per line, non-ASCII written as is."""
-    df.select(F.col(messages_col).alias("messages")).write.mode(mode).json(path)
+def write_sft_jsonl(df: DataFrame, path: str, messages_col: str = "messages", mode: str = "errorifexists", order: Sequence[str] = ()) -> None:
+    """One ``{"messages": [...]}`` object per line, non-ASCII written as is. With ``order``
+    the part files, read by name, hold the records in that order."""
+    (in_order(df, *order) if order else df).select(F.col(messages_col).alias("messages")).write.mode(mode).json(path)
 
 
 def read_sft_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -3,11 +3,18 @@
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
-from gradeflow.plans.catalog import all_queries
-from gradeflow.plans.oracle_sql import all_sql
+from gradeflow.plans import catalog, oracle_sql, whole_tables, whole_tables_sql
 from oracle_check import compare
 
 
+def all_queries():
+    return catalog.all_queries() | whole_tables.all_queries()
+
+
+def all_sql():
+    return oracle_sql.all_sql() | whole_tables_sql.all_sql()
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["eval_name", "model_name", "metric", "value"]

@@ -95,11 +95,11 @@ def test_run_resumes_model_calls(spark):
     root = scratch_path(spark, "resume")
     pol = CallPolicy(max_attempts=1, backoff_base=0)
     r1 = run({"a": flaky_mcq}, items, out_root=root, policy=pol, n_chunks=3)
-    first = spark.read.parquet(f"{root}/responses/mmlu_lite")
+    first = spark.read.parquet(f"{root}/replies")
     failed = first.filter(F.col("error").isNotNull()).count()
     assert failed > 0 and first.count() == S.mmlu_items(spark, SF_SMALL).count()
     r2 = run({"a": always_a}, items, out_root=root, policy=pol)
-    both = spark.read.parquet(f"{root}/responses/mmlu_lite")
+    both = spark.read.parquet(f"{root}/replies")
     assert both.count() == first.count() + failed  # only the failed pairs were called again
     assert r2.examples.filter(F.col("error").isNotNull()).count() == 0
     assert r1.examples.count() == r2.examples.count()
