@@ -13,20 +13,21 @@ whatever the sample held and whatever hashes meet; a poor sample costs passes.
 Proposals go to the tasks as bits of a fixed size (``BITS``), by the hash of the phrase.
 Two phrases of one bit only make the border larger.
 
-A task counts in numpy over word numbers, about ``FLUSH`` words at a time, and puts its
-blocks together before anything is shuffled; a common phrase or language is a row per task.
+A task counts in numpy, a block of about ``FLUSH`` bytes at a time, and puts its blocks
+together before anything is shuffled; a common phrase or language is a row per task.
 
 Words and pieces: A-Z in lower case; pieces part at ``[.,;:!?\\x0A-\\x0D]``, words at
 spaces and tabs; phrases lie in one piece.  All is per language.
 
 Cases: a null text is empty, a null language is ``und``; very long texts are counted whole,
-in blocks cut between pieces; repeated rows count as often as they occur; an empty table
+in blocks cut between pieces (a piece is held whole); repeated rows count as often as they occur; an empty table
 or one without frequent phrases gives an empty result; columns other than ``text`` and
 ``lang`` (and ``doc_id`` for the draw of the sample) are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,15 +38,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import give_back, stored
+from .subword import word_hashes
 
 #: Bits of the proposals of each length (as a power of two): 4 MB each.
 BITS = 25
-#: Words of a block that is counted at a time, and words that a task keeps numbered.
-FLUSH = 1 << 19
-KEPT_WORDS = 1 << 18
+#: Bytes of a block that is counted at a time, and words that a task keeps numbered.
+FLUSH = 1 << 20
+KEPT_WORDS = 1 << 19
 #: Different hashes, and different phrases, that a task holds before it passes them on.
 HELD_HASHES = 1 << 21
-HELD_PHRASES = 1 << 17
+HELD_PHRASES = 1 << 21
+#: Blocks whose phrases are held before they are put together.
+MERGED = 8
 #: Rows passed on at a time.
 ROWS_OUT = 1 << 15
 #: Bytes of a text that are handled at a time (cut after a piece).
@@ -54,17 +58,56 @@ SLICE = 1 << 20
 SAMPLE = 8
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes(0x2E if b in SEPARATORS else 0x20 if b == 9 else b for b in range(256))
+SEPARATOR = re.compile(b"[" + re.escape(SEPARATORS) + b"]")
 Bits = list[np.ndarray]  # proposals of one word, two words, ...
 
 
+def _cleaned(text: str) -> Iterator[bytes]:
+    """The text with A-Z in lower case, "." for what parts pieces and a space for a tab, in
+    slices cut after a piece."""
+    data = text.encode("utf-8")
+    at = 0
+    while at < len(data):
+        cut = SEPARATOR.search(data, at + SLICE) if len(data) - at > SLICE else None
+        end = cut.end() if cut else len(data)
+        yield data[at:end].lower().translate(TABLE)  # only A-Z have a lower case in bytes
+        at = end
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]]]:
+    """The cleaned texts of a block by language."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            for data in _cleaned(text.as_py() or ""):
+                held.setdefault(lang, []).append(data)
+                size += len(data)
+                if size >= FLUSH:
+                    yield held
+                    held, size = {}, 0
+        give_back()
+    if held:
+        yield held
+
+
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of a cleaned text, and whether the next word follows in its piece."""
+    codes = np.frombuffer(data, np.uint8)
+    word = (codes != 0x2E) & (codes != 0x20)
+    edge = np.diff(np.concatenate([[False], word, [False]]).view(np.int8))
+    begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    piece = np.cumsum(codes == 0x2E)[begins] if len(begins) else begins
+    return word_hashes(codes.astype(np.uint32), begins, ends), np.append(piece[1:] == piece[:-1], False)[: len(begins)]
+
+
 class Words(dict):
     """Numbers of words, given when they are first met, and their hashes; 0 ends a piece."""
 
     def __init__(self):
         super().__init__({b".": 0})
         self.names = [b"."]
-        self._hashes = np.zeros(1024, np.uint64)
-        self._hashed = 0
+        self._hashes = np.zeros(1, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.names)
@@ -72,25 +115,17 @@ class Words(dict):
         return n
 
     def hashes(self) -> np.ndarray:
-        new = self.names[self._hashed :]
-        if len(self.names) > len(self._hashes):
-            self._hashes = np.concatenate([self._hashes, np.zeros(2 * len(self.names), np.uint64)])
-        if new:
-            self._hashes[self._hashed : len(self.names)] = [xxhash.xxh64_intdigest(w) for w in new]
-            self._hashed = len(self.names)
+        if new := self.names[len(self._hashes) :]:
+            self._hashes = np.concatenate([self._hashes, hashed_words(b" ".join(new))[0]])
         return self._hashes
 
-
-def word_numbers(text: str, words: Words) -> Iterator[np.ndarray]:
-    """The numbers of a text's words, 0 after each piece, in slices."""
-    data = text.encode("utf-8").lower().translate(TABLE)  # only A-Z have a lower case in bytes
-    at = 0
-    while at < len(data):
-        end = data.find(b".", at + SLICE) + 1 or len(data) if len(data) - at > SLICE else len(data)
-        tokens = data[at:end].replace(b".", b" . ").split()
-        tokens.append(b".")
-        yield np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens))
-        at = end
+    def numbers(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each word of a cleaned text, and whether the next word follows in its piece."""
+        tokens = data.replace(b".", b" . ").split()
+        found = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        word = found != 0
+        piece = np.cumsum(~word)[word]
+        return found[word], np.append(piece[1:] == piece[:-1], False)[: len(piece)]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -105,62 +140,39 @@ def _bit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def places(numbers: np.ndarray, words: Words, lang: str, bits: Bits, before: Bits | None, max_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def places(words: np.ndarray, follows: np.ndarray, lang: str, bits: Bits, before: Bits | None, max_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, places, hashes) of the phrases to count in a block of one language.
 
+    ``words``: the hash of each word; ``follows``: whether the next is in the same piece.
     A phrase counts where both its parts of one word less are in ``bits``, unless both were
     ``before``, as it has been counted then; every word counts in the first pass."""
-    one = _mix(words.hashes()[numbers] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8"))))
-    here = numbers != 0
-    at = np.flatnonzero(here)
+    one = _mix(words ^ np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8"))))
+    size = len(one)
+    at = np.arange(size)
     if before is None:
-        yield 1, at, one[at]
-    h, was = one, np.append(here, False)  # was: counted by earlier passes
+        yield 1, at, one
+    h, was = one, np.ones(size + 1, bool)  # was: counted by earlier passes
     for k in range(2, max_words + 1):
         if len(bits) < k - 1:
             return
         # where phrases of k - 1 words begin that are proposed now, and were before
-        now, old = np.zeros(len(numbers) + 1, bool), np.zeros(len(numbers) + 1, bool)
+        now, old = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
         now[at] = found = _bit(bits[k - 2], h[at])
         if before is not None:
             old[at] = was[at] & _bit(before[k - 2], h[at])
         at = at[found]
-        at = at[now[at + 1]]
+        at = at[now[at + 1] & follows[at]]
         if not len(at):
             return
-        longer = np.zeros(len(numbers), np.uint64)
+        longer = np.zeros(size, np.uint64)
         longer[at] = _mix(h[at] * np.uint64(0x9E3779B97F4A7C15) + one[at + k - 1])
         h = longer
-        was = np.zeros(len(numbers) + 1, bool)
+        was = np.zeros(size + 1, bool)
         was[at] = old[at] & old[at + 1]
         new = at if before is None else at[~was[at]]
         yield k, new, h[new]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[tuple[str, np.ndarray]]]]:
-    """The words of many texts at a time, by language."""
-    words, held, size = Words(), {}, 0
-
-    def block():
-        return words, [(v, np.concatenate(parts)) for v, parts in held.items()]
-
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            if len(words) > KEPT_WORDS:  # numbers hold for a block and a text
-                if held:
-                    yield block()
-                words, held, size = Words(), {}, 0
-            for numbers in word_numbers(text.as_py() or "", words):
-                held.setdefault(lang, []).append(numbers)
-                size += len(numbers)
-                if size >= FLUSH:
-                    yield block()
-                    held, size = {}, 0
-                    give_back()
-    if held:
-        yield block()
-
-
 def _summed(h: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Different hashes and their counts."""
     if n is None:
@@ -190,9 +202,9 @@ def counted(docs: DataFrame, bits: Bits, before: Bits | None, max_words: int, on
                     part = slice(at, at + ROWS_OUT)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h[part]), k, np.int32)), pa.array(h[part].view(np.int64)), pa.array(n[part])], names=["k", "h", "n"])
 
-        for words, block in _blocks(batches):
-            for lang, numbers in block:
-                for k, _, h in places(numbers, words, lang, bits, before, only or max_words):
+        for block in _texts(batches):
+            for lang, texts in block.items():
+                for k, _, h in places(*hashed_words(b".".join(texts)), lang, bits, before, only or max_words):
                     if len(h) and k == (only or k):
                         held.setdefault(k, []).append(_summed(h))
                         size += len(held[k][-1][0])
@@ -215,41 +227,61 @@ def exact_counts(docs: DataFrame, bits: Bits, max_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
-        held: Counter = Counter()
+        words, totals, others = Words(), Counter(), Counter()
+        held: dict[tuple[str, int], list] = {}
+        size = 0
 
-        def passed_on():
-            rows = list(held.items())
-            for at in range(0, len(rows), ROWS_OUT):
-                part = rows[at : at + ROWS_OUT]
-                columns = [pa.array([r[0][0] for r in part], pa.string()), pa.array([r[0][2] for r in part], pa.string()), pa.array([r[0][1] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.int64())]
+        def rows(lang: str, k: int, phrases: list, n: list):
+            for at in range(0, len(n), ROWS_OUT):
+                texts, counts = phrases[at : at + ROWS_OUT], n[at : at + ROWS_OUT]
+                columns = [pa.array([lang] * len(counts), pa.string()), pa.array(texts, pa.string()), pa.array([k] * len(counts), pa.int32()), pa.array(counts, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
 
-        for words, block in _blocks(batches):
+        def named(numbers: np.ndarray) -> list[bytes]:
             names = words.names
-            for lang, numbers in block:
-                held[lang, 0, None] += int(np.count_nonzero(numbers))
-                for k, at, h in places(numbers, words, lang, bits, None, max_words):
-                    keep = _bit(bits[k - 1], h)
-                    at, h = at[keep], h[keep]
-                    if not len(at):
-                        continue
-                    order = np.argsort(h)
-                    at, h = at[order], h[order]
-                    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-                    n = np.diff(np.r_[first, len(h)])
-                    parts = numbers[at[:, None] + np.arange(k)]
-                    same = (parts == np.repeat(parts[first], n, axis=0)).all(axis=1)
-                    if not same.all():  # other phrases of the same hash
-                        for row in parts[~same].tolist():
-                            held[lang, k, b" ".join([names[i] for i in row])] += 1
-                        n = np.add.reduceat(same, first)
-                    for row, c in zip(parts[first].tolist(), n.tolist()):
-                        held[lang, k, b" ".join([names[i] for i in row])] += c
-            if len(held) > HELD_PHRASES:
+            return [b" ".join([names[i] for i in row]) for row in numbers.tolist()]
+
+        def merged(lang: str, k: int, parts: list) -> tuple:
+            """One row per hash; phrases that only share their hash are counted by themselves."""
+            h, n, numbers = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(h)
+            h, n, numbers = h[order], n[order], numbers[order]
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            same = (numbers == np.repeat(numbers[first], np.diff(np.r_[first, len(h)]), axis=0)).all(axis=1)
+            if not same.all():
+                for phrase, c in zip(named(numbers[~same]), n[~same].tolist()):
+                    others[lang, k, phrase] += c
+            return h[first], np.add.reduceat(np.where(same, n, 0), first), numbers[first]
+
+        def passed_on():
+            for (lang, k), parts in held.items():
+                _, n, numbers = merged(lang, k, parts)
+                yield from rows(lang, k, named(numbers), n.tolist())
+            for (lang, k, phrase), c in others.items():
+                yield from rows(lang, k, [phrase], [c])
+
+        for block in _texts(batches):
+            if len(words) > KEPT_WORDS or size > HELD_PHRASES:
                 yield from passed_on()
-                held = Counter()
+                words, held, size = Words(), {}, 0
+                others.clear()
                 give_back()
+            for lang, texts in block.items():
+                numbers, follows = words.numbers(b".".join(texts))
+                totals[lang] += len(numbers)
+                for k, at, h in places(words.hashes()[numbers], follows, lang, bits, None, max_words):
+                    keep = _bit(bits[k - 1], h)
+                    at, h = at[keep], h[keep]
+                    if len(at):
+                        parts = held.setdefault((lang, k), [])
+                        parts.append(merged(lang, k, [(h, np.ones(len(h), np.int64), numbers[at[:, None] + np.arange(k)].astype(np.int32))]))
+                        size += len(parts[-1][0])
+                        if len(parts) == MERGED:
+                            parts[:] = [merged(lang, k, parts)]
+                            size = sum(len(p[0]) for x in held.values() for p in x)
         yield from passed_on()
+        for lang, n in totals.items():
+            yield from rows(lang, 0, [None], [n])
         give_back()
 
     rows = docs.mapInArrow(run, "lang string, phrase string, k int, n bigint")

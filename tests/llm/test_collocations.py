@@ -102,7 +102,7 @@ def test_blocks_and_slices(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
     local = [(r["text"], r["lang"]) for r in docs.collect()]
     want = sorted((*k, c) for k, c in counts(local).items() if c >= 4)
-    for name, value in (("FLUSH", 50), ("KEPT_WORDS", 10), ("SLICE", 7), ("HELD_HASHES", 100), ("HELD_PHRASES", 10), ("ROWS_OUT", 3)):
+    for name, value in (("FLUSH", 50), ("KEPT_WORDS", 10), ("SLICE", 7), ("HELD_HASHES", 100), ("HELD_PHRASES", 10), ("ROWS_OUT", 3), ("MERGED", 2)):
         monkeypatch.setattr(collocations, name, value)
     found, _ = collocations.frequent(docs, 4)
     assert sorted((r["lang"], r["phrase"], r["f"]) for r in found.collect()) == want
