@@ -122,10 +122,11 @@ def write_reports(lines: DataFrame, root: str, group_cols: Sequence[str] = ("eva
 
     Range partitioning on the full sort key splits a large group over many
     tasks (a group is never forced into one task); part files then follow the
-    ranges, so reading a folder's parts in name order gives the report order.
+    ranges, so reading a folder's parts in name order gives the report order. Lines of one
+    order come by their text, so a rerun writes the same.
     """
     g = list(group_cols)
-    order = [*g, "section", "ord", "sub"]
+    order = [*g, "section", "ord", "sub", "line"]
     parts = lines.repartitionByRange(num_partitions, *order) if num_partitions else lines.repartitionByRange(*order)
     (
         parts.sortWithinPartitions(*order)
