@@ -197,5 +197,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The documents whose language is not rejected, with all their columns."""
-    return docs.withColumn("_lid_rejected", language_column(model, F.col("text"))["rejected"]).filter(~F.col("_lid_rejected")).drop("_lid_rejected")
+    """The documents whose language is not rejected, with all their columns, whatever their names."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), language_column(model, F.col("text"))["rejected"].alias("rejected"))
+    return rows.filter("not rejected").select("row.*")

@@ -264,14 +264,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = found.filter("kept").groupBy("root").agg(F.min("text_hash").alias("least"), F.count("*").alias("k")).filter("k > 1").select("root", "least")
     also = found.filter("kept").join(first, "root").filter("text_hash <> least")
     gone = found.filter("not kept").unionByName(also.select(found.columns)).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash")).distinct()
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    same_row = lambda ids, hashes: F.col("doc_id").eqNullSafe(F.col(ids)) & (F.col("_text_hash") == F.col(hashes))
+    # the row goes along in one column, so that no name of its own meets those used here
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    hashed = docs.select(row, F.col("doc_id").alias("_doc_id"), F.xxhash64(F.col("text").cast("string")).alias("_text_hash"))
+    same_row = lambda ids, hashes: F.col("_doc_id").eqNullSafe(F.col(ids)) & (F.col("_text_hash") == F.col(hashes))
     rest = hashed.join(small_or_shuffled(gone, gone.count()), same_row("_gone", "_hash"), "left_anti")
     twice = found.filter("kept").groupBy("doc_id", "text_hash").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     n = twice.count()
     if not n:
-        return rest.select(*docs.columns)
+        return rest.select("_row.*")
     again = rest.join(small_or_shuffled(twice, n), same_row("_id", "_hash"), "left_semi")
     single = rest.join(small_or_shuffled(twice, n), same_row("_id", "_hash"), "left_anti")
-    one = again.groupBy("doc_id", "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
-    return single.select(*docs.columns).unionByName(one.select(*docs.columns))
+    one = again.groupBy("_doc_id", "_text_hash").agg(F.min("_row").alias("_row"))
+    return single.select("_row.*").unionByName(one.select("_row.*"))

@@ -1,13 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Documents are counted in cells (source, language, topic).  The cells' token totals are
-raked until the token shares of every margin equal the targets; a cell's weight is its
-raked total over its own, and a document is sampled with the probability
-
-    min(1, c * weight)
-
-where ``c`` is calibrated so that the expected number of sampled tokens is ``budget``
-times all tokens (or as many as there are).  A document's draw is a keyed hash of its id
+Documents are counted in cells (source, language, topic).  Raking scales the cells in turn
+to the target of each value of each margin until all hold, with no cell over its own
+tokens: a cell's probability is the product of its three factors, at most 1, and a factor is
+chosen so that the value's expected sampled tokens, capped cells included, are its target.
+So the expected sample of ``budget`` times all tokens meets the targets themselves, not
+only before the cap.  A target over what its value holds is what it holds, and the others of
+its margin share the rest; such targets, and margins that together cannot be met, are
+reported in a warning.  A document's draw is a keyed hash of its id
 and text, so a rerun, a lost executor or another partitioning samples the same rows.
 
 The targets are given by the caller, name by name; values without a target of their own
@@ -67,49 +67,59 @@ class Mixture:
     probabilities: np.ndarray
 
 
-def rake(totals: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], steps: int = 200, tolerance: float = 1e-10) -> np.ndarray:
-    """Totals scaled in turn to each margin's target shares (value of each cell, share of
-    each value) until all hold.  Targets without any total are shared out."""
-    grand = totals.sum()
-    x = totals.astype(float)
-    if not grand:
-        return x
+def rake(totals: np.ndarray, margins: list[tuple[np.ndarray, np.ndarray]], steps: int = 5000, tolerance: float = 1e-9) -> tuple[np.ndarray, float]:
+    """(the product of each cell's factors, the largest miss as a share of all targets).
+
+    ``margins``: (value of each cell, target total of each value).  What a cell gives is its
+    total times its product, at most the total."""
+    goal = max(float(want.sum()) for _, want in margins) or 1.0
+    factors = [np.ones(len(want)) for _, want in margins]
+    product, worst = np.ones(len(totals)), np.inf
     for _ in range(steps):
         worst = 0.0
-        for of_cell, share in margins:
-            have = np.bincount(of_cell, weights=x, minlength=len(share))
-            want = np.where(have > 0, share, 0.0)
-            want = want / want.sum() * grand if want.sum() else have
-            scale = np.divide(want, have, out=np.zeros(len(share)), where=have > 0)
-            worst = max(worst, float(np.abs(want - have).max()) / grand)
-            x = x * scale[of_cell]
+        for k, (of_cell, want) in enumerate(margins):
+            have = np.bincount(of_cell, weights=totals * np.minimum(1.0, product), minlength=len(want))
+            worst = max(worst, float(np.abs(want - have).max(initial=0.0)) / goal)
+            others = np.prod([f[v] for j, (f, (v, _)) in enumerate(zip(factors, margins)) if j != k], axis=0) * np.ones(len(totals))
+            for value in range(len(want)):
+                cells = of_cell == value
+                factors[k][value] = multiplier(totals[cells], others[cells], want[value])
+            product = others * factors[k][of_cell]
         if worst < tolerance:
             break
-    return x
-
-
-def calibrate(tokens: np.ndarray, weights: np.ndarray, budget: float) -> np.ndarray:
-    """Probabilities min(1, c * weight) that give ``budget`` expected tokens."""
-    reachable = tokens[weights > 0].sum()
-    if budget >= reachable:
-        return (weights > 0).astype(float)
+    return product, worst
+
+
+def multiplier(tokens: np.ndarray, weights: np.ndarray, wanted: float) -> float:
+    """``c`` for which min(1, c * weight) of the tokens are ``wanted`` in all; where there are
+    not so many, one that takes all with a weight."""
+    some = (weights > 0) & (tokens > 0)
+    tokens, weights = tokens[some], weights[some]
+    if wanted <= 0 or not len(tokens):
+        return 0.0 if wanted <= 0 else 1.0
+    if wanted >= tokens.sum():
+        return float(1 / weights.min())
     # between two cells' limits the expected tokens are linear in c
     order = np.argsort(-weights, kind="stable")
-    full, rest = 0.0, float((tokens * weights).sum())
-    c = 0.0
-    for i in order:
-        if weights[i] <= 0:
-            break
-        c = (budget - full) / rest if rest > 0 else 0.0
-        if c * weights[i] <= 1:
+    tokens, weights = tokens[order], weights[order]
+    full = np.cumsum(tokens) - tokens
+    rest = np.cumsum((tokens * weights)[::-1])[::-1]
+    c = (wanted - full) / rest
+    return float(c[np.flatnonzero(c * weights <= 1 + 1e-12)[0]])
+
+
+def within_reach(have: np.ndarray, share: np.ndarray, total: float) -> np.ndarray:
+    """Targets of ``total`` by the shares, none over what there is; the others share the rest."""
+    want, open_ = np.zeros(len(have)), share > 0
+    while open_.any():
+        left = total - want[~open_].sum()
+        want[open_] = share[open_] / share[open_].sum() * left
+        over = open_ & (want > have)
+        if not over.any():
             break
-        full += tokens[i]
-        rest -= tokens[i] * weights[i]
-    return np.minimum(1.0, c * weights)
-
-
-def _margin(name: str, targets: Mapping[str, float]) -> Column:
-    return F.when(F.col(name).isin(list(targets)), F.col(name)).otherwise(F.lit(OTHER))
+        want[over] = have[over]
+        open_ &= ~over
+    return want
 
 
 def marked(docs: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
@@ -130,23 +140,37 @@ def mixture(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], budget
     rows = sorted(tuple(r) for r in cells.select("_source", "_lang", "_topic", "tokens").collect())
     names = [r[:3] for r in rows]
     tokens = np.array([float(r[3] or 0) for r in rows])
-    margins = []
+    shares, of_cell = [], []
     for k, m in enumerate(MARGINS):
         values = sorted({n[k] for n in names})
         given = {v: float(targets[m].get(v, 0.0)) for v in values if v != OTHER}
         given[OTHER] = max(0.0, 1.0 - sum(targets[m].values()))
-        margins.append((np.array([values.index(n[k]) for n in names], int), np.array([given[v] for v in values])))
-    raked = rake(tokens, margins)
-    weights = np.divide(raked, tokens, out=np.zeros(len(tokens)), where=tokens > 0)
-    # a cell of empty texts only: as any other
-    weights[tokens == 0] = 1.0 if not tokens.sum() else raked.sum() / tokens.sum()
-    reachable = tokens[weights > 0].sum()
-    if reachable < tokens.sum():
-        left_out = f"{tokens.sum() - reachable:.0f} of {tokens.sum():.0f} tokens have a source, language or topic with no target share"
-        if reachable < min(budget, 1.0) * tokens.sum():
+        of_cell.append(np.array([values.index(n[k]) for n in names], int))
+        shares.append((values, np.array([given[v] for v in values])))
+    total = tokens.sum()
+    if not total:  # empty texts only
+        return Mixture(names, tokens, np.ones(len(tokens)), np.full(len(tokens), min(1.0, budget)))
+    aimed = np.all([share[v] > 0 for (_, share), v in zip(shares, of_cell)], axis=0)
+    reachable = tokens[aimed].sum()
+    if reachable < total:
+        left_out = f"{total - reachable:.0f} of {total:.0f} tokens have a source, language or topic with no target share"
+        if reachable < min(budget, 1.0) * total:
             raise ValueError(f"{left_out}; the rest cannot reach the budget of {budget:g} of all tokens")
         warnings.warn(f"{left_out} and are never sampled", stacklevel=2)
-    return Mixture(names, tokens, weights, calibrate(tokens, weights, budget * tokens.sum()))
+    goal = min(budget * total, reachable)
+    wanted, missed = [], []
+    for (values, share), v, m in zip(shares, of_cell, MARGINS):
+        have = np.bincount(v, weights=tokens * aimed, minlength=len(values))
+        want = within_reach(have, share, goal)
+        missed += [f"{m} {x} {w / goal:.4f} of {s:.4f}" for x, s, w, h in zip(values, share / (share.sum() or 1.0), want, have) if w < s * goal * (1 - 1e-9) and w >= h]
+        wanted.append((v, want))
+    if missed:
+        warnings.warn(f"targets over all that there is, taken whole: {', '.join(missed)}", stacklevel=2)
+    product, miss = rake(np.where(aimed, tokens, 0.0), wanted)
+    if miss > 1e-6:
+        warnings.warn(f"the margins cannot be met together: {miss:.2g} of the sample is amiss", stacklevel=2)
+    product = np.where(aimed, product, 0.0)
+    return Mixture(names, tokens, product * total / goal, np.minimum(1.0, product))
 
 
 def sampled(rows: DataFrame, fitted: Mixture, seed: str = "mix") -> DataFrame:
@@ -178,8 +202,8 @@ def sample_table(docs: DataFrame, targets, budget: float, seed: str = "mix") ->
 
 
 def sample_documents(docs: DataFrame, targets, budget: float, seed: str = "mix") -> DataFrame:
-    """The sampled documents with their own columns."""
-    rows = marked(docs, targets)
+    """The sampled documents with their own columns, whatever their names."""
+    rows = marked(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text", "source", "lang"), targets)
     fitted = mixture(cell_totals(rows), targets, budget)
     rows = rows.withColumn("_draw", draw(seed, F.col("doc_id"), F.col("text").cast("string")))
-    return sampled(rows, fitted).select(*[F.col(c) for c in docs.columns])
+    return sampled(rows, fitted).select("_row.*")

@@ -171,12 +171,12 @@ def _spelled(h: Column, value: Column) -> Column:
 
 
 def _turned(key: str) -> dict[str, str]:
-    """Every listed given name and its surrogate: a keyed turn of its list, so that each
-    name gets another one and no two the same."""
+    """Every listed given name and its surrogate: the next one of its list in a keyed order, so
+    that each name gets another one, no two the same, and one pair tells of no other."""
     out = {}
     for which, names in GIVEN.items():
-        turn = 1 + int(hashlib.sha256(f"{key}\x1f{which}".encode()).hexdigest()[:8], 16) % (len(names) - 1)
-        out |= {f"{which}\x1f{n.lower()}": names[(i + turn) % len(names)].lower() for i, n in enumerate(names)}
+        names = sorted(names, key=lambda n: hashlib.sha256(f"{key}\x1f{which}\x1f{n}".encode()).hexdigest())
+        out |= {f"{which}\x1f{n.lower()}": names[(i + 1) % len(names)].lower() for i, n in enumerate(names)}
     return out
 
 
@@ -298,17 +298,20 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text", count: str | None
     texts = docs.select(body.alias("_t")).filter(F.col("_t").rlike(HINT)).select(F.xxhash64("_t").alias("text_hash"), _entities(F.col("_t")).alias("entities"))
     texts = stored(texts.filter(F.size("entities") > 0), "entities")
     again = keyed_again(texts, key)
+    # the row goes along in one column, so that no name of its own meets those used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), body.alias("_body"))
+    nothing = F.expr("map('', 0)")
     if again is None:
-        rows = docs.select(*keep, F.expr("map('', 0)").alias("_again"))
+        rows = rows.withColumn("_again", nothing)
     else:
-        rows = docs.select(*keep, F.xxhash64(body).alias("_hash"))
         again = again.select(F.col("text_hash").alias("_hash"), F.col("again").alias("_again"))
-        rows = rows.join(small_or_shuffled(again, again.count()), "_hash", "left").withColumn("_again", F.coalesce("_again", F.expr("map('', 0)")))
-    rows = rows.withColumn("_found", _entities(body))
+        rows = rows.withColumn("_hash", F.xxhash64("_body")).join(small_or_shuffled(again, again.count()), "_hash", "left").withColumn("_again", F.coalesce("_again", nothing))
+    rows = rows.withColumn("_found", _entities(F.col("_body")))
     # the text between entities and the surrogates, in turn; a text without any is not touched
-    parts = F.zip_with(F.split(body, ENTITY), F.transform("_found", lambda e: replacement(key, e, F.col("_again"))), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    new = F.when(F.size("_found") == 0, F.col(text)).otherwise(F.array_join(parts, ""))
-    out = [new.alias(c) if c == text else F.col(c) for c in keep]
+    parts = F.zip_with(F.split("_body", ENTITY), F.transform("_found", lambda e: replacement(key, e, F.col("_again"))), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    own = lambda c: F.col("_row")[c]
+    new = F.when(F.size("_found") == 0, own(text)).otherwise(F.array_join(parts, ""))
+    out = [(new if c == text else own(c)).alias(c) for c in keep]
     if count:
-        out.append(F.when(F.col(text).isNull(), 0).otherwise(F.size(F.filter("_found", lambda e: kind(e).isNotNull()))).alias(count))
+        out.append(F.when(F.col("_body").isNull(), 0).otherwise(F.size(F.filter("_found", lambda e: kind(e).isNotNull()))).alias(count))
     return rows.select(*out)

@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from gradeflow.llm import mixing, registry, tokencounts
 
 
@@ -41,29 +41,48 @@ def test_count_edge_cases(spark):
     assert tokencounts.totals(tokencounts.histogram(out.limit(0))).count() == 0
 
 
-def test_raking_meets_every_margin():
-    rng = np.random.default_rng(3)
-    totals = rng.uniform(1, 100, 60)
-    cells = [(i % 5, i // 5 % 4, i // 20) for i in range(60)]
-    margins = [(np.array([c[k] for c in cells]), rng.dirichlet(np.ones(m))) for k, m in ((0, 5), (1, 4), (2, 3))]
-    raked = mixing.rake(totals, margins)
-    for of_cell, share in margins:
-        assert np.allclose(np.bincount(of_cell, weights=raked) / totals.sum(), share, atol=1e-6)
-
-
-def test_probabilities_meet_the_budget():
-    rng = np.random.default_rng(5)
-    tokens, weights = rng.uniform(1, 50, 40), rng.uniform(0, 3, 40)
-    weights[:3] = 0
-    for budget in (1.0, 0.3 * tokens.sum(), 0.9 * tokens[3:].sum()):
-        p = mixing.calibrate(tokens, weights, budget)
-        assert abs((p * tokens).sum() - budget) < 1e-6 and p.max() <= 1 and (p[:3] == 0).all()
-    assert mixing.calibrate(tokens, weights, 10 * tokens.sum()).tolist() == (weights > 0).astype(float).tolist()
-
-
-def plain_sample(rows):
-    """Cells, raking by loops, and the draw, in plain Python; doc_id -> probability."""
-    import hashlib
+def cells_and_margins(seed, n=60):
+    rng = np.random.default_rng(seed)
+    totals = rng.uniform(1, 100, n)
+    cells = [(i % 5, i // 5 % 4, i // 20) for i in range(n)]
+    return totals, [(np.array([c[k] for c in cells]), rng.dirichlet(np.ones(m) * 8)) for k, m in ((0, 5), (1, 4), (2, 3))]
+
+
+@pytest.mark.parametrize("part", [0.05, 0.3, 0.6])
+def test_raking_meets_every_margin_under_the_cap(part):
+    """Whatever is capped, the expected tokens of every value are its target."""
+    totals, margins = cells_and_margins(3)
+    goal = part * totals.sum()
+    wanted = [(v, mixing.within_reach(np.bincount(v, weights=totals), share, goal)) for v, share in margins]
+    product, miss = mixing.rake(totals, wanted)
+    p = np.minimum(1, product)
+    assert miss < 1e-8
+    for (v, want), (_, share) in zip(wanted, margins):
+        assert np.allclose(np.bincount(v, weights=totals * p), want, rtol=1e-6) and np.allclose(want, share * goal)
+    if part == 0.6:
+        assert (product > 1).sum() > 3
+    # uncapped cells: a product of one factor per margin
+    free = product < 1
+    design = np.concatenate([np.eye(v.max() + 1)[v] for v, _ in margins], axis=1)[free]
+    logs = np.log(product[free])
+    assert np.abs(design @ np.linalg.lstsq(design, logs, rcond=None)[0] - logs).max() < 1e-8
+
+
+def test_targets_out_of_reach_are_taken_whole_and_reported(spark):
+    want = mixing.within_reach(np.array([5.0, 50.0, 100.0, 0.0]), np.array([0.3, 0.3, 0.3, 0.1]), 90.0)
+    assert want.tolist() == [5.0, 42.5, 42.5, 0.0]
+    docs = spark.createDataFrame([(i, "a b c", "en", "few" if i < 10 else "many") for i in range(100)], "doc_id long, text string, lang string, source string")
+    with pytest.warns(UserWarning, match="source few"):
+        got = mixing.sample_table(docs, {"source": {"few": 0.5, "many": 0.5}, "lang": {}, "topic": {}}, 0.5).collect()
+    assert {r.probability for r in got if r.source == "few"} == {1.0}
+    assert abs({r.probability for r in got if r.source == "many"}.pop() - 40 / 90) < 1e-6
+    crossed = spark.createDataFrame([(i, "a b c", "en" if i < 50 else "fr", "x" if i < 50 else "y") for i in range(100)], "doc_id long, text string, lang string, source string")
+    with pytest.warns(UserWarning, match="met together"):
+        mixing.sample_table(crossed, {"source": {"x": 0.9, "y": 0.1}, "lang": {"en": 0.1, "fr": 0.9}, "topic": {}}, 0.5).collect()
+
+
+def plain_probabilities(rows):
+    """Cells, and raking by loops with each factor found by bisection; doc_id -> probability."""
     import re
 
     def cell(r):
@@ -74,30 +93,50 @@ def plain_sample(rows):
     tokens = {}
     for r in rows:
         tokens[cell(r)] = tokens.get(cell(r), 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
-    x, grand = {c: float(v) for c, v in tokens.items()}, sum(tokens.values())
-    for _ in range(300):
-        for k, m in enumerate(mixing.MARGINS):
-            share = dict(registry.TARGETS[m]) | {"other": max(0.0, 1 - sum(registry.TARGETS[m].values()))}
-            have = {}
-            for c, v in x.items():
-                have[c[k]] = have.get(c[k], 0) + v
-            total = sum(share[v] for v in have if have[v] > 0)
-            x = {c: v * share[c[k]] / total * grand / have[c[k]] if have[c[k]] else v for c, v in x.items()}
-    weight = {c: x[c] / tokens[c] if tokens[c] else 1.0 for c in x}
-    lo, hi = 0.0, 1e9
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if sum(tokens[c] * min(1, mid * weight[c]) for c in x) < registry.BUDGET * grand else (lo, mid)
-    return {r.doc_id: min(1, lo * weight[cell(r)]) for r in rows}
-
-
-def test_query_against_a_plain_version(spark):
-    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
-    got = {r.doc_id: r for r in registry.op2_mixing_weights(spark, SF_SMALL).collect()}
-    want = plain_sample(rows)
-    draws = {r[0]: r[1] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", mixing.draw("mix", F.col("doc_id"), F.col("text"))).collect()}
-    assert set(got) == {i for i, p in want.items() if draws[i] < p}
+    goal = registry.BUDGET * sum(tokens.values())
+    targets = {}
+    for k, m in enumerate(mixing.MARGINS):
+        given = dict(registry.TARGETS[m]) | {"other": max(0.0, 1 - sum(registry.TARGETS[m].values()))}
+        have = {v: sum(t for c, t in tokens.items() if c[k] == v) for v in {c[k] for c in tokens}}
+        whole = {}
+        while True:  # what is over all that there is, is all that there is
+            rest = [v for v in have if v not in whole]
+            aim = {v: given[v] / sum(given[x] for x in rest) * (goal - sum(whole.values())) for v in rest}
+            if not (over := {v: have[v] for v in rest if aim[v] > have[v]}):
+                break
+            whole |= over
+        targets |= {(k, v): x for v, x in (aim | whole).items()}
+    factor = {}
+    for _ in range(150):
+        for k in range(3):
+            for v in {c[k] for c in tokens}:
+                target = targets[k, v]
+                cells = [(tokens[c], np.prod([factor.get((j, c[j]), 1.0) for j in range(3) if j != k])) for c in tokens if c[k] == v]
+                lo, hi = 0.0, 1 / min(w for _, w in cells)
+                for _ in range(60):
+                    mid = (lo + hi) / 2
+                    lo, hi = (mid, hi) if sum(t * min(1, mid * w) for t, w in cells) < target else (lo, mid)
+                factor[k, v] = (lo + hi) / 2
+    return {r.doc_id: min(1.0, np.prod([factor[j, x] for j, x in enumerate(cell(r))])) for r in rows}, tokens, cell, targets
+
+
+def test_query_meets_the_margins_and_a_plain_version(spark):
+    """Expected tokens of the sample at sf0.01 are the targets, value by value; one is out of
+    reach (all licence texts are 0.0484 of the sample, not 0.06) and is taken whole."""
+    rows = spark.read.parquet(f"{SF_MID}/documents.parquet").collect()
+    got = {r.doc_id: r for r in registry.op2_mixing_weights(spark, SF_MID).collect()}
+    want, tokens, cell, targets = plain_probabilities(rows)
+    draws = {r[0]: r[1] for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", mixing.draw("mix", F.col("doc_id"), F.col("text"))).collect()}
     assert all(abs(r.probability - want[i]) < 1e-4 for i, r in got.items())
+    assert set(got) == {i for i, p in want.items() if draws[i] < p}
+    of_cell = {cell(r): want[r.doc_id] for r in rows}
+    expected = {c: tokens[c] * of_cell[c] for c in tokens}
+    whole = sum(expected.values())
+    assert abs(whole / sum(tokens.values()) - registry.BUDGET) < 1e-6
+    for (k, v), target in targets.items():
+        assert abs(sum(x for c, x in expected.items() if c[k] == v) - target) < 1e-6 * whole
+    en = sum(x for c, x in expected.items() if c[1] == "en") / whole
+    assert abs(en - registry.TARGETS["lang"]["en"] / sum(registry.TARGETS["lang"].values())) < 1e-6  # within reach, so met
 
 
 def test_draws_are_even_and_mixing_edge_cases(spark):
