@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from gradeflow.llm import langid, registry
 from gradeflow.llm.common import DOCUMENT_COLUMNS
 from gradeflow.llm.sentencepieces import Pieces
-from test_counts_and_mixing import plain_sample
+from test_counts_and_mixing import plain_probabilities
 from test_near_duplicates import plain_components
 
 
@@ -41,7 +41,7 @@ def test_stages_and_run(spark):
     assert any(old[i].text != new[i].text for i in old) and all(old[i][2:4] == new[i][2:4] for i in old)
     before, after = kept["mixing_weights"]
     draws = {r[0]: r[1] for r in before.select("doc_id", mixing.draw("mix", F.col("doc_id"), F.col("text"))).collect()}
-    assert set(rows_of(after)) == {i for i, p in plain_sample(before.collect()).items() if draws[i] < p}
+    assert set(rows_of(after)) == {i for i, p in plain_probabilities(before.collect())[0].items() if draws[i] < p}
     before, after = kept["sentencepiece"]
     with open(registry.SENTENCEPIECE_MODEL, "rb") as f:
         library = Pieces(f.read()).library
@@ -51,3 +51,36 @@ def test_stages_and_run(spark):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert rows_of(entry.queries()["pipeline"](spark, SF_SMALL)) == rows_of(after)
     assert list(inspect.signature(corpus_pipeline.run).parameters) == ["spark", "sf_dir"]
+
+
+def through(spark, docs, folder):
+    """The documents of each stage, each written and read again as run() does."""
+    from gradeflow.llm.common import stored
+
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, folder), f"test_{name}")
+        out.append(docs.collect())
+    return out
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    assert through(spark, docs, SF_SMALL) == [[]] * 5
+
+
+def test_stages_on_null_empty_and_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select(*DOCUMENT_COLUMNS).limit(80)
+    odd = [(9001, None, "en", "src0", None), (9002, "", None, None, 0), (None, "", "en", "src1", 0), (9003, "12 34 !!", "fr", "src2", 8), (9003, "12 34 !!", "fr", "src2", 8)]
+    rows = docs.unionByName(docs.limit(20)).unionByName(spark.createDataFrame(odd, docs.schema))
+    stages = through(spark, rows, SF_SMALL)
+    ids = [r["doc_id"] for r in stages[0]]
+    assert len(ids) > 80 and not {9001, 9002, 9003, None}.intersection(ids)  # no letter, no language
+    ids = [r["doc_id"] for r in stages[1]]
+    assert len(ids) == len(set(ids)) <= 80  # a repeated row is left once
+    assert [len(s) for s in stages[2:]] == [len(ids), len(stages[3]), len(stages[3])] and 0 < len(stages[3]) <= len(ids)
+
+
+def test_stages_after_one_that_leaves_nothing(spark):
+    docs = spark.createDataFrame([(i, "1234 5678", "en", "src0", 9) for i in range(6)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert through(spark, docs, SF_SMALL) == [[]] * 5
