@@ -48,7 +48,7 @@ from .common import give_back, stored
 from .sentencepieces import SPACE, _groups, _model, _slim
 
 #: Chunks that a task keeps, in two generations of half each.
-KEPT_CHUNKS = 160_000
+KEPT_CHUNKS = 120_000
 #: Chunks that B encodes together.
 JOINED = 200
 #: Characters of the texts that are handled at a time, about.
@@ -264,6 +264,12 @@ class Table:
             self.old, self.young = self.young, {}
 
 
+def _packed(values: np.ndarray, sizes: Sequence[int]) -> pa.BinaryArray:
+    """Parts of an int32 array, each as its bytes."""
+    offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32) * 4
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values, "<i4"))])
+
+
 def _lists(values: pa.Array, sizes: Sequence[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values)
 
@@ -317,14 +323,15 @@ def _aligned(v: Vocabularies, table: Table, texts: Sequence[str | None]) -> tupl
     form_times = np.bincount(inverse, weights=np.repeat(times, count[at])).astype(np.int32)
     doc, form = np.divmod(pairs, max(1, len(number)))
     n_forms = np.bincount(doc, minlength=n)
-    lists = [_lists(pa.array(ids), n_ids), _lists(pa.array(id_times), n_ids), _lists(pa.array(list(number), pa.binary()).take(pa.array(form)), n_forms), _lists(pa.array(form_times, pa.int32()), n_forms)]
+    lists = [_packed(ids, n_ids), _packed(id_times, n_ids), _lists(pa.array(list(number), pa.binary()).take(pa.array(form)), n_forms), _lists(pa.array(form_times, pa.int32()), n_forms)]
     return [*(pa.array(c) for c in (n_a, n_b, n_groups, n_a + n_b - n_groups)), digest, *lists], ids, id_times
 
 
 def encoded(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
-    """One row per document: its counts and digest, its regular A ids and irregular forms
-    with how often each occurs; and one row per task (null uid) with the task's vector of
-    regular groups.  ``uid`` numbers the rows."""
+    """One row per document: its counts and digest, its regular A ids with how often each
+    occurs (packed: ``ids`` of 4 bytes, ``times`` of 4), its irregular forms with how often;
+    and one row per task (null uid) with the task's vector of regular groups.  ``uid``
+    numbers the rows."""
     sc = docs.sparkSession
     files = _model(sc, a_json), _model(sc, b_model)
 
@@ -349,7 +356,7 @@ def encoded(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
             types = [f.type for f in columns_of(1)]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types[:-1]), pa.array([vector.tolist()], types[-1])], names=NAMES)
 
-    return _slim(docs).mapInArrow(run, f"{COUNTS}, ids array<int>, times array<int>, forms array<binary>, form_times array<int>, vector array<bigint>")
+    return _slim(docs).mapInArrow(run, f"{COUNTS}, ids binary, times binary, forms array<binary>, form_times array<int>, vector array<bigint>")
 
 
 NAMES = ["uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "ids", "times", "forms", "form_times", "vector"]
@@ -357,7 +364,7 @@ NAMES = ["uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256",
 
 def columns_of(n: int) -> list[pa.Array]:
     """So many null rows of what ``encoded`` returns."""
-    kinds = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    kinds = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
     return [pa.nulls(n, k) for k in kinds]
 
 
@@ -372,7 +379,7 @@ def align(docs: DataFrame, a_json: str, b_model: str) -> Aligned:
     """The id pairs of all documents and their counts."""
     spark = docs.sparkSession
     files = _model(spark, a_json), _model(spark, b_model)
-    rows = stored(encoded(docs, a_json, b_model), "alignment_docs")
+    rows = stored(encoded(docs, a_json, b_model), "alignment_docs", **{"parquet.block.size": str(16 << 20)})
     # at most a row per id of A, already summed by task
     vector = rows.filter("vector is not null").select(F.posexplode("vector").alias("a", "n")).filter("n > 0").groupBy("a").agg(F.sum("n").alias("n"))
     v = Vocabularies(*(f.value for f in files))
@@ -418,10 +425,8 @@ def digests(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, best = arrays.value
         for batch in batches:
-            ids, times = batch.column("ids"), batch.column("times")
-            at = ids.flatten().to_numpy(zero_copy_only=False)
-            n = times.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.cumsum([len(x) if x is not None else 0 for x in ids])
+            at, n = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").astype(np.int64) for c in ("ids", "times"))
+            ends = np.cumsum([len(x) // 4 for x in batch.column("ids").to_pylist()], dtype=np.int64)
             out = [np.r_[0, np.cumsum(n * values[at])] for values in (best, count)]
             out = [pa.array(np.diff(np.r_[0, x[ends]])) for x in out]
             yield pa.RecordBatch.from_arrays([*batch.columns[:7], *out], names=[*NAMES[:7], "n_best", "count_sum"])
