@@ -50,6 +50,8 @@ HELD_HASHES = 1 << 21
 HELD_PHRASES = 1 << 21
 #: Blocks whose phrases are held before they are put together.
 MERGED = 8
+#: The range of a hash is its head of 8 bits.
+RANGE = np.uint64(56)
 #: Rows passed on at a time.
 ROWS_OUT = 1 << 15
 #: Bytes of a text that are handled at a time (cut after a piece).
@@ -220,9 +222,12 @@ def counted(docs: DataFrame, bits: Bits, before: Bits | None, max_words: int, on
     return rows.repartition("k", "h").groupBy("k", "h").agg(F.sum("n").alias("n"))
 
 
-def exact_counts(docs: DataFrame, bits: Bits, max_words: int) -> DataFrame:
+def exact_counts(docs: DataFrame, bits: Bits, max_words: int, least: int) -> DataFrame:
     """(lang, phrase, k, f) by their texts, of the words and phrases whose hashes are in
-    ``bits``, and of all words of a language (null phrase)."""
+    ``bits`` and that occur ``least`` times; and of all words of a language (null phrase).
+
+    Tasks send their phrases in packs, one for each language, length and range of hashes
+    (``RANGE``), not row by row; a range's packs meet in one task, which adds them up."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,11 +236,11 @@ def exact_counts(docs: DataFrame, bits: Bits, max_words: int) -> DataFrame:
         held: dict[tuple[str, int], list] = {}
         size = 0
 
-        def rows(lang: str, k: int, phrases: list, n: list):
-            for at in range(0, len(n), ROWS_OUT):
-                texts, counts = phrases[at : at + ROWS_OUT], n[at : at + ROWS_OUT]
-                columns = [pa.array([lang] * len(counts), pa.string()), pa.array(texts, pa.string()), pa.array([k] * len(counts), pa.int32()), pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
+        def packs(rows: list[tuple]):
+            for at in range(0, len(rows), ROWS_OUT):
+                columns = zip(*rows[at : at + ROWS_OUT])
+                kinds = (pa.int32(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "lang", "k", "phrases", "counts"])
 
         def named(numbers: np.ndarray) -> list[bytes]:
             names = words.names
@@ -249,16 +254,17 @@ def exact_counts(docs: DataFrame, bits: Bits, max_words: int) -> DataFrame:
             first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             same = (numbers == np.repeat(numbers[first], np.diff(np.r_[first, len(h)]), axis=0)).all(axis=1)
             if not same.all():
-                for phrase, c in zip(named(numbers[~same]), n[~same].tolist()):
-                    others[lang, k, phrase] += c
+                for part, phrase, c in zip((h[~same] >> RANGE).tolist(), named(numbers[~same]), n[~same].tolist()):
+                    others[part, lang, k, phrase] += c
             return h[first], np.add.reduceat(np.where(same, n, 0), first), numbers[first]
 
         def passed_on():
             for (lang, k), parts in held.items():
-                _, n, numbers = merged(lang, k, parts)
-                yield from rows(lang, k, named(numbers), n.tolist())
-            for (lang, k, phrase), c in others.items():
-                yield from rows(lang, k, [phrase], [c])
+                h, n, numbers = merged(lang, k, parts)
+                part = h >> RANGE  # ascending, as the hashes are
+                cuts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(h)].tolist()
+                yield from packs([(int(part[i]), lang, k, b"\n".join(named(numbers[i:j])), n[i:j].tolist()) for i, j in zip(cuts, cuts[1:])])
+            yield from packs([(part, lang, k, phrase, [c]) for (part, lang, k, phrase), c in others.items()])
 
         for block in _texts(batches):
             if len(words) > KEPT_WORDS or size > HELD_PHRASES:
@@ -280,12 +286,27 @@ def exact_counts(docs: DataFrame, bits: Bits, max_words: int) -> DataFrame:
                             parts[:] = [merged(lang, k, parts)]
                             size = sum(len(p[0]) for x in held.values() for p in x)
         yield from passed_on()
-        for lang, n in totals.items():
-            yield from rows(lang, 0, [None], [n])
+        yield from packs([(0, lang, 0, "", [n]) for lang, n in totals.items()])
+        give_back()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], dict[str, int]] = {}
+        for batch in batches:
+            lang, k, phrases, counts = (batch.column(c) for c in ("lang", "k", "phrases", "counts"))
+            for i in range(batch.num_rows):
+                held = sums.setdefault((lang[i].as_py(), k[i].as_py()), {})
+                for phrase, n in zip(phrases[i].as_py().split("\n"), counts[i].as_py()):
+                    held[phrase] = held.get(phrase, 0) + n
+        for (lang, k), held in sums.items():
+            rows = [(p, n) for p, n in held.items() if n >= least or not k]
+            for at in range(0, len(rows), ROWS_OUT):
+                part = rows[at : at + ROWS_OUT]
+                columns = [pa.array([lang] * len(part), pa.string()), pa.array([p if k else None for p, _ in part], pa.string()), pa.array([k] * len(part), pa.int32()), pa.array([n for _, n in part], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "f"])
         give_back()
 
-    rows = docs.mapInArrow(run, "lang string, phrase string, k int, n bigint")
-    return rows.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("f"))
+    sent_out = docs.mapInArrow(run, "part int, lang string, k int, phrases string, counts array<bigint>")
+    return sent_out.repartition("part").mapInArrow(add_up, "lang string, phrase string, k int, f bigint")
 
 
 def bits_of(hashes: DataFrame, old: np.ndarray | None = None) -> np.ndarray:
@@ -341,8 +362,7 @@ def frequent(docs: DataFrame, least: int = 30, max_words: int = 4, sample: int =
         if not lengths:
             break
         before, bits = bits, [bits_of(failed.filter(F.col("k") == k), b) if k in lengths else b for k, b in enumerate(bits, 1)]
-    counts = exact_counts(docs, known, max_words)
-    counts = stored(counts.filter(F.col("phrase").isNull() | (F.col("f") >= least)), "collocation_counts")
+    counts = stored(exact_counts(docs, known, max_words, least), "collocation_counts")
     return counts.filter("phrase is not null"), counts.filter("phrase is null").select("lang", F.col("f").alias("n"))
 
 
