@@ -19,6 +19,7 @@ from ..fixed_values import (
     ENGLISH_MCQ_PATTERN,
     FIB_TAIL,
     MCQ_TAIL,
+    OPTION_LABELS,
     OPTION_LETTERS,
     PY_WHITESPACE_CLASS,
     TOF_TAIL,
@@ -90,11 +91,47 @@ def extract_with_pattern(text, pattern, nonempty_group: Column) -> Column:
     return F.when(nonempty_group, F.nullif(group, F.lit(""))).when(F.call_function("rlike", text, pattern), group)
 
 
+#: Answers that are compared as text: printable ASCII and Myanmar letters (which have no case),
+#: not beginning with what may stand before an answer.
+PLAIN_ANSWER = "^(?![ (])[\\x20-\\x7E\\u1000-\\u109F]+$"
+#: Letters beyond ASCII that Python's case folding takes for ASCII ones, and these.
+FOLDED_TO_ASCII = ("\u017f\u212a\u0130\u0131", "skii")
+
+
+def _folded(c) -> Column:
+    return F.lower(F.translate(as_col(c), *FOLDED_TO_ASCII))
+
+
+def literal_answer(text, answer, head: str = ANSWER_HEAD) -> Column:
+    """As the pattern of ``exam_mcq_pattern`` finds it, for a plain answer, without a pattern
+    per row: the marker's places are found by one constant pattern, and behind each, in
+    turn, an option label or the answer is looked for by comparing text."""
+    text, answer = as_col(text), as_col(answer)
+    mark, gap = head.split(":", 1)
+    mark = F.lit(java_regex(mark + ":"))
+    between = F.split(text, java_regex(head.split(":", 1)[0] + ":"), -1)
+    marks = F.call_function("regexp_extract_all", text, mark, F.lit(0))
+    sizes = F.zip_with(F.slice(between, 1, F.size(marks)), marks, lambda a, m: F.length(a) + F.length(m))
+    # where the text goes on behind each marker
+    ends = F.transform(F.sequence(F.lit(1), F.size(marks)), lambda i: F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda x, n: x + n))
+    behind = F.when(F.size(marks) > 0, F.transform(ends, lambda end: F.substr(text, end + 1)))
+    before = java_regex("^" + gap + "[ \\t]*(?:\\()?")
+    rest = F.transform(behind, lambda t: F.substr(t, F.length(F.regexp_extract(t, before, 0)) + 1))
+    label = f"^[{OPTION_LABELS[0]}-{OPTION_LABELS[-1]}]"
+    given = F.transform(
+        rest,
+        lambda t: F.when(t.rlike(label), F.substr(t, F.lit(1), F.lit(1))).when(F.startswith(_folded(t), _folded(answer)), F.substr(t, F.lit(1), F.length(answer))),
+    )
+    return F.get(F.filter(given, lambda g: g.isNotNull()), F.lit(0))
+
+
 def extract_exam_mcq_raw(text, answer, head: str = ANSWER_HEAD, common_answers=OPTION_LETTERS) -> Column:
     """Raw group of the exam MCQ pattern.
 
     Rows whose answer is one of ``common_answers`` (or missing) use a constant
-    pattern, compiled once per task; any other answer uses the per-row pattern
+    pattern, compiled once per task; any other plain answer is compared as text behind
+    the markers that one constant pattern finds. Only answers that are empty, begin with
+    a space, a bracket or a newline or hold other letters use a pattern per row
     (Spark recompiles a column pattern whenever it changes between rows).
     """
     text, answer = as_col(text), as_col(answer)
@@ -103,6 +140,7 @@ def extract_exam_mcq_raw(text, answer, head: str = ANSWER_HEAD, common_answers=O
     for a in common_answers:
         if a:
             expr = expr.when(answer == a, first_match(text, [prefix + _quote_text(a) + MCQ_SUFFIX], nonempty_group=True))
+    expr = expr.when(answer.rlike(PLAIN_ANSWER), literal_answer(text, answer, head))
     return expr.otherwise(extract_with_pattern(text, exam_mcq_pattern(answer, head), answer != ""))
 
 

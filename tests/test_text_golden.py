@@ -184,13 +184,13 @@ def test_extraction_matches_python_re(spark, texts):
         assert r["fib"] == py_search(PY_FIB, pn), t
 
 
-ANSWERS = ["A", "B", "C", "D", None, "x", "Brand#1", "မှန်"]
+ANSWERS = ["A", "B", "C", "D", None, "x", "Brand#1", "မှန်", "ski [.*", "ခရု", "က", "", " x", "(x", "É"]
 
 
 @settings(max_examples=20, deadline=None)
 @given(
     st.lists(
-        st.tuples(st.lists(st.sampled_from(ALPHABET + ["x", "Brand#1", "a", "d"]), max_size=12).map("".join), st.sampled_from(ANSWERS)),
+        st.tuples(st.lists(st.sampled_from(ALPHABET + ["x", "Brand#1", "a", "d", "အဖြေ:", "အဖြေ :", "SKI [.*", "ſkı [.*", "ခရု", "é"]), max_size=12).map("".join), st.sampled_from(ANSWERS)),
         min_size=20,
         max_size=20,
     )
