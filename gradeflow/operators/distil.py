@@ -39,7 +39,7 @@ from ..session import scratch_path
 from ..sources import versions as V
 from ..sources.io import path_exists
 from ..sources.positions import in_order, with_positions
-from .inference import CallPolicy, batch_chat
+from .inference import CallPolicy, batch_chat, call_in_rounds
 from .prompts import pack_messages, simple_prompt
 from .sample import debug_head
 
@@ -119,8 +119,11 @@ def run_distillation(
     concurrency: int = 1,
     num_partitions: int | None = None,
     system: str | None = None,
+    rounds: bool = False,
 ) -> DistilRun:
-    """Fill blank ``output_column`` cells of ``df`` with the model's stripped reply."""
+    """Fill blank ``output_column`` cells of ``df`` with the model's stripped reply; with
+    ``rounds`` failed calls are tried again by later jobs (``call_in_rounds``)."""
+    call = call_in_rounds if rounds else batch_chat
     spark = df.sparkSession
     if debug:
         df = debug_head(df, key_col, 5) if key_col else df.limit(5)
@@ -159,7 +162,7 @@ def run_distillation(
     callable_rows = todo.filter(F.col("_prompt") != "").withColumn("messages", pack_messages(F.col("_prompt"), system=system))
     for chunk in range(n_chunks):
         part = callable_rows.filter(F.col("_chunk") == chunk)
-        answered = batch_chat(part, chat, ["key"], policy=policy, concurrency=concurrency, num_partitions=num_partitions)
+        answered = call(part, chat, ["key"], policy=policy, concurrency=concurrency, num_partitions=num_partitions)
         answered.select(
             *meta,
             "key",

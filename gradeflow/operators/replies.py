@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.io import path_exists
-from .inference import CallPolicy, batch_chat
+from .inference import CallPolicy, batch_chat, call_in_rounds
 
 REPLY_SCHEMA = "request string, model_name string, response string, error string, attempts int, call_time timestamp"
 #: Requests shared by more than one in so many rows are joined by a broadcast.
@@ -58,14 +58,17 @@ def call_stored(
     num_partitions: int | None = None,
     n_chunks: int = DEFAULT_CHUNKS,
     settings: str = "",
+    rounds: bool = False,
 ) -> DataFrame:
     """The rows of ``requests`` (any columns, with ``model_name`` and messages) with the
     columns ``response``, ``error`` and ``attempts`` of their reply.
 
     Every row comes back exactly once, whatever ids repeat or are null.  The rows are written
     once; the work list, distinct requests without a good reply in the store at ``path``, is
-    written by chunk, and each chunk's replies are appended before the next starts.
+    written by chunk, and each chunk's replies are appended before the next starts. With
+    ``rounds`` failed calls are tried again by later jobs (``call_in_rounds``).
     """
+    call = call_in_rounds if rounds else batch_chat
     spark = requests.sparkSession
     path = path or scratch_path(spark, "replies")
     clash = {"__request", "response", "error", "attempts"}.intersection(requests.columns)
@@ -83,7 +86,7 @@ def call_stored(
     work = spark.read.schema("request string, model_name string, messages " + requests.schema[messages_col].dataType.simpleString() + ", n_rows bigint, known boolean, __chunk int").parquet(todo_path)
     for chunk in range(n_chunks):
         part = work.filter((F.col("__chunk") == chunk) & F.col("known").isNull())
-        out = batch_chat(part, samplers, ["request", "model_name"], model_col="model_name", policy=policy, concurrency=concurrency, num_partitions=num_partitions)
+        out = call(part, samplers, ["request", "model_name"], model_col="model_name", policy=policy, concurrency=concurrency, num_partitions=num_partitions)
         out.withColumn("call_time", F.current_timestamp()).write.mode("append").parquet(path)
     replies = best_replies(stored_replies(spark, path).join(work.select("request"), "request", "left_semi"))
     return _fanned_out(keyed, replies, work)

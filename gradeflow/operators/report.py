@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 
@@ -161,7 +160,7 @@ def write_report_files(lines: DataFrame, root: str, group_cols: Sequence[str] =
         folders = [[*f, s.getPath()] for f in folders for s in fs.listStatus(f[-1]) if s.isDirectory()]
     written = []
     for path in folders:
-        name = "_".join(re.sub(r"%(?![0-9A-F]{2})", "%25", p.getName().split("=", 1)[1]) for p in path[1:])
+        name = "_".join(p.getName().split("=", 1)[1] for p in path[1:])
         parts = sorted(s.getPath().toString() for s in fs.listStatus(path[-1]) if s.getPath().getName().startswith("part-"))
         temporary = hadoop.fs.Path(f"{parts_root}/{uuid.uuid4().hex}.html")
         out = fs.create(temporary, False)

@@ -57,6 +57,7 @@ def call_models(
     num_partitions: int | None = None,
     responses_path: str | None = None,
     n_chunks: int = DEFAULT_CHUNKS,
+    rounds: bool = False,
 ) -> DataFrame:
     """Every request row with its model reply (see ``operators.replies``).
 
@@ -64,7 +65,7 @@ def call_models(
     most the chunk in flight, failed calls are repeated by the next run, and an item whose
     prompt changed is asked again. A row is never joined by its item id.
     """
-    return call_stored(requests, samplers, responses_path, "prompt_messages", policy, concurrency, num_partitions, n_chunks)
+    return call_stored(requests, samplers, responses_path, "prompt_messages", policy, concurrency, num_partitions, n_chunks, rounds=rounds)
 
 
 def finish_examples(scored: DataFrame) -> DataFrame:
@@ -139,13 +140,15 @@ def run(
     strict: bool = False,
     language: str = EVAL_LANGUAGE,
     sampling: str = "hash",
+    rounds: bool = False,
 ) -> RunResult | None:
     """Evaluate every model on every known eval; write metrics and reports.
 
     Items are known by their position in their table, so ids may repeat or be missing: each
     item is asked, scored and counted once for each model. ``sampling`` is ``hash``
     (the same items under any order of the table) or ``position`` (the positions that Python's
-    seeded ``random.sample`` picks, comparable with scores published that way).
+    seeded ``random.sample`` picks, comparable with scores published that way). With
+    ``rounds`` failed calls are tried again by later jobs, and no task waits.
 
     Failed calls and invalid grades are left out of the statistics and counted in
     ``counts``; with ``strict`` any of them fails the run (after the replies are saved).
@@ -178,7 +181,7 @@ def run(
     requests = prompted[0]
     for p in prompted[1:]:
         requests = requests.unionByName(p, allowMissingColumns=True)
-    answered = call_models(requests, samplers, policy, concurrency, num_partitions, f"{out_root}/replies" if out_root else None, n_chunks)
+    answered = call_models(requests, samplers, policy, concurrency, num_partitions, f"{out_root}/replies" if out_root else None, n_chunks, rounds)
     answered = materialize(answered.drop("attempts"), "answered")
     for name in names:
         mine = answered.filter(F.col("eval_name") == name)

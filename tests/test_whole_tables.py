@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from gradeflow.functions.text import message_html
-from gradeflow.operators.distil import distil_by_position, distil_in_place
+from gradeflow.operators.distil import distil_by_position, distil_in_place, run_distillation
 from gradeflow.operators.inference import CallPolicy, CallWindow, _sliding, batch_chat, call_in_rounds, retry_rate_limit
 from gradeflow.operators.prompts import pack_messages
 from gradeflow.operators.replies import best_replies, call_stored, stored_replies
@@ -169,6 +169,17 @@ def test_rounds_wait_on_the_driver_only(spark, monkeypatch):
     assert call_in_rounds(rows.limit(0), limited, ["k"], policy=policy).count() == 0
 
 
+def test_runs_by_rounds(spark):
+    """Distillation and shared replies with retries as later jobs: the same replies and attempts."""
+    rows = spark.createDataFrame([(1, "fine"), (2, "busy"), (3, "bad")], "row_key int, prompt string")
+    policy = CallPolicy(max_attempts=2, backoff_base=0.0, retryable=retry_rate_limit)
+    one, other = (run_distillation(rows, limited, policy=policy, n_chunks=1, rounds=r) for r in (True, False))
+    assert one.stats.first() == other.stats.first() and one.stats.first()["calls"] == 4
+    asked = rows.select(F.lit("m").alias("model_name"), "row_key", pack_messages(F.col("prompt")).alias("prompt_messages"))
+    found = [sorted(map(str, call_stored(asked, {"m": limited}, policy=policy, n_chunks=1, rounds=r).select("row_key", "response", "error", "attempts").collect())) for r in (True, False)]
+    assert found[0] == found[1]
+
+
 def test_a_slow_call_holds_up_no_other():
     """One slow call in each of four batches: others of later batches finish meanwhile."""
     import pyarrow as pa
