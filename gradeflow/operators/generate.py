@@ -3,8 +3,9 @@
 Templates are a small table. Each row is exploded to the group ids only; one template
 per (row, group) is picked by a hash of (key, group, seed); the group's variables are
 checked in sorted order and the first bad one rejects the pair; accepted pairs are joined
-to the one picked template (Spark broadcasts that table by its size) and get every
-``{{var}}`` slot filled.
+to the one picked template and get every ``{{var}}`` slot filled. The templates come from
+the caller's list, so they are the side that is broadcast, whatever Spark guesses the rows'
+size to be from the size of their files.
 """
 
 from __future__ import annotations
@@ -154,14 +155,14 @@ def expand(df: DataFrame, groups, key_col: str = "row_key", seed: int = 0) -> Da
     values = F.create_map(*[x for v in present for x in (F.lit(v), _value(df, v))]) if present else F.create_map().cast("map<string,string>")
     ids = [F.lit(i) for i, g in enumerate(groups) if g]
     each = F.explode(F.array(*ids) if ids else F.array().cast("array<int>"))
-    rows = df.select(F.col(key_col).alias("row_key"), values.alias("_vals"), each.alias("group_id")).join(info, "group_id")
+    rows = df.select(F.col(key_col).alias("row_key"), values.alias("_vals"), each.alias("group_id")).join(F.broadcast(info), "group_id")
     vals = F.col("_vals")
     bad = F.get(F.filter("vars", lambda v: ~F.map_contains_key(vals, v) | vals[v].isNull()), 0)
     pick = pick_index([F.col("row_key"), F.col("group_id")], F.col("n_templates"), seed)
     pairs = rows.select("row_key", "group_id", pick.alias("template_id"), bad.alias("bad_variable"), "vars", "_vals")
     reason = F.when(F.col("bad_variable").isNotNull(), F.when(F.map_contains_key(vals, F.col("bad_variable")), VALUE_NOT_VALID).otherwise(VAR_NOT_FOUND))
     filled = F.transform("messages", lambda m: m.withField("content", _filled(m["content"], F.col("vars"), vals)))
-    return pairs.join(templates, ["group_id", "template_id"]).select(
+    return pairs.join(F.broadcast(templates), ["group_id", "template_id"]).select(
         "row_key", "group_id", "template_id", "bad_variable", reason.alias("reason"), F.when(F.col("bad_variable").isNull(), filled).alias("messages")
     )
 

@@ -122,3 +122,12 @@ def test_materialized_pairs_give_same_split(spark):
     a1, r1 = generate(d, DEFAULT_TEMPLATE_GROUPS)
     a2, r2 = generate(d, DEFAULT_TEMPLATE_GROUPS, materialize_pairs=True)
     assert sorted(a1.collect()) == sorted(a2.collect()) and sorted(r1.collect()) == sorted(r2.collect())
+
+
+def test_rows_are_never_the_broadcast_side(spark):
+    path = scratch_path(spark, "words")
+    spark.range(20000).selectExpr("id row_key", "'w' word", "'m' meaning", "'p' phonetics", "'o' origin", "'noun' pos").write.parquet(path)
+    for part, n in zip(generate(spark.read.parquet(path)), (100000, 0)):
+        plan = part._jdf.queryExecution().sparkPlan().toString()
+        assert "BuildLeft" not in plan and "SortMergeJoin" not in plan and plan.count("BuildRight") == 2
+        assert part.count() == n
