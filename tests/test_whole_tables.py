@@ -54,6 +54,19 @@ def test_positions_follow_files_and_lines(spark):
     assert sorted(r["position"] for r in placed.collect()) == list(range(5000))
 
 
+def test_rows_are_not_moved_to_be_numbered(spark):
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for size in ("-1", "1g"):  # whatever Spark makes of the size of the rows' files
+            spark.conf.set(key, size)
+            placed = with_positions(spark.range(5000).repartition(3))
+            plan = placed._jdf.queryExecution().sparkPlan().toString()
+            assert "BuildRight" in plan and "BuildLeft" not in plan and "SortMergeJoin" not in plan
+            assert sorted(r["position"] for r in placed.collect()) == list(range(5000))
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_positions_of_equal_rows_and_empty_tables(spark):
     rows = spark.createDataFrame([("x", None)] * 7, "a string, `b.c` int").repartition(3)
     placed = with_positions(rows)
