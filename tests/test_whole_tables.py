@@ -17,6 +17,7 @@ from gradeflow.operators.prompts import pack_messages
 from gradeflow.operators.replies import best_replies, call_stored, stored_replies
 from gradeflow.operators.report import write_report_files
 from gradeflow.operators.sample import sample_positions
+from gradeflow.plans import whole_tables
 from gradeflow.plans.evals import run
 from gradeflow.session import scratch_path
 from gradeflow.sources import io as IO
@@ -345,6 +346,26 @@ def test_split_csv_edges(spark):
         rows('a,b\n1,"open\n2,3\n')
 
 
+def test_quoted_csv_is_written_by_all_tasks(spark, monkeypatch):
+    """No task writes the rows of the others, and each file has its header."""
+    root, seen = scratch_path(spark, "docs"), []
+    texts = [None if i % 19 == 0 else 'a "b",\n' * (i % 5) + f"text {i}" * (1 + 900 * (i == 77)) for i in range(400)]
+    rows = [(None if i in (3, 300) else i, t, f"l{i % 3}", "s") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4).write.parquet(f"{root}/documents.parquet")
+    monkeypatch.setattr(whole_tables, "read_csv_split", lambda s, path, **more: (seen.append(path), read_csv_split(s, path, **more))[1])
+    monkeypatch.setattr(whole_tables, "CSV_SPLIT", 700)
+    got = whole_tables.csv_quoted_split(spark, root).collect()
+    want = [(True, i, None if t is None else t + '\nsaid "so"', f"done {lang}" if i % 3 == 0 else None) for i, t, lang, _ in rows if i is not None]
+    # an empty cell and a missing one are the same in the file
+    assert sorted((r["row_key"], r["text"] or None, r["output"]) for r in got if r["good"]) == sorted(w[1:] for w in want)
+    assert [r["text"] for r in got if not r["good"]] == ['"one cell\nonly"'] * 8
+    files = [f for f in os.listdir(seen[0].replace("file:", "")) if f.startswith("part-")]
+    assert len(files) == 4
+    for f in files:
+        with open(f"{seen[0].replace('file:', '')}/{f}", encoding="utf-8") as fh:
+            assert fh.read().count("row_key,instruction,output\n") == 1
+
+
 def test_report_files_replace_each_other(spark):
     rows = [("e", "m/1", s, str(i), "", f"line {i}") for s in (0, 1) for i in range(30)] + [("e", "m2", 0, "", "", "only")]
     lines = spark.createDataFrame(rows, "eval_name string, model_name string, section int, ord string, sub string, line string")
