@@ -11,11 +11,12 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from gradeflow.functions.text import message_html
+from gradeflow.operators import report
 from gradeflow.operators.distil import distil_by_position, distil_in_place, run_distillation
 from gradeflow.operators.inference import CallPolicy, CallWindow, _sliding, batch_chat, call_in_rounds, retry_rate_limit
 from gradeflow.operators.prompts import pack_messages
 from gradeflow.operators.replies import best_replies, call_stored, stored_replies
-from gradeflow.operators.report import write_report_files
+from gradeflow.operators.report import write_report_files, write_reports
 from gradeflow.operators.sample import sample_positions
 from gradeflow.plans import whole_tables
 from gradeflow.plans.evals import run
@@ -366,6 +367,23 @@ def test_quoted_csv_is_written_by_all_tasks(spark, monkeypatch):
             assert fh.read().count("row_key,instruction,output\n") == 1
 
 
+def test_report_parts_are_packed(spark, monkeypatch):
+    sizes = {}
+
+    def spied(lines, root, *more):
+        write_reports(lines, root, *more)
+        for folder, _, names in os.walk(root.replace("file:", "")):
+            sizes.update({f"{folder}/{n}": os.path.getsize(f"{folder}/{n}") for n in names if n.startswith("part-")})
+
+    monkeypatch.setattr(report, "write_reports", spied)
+    lines = spark.range(4000).selectExpr("'e' eval_name", "'m' model_name", "1 section", "lpad(id, 20, '0') ord", "'' sub", "concat('<p>line ', id, repeat(' မြန်မာ', 9), '</p>') line")
+    (file,) = write_report_files(lines, scratch_path(spark, "packed"), num_partitions=3)
+    with open(file.replace("file:", ""), encoding="utf-8") as f:
+        text = f.read()
+    assert text == "".join(f"<p>line {i}{' မြန်မာ' * 9}</p>\n" for i in range(4000))
+    assert len(sizes) == 3 and sum(sizes.values()) * 5 < len(text.encode())
+
+
 def test_report_files_replace_each_other(spark):
     rows = [("e", "m/1", s, str(i), "", f"line {i}") for s in (0, 1) for i in range(30)] + [("e", "m2", 0, "", "", "only")]
     lines = spark.createDataFrame(rows, "eval_name string, model_name string, section int, ord string, sub string, line string")
