@@ -8,10 +8,13 @@ do not change whether a cell is open, so the parity of the quotes tells:
    the splits of a file tells which splits begin inside a cell; that goes to the lines by a
    broadcast of one flag per split;
 2. each split is read again in order, and its lines are put together to records; what was
-   begun before the split or is not finished at its end becomes a fragment;
+   begun before the split or is not finished at its end becomes a fragment; Spark's
+   ``from_csv`` reads the cells of each whole record, once, in the same pass;
 3. fragments, at most two per split, are joined across split ends: they are numbered without
-   their text, which meets only the other fragments of its own record;
-4. Spark's ``from_csv`` reads the cells of each record.
+   their text, which meets only the other fragments of its own record; their cells are read then.
+
+A task reads as many splits as the session's own settings give it bytes: splits may be small
+without a task, a Python start and a file for each.
 
 Nothing but small rows per split, no text, reaches the driver.  Quotes stand for cells only where they
 enclose them, as the writers of this package and RFC 4180 have it.
@@ -19,8 +22,9 @@ enclose them, as the writers of this package and RFC 4180 have it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,10 +40,13 @@ WHOLE, HEAD, TAIL, INSIDE = range(4)
 RECORDS = f"{FILE} string, {START} bigint, seq bigint, kind int, record string"
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 OPEN_COST = "spark.sql.files.openCostInBytes"
+MOST_TASKS = "spark.sql.files.maxPartitionNum"
+#: Bytes that a task holds of the records that it writes, and whoever reads them, of each file.
+RECORDS_BLOCK = 1 << 24
 
 
 def _quotes(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
 
 
 def split_records(lines: DataFrame) -> DataFrame:
@@ -48,51 +55,72 @@ def split_records(lines: DataFrame) -> DataFrame:
     ``inside``, a column: whether the line's split begins inside a quoted cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # parts: the lines so far of a record that is not closed yet
         place, opened, parts, kind, seq = None, False, [], WHOLE, 0
         out: list[tuple] = []
 
-        def close(last: bool):
-            """The lines so far are a record, or what the split has of one."""
-            nonlocal parts, kind, seq
+        def put(kinds: list[int], records: pa.Array) -> None:
+            nonlocal seq
+            n = len(kinds)
+            out.append((pa.repeat(place[0], n), pa.repeat(pa.scalar(place[1], pa.int64()), n), pa.array(range(seq, seq + n), pa.int64()), pa.array(kinds, pa.int32()), records))
+            seq += n
+
+        def end_split() -> None:
+            """What is still open is all that the split has of its record."""
+            nonlocal parts
             if parts:
-                shown = kind if not last else INSIDE if kind == HEAD else TAIL
-                out.append((*place, seq, shown, "\n".join(parts)))
-                seq += 1
-            parts, kind = [], WHOLE
-
-        def passed_on():
-            columns = list(zip(*out)) or [()] * 5
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[FILE, START, "seq", "kind", "record"])
+                put([INSIDE if kind == HEAD else TAIL], pa.array(["\n".join(parts)]))
+            parts = []
+
+        def passed_on() -> pa.RecordBatch:
+            columns = [pa.concat_arrays(c) for c in zip(*out)] or [pa.array([], t) for t in (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())]
             out.clear()
-            return batch
+            return pa.RecordBatch.from_arrays(columns, names=[FILE, START, "seq", "kind", "record"])
 
         for batch in batches:
-            odd = pc.bit_wise_and(pc.count_substring(batch.column("value"), '"'), 1).to_pylist()
-            columns = (batch.column(c).to_pylist() for c in (FILE, START, "value", "inside"))
-            for file, start, line, inside, turns in zip(*columns, odd):
-                if (file, start) != place:
-                    if place:
-                        close(opened)
-                    place, opened, seq = (file, start), inside, 0
+            n = batch.num_rows
+            files, starts, inside, values = (batch.column(c) for c in (FILE, START, "inside", "value"))
+            odd = pc.bit_wise_and(pc.count_substring(values, '"'), 1).to_numpy()
+            other = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(starts[1:], starts[:-1])) if n else pa.array([], pa.bool_())
+            begins = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist()] if n else []
+            for begin, end in zip(begins, [*begins[1:], n]):
+                here = (files[begin].as_py(), starts[begin].as_py())
+                if here != place:
+                    end_split()
+                    place, opened, seq = here, inside[begin].as_py(), 0
                     kind = HEAD if opened else WHOLE
-                parts.append(line)
-                opened ^= bool(turns)
-                if not opened:
-                    close(False)
-            yield passed_on()
-        if place:
-            close(opened)
+                open_after = (np.cumsum(odd[begin:end]) + opened) % 2
+                opened = bool(open_after[-1])
+                closed = np.flatnonzero(open_after == 0) + begin + 1
+                bounds = np.concatenate(([begin], closed, [end] if opened else [])).astype(np.int32)
+                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), values), "\n")
+                if not len(closed):
+                    parts.append(texts[0].as_py())
+                    continue
+                if parts:
+                    put([kind], pa.array(["\n".join([*parts, texts[0].as_py()])]))
+                else:
+                    put([kind], texts[:1])
+                put([WHOLE] * (len(closed) - 1), texts[1 : len(closed)])
+                parts, kind = [texts[-1].as_py()] if opened else [], WHOLE
             yield passed_on()
+        end_split()
+        yield passed_on()
 
     return lines.mapInArrow(run, RECORDS)
 
 
-def csv_records(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
-    """(file, start, seq, record) of every record of the files, written once; the order
-    (file, start, seq) is that of the files. ``split_bytes``: the size of a split."""
-    settings = {SPLIT_BYTES: str(split_bytes), OPEN_COST: "0"} if split_bytes else {}
-    before = {k: spark.conf.get(k) for k in settings}
+def csv_records(spark: SparkSession, path: str, parse: Callable[[DataFrame], DataFrame], split_bytes: int | None = None) -> DataFrame:
+    """(file, start, seq, what ``parse`` makes of ``record``) of every record of the files,
+    written once; the order (file, start, seq) is that of the files. ``parse`` must give null
+    columns for a null record. ``split_bytes``: the size of a split; a task reads many small
+    ones, one after the other, so their size does not tell the number of tasks."""
+    settings = {}
+    if split_bytes:
+        # as many tasks as the session's own settings give for these files
+        tasks = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+        settings = {SPLIT_BYTES: str(split_bytes), OPEN_COST: "0", MOST_TASKS: str(max(tasks, 1))}
+    before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
@@ -108,19 +136,23 @@ def csv_records(spark: SparkSession, path: str, split_bytes: int | None = None)
             raise ValueError(f"{last[0]} ends inside a quoted cell")
         records_path = scratch_path(spark, "csv_records")
         # a broadcast join leaves the lines of a split in their order
-        split_records(lines.join(F.broadcast(sums.select(FILE, START, "inside")), [FILE, START])).write.parquet(records_path)
+        found = split_records(lines.join(F.broadcast(sums.select(FILE, START, "inside")), [FILE, START]))
+        # a fragment is text of its own column, so that its pass reads no whole records
+        whole = F.col("kind") == WHOLE
+        rows = parse(found.withColumns({"fragment": F.when(~whole, F.col("record")), "record": F.when(whole, F.col("record"))}))
+        rows.write.option("parquet.block.size", RECORDS_BLOCK).parquet(records_path)
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
-    rows = spark.read.schema(RECORDS).parquet(records_path)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = spark.read.schema(rows.schema).parquet(records_path)
     # at most two per split: the end of the one before, the begin of the next
-    fragments = rows.filter(F.col("kind") != WHOLE)
+    fragments = rows.filter(F.col("kind") != WHOLE).select(FILE, START, "seq", "kind", "fragment")
     nth = F.count_if(F.col("kind") == TAIL).over(Window.partitionBy(FILE).orderBy(START, "seq"))
     numbers = fragments.select(FILE, START, "seq", "kind").select(FILE, START, "seq", nth.alias("nth"))
     fragments = fragments.join(F.broadcast(numbers), [FILE, START, "seq"])
-    joined = fragments.groupBy(FILE, "nth").agg(F.array_sort(F.collect_list(F.struct(START, "seq", "record"))).alias("parts"))
-    joined = joined.select(FILE, F.col("parts")[0][START].alias(START), F.col("parts")[0]["seq"].alias("seq"), F.array_join("parts.record", "\n").alias("record"))
-    return rows.filter(F.col("kind") == WHOLE).select(FILE, START, "seq", "record").unionByName(joined)
+    joined = fragments.groupBy(FILE, "nth").agg(F.array_sort(F.collect_list(F.struct(START, "seq", "fragment"))).alias("parts"))
+    joined = parse(joined.select(FILE, F.col("parts")[0][START].alias(START), F.col("parts")[0]["seq"].alias("seq"), F.array_join("parts.fragment", "\n").alias("record")))
+    return rows.filter(F.col("kind") == WHOLE).drop("kind", "fragment").unionByName(joined)
 
 
 def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None = None, na_values: Sequence[str] = NA_STRINGS, split_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -128,20 +160,27 @@ def read_csv_split(spark: SparkSession, path: str, columns: Sequence[str] | None
     several tasks read each."""
     names = spark.read.options(**CSV_READ_OPTIONS).csv(path).columns
     chosen = named_columns(names, columns, path)
-    records = csv_records(spark, path, split_bytes)
-    # the newline of a record may be preceded by a carriage return
-    records = records.withColumn("record", F.regexp_replace("record", "\r\\z", "")).filter(F.col("record") != "")
-    first = (F.col(START) == 0) & (F.col("seq") == 0)
     schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in [*names, BAD_RECORD])
     options = {k: v for k, v in CSV_READ_OPTIONS.items() if k in ("quote", "escape")} | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
-    cells = F.from_csv(F.regexp_replace("record", "\\A\ufeff", ""), schema, options)
-    rows = records.withColumn("cells", cells)
+    cell = {n: f"cell{i}" for i, n in enumerate(names)}
+
+    def parse(records: DataFrame) -> DataFrame:
+        """The cells of each record and, of one that does not fit, its text."""
+        # the newline of a record may be preceded by a carriage return
+        records = records.withColumn("record", F.regexp_replace("record", "\r\\z", ""))
+        records = records.withColumn("cells", F.from_csv(F.regexp_replace("record", "\\A\ufeff", ""), schema, options))
+        empty, bad = F.col("record") == "", F.col("cells")[BAD_RECORD].isNotNull()
+        cells = [F.col("cells")[n].alias(c) for n, c in cell.items()]
+        others = [c for c in records.columns if c not in ("record", "cells")]
+        return records.select(*others, empty.alias("empty"), bad.alias("bad"), F.when(bad, F.col("record")).alias("record"), *cells)
+
+    rows = csv_records(spark, path, parse, split_bytes).filter(~F.col("empty"))
+    first = (F.col(START) == 0) & (F.col("seq") == 0)
     wrong = F.raise_error(F.concat(F.lit("another header in "), F.col(FILE))).cast("boolean")
     header = F.lit(True)
-    for n in names:
-        header = header & F.col("cells")[n].eqNullSafe(F.lit(n))
+    for n, c in cell.items():
+        header = header & F.col(c).eqNullSafe(F.lit(n))
     # the first record of each file is its header, and must be the same one
     rows = rows.filter(F.when(first, F.when(header, F.lit(False)).otherwise(wrong)).otherwise(F.lit(True)))
-    bad = F.col("cells")[BAD_RECORD].isNotNull()
-    good = rows.filter(~bad).select(*[F.col("cells")[n].alias(n) for n in chosen])
-    return na_to_null(good, na_values), rows.filter(bad).select("record")
+    good = rows.filter(~F.col("bad")).select(*[F.col(cell[n]).alias(n) for n in chosen])
+    return na_to_null(good, na_values), rows.filter("bad").select("record")

@@ -21,6 +21,7 @@ from gradeflow.operators.sample import sample_positions
 from gradeflow.plans import whole_tables
 from gradeflow.plans.evals import run
 from gradeflow.session import scratch_path
+from gradeflow.sources import csv_split
 from gradeflow.sources import io as IO
 from gradeflow.sources import standins as S
 from gradeflow.sources import versions as V
@@ -347,6 +348,24 @@ def test_split_csv_edges(spark):
         rows('a,b\n1,"open\n2,3\n')
 
 
+def test_small_splits_share_a_task(spark, monkeypatch):
+    """Splits may be small without a task, and a file of records, for each."""
+    folder, made = scratch_path(spark, "small_splits").replace("file:", ""), {}
+    os.makedirs(folder)
+    with open(f"{folder}/a.csv", "w", newline="", encoding="utf-8") as f:
+        w = csv.writer(f, lineterminator="\n")
+        w.writerow(["id", "t"])
+        w.writerows([i, f'line {i}\n"so"\n' * (i % 9) + "long " * (300 * (i % 97 == 1))] for i in range(900))
+    monkeypatch.setattr(csv_split, "scratch_path", lambda s, name: made.setdefault(name, scratch_path(s, name)))
+    want = [sorted(map(str, part.collect())) for part in IO.read_csv_parts(spark, folder)]
+    assert [sorted(map(str, part.collect())) for part in read_csv_split(spark, folder, split_bytes=700)] == want
+    records = spark.read.parquet(made["csv_records"])
+    assert records.select("__file", "__start").distinct().count() > 80
+    tasks = spark.read.text(folder).rdd.getNumPartitions()
+    assert len([f for f in os.listdir(made["csv_records"].replace("file:", "")) if f.startswith("part-")]) <= tasks + 1
+    assert spark.conf.get(csv_split.MOST_TASKS, None) is None
+
+
 def test_quoted_csv_is_written_by_all_tasks(spark, monkeypatch):
     """No task writes the rows of the others, and each file has its header."""
     root, seen = scratch_path(spark, "docs"), []
