@@ -3,6 +3,7 @@
 import csv
 import os
 import random
+import re
 import threading
 import time
 
@@ -403,6 +404,42 @@ def test_report_parts_are_packed(spark, monkeypatch):
     assert len(sizes) == 3 and sum(sizes.values()) * 5 < len(text.encode())
 
 
+def test_reports_leave_no_shuffle_files(spark, monkeypatch):
+    """While parts are joined, the disk holds no shuffled lines, and no part that is joined."""
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+    before, left, paths = shuffled(), [], []
+
+    def spied(lines, root, *more):
+        write_reports(lines, root, *more)
+        left.extend(shuffled() - before)
+        paths.append(root.replace("file:", ""))
+
+    monkeypatch.setattr(report, "write_reports", spied)
+    rows = spark.range(4000).selectExpr("'e' eval_name", "concat('m', id % 3) model_name", "1 section", "lpad(id, 20, '0') ord", "'' sub", "concat('<p>', id, '</p>') line")
+    files = write_report_files(rows, scratch_path(spark, "no_shuffles"), num_partitions=3)
+    assert len(files) == 3 and left == [] and not os.path.exists(paths[0])
+    assert spark.conf.get(report.SHUFFLES_GO) == "false"
+
+
+def test_joined_parts_are_deleted_at_once(spark, monkeypatch):
+    """A part that cannot be read ends the joining; those before it are gone from the disk."""
+    parts = []
+
+    def spied(lines, root, *more):
+        write_reports(lines, root, *more)
+        parts.extend(sorted(f"{d}/{n}" for d, _, names in os.walk(root.replace("file:", "")) for n in names if n.startswith("part-")))
+        os.remove(parts[-1])
+        os.mkdir(parts[-1])
+
+    monkeypatch.setattr(report, "write_reports", spied)
+    rows = spark.range(4000).selectExpr("'e' eval_name", "'m' model_name", "1 section", "lpad(id, 20, '0') ord", "'' sub", "concat('<p>', id, '</p>') line")
+    root = scratch_path(spark, "joined_parts")
+    with pytest.raises(Exception):
+        write_report_files(rows, root, num_partitions=3)
+    assert len(parts) == 3 and [os.path.exists(p) for p in parts] == [False, False, True]
+    assert [f for f in os.listdir(root.replace("file:", "")) if f.endswith(".html")] == []
+
+
 def test_report_files_replace_each_other(spark):
     rows = [("e", "m/1", s, str(i), "", f"line {i}") for s in (0, 1) for i in range(30)] + [("e", "m2", 0, "", "", "only")]
     lines = spark.createDataFrame(rows, "eval_name string, model_name string, section int, ord string, sub string, line string")
